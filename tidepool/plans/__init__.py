@@ -1,4 +1,4 @@
 """Named driver queries. Importing this package registers all of them."""
 
-from . import change_plans, query_plans  # noqa: F401
+from . import change_plans, query_plans, web_plans  # noqa: F401
 from .registry import ORACLES, QUERIES, register  # noqa: F401
