@@ -259,20 +259,27 @@ def _scan_last_before(df: DataFrame, keys: list[str], seq: str, chunk: str,
     key) where ``when`` holds, or NULL.
 
     Two levels so no window partition exceeds one seq chunk: (1) a running
-    ``max_by`` inside ``(key, chunk)``; (2) per-chunk ``max_by`` summaries,
-    whose running value over earlier chunks of the key is the carry.
+    ``max_by`` inside ``(key, chunk)``; (2) the chunk's own result (whole-chunk
+    frame, read on the chunk's last row), whose running value over earlier
+    chunks of the key is the carry. Both levels of (1)/(2) are one Window
+    operator over one shuffle of the changes; only the per-chunk summary rows
+    are shuffled again by key.
     """
     order = F.when(when, _q(seq))
-    w_in = (Window.partitionBy(*[_q(k) for k in keys], _q(chunk)).orderBy(_q(seq))
-            .rowsBetween(Window.unboundedPreceding, -1))
-    inner = df.withColumn(f"{name}_in", F.max_by(value, order).over(w_in))
-    summ = (df.groupBy(*keys, chunk)
-            .agg(F.max_by(value, order).alias("_v"), F.max(order).alias("_o")))
+    part = [*[_q(k) for k in keys], _q(chunk)]
+    w = Window.partitionBy(*part).orderBy(_q(seq))
+    w_in = w.rowsBetween(Window.unboundedPreceding, -1)
+    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    inner = (df.withColumn(f"{name}_in", F.max_by(value, order).over(w_in))
+             .withColumn("_cv", F.max_by(value, order).over(w_all))
+             .withColumn("_co", F.max(order).over(w_all))
+             .withColumn("_nx", F.lead(_q(seq)).over(w)))
     w_carry = (Window.partitionBy(*[_q(k) for k in keys]).orderBy(_q(chunk))
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summ.select(*keys, chunk,
-                        F.max_by("_v", "_o").over(w_carry).alias(f"{name}_carry"))
-    out = inner.join(carry, on=[*keys, chunk], how="left")
+    carry = (inner.where(F.col("_nx").isNull())
+             .select(*keys, chunk, F.max_by("_cv", "_co").over(w_carry).alias(f"{name}_carry"))
+             .where(F.col(f"{name}_carry").isNotNull()))
+    out = inner.drop("_cv", "_co", "_nx").join(carry, on=[*keys, chunk], how="left")
     return (out.withColumn(name, F.coalesce(F.col(f"{name}_in"), F.col(f"{name}_carry")))
             .drop(f"{name}_in", f"{name}_carry"))
 
@@ -280,13 +287,18 @@ def _scan_last_before(df: DataFrame, keys: list[str], seq: str, chunk: str,
 def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op",
                      seq: str = "seq", ctx: AuditContext = AuditContext(),
                      fill_column: str | None = None, chunk_width: int = 1 << 20,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                     materialize: bool = True) -> DataFrame:
     """Per change (non-NULL key): state before it and the image after it.
 
     Columns: keys, ``_seq``, ``_op``, ``_exists_before``, ``_before``
     (struct image before, when it existed), ``_exists_after``, ``_after``
     (struct image after). The table's own row of each changed key is
     included with op ``T`` and the smallest seq.
+
+    With ``materialize`` the per-change input and the first pass are
+    written once to the shared checkpoint folder, so each is computed once
+    although both scan levels read them.
     """
     keys = _keys(keys)
     cols = target.columns
@@ -305,6 +317,8 @@ def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "
                      F.lit(_OP_TARGET).alias("_op"), *[_q(c) for c in cols])
     allc = own.unionByName(ch).withColumn(
         "_chunk", F.floor(F.col("_seq") / F.lit(chunk_width)).cast("long"))
+    if materialize:
+        allc = cut_lineage(allc, "changes-input")
 
     # pass 1: state before each change, from the last earlier anchor
     anchor = F.col("_op").isin(OP_INSERT, OP_MERGE, OP_DELETE, _OP_TARGET)
@@ -327,6 +341,8 @@ def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "
     allc = allc.withColumn("_exists_after", F.when(F.col("_op") == OP_DELETE, F.lit(False))
                            .when(F.col("_op") == OP_UPDATE, F.col("_exists_before"))
                            .otherwise(F.lit(True)))
+    if materialize:
+        allc = cut_lineage(allc.drop(*[c for c in cols if c not in keys]), "changes-pass1")
     # pass 2: image before = image after the last earlier non-delete change
     allc = _scan_last_before(allc, keys, "_seq", "_chunk", F.col("_after"),
                              F.col("_op") != OP_DELETE, "_before")
@@ -358,7 +374,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op"
                            fill_column=fill_column, chunk_width=chunk_width,
                            max_broadcast_rows=max_broadcast_rows)
     if checkpoint:
-        ann = cut_lineage(ann)
+        ann = cut_lineage(ann, "changes-annotated")
 
     hist_rows = ann.where(F.col("_op").isin(OP_UPDATE, OP_DELETE, OP_MERGE)
                           & F.col("_exists_before"))
