@@ -34,8 +34,19 @@ def url_origin(url, keep_port: bool = True) -> Column:
     return F.when(port.isNull(), base).otherwise(F.concat(base, F.lit(":"), port))
 
 
+_PATH_RX = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)"
+_QUERY_RX = r"^[^?#]*\?([^#]*)"
+
+
 def url_path(url) -> Column:
-    return F.coalesce(url_part(url, "PATH"), F.lit(""))
+    """Path of a URL (lenient like a JVM ``URL``: spaces are kept)."""
+    return F.regexp_extract(_c(url), _PATH_RX, 1)
+
+
+def url_query(url) -> Column:
+    """Query of a URL, NULL when there is none."""
+    q = F.regexp_extract(_c(url), _QUERY_RX, 1)
+    return F.when(_c(url).contains("?"), q)
 
 
 def resolve_url(target, base) -> Column:
@@ -78,7 +89,7 @@ def request_path(url, keep_trailing_slash: bool = True) -> Column:
              .otherwise(encoded))
     else:
         p = F.when(path == "/", F.lit("/")).otherwise(encoded)
-    query = url_part(u, "QUERY")
+    query = url_query(u)
     return F.when(query.isNull(), p).otherwise(F.concat(p, F.lit("?"), query))
 
 

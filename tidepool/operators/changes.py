@@ -183,7 +183,8 @@ def delete_by_key(target: DataFrame, deletes: DataFrame, keys,
     keys = _keys(keys)
     k = deletes.select(*keys).where(~_any_null(keys)).distinct()
     small = _small_or_none(k, max_broadcast_rows)
-    return target.join(small if small is not None else k, on=keys, how="left_anti")
+    return (target.join(small if small is not None else k, on=keys, how="left_anti")
+            .select(*[_q(c) for c in target.columns]))
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys, seq: str | None = None,
@@ -231,7 +232,8 @@ def _matched_old_rows(target: DataFrame, batch: DataFrame, keys: list[str],
                       max_broadcast_rows: int) -> DataFrame:
     k = batch.select(*keys).where(~_any_null(keys)).distinct()
     small = _small_or_none(k, max_broadcast_rows)
-    return target.join(small if small is not None else k, on=keys, how="left_semi")
+    return (target.join(small if small is not None else k, on=keys, how="left_semi")
+            .select(*[_q(c) for c in target.columns]))
 
 
 def audit_delete(target: DataFrame, deletes: DataFrame, keys, ctx: AuditContext = AuditContext(),
@@ -392,7 +394,8 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op"
 
     changed = ann.select(*keys).distinct()
     small = _small_or_none(changed, max_broadcast_rows)
-    untouched = target.join(small if small is not None else changed, on=keys, how="left_anti")
+    untouched = (target.join(small if small is not None else changed, on=keys, how="left_anti")
+                 .select(*[_q(c) for c in cols]))
 
     null_key = changes.where(_any_null(keys) & _q(op).isin(OP_INSERT, OP_MERGE))
     null_key = null_key.select(*[_q(c) for c in cols])

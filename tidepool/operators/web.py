@@ -201,51 +201,57 @@ def crawl_expand(roots: DataFrame, pages: DataFrame, hop1: H.Rule, hop2: H.Rule,
 
 # --------------------------------------------------------------------- W15
 
-def resolve_redirects(log: DataFrame, max_hops: int = 5, start: DataFrame | None = None
-                      ) -> DataFrame:
+def resolve_redirects(log: DataFrame, max_hops: int = 5, start: DataFrame | None = None,
+                      materialize: bool = True) -> DataFrame:
     """Follow redirects through a response log ``(url, status, location)``.
 
     From each start URL (default: every logged URL): status 200 -> done;
-    300-399 -> follow ``location`` (resolved against the current URL);
-    anything else, a missing location or an unlogged URL -> error. A URL
-    seen before on the path -> ``loop``; more than ``max_hops`` -> ``too_many_hops``.
-    Bounded loop of joins (one per hop) against the log.
-    Output: ``url, final_url, final_status, hops, outcome``.
+    300-399 -> follow ``location`` (resolved against the URL that answered);
+    anything else, a missing location or an unlogged URL -> ``error``. A URL
+    already on the path -> ``loop``; still redirecting after ``max_hops``
+    -> ``too_many_hops``. Output: ``url, final_url, final_status, hops, outcome``.
+
+    Each log row's target is resolved once (an edge table); then one join of
+    the still-moving frontier with the edges per hop. The frontier is written
+    to the checkpoint folder each hop, so no hop recomputes earlier ones.
     """
-    lg = log.select(F.col("url").alias("_u"), F.col("status").alias("_s"),
-                    F.col("location").alias("_l"))
+    from ..session import cut_lineage
+
+    def outcome(status: Column, nxt: Column) -> Column:
+        return (F.when(status.isNull(), F.lit("error"))
+                .when(status == 200, F.lit("ok"))
+                .when((status >= 300) & (status < 400) & nxt.isNotNull(), F.lit("follow"))
+                .otherwise(F.lit("error")))
+
+    redirect = (F.col("status") >= 300) & (F.col("status") < 400) & F.col("location").isNotNull()
+    edges = log.select(F.col("url").alias("_u"), F.col("status").alias("_s"),
+                       F.when(redirect, resolve_url(F.col("location"), F.col("url"))).alias("_n"))
     s = (start if start is not None else log).select("url").distinct()
-    cur = (s.join(lg, s.url == lg._u, "left")
+    cur = (s.join(edges, s.url == edges._u, "left")
            .select("url", F.col("url").alias("cur"), F.col("_s").alias("status"),
-                   F.col("_l").alias("loc"), F.lit(0).alias("hops"),
+                   F.col("_n").alias("next"), F.lit(0).alias("hops"),
                    F.array(F.col("url")).alias("seen")))
-    done_parts = []
-
-    def classify(df: DataFrame) -> DataFrame:
-        return df.withColumn("outcome", F.when(F.col("status").isNull(), F.lit("error"))
-                             .when(F.col("status") == 200, F.lit("ok"))
-                             .when((F.col("status") >= 300) & (F.col("status") < 400)
-                                   & F.col("loc").isNotNull(), F.lit("follow"))
-                             .otherwise(F.lit("error")))
-
-    cur = classify(cur)
+    cur = cur.withColumn("outcome", outcome(F.col("status"), F.col("next")))
+    cols = ["url", "cur", "status", "hops", "outcome"]
+    done = []
     for _ in range(max_hops):
-        done_parts.append(cur.where(F.col("outcome") != "follow"))
-        nxt = cur.where(F.col("outcome") == "follow").withColumn(
-            "next", resolve_url(F.col("loc"), F.col("cur")))
-        looped = nxt.where(F.array_contains("seen", F.col("next")))
-        done_parts.append(looped.select("url", F.col("next").alias("cur"), "status", "loc",
-                                        (F.col("hops") + 1).alias("hops"), "seen",
-                                        F.lit("loop").alias("outcome")))
-        go = nxt.where(~F.array_contains("seen", F.col("next")))
-        cur = classify(go.join(lg, go.next == lg._u, "left").select(
-            "url", F.col("next").alias("cur"), F.col("_s").alias("status"),
-            F.col("_l").alias("loc"), (F.col("hops") + 1).alias("hops"),
-            F.concat("seen", F.array(F.col("next"))).alias("seen")))
-    done_parts.append(cur.withColumn("outcome", F.when(F.col("outcome") == "follow",
-                                                       F.lit("too_many_hops"))
-                                     .otherwise(F.col("outcome"))))
-    out = reduce(lambda a, b: a.unionByName(b), done_parts)
+        if materialize:
+            cur = cut_lineage(cur, "redirect-frontier")
+        done.append(cur.where(F.col("outcome") != "follow").select(*cols))
+        moving = cur.where(F.col("outcome") == "follow")
+        looped = moving.where(F.array_contains("seen", F.col("next")))
+        done.append(looped.select("url", F.col("next").alias("cur"), "status",
+                                  (F.col("hops") + 1).alias("hops"), F.lit("loop").alias("outcome")))
+        go = moving.where(~F.array_contains("seen", F.col("next")))
+        cur = (go.join(edges, go.next == edges._u, "left")
+               .select("url", F.col("next").alias("cur"), F.col("_s").alias("status"),
+                       F.col("_n").alias("next"), (F.col("hops") + 1).alias("hops"),
+                       F.concat("seen", F.array(F.col("next"))).alias("seen")))
+        cur = cur.withColumn("outcome", outcome(F.col("status"), F.col("next")))
+    done.append(cur.select("url", "cur", "status", "hops",
+                           F.when(F.col("outcome") == "follow", F.lit("too_many_hops"))
+                           .otherwise(F.col("outcome")).alias("outcome")))
+    out = reduce(lambda a, b: a.unionByName(b), done)
     return out.select("url", F.col("cur").alias("final_url"),
                       F.col("status").alias("final_status"), "hops", "outcome")
 
