@@ -256,53 +256,47 @@ def audit_update(target: DataFrame, updates: DataFrame, keys, ctx: AuditContext
 # ----------------------------------------------------------------------- B9
 
 def _scan_last_before(df: DataFrame, keys: list[str], seq: str, chunk: str,
-                      value: Column, when: Column, name: str) -> DataFrame:
-    """Add column ``name``: ``value`` of the last earlier row (by ``seq``, same
-    key) where ``when`` holds, or NULL.
+                      specs: list[tuple[str, Column, Column]]) -> DataFrame:
+    """For each ``(name, value, when)`` add column ``name``: ``value`` of the
+    last earlier row (by ``seq``, same key) where ``when`` holds, or NULL.
 
     Two levels so no window partition exceeds one seq chunk: (1) a running
     ``max_by`` inside ``(key, chunk)``; (2) the chunk's own result (whole-chunk
     frame, read on the chunk's last row), whose running value over earlier
-    chunks of the key is the carry. Both levels of (1)/(2) are one Window
-    operator over one shuffle of the changes; only the per-chunk summary rows
-    are shuffled again by key.
+    chunks of the key is the carry. Level (1) and the chunk results are one
+    Window operator over one shuffle; only one summary row per ``(key,
+    chunk)`` is shuffled again, by key. Values should be small (ops, seqs).
     """
-    order = F.when(when, _q(seq))
     part = [*[_q(k) for k in keys], _q(chunk)]
     w = Window.partitionBy(*part).orderBy(_q(seq))
     w_in = w.rowsBetween(Window.unboundedPreceding, -1)
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    inner = (df.withColumn(f"{name}_in", F.max_by(value, order).over(w_in))
-             .withColumn("_cv", F.max_by(value, order).over(w_all))
-             .withColumn("_co", F.max(order).over(w_all))
-             .withColumn("_nx", F.lead(_q(seq)).over(w)))
     w_carry = (Window.partitionBy(*[_q(k) for k in keys]).orderBy(_q(chunk))
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (inner.where(F.col("_nx").isNull())
-             .select(*keys, chunk, F.max_by("_cv", "_co").over(w_carry).alias(f"{name}_carry"))
-             .where(F.col(f"{name}_carry").isNotNull()))
-    out = inner.drop("_cv", "_co", "_nx").join(carry, on=[*keys, chunk], how="left")
-    return (out.withColumn(name, F.coalesce(F.col(f"{name}_in"), F.col(f"{name}_carry")))
-            .drop(f"{name}_in", f"{name}_carry"))
+    inner = df.withColumn("_nx", F.lead(_q(seq)).over(w))
+    carry_cols = []
+    for i, (name, value, when) in enumerate(specs):
+        order = F.when(when, _q(seq))
+        inner = (inner.withColumn(f"{name}_in", F.max_by(value, order).over(w_in))
+                 .withColumn(f"_cv{i}", F.max_by(value, order).over(w_all))
+                 .withColumn(f"_co{i}", F.max(order).over(w_all)))
+        carry_cols.append(F.max_by(f"_cv{i}", f"_co{i}").over(w_carry).alias(f"{name}_carry"))
+    carry = inner.where(F.col("_nx").isNull()).select(*keys, chunk, *carry_cols)
+    drop = ["_nx", *[f"_cv{i}" for i in range(len(specs))], *[f"_co{i}" for i in range(len(specs))]]
+    out = inner.drop(*drop).join(carry, on=[*keys, chunk], how="left")
+    for name, _, _ in specs:
+        out = (out.withColumn(name, F.coalesce(F.col(f"{name}_in"), F.col(f"{name}_carry")))
+               .drop(f"{name}_in", f"{name}_carry"))
+    return out
 
 
-def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op",
-                     seq: str = "seq", ctx: AuditContext = AuditContext(),
-                     fill_column: str | None = None, chunk_width: int = 1 << 20,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                     materialize: bool = True) -> DataFrame:
-    """Per change (non-NULL key): state before it and the image after it.
-
-    Columns: keys, ``_seq``, ``_op``, ``_exists_before``, ``_before``
-    (struct image before, when it existed), ``_exists_after``, ``_after``
-    (struct image after). The table's own row of each changed key is
-    included with op ``T`` and the smallest seq.
-
-    With ``materialize`` the per-change input and the first pass are
-    written once to the shared checkpoint folder, so each is computed once
-    although both scan levels read them.
-    """
-    keys = _keys(keys)
+def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op: str,
+                   seq: str, ctx: AuditContext, fill_column: str | None, chunk_width: int,
+                   max_broadcast_rows: int, materialize: bool) -> DataFrame:
+    """One row per change (and the table's own row of each changed key, op
+    ``T``, smallest seq): ``_exists_before``, ``_prev_nd`` (seq of the last
+    earlier non-delete change), ``_exists_after`` and ``_after`` (image
+    after the change)."""
     cols = target.columns
     _check_schema(target, changes, extra=[op, seq])
     ch = (changes.where(~_any_null(keys))
@@ -322,9 +316,12 @@ def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "
     if materialize:
         allc = cut_lineage(allc, "changes-input")
 
-    # pass 1: state before each change, from the last earlier anchor
+    # which earlier rows matter depends on ops only: the last anchor (I/M/D or
+    # the table row) decides existence; the last non-delete gives the image
     anchor = F.col("_op").isin(OP_INSERT, OP_MERGE, OP_DELETE, _OP_TARGET)
-    allc = _scan_last_before(allc, keys, "_seq", "_chunk", F.col("_op"), anchor, "_prev_anchor")
+    allc = _scan_last_before(allc, keys, "_seq", "_chunk", [
+        ("_prev_anchor", F.col("_op"), anchor),
+        ("_prev_nd", F.col("_seq"), F.col("_op") != OP_DELETE)])
     exists_before = F.coalesce(F.col("_prev_anchor").isin(OP_INSERT, OP_MERGE, _OP_TARGET),
                                F.lit(False))
     allc = allc.withColumn("_exists_before", exists_before)
@@ -339,17 +336,47 @@ def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "
             v = F.when(inserts_row, F.coalesce(v, ctx.ip_col().cast(target.schema[c].dataType))
                        ).otherwise(v)
         after_cols.append(v.alias(c))
-    allc = allc.withColumn("_after", F.struct(*after_cols))
-    allc = allc.withColumn("_exists_after", F.when(F.col("_op") == OP_DELETE, F.lit(False))
-                           .when(F.col("_op") == OP_UPDATE, F.col("_exists_before"))
-                           .otherwise(F.lit(True)))
+    st = allc.select(*keys, "_seq", "_op", "_chunk", "_exists_before", "_prev_nd",
+                     F.when(F.col("_op") == OP_DELETE, F.lit(False))
+                     .when(F.col("_op") == OP_UPDATE, F.col("_exists_before"))
+                     .otherwise(F.lit(True)).alias("_exists_after"),
+                     F.struct(*after_cols).alias("_after"))
     if materialize:
-        allc = cut_lineage(allc.drop(*[c for c in cols if c not in keys]), "changes-pass1")
-    # pass 2: image before = image after the last earlier non-delete change
-    allc = _scan_last_before(allc, keys, "_seq", "_chunk", F.col("_after"),
-                             F.col("_op") != OP_DELETE, "_before")
-    return allc.select(*keys, "_seq", "_op", "_chunk", "_exists_before", "_before",
-                       "_exists_after", "_after")
+        st = cut_lineage(st, "changes-state")
+    return st
+
+
+def _with_before(rows: DataFrame, states: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach ``_before``: the image after the change at ``_prev_nd`` (an
+    equi-join on ``(key, seq)``; seqs differ, so a hot key still spreads
+    over partitions)."""
+    img = (states.where(F.col("_op") != OP_DELETE)
+           .select(*keys, F.col("_seq").alias("_prev_nd"), F.col("_after").alias("_img")))
+    j = rows.join(img, on=[*keys, "_prev_nd"], how="left")
+    return j.withColumn("_before", F.when(F.col("_exists_before"), F.col("_img"))).drop("_img")
+
+
+def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op",
+                     seq: str = "seq", ctx: AuditContext = AuditContext(),
+                     fill_column: str | None = None, chunk_width: int = 1 << 20,
+                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                     materialize: bool = True) -> DataFrame:
+    """Per change (non-NULL key): state before it and the image after it.
+
+    Columns: keys, ``_seq``, ``_op``, ``_exists_before``, ``_before``
+    (struct image before, when it existed), ``_exists_after``, ``_after``
+    (struct image after). The table's own row of each changed key is
+    included with op ``T`` and the smallest seq.
+
+    With ``materialize`` the per-change input and the states are written
+    once to the shared checkpoint folder.
+    """
+    keys = _keys(keys)
+    st = _change_states(target, changes, keys, op=op, seq=seq, ctx=ctx, fill_column=fill_column,
+                        chunk_width=chunk_width, max_broadcast_rows=max_broadcast_rows,
+                        materialize=materialize)
+    return _with_before(st, st, keys).select(*keys, "_seq", "_op", "_chunk", "_exists_before",
+                                             "_before", "_exists_after", "_after")
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op",
@@ -367,32 +394,32 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op"
     ``fill_column`` filled from ``ctx.log_ip`` when NULL. Changes with a
     NULL key never match: I/M insert them, U/D do nothing.
 
-    The annotated change set is checkpointed once (reliable checkpoint in
-    the shared folder) and projected twice.
+    The per-change states are written once to the shared checkpoint folder
+    (``checkpoint=True``) and read by both outputs: the final state is a
+    ``groupBy`` over them, the history an equi-join of them with the images
+    of the earlier changes.
     """
     keys = _keys(keys)
     cols = target.columns
-    ann = annotate_changes(target, changes, keys, op=op, seq=seq, ctx=ctx,
-                           fill_column=fill_column, chunk_width=chunk_width,
-                           max_broadcast_rows=max_broadcast_rows)
-    if checkpoint:
-        ann = cut_lineage(ann, "changes-annotated")
-
-    hist_rows = ann.where(F.col("_op").isin(OP_UPDATE, OP_DELETE, OP_MERGE)
-                          & F.col("_exists_before"))
-    history = hist_rows.select(
+    st = _change_states(target, changes, keys, op=op, seq=seq, ctx=ctx, fill_column=fill_column,
+                        chunk_width=chunk_width, max_broadcast_rows=max_broadcast_rows,
+                        materialize=checkpoint)
+
+    hist_rows = st.where(F.col("_op").isin(OP_UPDATE, OP_DELETE, OP_MERGE)
+                         & F.col("_exists_before"))
+    history = _with_before(hist_rows, st, keys).select(
         ctx.ts_col().alias("log_date"), ctx.ip_col().alias("log_ip"),
         ctx.host_col().alias("host"),
         F.when(F.col("_op") == OP_DELETE, F.lit(HISTORY_DELETE))
         .otherwise(F.lit(HISTORY_UPDATE)).alias("type"),
         *[F.col("_before").getField(c).alias(c) for c in cols])
 
-    final = (ann.groupBy(*keys)
+    final = (st.groupBy(*keys)
              .agg(F.max_by(F.struct("_exists_after", "_after"), F.col("_seq")).alias("_f"))
              .where(F.col("_f._exists_after"))
              .select(*[F.col("_f._after").getField(c).alias(c) for c in cols]))
 
-    changed = ann.select(*keys).distinct()
+    changed = st.select(*keys).distinct()
     small = _small_or_none(changed, max_broadcast_rows)
     untouched = (target.join(small if small is not None else changed, on=keys, how="left_anti")
                  .select(*[_q(c) for c in cols]))
