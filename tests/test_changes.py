@@ -151,3 +151,48 @@ def test_column_order_kept(spark):
     assert chg.delete_by_key(t, ch, ["k"]).columns == ["v", "k"]
     assert chg.audit_delete(t, ch, ["k"], CTX).columns[4:] == ["v", "k"]
     assert chg.merge_upsert(t, ch.drop("op"), ["k"], seq="seq").columns == ["v", "k"]
+
+
+def _brute_force(target, changes):
+    """Sequential reference: apply change rows one by one in seq order."""
+    table = {k: v for k, v in target}
+    history = []
+    for seq, k, op, v in sorted(changes):
+        exists = k in table
+        if op == "I":
+            assert not exists
+            table[k] = v
+        elif op == "M":
+            if exists:
+                history.append(("U", k, table[k]))
+            table[k] = v
+        elif op == "U" and exists:
+            history.append(("U", k, table[k]))
+            table[k] = v
+        elif op == "D" and exists:
+            history.append(("D", k, table[k]))
+            del table[k]
+    return sorted(table.items()), sorted(history)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_feed_with_hot_key_matches_brute_force(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    target = [(k, f"t{k}") for k in range(0, 20, 2)]
+    changes, present = [], {k for k, _ in target}
+    for seq in range(400):
+        k = 7 if rnd.random() < 0.4 else rnd.randrange(0, 25)   # key 7 holds ~40% of changes
+        ops = ["U", "D", "M"] + ([] if k in present else ["I"])
+        op = rnd.choice(ops)
+        if op in ("I", "M"):
+            present.add(k)
+        elif op == "D":
+            present.discard(k)
+        changes.append((seq, k, op, f"v{seq}"))
+    want_base, want_hist = _brute_force(target, changes)
+    t = spark.createDataFrame(target, "k long, v string")
+    ch = spark.createDataFrame(changes, "seq long, k long, op string, v string").select("seq", "op", "k", "v")
+    r = chg.apply_changes(t, ch, ["k"], ctx=CTX, chunk_width=16)
+    assert sorted(tuple(x) for x in r.base.collect()) == want_base
+    assert sorted((x.type, x.k, x.v) for x in r.history.collect()) == want_hist

@@ -292,7 +292,8 @@ def _scan_last_before(df: DataFrame, keys: list[str], seq: str, chunk: str,
 
 def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op: str,
                    seq: str, ctx: AuditContext, fill_column: str | None, chunk_width: int,
-                   max_broadcast_rows: int, materialize: bool) -> DataFrame:
+                   max_broadcast_rows: int, materialize: bool,
+                   _keys_out: list | None = None) -> DataFrame:
     """One row per change (and the table's own row of each changed key, op
     ``T``, smallest seq): ``_exists_before``, ``_prev_nd`` (seq of the last
     earlier non-delete change), ``_exists_after`` and ``_after`` (image
@@ -308,6 +309,8 @@ def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op
         .otherwise(F.col("_op")))
     changed = ch.select(*keys).distinct()
     small = _small_or_none(changed, max_broadcast_rows)
+    if _keys_out is not None:
+        _keys_out.append(small if small is not None else changed)
     own = target.join(small if small is not None else changed, on=keys, how="left_semi")
     own = own.select(F.lit(_TARGET_SEQ).cast("long").alias("_seq"),
                      F.lit(_OP_TARGET).alias("_op"), *[_q(c) for c in cols])
@@ -401,9 +404,10 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op"
     """
     keys = _keys(keys)
     cols = target.columns
+    changed_keys: list = []
     st = _change_states(target, changes, keys, op=op, seq=seq, ctx=ctx, fill_column=fill_column,
                         chunk_width=chunk_width, max_broadcast_rows=max_broadcast_rows,
-                        materialize=checkpoint)
+                        materialize=checkpoint, _keys_out=changed_keys)
 
     hist_rows = st.where(F.col("_op").isin(OP_UPDATE, OP_DELETE, OP_MERGE)
                          & F.col("_exists_before"))
@@ -419,9 +423,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op"
              .where(F.col("_f._exists_after"))
              .select(*[F.col("_f._after").getField(c).alias(c) for c in cols]))
 
-    changed = st.select(*keys).distinct()
-    small = _small_or_none(changed, max_broadcast_rows)
-    untouched = (target.join(small if small is not None else changed, on=keys, how="left_anti")
+    untouched = (target.join(changed_keys[0], on=keys, how="left_anti")
                  .select(*[_q(c) for c in cols]))
 
     null_key = changes.where(_any_null(keys) & _q(op).isin(OP_INSERT, OP_MERGE))
