@@ -72,9 +72,9 @@ _STREAM_CTX = AuditContext(log_ts="2026-01-02 00:00:00", log_ip="10.0.0.2", host
 _STREAM_BATCHES = 4
 
 
-def _run_audit_stream(spark, sf_dir) -> tuple[AuditStreamJob, object]:
+def _stage_feed(spark, sf_dir):
     """Stage ``events`` as an ordered change feed of 4 files (op M, key
-    user_id, seq event_id), stream it with one file per trigger."""
+    user_id, seq event_id); return the stream (one file per trigger)."""
     events = read_table(spark, sf_dir, "events")
     run = scratch_path(spark, f"audit-stream-{uuid.uuid4().hex}")
     feed_root = f"{run}/feed"
@@ -87,6 +87,12 @@ def _run_audit_stream(spark, sf_dir) -> tuple[AuditStreamJob, object]:
         part.coalesce(1).write.mode("overwrite").parquet(f"{feed_root}/{b:05d}")
     stream = (spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(feed_root))
+    return events, stream, run
+
+
+def _run_audit_stream(spark, sf_dir) -> tuple[AuditStreamJob, object]:
+    """B10 with the versioned table sink (foreachBatch)."""
+    events, stream, run = _stage_feed(spark, sf_dir)
     job = AuditStreamJob(table_root=f"{run}/table", history_root=f"{run}/history",
                          keys=["user_id"], schema=events.schema, ctx=_STREAM_CTX)
     q = job.start(stream, checkpoint_location=f"{run}/checkpoint")
@@ -116,6 +122,41 @@ def audit_stream_history(spark, sf_dir):
                                      *read_table(spark, sf_dir, "events").columns)
 
 
+def _run_keyed_stream(spark, sf_dir):
+    """B10 keyed form: per-key state store, append-only output log."""
+    from ..streaming.keyed_state import keyed_audit_stream
+    events, stream, run = _stage_feed(spark, sf_dir)
+    log = keyed_audit_stream(stream, ["user_id"], events.schema)
+    q = (log.writeStream.format("parquet").option("path", f"{run}/log")
+         .option("checkpointLocation", f"{run}/log-checkpoint").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return events, spark.read.parquet(f"{run}/log")
+
+
+@register("audit_stream_keyed", """
+SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
+""")
+def audit_stream_keyed(spark, sf_dir):
+    from ..streaming.keyed_state import current_table
+    events, log = _run_keyed_stream(spark, sf_dir)
+    return current_table(log, ["user_id"], events.schema)
+
+
+@register("audit_stream_keyed_history", """
+SELECT CAST(TIMESTAMP '2026-01-02 00:00:00' AS TIMESTAMP) AS log_date, '10.0.0.2' AS log_ip,
+       'stream-01' AS host, 'U' AS type, p.event_id, p.ts, p.user_id, p.event_type, p.value, p.props
+FROM (SELECT *, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS next_id FROM events) p
+WHERE p.next_id IS NOT NULL
+""")
+def audit_stream_keyed_history(spark, sf_dir):
+    from ..streaming.keyed_state import history_rows
+    events, log = _run_keyed_stream(spark, sf_dir)
+    return history_rows(log, events.schema, _STREAM_CTX)
+
+
 # ------------------------------------------------------------------ F4-F13
 
 @register("split_trim", """

@@ -1,0 +1,130 @@
+"""B10, keyed form: audit history from per-key streaming state.
+
+``groupBy(keys).applyInPandasWithState`` keeps, per key, whether the row
+exists and its current image in Spark's state store (partitioned by key
+hash across the cluster, checkpointed with the query). Each micro-batch's
+changes of a key are applied in ``seq`` order by a small pandas helper; the
+operator emits, append-only:
+
+* ``kind = 'H'`` history rows (old image, type U or D) for effective
+  updates and deletes, and
+* ``kind = 'S'`` the key's image after the batch (``exists`` false after a
+  delete).
+
+No table is rewritten per batch: the current table is the latest ``S`` row
+per key of the output log (``current_table``), a ``max_by`` aggregation.
+A key's rows in one micro-batch are bounded by the batch size
+(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.changes import (AuditContext, HISTORY_DELETE, HISTORY_UPDATE, OP_DELETE,
+                                 OP_INSERT, OP_MERGE, OP_UPDATE)
+
+
+def _apply_key_changes(rows: pd.DataFrame, exists: bool, image: dict | None,
+                       cols: list[str], op: str, seq: str):
+    """Sequential semantics of one key's changes (sorted by seq). Returns
+    (history list of (type, image, seq), exists, image, last_seq)."""
+    history = []
+    last_seq = None
+    for rec in rows.sort_values(seq).to_dict("records"):
+        o = rec[op]
+        new = {c: rec[c] for c in cols}
+        last_seq = rec[seq]
+        if o == OP_INSERT:
+            if exists:
+                raise ValueError("insert of a key that already exists")
+            exists, image = True, new
+        elif o == OP_MERGE:
+            if exists:
+                history.append((HISTORY_UPDATE, image, rec[seq]))
+            exists, image = True, new
+        elif o == OP_UPDATE:
+            if exists:
+                history.append((HISTORY_UPDATE, image, rec[seq]))
+                image = new
+        elif o == OP_DELETE:
+            if exists:
+                history.append((HISTORY_DELETE, image, rec[seq]))
+                exists, image = False, None
+        else:
+            raise ValueError(f"unknown change op: {o!r}")
+    return history, exists, image, last_seq
+
+
+def _py(v):
+    """pandas/numpy cell -> plain Python value (NULLs as None)."""
+    if v is None or v is pd.NaT:
+        return None
+    if isinstance(v, pd.Timestamp):
+        return v.to_pydatetime()
+    if isinstance(v, float) and v != v:
+        return None
+    return v.item() if hasattr(v, "item") else v
+
+
+def keyed_audit_stream(changes: DataFrame, keys: list[str], schema: T.StructType, *,
+                       op: str = "op", seq: str = "seq") -> DataFrame:
+    """Streaming (or batch) DataFrame of ``kind, type, seq, exists, <schema cols>``.
+
+    The state per key is ``(exists, <image columns>)`` with the table's own
+    types. NULL keys never match, so they are not keyed here.
+    """
+    cols = schema.fieldNames()
+    out_schema = T.StructType([T.StructField("kind", T.StringType()),
+                               T.StructField("type", T.StringType()),
+                               T.StructField("seq", T.LongType()),
+                               T.StructField("exists", T.BooleanType()),
+                               *schema.fields])
+    state_schema = T.StructType([T.StructField("_exists", T.BooleanType()), *schema.fields])
+
+    def fn(key, pdfs: Iterator[pd.DataFrame], state):
+        if state.exists:
+            st = state.get
+            ex, image = bool(st[0]), ({c: st[i + 1] for i, c in enumerate(cols)} if st[0] else None)
+        else:
+            ex, image = False, None
+        parts = list(pdfs)
+        rows = pd.concat(parts) if parts else pd.DataFrame(columns=[op, seq, *cols])
+        rows = rows.astype(object).where(rows.notna(), None)
+        history, ex, image, last_seq = _apply_key_changes(rows, ex, image, cols, op, seq)
+        out = []
+        for typ, img, s in history:
+            out.append({"kind": "H", "type": typ, "seq": int(s), "exists": True,
+                        **{c: _py(img[c]) for c in cols}})
+        if last_seq is not None:
+            img = image if image is not None else dict(zip(keys, key))
+            out.append({"kind": "S", "type": None, "seq": int(last_seq), "exists": ex,
+                        **{c: _py(img.get(c)) for c in cols}})
+        state.update((ex, *[_py(image[c]) if image is not None else None for c in cols]))
+        yield pd.DataFrame(out, columns=out_schema.fieldNames())
+
+    keyed = changes.where(~reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+    return (keyed.select(op, seq, *cols).groupBy(*keys)
+            .applyInPandasWithState(fn, out_schema, state_schema, "append", "NoTimeout"))
+
+
+def current_table(log: DataFrame, keys: list[str], schema: T.StructType) -> DataFrame:
+    """Latest ``S`` image per key that still exists (partial ``max_by``)."""
+    cols = schema.fieldNames()
+    latest = (log.where(F.col("kind") == "S").groupBy(*keys)
+              .agg(F.max_by(F.struct("exists", *[c for c in cols if c not in keys]), "seq").alias("_l")))
+    return latest.where(F.col("_l.exists")).select(
+        *[F.col(c) if c in keys else F.col(f"_l.{c}").alias(c) for c in cols])
+
+
+def history_rows(log: DataFrame, schema: T.StructType, ctx: AuditContext = AuditContext()) -> DataFrame:
+    """History table rows (audit columns first) from the output log."""
+    return log.where(F.col("kind") == "H").select(
+        ctx.ts_col().alias("log_date"), ctx.ip_col().alias("log_ip"), ctx.host_col().alias("host"),
+        F.col("type"), *schema.fieldNames())
