@@ -256,7 +256,8 @@ def audit_update(target: DataFrame, updates: DataFrame, keys, ctx: AuditContext
 # ----------------------------------------------------------------------- B9
 
 def _scan_last_before(df: DataFrame, keys: list[str], seq: str, chunk: str,
-                      specs: list[tuple[str, Column, Column]]) -> DataFrame:
+                      specs: list[tuple[str, Column, Column]], multi_chunk: bool = True
+                      ) -> DataFrame:
     """For each ``(name, value, when)`` add column ``name``: ``value`` of the
     last earlier row (by ``seq``, same key) where ``when`` holds, or NULL.
 
@@ -266,11 +267,18 @@ def _scan_last_before(df: DataFrame, keys: list[str], seq: str, chunk: str,
     chunks of the key is the carry. Level (1) and the chunk results are one
     Window operator over one shuffle; only one summary row per ``(key,
     chunk)`` is shuffled again, by key. Values should be small (ops, seqs).
+    When no key spans several chunks (``multi_chunk=False``) level (2) is
+    skipped.
     """
     part = [*[_q(k) for k in keys], _q(chunk)]
     w = Window.partitionBy(*part).orderBy(_q(seq))
     w_in = w.rowsBetween(Window.unboundedPreceding, -1)
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    if not multi_chunk:
+        out = df
+        for name, value, when in specs:
+            out = out.withColumn(name, F.max_by(value, F.when(when, _q(seq))).over(w_in))
+        return out
     w_carry = (Window.partitionBy(*[_q(k) for k in keys]).orderBy(_q(chunk))
                .rowsBetween(Window.unboundedPreceding, -1))
     inner = df.withColumn("_nx", F.lead(_q(seq)).over(w))
@@ -307,15 +315,22 @@ def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op
     ch = ch.withColumn("_op", F.when(bad_op, F.raise_error(F.concat(
         F.lit("unknown change op: "), F.coalesce(F.col("_op"), F.lit("NULL")))))
         .otherwise(F.col("_op")))
-    changed = ch.select(*keys).distinct()
-    small = _small_or_none(changed, max_broadcast_rows)
+    ch = ch.withColumn("_chunk", F.floor(F.col("_seq") / F.lit(chunk_width)).cast("long"))
+    # one row per changed key with its first and last seq chunk; one job
+    # gives its size (broadcast decision) and whether any key spans chunks
+    span = ch.groupBy(*keys).agg(F.min("_chunk").alias("_c0"), F.max("_chunk").alias("_c1"))
+    stats = span.agg(F.count(F.lit(1)).alias("n"),
+                     F.max((F.col("_c0") != F.col("_c1")).cast("int")).alias("multi")).first()
+    multi_chunk = bool(stats["multi"])
+    span_b = F.broadcast(span) if stats["n"] <= max_broadcast_rows else span
     if _keys_out is not None:
-        _keys_out.append(small if small is not None else changed)
-    own = target.join(small if small is not None else changed, on=keys, how="left_semi")
+        _keys_out.append(span_b.select(*keys))
+    # the table's own row goes first in its key's first chunk
+    own = target.join(span_b.select(*keys, "_c0"), on=keys, how="inner")
     own = own.select(F.lit(_TARGET_SEQ).cast("long").alias("_seq"),
-                     F.lit(_OP_TARGET).alias("_op"), *[_q(c) for c in cols])
-    allc = own.unionByName(ch).withColumn(
-        "_chunk", F.floor(F.col("_seq") / F.lit(chunk_width)).cast("long"))
+                     F.lit(_OP_TARGET).alias("_op"), *[_q(c) for c in cols],
+                     F.col("_c0").alias("_chunk"))
+    allc = own.unionByName(ch)
     if materialize:
         allc = cut_lineage(allc, "changes-input")
 
@@ -324,7 +339,7 @@ def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op
     anchor = F.col("_op").isin(OP_INSERT, OP_MERGE, OP_DELETE, _OP_TARGET)
     allc = _scan_last_before(allc, keys, "_seq", "_chunk", [
         ("_prev_anchor", F.col("_op"), anchor),
-        ("_prev_nd", F.col("_seq"), F.col("_op") != OP_DELETE)])
+        ("_prev_nd", F.col("_seq"), F.col("_op") != OP_DELETE)], multi_chunk=multi_chunk)
     exists_before = F.coalesce(F.col("_prev_anchor").isin(OP_INSERT, OP_MERGE, _OP_TARGET),
                                F.lit(False))
     allc = allc.withColumn("_exists_before", exists_before)
