@@ -160,7 +160,7 @@ def audit_stream_keyed_history(spark, sf_dir):
 # ------------------------------------------------------------------ F4-F13
 
 @register("split_trim", """
-SELECT doc_id, len(items) AS n_items, items[1] AS first_item, items[len(items)] AS last_item
+SELECT doc_id, CAST(len(items) AS INTEGER) AS n_items, items[1] AS first_item, items[len(items)] AS last_item
 FROM (SELECT doc_id, list_transform(string_split(text, ','), lambda x: trim(x)) AS items FROM documents)
 """)
 def split_trim(spark, sf_dir):
@@ -208,7 +208,7 @@ def text_keys(spark, sf_dir):
 
 
 @register("zip_minus", """
-SELECT p_partkey, least(len(a), len(b)) AS n_pairs, a[1] || '/' || b[1] AS first_pair,
+SELECT p_partkey, CAST(least(len(a), len(b)) AS INTEGER) AS n_pairs, a[1] || '/' || b[1] AS first_pair,
        array_to_string(list_filter(a, lambda x, i: NOT list_contains(b, x) AND list_position(a, x) = i), ',') AS minus
 FROM (SELECT p_partkey, string_split(p_name, ' ') AS a, string_split(p_type || ' ring', ' ') AS b FROM part)
 """)
