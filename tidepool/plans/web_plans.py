@@ -185,6 +185,17 @@ def request_path(spark, sf_dir):
     return p.select("page_id", urls.request_path(F.col("url")).alias("request_path"))
 
 
+@register("request_path_legacy", f"""
+SELECT page_id, CASE WHEN {_PATH_SQL} = '/' THEN '/' ELSE rtrim({_PATH_SQL}, '/') END
+       || coalesce('?' || nullif(regexp_extract(url, '\\?([^#]*)', 1), ''), '') AS request_path
+FROM pages
+""")
+def request_path_legacy(spark, sf_dir):
+    p = _pages(spark, sf_dir, "page_id", "url")
+    return p.select("page_id", urls.request_path(F.col("url"), keep_trailing_slash=False)
+                    .alias("request_path"))
+
+
 @register("title_slug", """
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_pos,
        printf('%03d.%s', i, regexp_replace(lines[i], '[^ㄱ-ㅎ가-힣0-9a-zA-Z.\\-~ ]', '', 'g')) AS slug
