@@ -323,3 +323,66 @@ def param_batch_delete_counts(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders")
     _, counts = chg.param_batch_update(orders, _params(orders), KEY, delete=True)
     return counts
+
+
+# --------------------------------------------------------- hot key (skew)
+
+HOT_CHUNK_WIDTH = 4096
+
+
+def hot_key_feed(orders):
+    """Every order yields one change; every third one goes to key 0, so one
+    key holds a third of all changes (ops cycle U, M, D), spread over many
+    seq chunks of ``HOT_CHUNK_WIDTH``."""
+    k = F.col("o_orderkey")
+    hot = k % 3 == 0
+    op = F.when(hot, F.element_at(F.array(F.lit("U"), F.lit("M"), F.lit("D")),
+                                  (F.floor(k / 3) % 3 + 1).cast("int"))).otherwise(F.lit("U"))
+    return orders.select(
+        k.alias("seq"), op.alias("op"), F.when(hot, F.lit(0).cast("long")).otherwise(k).alias("o_orderkey"),
+        "o_custkey", F.concat(F.lit("h"), (k % 7).cast("string")).alias("o_orderstatus"),
+        "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+_HOT_CH = """
+ch AS (
+  SELECT o_orderkey AS seq,
+         CASE WHEN o_orderkey % 3 = 0 THEN ['U', 'M', 'D'][CAST(floor(o_orderkey / 3) % 3 AS INTEGER) + 1]
+              ELSE 'U' END AS op,
+         CASE WHEN o_orderkey % 3 = 0 THEN CAST(0 AS BIGINT) ELSE o_orderkey END AS o_orderkey,
+         o_custkey, 'h' || CAST(o_orderkey % 7 AS VARCHAR) AS o_orderstatus, o_totalprice,
+         o_orderdate, o_orderpriority
+    FROM orders
+),"""
+_HOT_FEED_SQL = _HOT_CH + _FEED_SQL[_FEED_SQL.index("\nnn AS"):]
+
+
+@register("apply_changes_hot_key_base", "WITH " + _HOT_FEED_SQL + """,
+fin AS (SELECT * FROM s3 QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) = 1)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, a_prio AS o_orderpriority
+  FROM fin WHERE exists_after
+UNION ALL
+SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM nn)
+""")
+def apply_changes_hot_key_base(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders")
+    return chg.apply_changes(orders, hot_key_feed(orders), KEY, ctx=CTX,
+                             fill_column="o_orderpriority", chunk_width=HOT_CHUNK_WIDTH).base
+
+
+@register("apply_changes_hot_key_history", "WITH " + _HOT_FEED_SQL + """,
+s4 AS (SELECT *, last_value(CASE WHEN op <> 'D' THEN seq END IGNORE NULLS)
+                   OVER (PARTITION BY o_orderkey ORDER BY seq
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_nd
+         FROM s3)
+SELECT CAST(TIMESTAMP '2026-01-01 00:00:00' AS TIMESTAMP) AS log_date, '10.0.0.1' AS log_ip,
+       'batch-01' AS host, CASE WHEN c.op = 'D' THEN 'D' ELSE 'U' END AS type,
+       p.o_orderkey, p.o_custkey, p.o_orderstatus, p.o_totalprice, p.o_orderdate,
+       p.a_prio AS o_orderpriority
+  FROM s4 c JOIN s3 p ON p.o_orderkey = c.o_orderkey AND p.seq = c.prev_nd
+ WHERE c.op IN ('U', 'D', 'M') AND c.exists_before
+""")
+def apply_changes_hot_key_history(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders")
+    return chg.apply_changes(orders, hot_key_feed(orders), KEY, ctx=CTX,
+                             fill_column="o_orderpriority", chunk_width=HOT_CHUNK_WIDTH).history
