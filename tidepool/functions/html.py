@@ -113,27 +113,32 @@ def _matcher(simple: str):
     return ok
 
 
-def select_all(scope: Node, selector: str) -> list[Node]:
-    """Descendants of ``scope`` matching ``selector``, in document order."""
+def iter_select(scope: Node, selector: str):
+    """Descendants of ``scope`` matching ``selector``, lazily, in document order."""
     if "+" in selector:
-        left, right = (s.strip() for s in selector.split("+", 1))
+        left, right = (x.strip() for x in selector.split("+", 1))
         lm, rm = _matcher(left), _matcher(right)
-        out = []
         for n in scope.iter_descendants():
             if lm(n) and n.parent is not None:
                 sibs = n.parent.elements()
-                i = sibs.index(n)
+                i = next(j for j, x in enumerate(sibs) if x is n)
                 if i + 1 < len(sibs) and rm(sibs[i + 1]):
-                    out.append(sibs[i + 1])
-        return out
+                    yield sibs[i + 1]
+        return
     m = _matcher(selector)
-    return [n for n in scope.iter_descendants() if m(n)]
+    for n in scope.iter_descendants():
+        if m(n):
+            yield n
+
+
+def select_all(scope: Node, selector: str) -> list[Node]:
+    """Descendants of ``scope`` matching ``selector``, in document order."""
+    return list(iter_select(scope, selector))
 
 
 def select_first(scope: Node, selector: str) -> Node | None:
-    for n in select_all(scope, selector):
-        return n
-    return None
+    """First match; the walk stops there."""
+    return next(iter_select(scope, selector), None)
 
 
 @dataclass(frozen=True)
