@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.raster import WHITE_ARGB
+from ..session import ship_package
 
 # Fixed values of the crop job: tolerance of "differs from white", the
 # margin ratio and the name characters (4th) that select it.
@@ -150,6 +151,7 @@ def image_rows_to_pixels(images: DataFrame) -> DataFrame:
                                            "argb": a.ravel().astype(np.uint32).view(np.int32)}))
             yield pd.concat(parts) if parts else pd.DataFrame(columns=schema.fieldNames())
 
+    ship_package(images.sparkSession)
     return images.select("origin", "height", "width", "nChannels", "data").mapInPandas(run, schema)
 
 
@@ -189,4 +191,5 @@ def crop_image_rows(images: DataFrame, tolerance: float = DEFAULT_TOLERANCE) ->
                 out.append((row["origin"], w, h, *box, img.shape[1], img.shape[0], flat.tolist()))
             yield pd.DataFrame(out, columns=schema.fieldNames())
 
+    ship_package(images.sparkSession)
     return images.select("origin", "height", "width", "nChannels", "data").mapInPandas(run, schema)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions import html as H
 from ..functions.text import contains_ci
 from ..functions.urls import pager_label, resolve_url
+from ..session import ship_package
 
 # Fixed values of the reference's extractors (selectors and filters).
 RULE_LINKS = H.Rule(scope=(("#vContent",),), items="a")                       # W1
@@ -47,6 +48,7 @@ def extract_items(pages: DataFrame, rule: H.Rule, fields: Sequence[str] = ("text
     (so "attribute exists" is ``isNotNull``). Names with ``-`` become ``_``.
     """
     id_cols = list(id_cols)
+    ship_package(pages.sparkSession)
     src = pages.select(*id_cols, F.col(html_col).alias("_html"))
     id_fields = [src.schema[c] for c in id_cols]
     out_fields = [*id_fields, T.StructField("pos", T.IntegerType(), False),
@@ -71,6 +73,7 @@ def extract_zipped(pages: DataFrame, lists: dict[str, tuple[H.Rule, str]],
     """Several item lists per page, zipped by position and cut to the
     shortest: ``id_cols, pos, <one column per list>``. One parse per page."""
     id_cols = list(id_cols)
+    ship_package(pages.sparkSession)
     src = pages.select(*id_cols, F.col(html_col).alias("_html"))
     names = list(lists)
     schema = T.StructType([*[src.schema[c] for c in id_cols],
@@ -151,6 +154,7 @@ def extract_by_site(pages: DataFrame, site_col: str, rules: dict[str, H.Rule],
     """The extractor is chosen per row by its site; an unknown site
     fails the job. The rules map is small and fixed by the caller."""
     id_cols = list(id_cols)
+    ship_package(pages.sparkSession)
     src = pages.select(*id_cols, F.col(site_col).alias("_site"), F.col(html_col).alias("_html"))
     schema = T.StructType([*[src.schema[c] for c in id_cols],
                            T.StructField("site", T.StringType(), True),

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,3 +80,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidepool`` importable in Python workers (executors): zip the
+    package once per application and ``addPyFile`` it, as ``--py-files``
+    would. Called by every operator that runs Python tasks."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        base = os.path.dirname(pkg)
+        out = os.path.join(tempfile.mkdtemp(prefix="tidepool-pyfiles-"), "tidepool.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for root, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        z.write(full, os.path.relpath(full, base))
+        sc.addPyFile(out)
+        _SHIPPED.add(app)

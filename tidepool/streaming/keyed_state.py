@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from ..operators.changes import (AuditContext, HISTORY_DELETE, HISTORY_UPDATE, OP_DELETE,
                                  OP_INSERT, OP_MERGE, OP_UPDATE)
 
@@ -109,6 +110,7 @@ def keyed_audit_stream(changes: DataFrame, keys: list[str], schema: T.StructType
         state.update((ex, *[_py(image[c]) if image is not None else None for c in cols]))
         yield pd.DataFrame(out, columns=out_schema.fieldNames())
 
+    ship_package(changes.sparkSession)
     keyed = changes.where(~reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
     return (keyed.select(op, seq, *cols).groupBy(*keys)
             .applyInPandasWithState(fn, out_schema, state_schema, "append", "NoTimeout"))
