@@ -331,7 +331,8 @@ def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op
                      F.lit(_OP_TARGET).alias("_op"), *[_q(c) for c in cols],
                      F.col("_c0").alias("_chunk"))
     allc = own.unionByName(ch)
-    if materialize:
+    if materialize and multi_chunk:
+        # read twice (chunk windows and carry): compute it once
         allc = cut_lineage(allc, "changes-input")
 
     # which earlier rows matter depends on ops only: the last anchor (I/M/D or
@@ -386,8 +387,9 @@ def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "
     (struct image after). The table's own row of each changed key is
     included with op ``T`` and the smallest seq.
 
-    With ``materialize`` the per-change input and the states are written
-    once to the shared checkpoint folder.
+    With ``materialize`` the states (and, when some key spans several seq
+    chunks, the per-change input) are written once to the shared checkpoint
+    folder.
     """
     keys = _keys(keys)
     st = _change_states(target, changes, keys, op=op, seq=seq, ctx=ctx, fill_column=fill_column,
