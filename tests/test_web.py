@@ -135,3 +135,25 @@ def test_positional_index(spark):
     df = spark.createDataFrame([(1, t) for t in (5, 1, 9, 3, 100)] + [(2, 7)], "g int, t long")
     out = sorted((r.g, r.t, r.pos) for r in web.positional_index(df, ["g"], "t", chunk_width=4).collect())
     assert out == [(1, 1, 0), (1, 3, 1), (1, 5, 2), (1, 9, 3), (1, 100, 4), (2, 7, 0)]
+
+
+def test_python_workers_import_package_outside_repo(tmp_path):
+    """Python tasks must find the package on executors (shipped with
+    addPyFile), not rely on the driver's working directory."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from tidepool.functions import html as H
+from tidepool.operators import web
+s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+p = s.createDataFrame([(1, '<nav><a href="/x">X</a></nav>')], "page_id long, html string")
+print("ROWS", web.extract_items(p, H.Rule(scope=(("nav",),), items="a")).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True,
+                         text=True, timeout=300)
+    assert "ROWS 1" in out.stdout, out.stderr[-2000:]
