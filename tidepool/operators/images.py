@@ -93,13 +93,14 @@ def crop_image(pixels: DataFrame, sizes: DataFrame, image_col: str = "image_id",
     """White canvas of the new size with the box content placed at
     ``(margin_x, margin_y)`` (inclusive box edges). An image with no box is
     passed through. Output pixel table ``(image_id, x, y, argb)``."""
+    # canvas points: rows then columns (nested generators, arrays no longer
+    # than one side of the image)
     grid = sizes.select(
         image_col, "top_x", "top_y", "bottom_x", "bottom_y", "margin_x", "margin_y", "new_width",
-        F.explode(F.sequence(F.lit(0), F.col("new_width") * F.col("new_height") - 1)).alias("_i"))
+        F.explode(F.sequence(F.lit(0), F.col("new_height") - 1)).alias("y"))
     grid = grid.select(
-        image_col, "top_x", "top_y", "bottom_x", "bottom_y", "margin_x", "margin_y",
-        (F.col("_i") % F.col("new_width")).cast("int").alias("x"),
-        (F.col("_i") / F.col("new_width")).cast("int").alias("y"))
+        image_col, "top_x", "top_y", "bottom_x", "bottom_y", "margin_x", "margin_y", "y",
+        F.explode(F.sequence(F.lit(0), F.col("new_width") - 1)).alias("x"))
     sx = F.coalesce(F.col("x") - F.col("margin_x") + F.col("top_x"), F.col("x"))
     sy = F.coalesce(F.col("y") - F.col("margin_y") + F.col("top_y"), F.col("y"))
     inside = (F.col("top_x").isNull()
