@@ -73,6 +73,7 @@ def test_site_rules_unknown_site_fails(spark):
     ("http://h.com/a/b?x=1", "rel", "http://h.com/a/b/rel"),
     ("http://h.com:8080/a", "/r", "http://h.com:8080/r"),
     ("http://h.com", "rel", "http://h.com/rel"),
+    ("http://h.com/a", "httpfoo", "httpfoo"),
 ])
 def test_resolve_url(spark, base, target, expected):
     df = spark.createDataFrame([(base, target)], "base string, target string")
@@ -157,3 +158,9 @@ print("ROWS", web.extract_items(p, H.Rule(scope=(("nav",),), items="a")).count()
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True,
                          text=True, timeout=300)
     assert "ROWS 1" in out.stdout, out.stderr[-2000:]
+
+
+def test_unwrap_empty_url_item_keeps_jvm_split(spark):
+    df = spark.createDataFrame([("http://h/proxy?a=1&url=",), ("http://h/proxy?myurl=x%2Fy&url=z",)], "s string")
+    got = [r[0] for r in df.select(urls.unwrap_source_url("s")).collect()]
+    assert got == ["url", "x/y"]
