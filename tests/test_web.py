@@ -164,3 +164,19 @@ def test_unwrap_empty_url_item_keeps_jvm_split(spark):
     df = spark.createDataFrame([("http://h/proxy?a=1&url=",), ("http://h/proxy?myurl=x%2Fy&url=z",)], "s string")
     got = [r[0] for r in df.select(urls.unwrap_source_url("s")).collect()]
     assert got == ["url", "x/y"]
+
+
+def test_prefilter_keeps_results_exact(spark):
+    """The JVM-side container prefilter never drops a page the parser would
+    extract from (entity-encoded ids and upper-case tags included)."""
+    pages = _pages(spark,
+                   '<div id="vContent"><a href="/archives/1">a</a></div>',
+                   '<div id="v&#67;ontent"><a href="/archives/2">b</a></div>',
+                   '<p>no container</p><a href="/archives/3">c</a>',
+                   '<NAV><A HREF="/archives/4">d</A></NAV>')
+    got = sorted(r.href for r in web.extract_links(pages).collect())
+    assert got == ["/archives/1", "/archives/2"]
+    nav = H.Rule(scope=(("nav",),), items="a")
+    assert [r.href for r in web.extract_links(pages, nav, href_contains=None).collect()] == ["/archives/4"]
+    plan = web.extract_links(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert "vContent" in plan

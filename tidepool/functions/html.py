@@ -193,3 +193,39 @@ def extract(html: str | None, rule: Rule) -> list[dict]:
         d["text"] = n.text()
         out.append(d)
     return out
+
+
+_TOKEN = re.compile(r"^[A-Za-z0-9_-]+$")
+
+
+def _selector_token(selector: str) -> tuple[str, str] | None:
+    """``("attr", text)`` or ``("tag", name)`` that must appear in any page
+    where ``selector`` matches; None when no safe token exists."""
+    simple = selector.split("+", 1)[0].strip()
+    m = _SIMPLE.match(simple)
+    if not m:
+        return None
+    ids = re.findall(r"#([\w-]+)", m.group("rest"))
+    classes = re.findall(r"\.([\w-]+)", m.group("rest"))
+    tok = (ids or classes or [None])[0]
+    if tok is not None:
+        return ("attr", tok) if _TOKEN.match(tok) else None
+    tag = (m.group("tag") or "").lower()
+    return ("tag", tag) if tag and _TOKEN.match(tag) else None
+
+
+def required_tokens(rule: Rule) -> list[tuple[str, str]] | None:
+    """Tokens of which at least one must be in a page for ``rule`` to yield
+    items (the first scope step's alternatives, and the fallback's); None
+    when the rule has no scope or a selector gives no safe token."""
+    if not rule.scope:
+        return None
+    steps = [rule.scope[0]] + ([rule.fallback[0]] if rule.fallback else [])
+    out = []
+    for step in steps:
+        for alt in step:
+            t = _selector_token(alt)
+            if t is None:
+                return None
+            out.append(t)
+    return out

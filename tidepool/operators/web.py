@@ -40,6 +40,22 @@ def _field_name(attr: str) -> str:
     return attr.replace("-", "_")
 
 
+def _may_match(html: Column, rules: list[H.Rule]) -> Column | None:
+    """JVM-side necessary condition for every rule to yield items: one of its
+    container tokens occurs in the page (a tag as ``<tag``, any case). Pages
+    with ``&`` are always kept, since a character reference could spell a
+    token. None when some rule has no safe token."""
+    conds = []
+    for rule in rules:
+        toks = H.required_tokens(rule)
+        if toks is None:
+            return None
+        alts = [F.lower(html).contains("<" + t) if kind == "tag" else html.contains(t)
+                for kind, t in toks]
+        conds.append(reduce(lambda a, b: a | b, alts))
+    return html.contains("&") | reduce(lambda a, b: a & b, conds)
+
+
 def extract_items(pages: DataFrame, rule: H.Rule, fields: Sequence[str] = ("text", "href"),
                   id_cols: Sequence[str] = ("page_id",), html_col: str = "html") -> DataFrame:
     """Items selected by ``rule`` in every page: ``id_cols, pos, <fields>``.
@@ -50,6 +66,9 @@ def extract_items(pages: DataFrame, rule: H.Rule, fields: Sequence[str] = ("text
     id_cols = list(id_cols)
     ship_package(pages.sparkSession)
     src = pages.select(*id_cols, F.col(html_col).alias("_html"))
+    pre = _may_match(F.col("_html"), [rule])
+    if pre is not None:
+        src = src.where(pre)
     id_fields = [src.schema[c] for c in id_cols]
     out_fields = [*id_fields, T.StructField("pos", T.IntegerType(), False),
                   *[T.StructField(_field_name(f), T.StringType(), True) for f in fields]]
@@ -75,6 +94,9 @@ def extract_zipped(pages: DataFrame, lists: dict[str, tuple[H.Rule, str]],
     id_cols = list(id_cols)
     ship_package(pages.sparkSession)
     src = pages.select(*id_cols, F.col(html_col).alias("_html"))
+    pre = _may_match(F.col("_html"), [r for r, _ in lists.values()])
+    if pre is not None:
+        src = src.where(pre)
     names = list(lists)
     schema = T.StructType([*[src.schema[c] for c in id_cols],
                            T.StructField("pos", T.IntegerType(), False),
