@@ -178,6 +178,12 @@ def extract_by_site(pages: DataFrame, site_col: str, rules: dict[str, H.Rule],
     id_cols = list(id_cols)
     ship_package(pages.sparkSession)
     src = pages.select(*id_cols, F.col(site_col).alias("_site"), F.col(html_col).alias("_html"))
+    # per-site container prefilter; unknown sites are kept so the job fails on them
+    keep = ~F.col("_site").isin(list(rules)) | F.col("_site").isNull()
+    for site, rule in rules.items():
+        pre = _may_match(F.col("_html"), [rule])
+        keep = keep | ((F.col("_site") == site) & (pre if pre is not None else F.lit(True)))
+    src = src.where(keep)
     schema = T.StructType([*[src.schema[c] for c in id_cols],
                            T.StructField("site", T.StringType(), True),
                            T.StructField("pos", T.IntegerType(), False),
