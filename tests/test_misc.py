@@ -63,3 +63,12 @@ def test_entry_contract(spark):
     qs, oracles = entry.queries(), entry.oracle_sql()
     assert set(oracles) <= set(qs)
     assert len(qs) >= 80
+
+
+def test_json_unknown_shape_as_variant(spark):
+    df = spark.createDataFrame([('{"k": [1, "x", null]}',), ("{'k': 69}",)], "js string")
+    v = df.select(jsonx.json_list_read("js", None).alias("v"))
+    got = [r[0] for r in v.select(F.to_json("v")).collect()]
+    assert got == ['{"k":[1,"x",null]}', '{"k":69}']
+    kinds = [r[0] for r in v.select(F.schema_of_variant(F.variant_get("v", "$.k", "variant"))).collect()]
+    assert kinds[0].startswith("ARRAY") and kinds[1].startswith("BIGINT")
