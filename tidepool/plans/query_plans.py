@@ -10,6 +10,12 @@ from ..sources.tables import read_table
 from .registry import register
 
 
+def _exact_money_sum(col: str):
+    """Sum of 2-decimal amounts as decimals (exact, independent of the order
+    partial sums are combined in), returned as double."""
+    return F.sum(F.col(col).cast("decimal(15,2)")).cast("double")
+
+
 @register("union_sequence", """
 SELECT * FROM orders
 WHERE year(o_orderdate) BETWEEN 1995 AND 2001
@@ -24,7 +30,7 @@ def union_sequence(spark, sf_dir):
 
 @register("union_sequence_by_year", """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS shard_year, count(*) AS n_orders,
-       round(sum(o_totalprice), 2) AS total_price
+       CAST(sum(CAST(o_totalprice AS DECIMAL(15, 2))) AS DOUBLE) AS total_price
 FROM orders
 WHERE year(o_orderdate) BETWEEN 1996 AND 2000
   AND o_orderstatus NOT IN ('F')
@@ -37,7 +43,7 @@ def union_sequence_by_year(spark, sf_dir):
     u = q.union_sequence(orders, "o_orderdate", 1996, 2000, predicate=pred, with_source=True)
     return (u.groupBy("shard_year")
             .agg(F.count(F.lit(1)).alias("n_orders"),
-                 F.round(F.sum("o_totalprice"), 2).alias("total_price")))
+                 _exact_money_sum("o_totalprice").alias("total_price")))
 
 
 @register("param_query", """
@@ -107,7 +113,7 @@ def key_check(spark, sf_dir):
 @register("star_join", """
 WITH a AS (SELECT l_orderkey, l_partkey, sum(l_quantity) AS qty, count(*) AS n_lines
            FROM lineitem GROUP BY 1, 2),
-     b AS (SELECT l_orderkey, l_partkey, round(sum(l_extendedprice), 2) AS rev
+     b AS (SELECT l_orderkey, l_partkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(15, 2))) AS DOUBLE) AS rev
            FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2),
      c AS (SELECT l_orderkey, l_partkey, max(l_discount) AS max_disc
            FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1, 2)
@@ -122,7 +128,7 @@ def star_join(spark, sf_dir):
     master = li.groupBy(*k).agg(F.sum("l_quantity").alias("qty"),
                                 F.count(F.lit(1)).alias("n_lines"))
     b = (li.where(F.col("l_returnflag") == "R").groupBy(*k)
-         .agg(F.round(F.sum("l_extendedprice"), 2).alias("rev")))
+         .agg(_exact_money_sum("l_extendedprice").alias("rev")))
     c = (li.where(F.col("l_linestatus") == "O").groupBy(*k)
          .agg(F.max("l_discount").alias("max_disc")))
     return q.star_join(master, {"A": li, "B": b, "C": c}, keys, outer=True)

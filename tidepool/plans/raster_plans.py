@@ -248,15 +248,17 @@ SELECT image_id, col, "row", round(
   + {_wave(f'({_C} - 0.0)', f'({_R} - 0.0)', '0.0', 0.1, 0.3, 20)}, 6) + 0.0 AS value {_PTS}
 """)
 def raster_combine_many(spark, sf_dir):
-    """I11 on stored rasters: three evaluated rasters unioned and summed per
-    point (``groupBy`` with map-side partial sums)."""
+    """I11 on stored rasters: three evaluated rasters unioned, then per point
+    a left fold in list order (``((w1 + w2) + w3)``), deterministic like the
+    fold of a list of images."""
     pts = _points(spark, sf_dir)
     waves = [R.wave(_label(), 0.3, 0.2, 50, 10, 5), R.wave(0.0, 0.2, 0.1, 70, 30, 20),
              R.wave(0.0, 0.1, 0.3, 20, 0, 0)]
-    stored = [R.evaluate(pts, w).select("image_id", "col", "row", "value") for w in waves]
+    stored = [R.evaluate(pts, w).select("image_id", "col", "row", F.lit(i).alias("_w"), "value")
+              for i, w in enumerate(waves)]
     u = stored[0].unionByName(stored[1]).unionByName(stored[2])
-    return (u.groupBy("image_id", "col", "row").agg(F.sum("value").alias("_s"))
-            .select("image_id", "col", "row", _r6(F.col("_s"))))
+    folded = R.fold_stored(u, ["image_id", "col", "row"], "_w", "value", lambda a, b: a + b)
+    return folded.select("image_id", "col", "row", _r6(F.col("value")))
 
 
 # ------------------------------------------------------------------ bitmaps
