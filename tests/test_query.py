@@ -107,3 +107,11 @@ def test_missing_file_report(spark, tmp_path):
     keys = spark.createDataFrame([("ABC123",), ("ABC999",)], "k string")
     out = q.missing_file_report(keys, "k", listing, str(root)).collect()
     assert [r.key for r in out] == ["ABC999"]
+
+
+def test_broadcast_check_bounds_rows_and_bytes(spark):
+    from tidepool.operators.sizing import fits_broadcast
+    df = spark.range(10).select(F.repeat(F.lit("x"), 1_000_000).alias("s"), "id")
+    assert fits_broadcast(df, max_rows=100, max_bytes=20_000_000)
+    assert not fits_broadcast(df, max_rows=100, max_bytes=5_000_000)
+    assert not fits_broadcast(df, max_rows=5, max_bytes=20_000_000)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .sizing import DEFAULT_BROADCAST_ROWS, row_count_at_most
+from .sizing import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, fits_broadcast, row_bytes
 
 # Fixed values of the audit history: column names/types in front of the base
 # columns, change kinds, and the sentinel written when the session gives no
@@ -101,8 +101,9 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 
 def _small_or_none(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``F.broadcast(df)`` if df has at most ``max_rows`` rows, else None."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) is not None else None
+    """``F.broadcast(df)`` if df is within ``max_rows`` rows and the byte
+    bound (one bounded job), else None."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, DEFAULT_BROADCAST_BYTES) else None
 
 
 def _check_schema(target: DataFrame, rows: DataFrame, extra: Sequence[str] = ()) -> None:
@@ -319,10 +320,11 @@ def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op
     # one row per changed key with its first and last seq chunk; one job
     # gives its size (broadcast decision) and whether any key spans chunks
     span = ch.groupBy(*keys).agg(F.min("_chunk").alias("_c0"), F.max("_chunk").alias("_c1"))
-    stats = span.agg(F.count(F.lit(1)).alias("n"),
+    stats = span.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(span)).alias("b"),
                      F.max((F.col("_c0") != F.col("_c1")).cast("int")).alias("multi")).first()
     multi_chunk = bool(stats["multi"])
-    span_b = F.broadcast(span) if stats["n"] <= max_broadcast_rows else span
+    small = stats["n"] <= max_broadcast_rows and (stats["b"] or 0) <= DEFAULT_BROADCAST_BYTES
+    span_b = F.broadcast(span) if small else span
     if _keys_out is not None:
         _keys_out.append(span_b.select(*keys))
     # the table's own row goes first in its key's first chunk
