@@ -216,19 +216,25 @@ def crawl_expand(roots: DataFrame, pages: DataFrame, hop1: H.Rule, hop2: H.Rule,
     page with that URL (join, no fetching) -> items of ``hop2`` resolved
     against that page's own URL. Output: ``root_id, hop1_pos, target_id,
     hop2_pos, item_url``.
+
+    Each target page is parsed once however many links point at it: the
+    distinct target URLs (partial aggregation collapses popular targets)
+    select the pages to parse, and the narrow item rows are joined back to
+    the links.
     """
-    r = roots.select(F.col(root_id).alias("root_id"), F.col("url").alias("root_url"), "html")
-    links = extract_items(r.withColumnRenamed("root_url", "url"), hop1, ("href",),
-                          id_cols=("root_id", "url"))
+    r = roots.select(F.col(root_id).alias("root_id"), F.col("url"), "html")
+    links = extract_items(r, hop1, ("href",), id_cols=("root_id", "url"))
     resolved = links.select("root_id", F.col("pos").alias("hop1_pos"),
                             resolve_url(F.col("href"), F.col("url")).alias("target_url"))
-    targets = pages.select(F.col(page_id).alias("target_id"), F.col("url").alias("target_url"),
-                           "html")
-    hit = resolved.join(targets, "target_url")
-    items = extract_items(hit.withColumnRenamed("target_url", "url"), hop2, (hop2_field,),
-                          id_cols=("root_id", "hop1_pos", "target_id", "url"))
-    return items.select("root_id", "hop1_pos", "target_id", F.col("pos").alias("hop2_pos"),
-                        resolve_url(F.col(_field_name(hop2_field)), F.col("url")).alias("item_url"))
+    wanted = resolved.select("target_url").distinct()
+    targets = (pages.select(F.col(page_id).alias("target_id"), F.col("url").alias("target_url"), "html")
+               .join(wanted, "target_url", "left_semi"))
+    items = extract_items(targets.withColumnRenamed("target_url", "url"), hop2, (hop2_field,),
+                          id_cols=("target_id", "url"))
+    items = items.select("target_id", F.col("url").alias("target_url"), F.col("pos").alias("hop2_pos"),
+                         resolve_url(F.col(_field_name(hop2_field)), F.col("url")).alias("item_url"))
+    return (resolved.join(items, "target_url")
+            .select("root_id", "hop1_pos", "target_id", "hop2_pos", "item_url"))
 
 
 # --------------------------------------------------------------------- W15
