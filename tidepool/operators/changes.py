@@ -11,14 +11,17 @@ caller's ``write`` (see ``streaming.audit_stream`` for versioned folders).
 Scale notes
 -----------
 * The change batch is usually far smaller than the table. Its distinct key
-  set is counted; under a row bound it is broadcast, so the table is only
-  *streamed* (left-anti / left-semi against a hash table) and never
-  shuffled. Above the bound Spark shuffles both sides by key.
+  set is checked in one bounded job (rows and bytes); under the bounds it is
+  broadcast, so the table is only *streamed* (left-anti / left-semi against
+  a hash table) and never shuffled. Above them Spark shuffles both sides
+  by key (a table bucketed by key avoids that shuffle).
 * Ordered per-key semantics (several changes to one key in one batch) use a
-  two-level scan: windows over ``(key, seq chunk)`` then a carry over the
-  chunk summaries per key. A key holding a third of all changes is thus
-  split into chunks of at most ``chunk_width`` seq values instead of one
-  window partition in one task.
+  two-level scan over ops and seqs only: windows over ``(key, seq chunk)``
+  then a carry over the chunk summaries per key (skipped when no key spans
+  two chunks). A key holding a third of all changes is thus split into
+  chunks of at most ``chunk_width`` seq values instead of one window
+  partition in one task. Old row images come from an equi-join on
+  ``(key, seq)``, which spreads a hot key too.
 * Final per-key state is a ``groupBy`` with ``max_by`` (map-side partial
   aggregation), so hot keys collapse before the shuffle.
 """
