@@ -11,8 +11,11 @@ SMALL_SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from tidepool.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=4)
+    wh = tempfile.mkdtemp(prefix="tidepool-test-warehouse-")
+    s = build_session(master="local[4]", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

@@ -226,3 +226,27 @@ def test_keyed_state_stream_matches_brute_force(spark, tmp_path):
     assert sorted(tuple(r) for r in current_table(log, ["k"], table_schema).collect()) == want_base
     got = sorted((r.type, r.k, r.v) for r in history_rows(log, table_schema, CTX).collect())
     assert got == want_hist
+
+
+def test_large_batch_on_bucketed_table_does_not_shuffle_table(spark, sf_dir):
+    """Large-batch path (no broadcast): a table bucketed by key is joined
+    without an exchange on its side."""
+    from tidepool.sources.tables import write_bucketed
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    t = write_bucketed(orders, "orders_bucketed", ["o_orderkey"], 4)
+    ch = orders.select(F.col("o_orderkey").alias("seq"), F.lit("U").alias("op"), *orders.columns)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = chg.apply_changes(t, ch, ["o_orderkey"], ctx=CTX, max_broadcast_rows=0)
+        plan = r.base._jdf.queryExecution().executedPlan().toString()
+        scan = [ln for ln in plan.splitlines() if "FileScan" in ln and "orders_bucketed" in ln]
+        assert scan and all("SelectedBucketsCount: 4 out of 4" in ln for ln in scan)
+        # the bucketed scan feeds its join directly: no Exchange between them
+        lines = plan.splitlines()
+        for i, ln in enumerate(lines):
+            if "FileScan" in ln and "orders_bucketed" in ln:
+                parent = "\n".join(lines[max(0, i - 3):i])
+                assert "Exchange hashpartitioning" not in parent
+        assert r.base.count() == orders.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -74,3 +74,16 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None,
 def strip_file_scheme(path_col) -> "F.Column":
     """``file:/a/b`` or ``file:///a/b`` -> ``/a/b`` (listing paths carry a scheme)."""
     return F.regexp_replace(path_col, r"^file:(//)?", "")
+
+
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int,
+                   mode: str = "overwrite") -> DataFrame:
+    """Save ``df`` as a catalog table bucketed and sorted by ``keys``.
+
+    Joins and aggregations on ``keys`` (e.g. a large change batch applied to
+    it) then read the table already hash-partitioned: only the other side is
+    shuffled to the bucket layout.
+    """
+    (df.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+     .saveAsTable(table))
+    return df.sparkSession.table(table)
