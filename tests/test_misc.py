@@ -72,3 +72,30 @@ def test_json_unknown_shape_as_variant(spark):
     assert got == ['{"k":[1,"x",null]}', '{"k":69}']
     kinds = [r[0] for r in v.select(F.schema_of_variant(F.variant_get("v", "$.k", "variant"))).collect()]
     assert kinds[0].startswith("ARRAY") and kinds[1].startswith("BIGINT")
+
+
+def test_stream_cleans_intermediates_and_retains_versions(spark, tmp_path):
+    import os
+    from tidepool.operators.changes import AuditContext
+    from tidepool.session import checkpoint_dir
+    from tidepool.streaming.audit_stream import AuditStreamJob, complete_versions
+    schema = "seq long, op string, k long, v string"
+    feed = tmp_path / "feed"
+    for b in range(3):
+        spark.createDataFrame([(b * 10 + i, "M", i, f"b{b}") for i in range(3)], schema) \
+            .coalesce(1).write.parquet(str(feed / f"{b:03d}"))
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(str(feed)))
+    table_schema = spark.createDataFrame([], "k long, v string").schema
+    ck = checkpoint_dir(spark).replace("file:", "")
+    before = set(os.listdir(ck)) if os.path.isdir(ck) else set()
+    job = AuditStreamJob(table_root=str(tmp_path / "t"), history_root=str(tmp_path / "h"),
+                         keys=["k"], schema=table_schema, ctx=AuditContext("2026-01-01 00:00:00"),
+                         retain_versions=1)  # raised to the safe minimum of 2
+    q = job.start(stream, str(tmp_path / "ck"))
+    q.awaitTermination()
+    assert sorted(tuple(r) for r in job.table(spark).collect()) == [(0, "b2"), (1, "b2"), (2, "b2")]
+    assert job.history(spark).count() == 6
+    assert complete_versions(spark, str(tmp_path / "t")) == [1, 2]
+    after = set(os.listdir(ck)) if os.path.isdir(ck) else set()
+    assert not [p for p in after - before if p.startswith("changes-")]

@@ -66,6 +66,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_TRACKERS: list[list[str]] = []
+
+
 def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
     """Write ``df`` once as a parquet table in the shared checkpoint folder
     and read it back: the plan runs once (a reliable ``checkpoint()`` of an
@@ -73,9 +76,40 @@ def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
     and a lost executor does not force recomputation from the sources."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    for t in _TRACKERS:
+        t.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders through the session's Hadoop FileSystem."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+
+
+class intermediates:
+    """``with intermediates(spark):`` deletes the folders ``cut_lineage``
+    wrote inside the block when it ends without error. Use it around work
+    whose outputs are fully written inside the block."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self):
+        _TRACKERS.append(self.paths)
+        return self
+
+    def __exit__(self, exc_type, exc, tb):
+        _TRACKERS.remove(self.paths)
+        if exc_type is None:
+            delete_paths(self.spark, self.paths)
+        return False
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)

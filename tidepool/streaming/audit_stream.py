@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.changes import AuditContext, apply_changes, history_schema
+from ..session import delete_paths, intermediates
 
 VERSION_PREFIX = "v="
 
@@ -73,17 +74,24 @@ class AuditStreamJob:
     seq: str = "seq"
     ctx: AuditContext = AuditContext()
     fill_column: str | None = None
+    # keep this many newest versions (None: all). At least 2 are kept: a
+    # replay of the newest batch reads the version before it.
+    retain_versions: int | None = None
 
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = read_latest(spark, self.table_root, self.schema, before=batch_id)
         if prev is None:
             prev = self.initial if self.initial is not None else spark.createDataFrame([], self.schema)
-        res = apply_changes(prev, batch, self.keys, op=self.op, seq=self.seq, ctx=self.ctx,
-                            fill_column=self.fill_column)
-        (res.history.write.mode("overwrite")
-         .parquet(f"{self.history_root.rstrip('/')}/batch_id={batch_id}"))
-        res.base.write.mode("overwrite").parquet(version_path(self.table_root, batch_id))
+        with intermediates(spark):  # the batch's change states go once both outputs are written
+            res = apply_changes(prev, batch, self.keys, op=self.op, seq=self.seq, ctx=self.ctx,
+                                fill_column=self.fill_column)
+            (res.history.write.mode("overwrite")
+             .parquet(f"{self.history_root.rstrip('/')}/batch_id={batch_id}"))
+            res.base.write.mode("overwrite").parquet(version_path(self.table_root, batch_id))
+        if self.retain_versions:
+            old = complete_versions(spark, self.table_root)[:-max(2, self.retain_versions)]
+            delete_paths(spark, [version_path(self.table_root, v) for v in old if v < batch_id])
 
     def start(self, changes_stream: DataFrame, checkpoint_location: str, available_now: bool = True):
         w = (changes_stream.writeStream.foreachBatch(self.apply_batch)
