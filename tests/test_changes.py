@@ -250,3 +250,25 @@ def test_large_batch_on_bucketed_table_does_not_shuffle_table(spark, sf_dir):
         assert r.base.count() == orders.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_properties_on_orders_feed(spark, sf_dir):
+    """SURVEY §5.3: B4 after B2 of new keys = start; base count = before +
+    effective inserts - effective deletes; history rows = effective U + D."""
+    from tidepool.plans.change_plans import change_feed
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    new = orders.select((-(F.col("o_orderkey") + 1)).alias("o_orderkey"),
+                        *[c for c in orders.columns if c != "o_orderkey"]).select(orders.columns)
+    back = chg.delete_by_key(chg.insert_rows(orders, new), new, ["o_orderkey"])
+    assert back.exceptAll(orders).count() == 0 and orders.exceptAll(back).count() == 0
+
+    feed = change_feed(orders)
+    ann = chg.annotate_changes(orders, feed, ["o_orderkey"], ctx=CTX, fill_column="o_orderpriority")
+    a = ann.where(F.col("_op") != "T")
+    inserts = a.where(((F.col("_op") == "I") | (F.col("_op") == "M")) & ~F.col("_exists_before")).count()
+    deletes = a.where((F.col("_op") == "D") & F.col("_exists_before")).count()
+    updates = a.where(F.col("_op").isin("U", "M") & F.col("_exists_before")).count()
+    r = chg.apply_changes(orders, feed, ["o_orderkey"], ctx=CTX, fill_column="o_orderpriority")
+    null_inserts = feed.where(F.col("o_orderkey").isNull() & F.col("op").isin("I", "M")).count()
+    assert r.base.count() == orders.count() + inserts - deletes + null_inserts
+    assert r.history.count() == updates + deletes
