@@ -180,3 +180,14 @@ def test_prefilter_keeps_results_exact(spark):
     assert [r.href for r in web.extract_links(pages, nav, href_contains=None).collect()] == ["/archives/4"]
     plan = web.extract_links(pages)._jdf.queryExecution().optimizedPlan().toString()
     assert "vContent" in plan
+
+
+def test_urls_are_lenient_like_jvm_url(spark):
+    df = spark.createDataFrame([("http://user@h.com:8080/a b/c?x=1 2#f", "/r", "rel")],
+                               "base string, rooted string, rel string")
+    r = df.select(urls.resolve_url("rooted", "base"), urls.resolve_url("rel", "base"),
+                  urls.unwrap_source_url("base"), urls.request_path("base")).first()
+    assert tuple(r) == ("http://h.com:8080/r", "http://h.com:8080/a b/c/rel", "http://h.com/a b/c",
+                        "/a+b/c?x=1 2")
+    bad = spark.createDataFrame([("not a url",)], "u string").select(urls.url_origin("u")).first()[0]
+    assert bad is None

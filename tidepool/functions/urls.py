@@ -1,7 +1,9 @@
 """URL and file-name column functions (W8-W12, F10), JVM-side.
 
-Invalid URLs give NULL (``try_parse_url``, ``try_url_decode``) where the
-reference would throw.
+URL parts are taken with regular expressions, as leniently as a JVM ``URL``
+(spaces and other raw characters are kept). A text that is not
+``scheme://...`` gives NULL parts, and a bad percent escape gives NULL
+(``try_url_decode``), where the reference would throw.
 """
 
 from __future__ import annotations
@@ -16,18 +18,35 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def url_part(url, part: str) -> Column:
-    return F.try_parse_url(_c(url), F.lit(part))
+# scheme, optional user info, host[:port]
+_AUTH_RX = r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?([^/?#]*)"
+
+
+def _is_url(url) -> Column:
+    return _c(url).rlike(_AUTH_RX)
+
+
+def url_protocol(url) -> Column:
+    return F.when(_is_url(url), F.regexp_extract(_c(url), _AUTH_RX, 1))
+
+
+def url_host_port(url) -> Column:
+    return F.when(_is_url(url), F.regexp_extract(_c(url), _AUTH_RX, 2))
+
+
+def url_host(url) -> Column:
+    """Host without port."""
+    return F.regexp_replace(url_host_port(url), r":\d*$", "")
 
 
 def url_port(url) -> Column:
-    """Port digits of the authority, NULL when absent."""
-    return F.nullif(F.regexp_extract(url_part(url, "AUTHORITY"), r":(\d+)$", 1), F.lit(""))
+    """Port digits, NULL when absent."""
+    return F.nullif(F.regexp_extract(url_host_port(url), r":(\d+)$", 1), F.lit(""))
 
 
 def url_origin(url, keep_port: bool = True) -> Column:
     """``protocol://host[:port]``; an absent port is left out."""
-    base = F.concat(url_part(url, "PROTOCOL"), F.lit("://"), url_part(url, "HOST"))
+    base = F.concat(url_protocol(url), F.lit("://"), url_host(url))
     if not keep_port:
         return base
     port = url_port(url)
@@ -65,12 +84,12 @@ def unwrap_source_url(src) -> Column:
     kept); any other URL -> ``protocol://host`` + path (port, query and
     fragment dropped)."""
     s = _c(src)
-    items = F.split(url_part(s, "QUERY"), "&")
+    items = F.split(url_query(s), "&")
     item = F.element_at(F.filter(items, lambda x: x.contains("url")), 1)
     # a JVM split drops trailing empty items, so "url=" yields "url"
     value = F.element_at(F.split(F.regexp_replace(item, "=+$", ""), "="), -1)
     proxied = F.try_url_decode(value)
-    plain = F.concat(url_part(s, "PROTOCOL"), F.lit("://"), url_part(s, "HOST"), url_path(s))
+    plain = F.concat(url_protocol(s), F.lit("://"), url_host(s), url_path(s))
     return F.when(s.contains("proxy"), proxied).otherwise(plain)
 
 
