@@ -191,3 +191,12 @@ def test_urls_are_lenient_like_jvm_url(spark):
                         "/a+b/c?x=1 2")
     bad = spark.createDataFrame([("not a url",)], "u string").select(urls.url_origin("u")).first()[0]
     assert bad is None
+
+
+def test_walker_implied_end_tags():
+    root = H.parse("<div class='a'><p>one<p>two<div class='b'>x</div><ul><li>1<li>2</ul>"
+                   "<table><tr><td>p<td>q<tr><td>r</table></div>")
+    assert [p.text() for p in H.select_all(root, "p")] == ["one", "two"]
+    assert [n.text() for n in H.select_all(root, "li")] == ["1", "2"]
+    assert [n.text() for n in H.select_all(root, "td")] == ["p", "q", "r"]
+    assert H.select_first(root, "p + div").attrs["class"] == "b"

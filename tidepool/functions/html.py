@@ -53,13 +53,49 @@ class Node:
         return " ".join("".join(parts).split())
 
 
+# Fixed values of the HTML tree-building rules used for implied end tags:
+# elements whose start closes an open <p>, elements that close an open
+# element of the same group, and the scope boundaries those searches stop at.
+CLOSES_P = frozenset(
+    "address article aside blockquote details dialog dir div dl fieldset figcaption figure "
+    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table "
+    "ul li dd dt".split())
+SAME_GROUP = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"),
+              "th": ("td", "th"), "tr": ("tr",), "option": ("option",)}
+SCOPE_STOP = frozenset("applet caption html table td th marquee object template button".split())
+LIST_STOP = SCOPE_STOP | {"ol", "ul"}
+TABLE_STOP = frozenset({"table", "template", "html"})
+
+
 class _TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root", {})
         self.cur = self.root
 
+    def _close_open(self, names, stop) -> None:
+        """Close the nearest open element named in ``names`` unless a scope
+        boundary in ``stop`` comes first (implied end tag)."""
+        n = self.cur
+        while n is not None and n.parent is not None:
+            if n.tag in names:
+                self.cur = n.parent
+                return
+            if n.tag in stop:
+                return
+            n = n.parent
+
     def handle_starttag(self, tag, attrs):
+        if tag in SAME_GROUP:
+            if tag == "li":
+                stop = LIST_STOP
+            elif tag in ("td", "th", "tr"):
+                stop = TABLE_STOP
+            else:
+                stop = SCOPE_STOP
+            self._close_open(SAME_GROUP[tag], stop)
+        if tag in CLOSES_P:
+            self._close_open(("p",), SCOPE_STOP)
         node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
         self.cur.children.append(node)
         if tag not in VOID_TAGS:
