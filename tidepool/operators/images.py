@@ -189,7 +189,7 @@ def crop_image_rows(images: DataFrame, tolerance: float = DEFAULT_TOLERANCE) ->
                     img = np.full((by - ty + 1 + 2 * my, bx - tx + 1 + 2 * mx), WHITE_ARGB, np.int64)
                     img[my:my + by - ty + 1, mx:mx + bx - tx + 1] = a[ty:by + 1, tx:bx + 1]
                 flat = (img.ravel() & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
-                out.append((row["origin"], w, h, *box, img.shape[1], img.shape[0], flat.tolist()))
+                out.append((row["origin"], w, h, *box, img.shape[1], img.shape[0], flat))
             yield pd.DataFrame(out, columns=schema.fieldNames())
 
     ship_package(images.sparkSession)

@@ -323,11 +323,12 @@ def ordered_fold(df: DataFrame, key_cols: Sequence[str], seq_col: str, chunk_col
     piece = F.floor(F.col(seq_col) / F.lit(seq_chunk)).alias("_piece")
     d = df.select(*key_cols, F.col(seq_col).alias("_seq"), piece,
                   F.col(chunk_col).alias("_chunk")).where(F.col("_chunk").isNotNull())
-    empty = F.lit(b"").cast("binary") if binary else F.lit("")
-
     def join_sorted(arr: Column) -> Column:
+        # linear joins: array_join for text; bytes via hex text and back
         vals = F.transform(F.array_sort(arr), lambda x: x.getField("v"))
-        return F.aggregate(vals, empty, lambda acc, x: F.concat(acc, x))
+        if binary:
+            return F.unhex(F.array_join(F.transform(vals, lambda x: F.hex(x)), ""))
+        return F.array_join(vals, "")
 
     lvl1 = (d.groupBy(*key_cols, "_piece")
             .agg(join_sorted(F.collect_list(F.struct(F.col("_seq").alias("k"),
