@@ -60,14 +60,15 @@ def content_bbox(pixels: DataFrame, image_col: str = "image_id",
                  tolerance: float = DEFAULT_TOLERANCE, base_argb: int = WHITE_ARGB) -> DataFrame:
     """Box of pixels differing from white: ``top_x, top_y, bottom_x,
     bottom_y`` (inclusive), plus ``width, height`` of the image. An image
-    with no such pixel gets a NULL box. Map-side partial min/max."""
-    size = pixels.groupBy(image_col).agg((F.max("x") + 1).alias("width"),
-                                         (F.max("y") + 1).alias("height"))
-    box = (pixels.where(outside_tolerance(F.lit(base_argb), F.col("argb"), tolerance))
-           .groupBy(image_col)
-           .agg(F.min("x").alias("top_x"), F.min("y").alias("top_y"),
-                F.max("x").alias("bottom_x"), F.max("y").alias("bottom_y")))
-    return size.join(box, image_col, "left")
+    with no such pixel gets a NULL box. One aggregation with conditional
+    min/max (map-side partial, one exchange)."""
+    content = outside_tolerance(F.lit(base_argb), F.col("argb"), tolerance)
+    return pixels.groupBy(image_col).agg(
+        (F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"),
+        F.min(F.when(content, F.col("x"))).alias("top_x"),
+        F.min(F.when(content, F.col("y"))).alias("top_y"),
+        F.max(F.when(content, F.col("x"))).alias("bottom_x"),
+        F.max(F.when(content, F.col("y"))).alias("bottom_y"))
 
 
 def margin_ratio(name: Column) -> Column:
