@@ -349,17 +349,22 @@ def positional_index(df: DataFrame, group_cols: Sequence[str], order_col: str,
     """G8 across rows: position of each row in its group by ``order_col``.
 
     Skew-safe two-level form: ``row_number`` inside ``(group, order div
-    chunk_width)`` plus the count of rows in earlier chunks of the group
-    (running sum over per-chunk counts). A hot group is split by chunk.
-    ``order_col`` must be integral and unique in its group.
+    chunk_width)`` plus the number of rows in earlier chunks of the group.
+    The chunk sizes come from the same Window operator (read on each
+    chunk's last row), so the rows are shuffled once; only one row per
+    chunk is shuffled again to sum the earlier chunks. A hot group is split
+    by chunk. ``order_col`` must be integral and unique in its group.
     """
     g = list(group_cols)
-    ck = F.floor(F.col(order_col) / F.lit(chunk_width)).cast("long")
-    d = df.withColumn("_ck", ck)
-    local = F.row_number().over(Window.partitionBy(*g, "_ck").orderBy(order_col))
-    counts = d.groupBy(*g, "_ck").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*g).orderBy("_ck").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*g, "_ck", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return (d.withColumn("_local", local).join(offs, [*g, "_ck"], "left")
+    d = df.withColumn("_ck", F.floor(F.col(order_col) / F.lit(chunk_width)).cast("long"))
+    w = Window.partitionBy(*g, "_ck").orderBy(order_col)
+    d = (d.withColumn("_local", F.row_number().over(w))
+         .withColumn("_n", F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding,
+                                                                 Window.unboundedFollowing)))
+         .withColumn("_nx", F.lead(order_col).over(w)))
+    w_off = Window.partitionBy(*g).orderBy("_ck").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (d.where(F.col("_nx").isNull())
+            .select(*g, "_ck", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off")))
+    return (d.drop("_n", "_nx").join(offs, [*g, "_ck"], "left")
             .withColumn(out_col, (F.col("_off") + F.col("_local") - 1 + base).cast("long"))
             .drop("_ck", "_local", "_off"))

@@ -15,6 +15,10 @@ No table is rewritten per batch: the current table is the latest ``S`` row
 per key of the output log (``current_table``), a ``max_by`` aggregation.
 A key's rows in one micro-batch are bounded by the batch size
 (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+
+To start from an existing table, put its rows into the feed as op ``M``
+with a seq below every change (they insert without history), e.g. as the
+first files of the stream.
 """
 
 from __future__ import annotations
