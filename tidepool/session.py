@@ -66,7 +66,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_TRACKERS: list[list[str]] = []
+_LOCAL = threading.local()  # per-thread stack of path trackers (streams run batches on threads)
+
+
+def _trackers() -> list[list[str]]:
+    if not hasattr(_LOCAL, "trackers"):
+        _LOCAL.trackers = []
+    return _LOCAL.trackers
 
 
 def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
@@ -76,7 +82,7 @@ def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
     and a lost executor does not force recomputation from the sources."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    for t in _TRACKERS:
+    for t in _trackers():
         t.append(path)
     return df.sparkSession.read.parquet(path)
 
@@ -92,19 +98,19 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> None:
 
 class intermediates:
     """``with intermediates(spark):`` deletes the folders ``cut_lineage``
-    wrote inside the block when it ends without error. Use it around work
-    whose outputs are fully written inside the block."""
+    wrote inside the block (on this thread) when it ends without error. Use
+    it around work whose outputs are fully written inside the block."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: list[str] = []
 
     def __enter__(self):
-        _TRACKERS.append(self.paths)
+        _trackers().append(self.paths)
         return self
 
     def __exit__(self, exc_type, exc, tb):
-        _TRACKERS.remove(self.paths)
+        _trackers().remove(self.paths)
         if exc_type is None:
             delete_paths(self.spark, self.paths)
         return False
