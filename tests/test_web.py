@@ -200,3 +200,14 @@ def test_walker_implied_end_tags():
     assert [n.text() for n in H.select_all(root, "li")] == ["1", "2"]
     assert [n.text() for n in H.select_all(root, "td")] == ["p", "q", "r"]
     assert H.select_first(root, "p + div").attrs["class"] == "b"
+
+
+def test_fetch_worklist_with_real_listing(spark, tmp_path):
+    from tidepool.sources.tables import list_files
+    (tmp_path / "a.txt").write_bytes(b"12345")
+    (tmp_path / "b.txt").write_bytes(b"12")
+    m = spark.createDataFrame([(str(tmp_path / n), 5) for n in ("a.txt", "b.txt", "c.txt")],
+                              "path string, expected long")
+    out = sorted((r.path.rsplit("/", 1)[-1], r.reason)
+                 for r in web.fetch_worklist(m, list_files(spark, str(tmp_path))).collect())
+    assert out == [("b.txt", "short"), ("c.txt", "missing")]

@@ -298,8 +298,11 @@ def resolve_redirects(log: DataFrame, max_hops: int = 5, start: DataFrame | None
 
 def fetch_worklist(manifest: DataFrame, listing: DataFrame, path_col: str = "path",
                    expected_col: str = "expected", length_col: str = "length") -> DataFrame:
-    """Work still to do: the file is missing, or shorter than expected."""
-    lst = listing.select(F.col(path_col).alias("_p"), F.col(length_col).alias("_len"))
+    """Work still to do: the file is missing, or shorter than expected.
+    ``listing`` may be ``sources.tables.list_files`` output: a ``file:``
+    scheme on its paths is dropped before matching."""
+    lst = listing.select(F.regexp_replace(F.col(path_col), r"^file:(//)?", "").alias("_p"),
+                         F.col(length_col).alias("_len"))
     j = manifest.join(lst, manifest[path_col] == lst._p, "left")
     return (j.where(F.col("_len").isNull() | (F.col("_len") < F.col(expected_col)))
             .select(*[manifest[c] for c in manifest.columns], F.col("_len").alias("have_length"))
