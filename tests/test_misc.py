@@ -119,3 +119,10 @@ def test_versioned_sink_replay_is_idempotent(spark, tmp_path):
     assert first == second
     assert first[0] == [(1, "a2")]
     assert [(h[3], h[4], h[5]) for h in first[1]] == [("D", 2, "b"), ("U", 1, "a")]
+
+
+def test_cli_list_and_run(spark, tmp_path, sf_dir):
+    from tidepool.__main__ import main
+    assert main(["run", "key_check", "--sf", sf_dir, "--out", str(tmp_path / "o")]) == 0
+    assert spark.read.parquet(str(tmp_path / "o")).count() > 0
+    assert main(["run", "nope", "--sf", sf_dir, "--out", str(tmp_path / "x")]) == 2
