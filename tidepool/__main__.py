@@ -2,7 +2,7 @@
 
     python -m tidepool list
     python -m tidepool run apply_changes_base --sf /data/sf100 --out /shared/out/base
-    spark-submit --py-files tidepool.zip -m tidepool run ...   (cluster session)
+    spark-submit --py-files tidepool.zip tidepool/__main__.py run ...   (cluster session)
 
 Without ``--master`` the session of the submitting environment is used
 (``getOrCreate``); ``--master local[8]`` starts a local one.
@@ -28,7 +28,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
-    from .plans import ORACLES, QUERIES
+    from tidepool.plans import ORACLES, QUERIES
     if args.cmd == "list":
         for name in sorted(QUERIES):
             print(f"{name}\t{'oracle' if name in ORACLES else '-'}")
@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
         print(f"unknown query {args.name!r}", file=sys.stderr)
         return 2
     if args.master:
-        from .session import build_session
+        from tidepool.session import build_session
         spark = build_session(master=args.master, app=f"tidepool-{args.name}")
     else:
         from pyspark.sql import SparkSession
