@@ -115,3 +115,19 @@ def test_broadcast_check_bounds_rows_and_bytes(spark):
     assert fits_broadcast(df, max_rows=100, max_bytes=20_000_000)
     assert not fits_broadcast(df, max_rows=100, max_bytes=5_000_000)
     assert not fits_broadcast(df, max_rows=5, max_bytes=20_000_000)
+
+
+def test_union_sequence_paths_one_scan(spark, sf_dir, tmp_path):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    for y in (1995, 1996, 1997):
+        orders.where(F.year("o_orderdate") == y).write.parquet(str(tmp_path / f"orders_{y}"))
+    tpl = str(tmp_path / "orders_{Y}")
+    df = q.union_sequence_paths(spark, tpl, "{Y}", 1995, 1997, with_source=True)
+    got = {r.shard_year: r.n for r in df.groupBy("shard_year").agg(F.count("*").alias("n")).collect()}
+    want = {r.y: r.n for r in orders.where(F.year("o_orderdate").between(1995, 1997))
+            .groupBy(F.year("o_orderdate").alias("y")).agg(F.count("*").alias("n")).collect()}
+    assert got == want
+    plan = df.where(F.col("o_orderstatus") == "F")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    tenants = q.read_shards(spark, str(tmp_path / "orders_{T}"), "{T}", ["1996"], source_name="t")
+    assert {r.t for r in tenants.select("t").distinct().collect()} == {"1996"}

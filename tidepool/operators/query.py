@@ -176,6 +176,33 @@ def union_sequence_sql(spark: SparkSession, template: str, pattern: str,
         lambda y: spark.sql(rx.sub(str(y), template), **frames), start, end)
 
 
+def read_shards(spark: SparkSession, template: str, placeholder: str, names: Sequence,
+                source_name: str | None = None) -> DataFrame:
+    """Shards stored as folders (``template`` with ``placeholder`` replaced by
+    each name): one ``spark.read.parquet(*paths)`` scan (one scan operator,
+    filters pushed to all files) instead of a union of per-shard scans.
+    With ``source_name`` the shard name is recovered from each row's file
+    path (``_metadata.file_path``)."""
+    names = [str(n) for n in names]
+    paths = [template.replace(placeholder, n) for n in names]
+    df = spark.read.parquet(*paths)
+    if source_name:
+        head, tail = template.split(placeholder, 1)
+        pattern = "(" + "|".join(re.escape(n) for n in sorted(names, key=len, reverse=True)) + ")"
+        marker = re.escape(head.split("/")[-1]) + pattern + re.escape(tail.split("/")[0])
+        df = df.withColumn(source_name, F.regexp_extract(F.col("_metadata.file_path"), marker, 1))
+    return df
+
+
+def union_sequence_paths(spark: SparkSession, template: str, placeholder: str, start: int,
+                         end: int, with_source: bool = False,
+                         source_name: str = "shard_year") -> DataFrame:
+    """C2 with one folder per year, read as one scan."""
+    years = sequence_years(start, end)
+    df = read_shards(spark, template, placeholder, years, source_name if with_source else None)
+    return df.withColumn(source_name, F.col(source_name).cast("int")) if with_source else df
+
+
 # ------------------------------------------------------------------------ C3
 
 def tenant_list(tenants: DataFrame, name_col: str, exclude_suffix: str | None = None,
