@@ -211,3 +211,12 @@ def test_fetch_worklist_with_real_listing(spark, tmp_path):
     out = sorted((r.path.rsplit("/", 1)[-1], r.reason)
                  for r in web.fetch_worklist(m, list_files(spark, str(tmp_path))).collect())
     assert out == [("b.txt", "short"), ("c.txt", "missing")]
+
+
+def test_positions_count_kept_items(spark):
+    html = ('<div id="vContent"><a href="/about">x</a><a href="/archives/1">T1</a>'
+            '<a href="/archives/2">T2</a></div>')
+    out = web.extract_links(_pages(spark, html)).orderBy("pos").collect()
+    assert [(r.pos, r.href) for r in out] == [(0, "/archives/1"), (1, "/archives/2")]
+    imgs = '<div id="primary"><img src="x.svg"><img src="a.png"></div>'
+    assert [r.item_pos for r in web.extract_images(_pages(spark, imgs)).collect()] == [0]

@@ -118,6 +118,13 @@ def extract_zipped(pages: DataFrame, lists: dict[str, tuple[H.Rule, str]],
 
 # ------------------------------------------------------------------- W1-W7
 
+def _renumber(df: DataFrame, id_cols: Sequence[str], pos_col: str = "pos") -> DataFrame:
+    """Positions 0.. among the items kept by a filter (the reference numbers
+    the filtered list). A window per page: bounded by one page's items."""
+    w = Window.partitionBy(*id_cols).orderBy(pos_col)
+    return df.withColumn(pos_col, (F.row_number().over(w) - 1).cast("int"))
+
+
 def extract_links(pages: DataFrame, rule: H.Rule = RULE_LINKS,
                   href_contains: str | None = LINK_FILTER, **kw) -> DataFrame:
     """``(text, href)`` of the links in the rule's container; with
@@ -125,6 +132,7 @@ def extract_links(pages: DataFrame, rule: H.Rule = RULE_LINKS,
     out = extract_items(pages, rule, ("text", "href"), **kw)
     if href_contains:
         out = out.where(F.coalesce(F.col("href"), F.lit("")).contains(href_contains))
+        out = _renumber(out, list(kw.get("id_cols", ("page_id",))))
     return out
 
 
@@ -139,7 +147,7 @@ def extract_images(pages: DataFrame, rule: H.Rule = RULE_IMAGES, **kw) -> DataFr
         return reduce(lambda a, b: a | b, [contains_ci(c, e) for e in IMAGE_EXTENSIONS])
 
     keep = has_ext(F.col("src")) | (F.col("data_src").isNotNull() & has_ext(F.col("data_src")))
-    kept = items.where(keep)
+    kept = _renumber(items.where(keep), list(kw.get("id_cols", ("page_id",))))
     return kept.select(*kw.get("id_cols", ("page_id",)), F.col("pos").alias("item_pos"),
                        F.coalesce(F.col("data_src"), F.coalesce(F.col("src"), F.lit(""))).alias("image_src"))
 
@@ -149,8 +157,8 @@ def extract_pager(pages: DataFrame, **kw) -> DataFrame:
     ``"000" + text``."""
     items = extract_items(pages, RULE_PAGER, ("text", "href"), **kw)
     id_cols = list(kw.get("id_cols", ("page_id",)))
-    return (items.where(F.col("text") != PAGER_SKIP_TEXT)
-            .select(*id_cols, "pos", pager_label(F.col("text")).alias("label"), "href"))
+    kept = _renumber(items.where(F.col("text") != PAGER_SKIP_TEXT), id_cols)
+    return kept.select(*id_cols, "pos", pager_label(F.col("text")).alias("label"), "href")
 
 
 def extract_containers(pages: DataFrame, **kw) -> DataFrame:

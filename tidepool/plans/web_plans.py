@@ -31,8 +31,10 @@ def extract_links(spark, sf_dir):
 
 
 @register("extract_links_filtered", f"""
-SELECT * FROM (
-  SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, texts[i] AS text, hrefs[i] AS href
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS pos,
+       text, href
+FROM (
+  SELECT page_id, i, texts[i] AS text, hrefs[i] AS href
   FROM (SELECT page_id, regexp_extract_all(html, {_LINK_RX}, 2) AS texts,
                regexp_extract_all(html, {_LINK_RX}, 1) AS hrefs FROM pages) p,
        generate_series(1, len(p.hrefs)) AS g(i))
