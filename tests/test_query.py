@@ -131,3 +131,10 @@ def test_union_sequence_paths_one_scan(spark, sf_dir, tmp_path):
     assert plan.count("FileScan parquet") == 1
     tenants = q.read_shards(spark, str(tmp_path / "orders_{T}"), "{T}", ["1996"], source_name="t")
     assert {r.t for r in tenants.select("t").distinct().collect()} == {"1996"}
+
+
+def test_jdbc_read_validates_partitioning(spark):
+    """A8 without a database: a partitioned read needs bounds and a count."""
+    from tidepool.sources.tables import jdbc_read
+    with pytest.raises(ValueError, match="bounds"):
+        jdbc_read(spark, "jdbc:none://x", "t", partition_column="id", lower_bound=0)
