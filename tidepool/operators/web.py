@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions import html as H
 from ..functions.text import contains_ci
 from ..functions.urls import pager_label, resolve_url
-from ..session import ship_package
+from ..session import ensure_parallelism, ship_package
 
 # Fixed values of the reference's extractors (selectors and filters).
 RULE_LINKS = H.Rule(scope=(("#vContent",),), items="a")                       # W1
@@ -69,6 +69,7 @@ def extract_items(pages: DataFrame, rule: H.Rule, fields: Sequence[str] = ("text
     pre = _may_match(F.col("_html"), [rule])
     if pre is not None:
         src = src.where(pre)
+    src = ensure_parallelism(src)
     id_fields = [src.schema[c] for c in id_cols]
     out_fields = [*id_fields, T.StructField("pos", T.IntegerType(), False),
                   *[T.StructField(_field_name(f), T.StringType(), True) for f in fields]]
@@ -97,6 +98,7 @@ def extract_zipped(pages: DataFrame, lists: dict[str, tuple[H.Rule, str]],
     pre = _may_match(F.col("_html"), [r for r, _ in lists.values()])
     if pre is not None:
         src = src.where(pre)
+    src = ensure_parallelism(src)
     names = list(lists)
     schema = T.StructType([*[src.schema[c] for c in id_cols],
                            T.StructField("pos", T.IntegerType(), False),
@@ -191,7 +193,7 @@ def extract_by_site(pages: DataFrame, site_col: str, rules: dict[str, H.Rule],
     for site, rule in rules.items():
         pre = _may_match(F.col("_html"), [rule])
         keep = keep | ((F.col("_site") == site) & (pre if pre is not None else F.lit(True)))
-    src = src.where(keep)
+    src = ensure_parallelism(src.where(keep))
     schema = T.StructType([*[src.schema[c] for c in id_cols],
                            T.StructField("site", T.StringType(), True),
                            T.StructField("pos", T.IntegerType(), False),

@@ -146,3 +146,12 @@ def ship_package(spark: SparkSession) -> None:
                         z.write(full, os.path.relpath(full, base))
         sc.addPyFile(out)
         _SHIPPED.add(app)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a frame with fewer partitions than the cluster's parallelism
+    (round-robin) before expensive per-row work (HTML parsing, grid
+    generation). A large input already has enough partitions and is left
+    alone, so this never shuffles a big table."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
