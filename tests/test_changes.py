@@ -272,3 +272,14 @@ def test_properties_on_orders_feed(spark, sf_dir):
     null_inserts = feed.where(F.col("o_orderkey").isNull() & F.col("op").isin("I", "M")).count()
     assert r.base.count() == orders.count() + inserts - deletes + null_inserts
     assert r.history.count() == updates + deletes
+
+
+def test_keyed_state_fill_on_insert_only():
+    import pandas as pd
+    from tidepool.streaming.keyed_state import _apply_key_changes
+    rows = pd.DataFrame([{"op": "M", "seq": 1, "k": 1, "ip": None}, {"op": "U", "seq": 2, "k": 1, "ip": None},
+                         {"op": "D", "seq": 3, "k": 1, "ip": None}, {"op": "I", "seq": 4, "k": 1, "ip": None}])
+    rows = rows.astype(object).where(rows.notna(), None)
+    hist, ex, img, last = _apply_key_changes(rows, False, None, ["k", "ip"], "op", "seq", ("ip", "1.2.3.4"))
+    assert [(t, i["ip"]) for t, i, _ in hist] == [("U", "1.2.3.4"), ("D", None)]
+    assert ex and img == {"k": 1, "ip": "1.2.3.4"} and last == 4

@@ -37,11 +37,18 @@ from ..operators.changes import (AuditContext, HISTORY_DELETE, HISTORY_UPDATE, O
 
 
 def _apply_key_changes(rows: pd.DataFrame, exists: bool, image: dict | None,
-                       cols: list[str], op: str, seq: str):
+                       cols: list[str], op: str, seq: str, fill: tuple | None = None):
     """Sequential semantics of one key's changes (sorted by seq). Returns
-    (history list of (type, image, seq), exists, image, last_seq)."""
+    (history list of (type, image, seq), exists, image, last_seq). ``fill``
+    = (column, value) fills a NULL column of inserted rows (insert default)."""
     history = []
     last_seq = None
+
+    def inserted(new: dict) -> dict:
+        if fill is not None and new.get(fill[0]) is None:
+            new = dict(new, **{fill[0]: fill[1]})
+        return new
+
     for rec in rows.sort_values(seq).to_dict("records"):
         o = rec[op]
         new = {c: rec[c] for c in cols}
@@ -49,11 +56,14 @@ def _apply_key_changes(rows: pd.DataFrame, exists: bool, image: dict | None,
         if o == OP_INSERT:
             if exists:
                 raise ValueError("insert of a key that already exists")
-            exists, image = True, new
+            exists, image = True, inserted(new)
         elif o == OP_MERGE:
             if exists:
                 history.append((HISTORY_UPDATE, image, rec[seq]))
-            exists, image = True, new
+                image = new
+            else:
+                image = inserted(new)
+            exists = True
         elif o == OP_UPDATE:
             if exists:
                 history.append((HISTORY_UPDATE, image, rec[seq]))
@@ -79,7 +89,8 @@ def _py(v):
 
 
 def keyed_audit_stream(changes: DataFrame, keys: list[str], schema: T.StructType, *,
-                       op: str = "op", seq: str = "seq") -> DataFrame:
+                       op: str = "op", seq: str = "seq", fill_column: str | None = None,
+                       fill_value=None) -> DataFrame:
     """Streaming (or batch) DataFrame of ``kind, type, seq, exists, <schema cols>``.
 
     The state per key is ``(exists, <image columns>)`` with the table's own
@@ -102,7 +113,8 @@ def keyed_audit_stream(changes: DataFrame, keys: list[str], schema: T.StructType
         parts = list(pdfs)
         rows = pd.concat(parts) if parts else pd.DataFrame(columns=[op, seq, *cols])
         rows = rows.astype(object).where(rows.notna(), None)
-        history, ex, image, last_seq = _apply_key_changes(rows, ex, image, cols, op, seq)
+        fill = (fill_column, fill_value) if fill_column is not None else None
+        history, ex, image, last_seq = _apply_key_changes(rows, ex, image, cols, op, seq, fill)
         out = []
         for typ, img, s in history:
             out.append({"kind": "H", "type": typ, "seq": int(s), "exists": True,
