@@ -283,3 +283,9 @@ def test_keyed_state_fill_on_insert_only():
     hist, ex, img, last = _apply_key_changes(rows, False, None, ["k", "ip"], "op", "seq", ("ip", "1.2.3.4"))
     assert [(t, i["ip"]) for t, i, _ in hist] == [("U", "1.2.3.4"), ("D", None)]
     assert ex and img == {"k": 1, "ip": "1.2.3.4"} and last == 4
+
+
+def test_duplicate_table_keys_raise(spark):
+    t = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
+    with pytest.raises(ValueError, match="duplicate keys"):
+        chg.apply_changes(t, _changes(spark, [(1, 1, "U", "x")]), ["k"], ctx=CTX)

@@ -367,6 +367,12 @@ def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op
                      F.struct(*after_cols).alias("_after"))
     if materialize:
         st = cut_lineage(st, "changes-state")
+        # the table's key must be unique for the changed keys (cheap: the
+        # table rows of changed keys only, read from the written states)
+        dup = (st.where(F.col("_op") == _OP_TARGET).groupBy(*keys).count()
+               .where(F.col("count") > 1).limit(1).count())
+        if dup:
+            raise ValueError("the table has duplicate keys among the changed keys")
     return st
 
 
