@@ -220,3 +220,52 @@ def test_positions_count_kept_items(spark):
     assert [(r.pos, r.href) for r in out] == [(0, "/archives/1"), (1, "/archives/2")]
     imgs = '<div id="primary"><img src="x.svg"><img src="a.png"></div>'
     assert [r.item_pos for r in web.extract_images(_pages(spark, imgs)).collect()] == [0]
+
+
+def test_url_functions_against_python_model(spark):
+    """Randomized URLs: resolve_url / url_origin / request_path vs a model
+    built on urllib.parse and the reference's resolution rule."""
+    import random
+    from urllib.parse import quote_plus, urlsplit
+    rnd = random.Random(11)
+    segs = ["a", "bb", "c-d", "e.f", "", "x_y"]
+
+    def rand_url():
+        host = rnd.choice(["h.com", "www.ex-ample.org", "k8s.io"])
+        auth = (rnd.choice(["", "u@", "u:p@"]) + host + rnd.choice(["", ":80", ":8443"]))
+        path = "".join("/" + rnd.choice(segs) for _ in range(rnd.randrange(0, 4)))
+        query = rnd.choice(["", "?q=1", "?a=b&c=d"])
+        frag = rnd.choice(["", "#top"])
+        return rnd.choice(["http", "https"]) + "://" + auth + path + query + frag
+
+    def model_origin(u):
+        p = urlsplit(u)
+        return f"{p.scheme}://{p.hostname}" + (f":{p.port}" if p.port else "")
+
+    def model_resolve(target, base):
+        if target.startswith("http"):
+            return target
+        if target.startswith("/"):
+            return model_origin(base) + target
+        return model_origin(base) + urlsplit(base).path + "/" + target
+
+    def model_request_path(u):
+        p = urlsplit(u)
+        if p.path == "":
+            out = "/"
+        else:
+            core = p.path.rstrip("/")
+            out = "/".join(quote_plus(x, safe="*") for x in core.split("/"))
+            if p.path.endswith("/"):
+                out += "/"
+        return out + (f"?{p.query}" if "?" in u else "")
+
+    cases = [(rand_url(), rnd.choice(["/r", "rel/x", "http://o.com/z", "q"])) for _ in range(500)]
+    df = spark.createDataFrame(cases, "base string, target string")
+    got = df.select("base", "target", urls.url_origin("base").alias("o"),
+                    urls.resolve_url("target", "base").alias("r"),
+                    urls.request_path("base").alias("p")).collect()
+    for row in got:
+        assert row.o == model_origin(row.base), row
+        assert row.r == model_resolve(row.target, row.base), row
+        assert row.p == model_request_path(row.base), row
