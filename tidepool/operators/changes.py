@@ -323,6 +323,10 @@ def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op
     # one row per changed key with its first and last seq chunk; one job
     # gives its size (broadcast decision) and whether any key spans chunks
     span = ch.groupBy(*keys).agg(F.min("_chunk").alias("_c0"), F.max("_chunk").alias("_c1"))
+    if materialize:
+        # narrow (keys + 2 longs) and used three times: size check, the
+        # table's own rows, and the final anti-join
+        span = cut_lineage(span, "changes-keys")
     stats = span.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(span)).alias("b"),
                      F.max((F.col("_c0") != F.col("_c1")).cast("int")).alias("multi")).first()
     multi_chunk = bool(stats["multi"])
