@@ -289,3 +289,12 @@ def test_duplicate_table_keys_raise(spark):
     t = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
     with pytest.raises(ValueError, match="duplicate keys"):
         chg.apply_changes(t, _changes(spark, [(1, 1, "U", "x")]), ["k"], ctx=CTX)
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 2])
+def test_worked_example_without_materialization(spark, chunk):
+    r = chg.apply_changes(_target(spark), _changes(spark), ["k"], ctx=CTX, chunk_width=chunk,
+                          checkpoint=False)
+    assert sorted(tuple(x) for x in r.base.collect()) == [(1, "a3"), (3, "c2")]
+    assert sorted((x.type, x.k, x.v) for x in r.history.collect()) == [
+        ("D", 1, "a1"), ("D", 2, "b"), ("U", 1, "a"), ("U", 1, "a2"), ("U", 3, "c")]
