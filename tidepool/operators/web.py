@@ -285,6 +285,8 @@ def resolve_redirects(log: DataFrame, max_hops: int = 5, start: DataFrame | None
     for _ in range(max_hops):
         if materialize:
             cur = cut_lineage(cur, "redirect-frontier")
+            if cur.where(F.col("outcome") == "follow").limit(1).count() == 0:
+                break  # every chain has ended: no more hops to join
         done.append(cur.where(F.col("outcome") != "follow").select(*cols))
         moving = cur.where(F.col("outcome") == "follow")
         looped = moving.where(F.array_contains("seen", F.col("next")))
