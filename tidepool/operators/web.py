@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions import html as H
 from ..functions.text import contains_ci
 from ..functions.urls import pager_label, resolve_url
-from ..session import ensure_parallelism, ship_package
+from ..session import cut_lineage, ensure_parallelism, ship_package
 
 # Fixed values of the reference's extractors (selectors and filters).
 RULE_LINKS = H.Rule(scope=(("#vContent",),), items="a")                       # W1
@@ -236,6 +236,8 @@ def crawl_expand(roots: DataFrame, pages: DataFrame, hop1: H.Rule, hop2: H.Rule,
     links = extract_items(r, hop1, ("href",), id_cols=("root_id", "url"))
     resolved = links.select("root_id", F.col("pos").alias("hop1_pos"),
                             resolve_url(F.col("href"), F.col("url")).alias("target_url"))
+    # read twice (distinct targets, final join): parse the roots once
+    resolved = cut_lineage(resolved, "crawl-links")
     wanted = resolved.select("target_url").distinct()
     targets = (pages.select(F.col(page_id).alias("target_id"), F.col("url").alias("target_url"), "html")
                .join(wanted, "target_url", "left_semi"))
@@ -263,8 +265,6 @@ def resolve_redirects(log: DataFrame, max_hops: int = 5, start: DataFrame | None
     the still-moving frontier with the edges per hop. The frontier is written
     to the checkpoint folder each hop, so no hop recomputes earlier ones.
     """
-    from ..session import cut_lineage
-
     def outcome(status: Column, nxt: Column) -> Column:
         return (F.when(status.isNull(), F.lit("error"))
                 .when(status == 200, F.lit("ok"))
