@@ -138,3 +138,11 @@ def test_jdbc_read_validates_partitioning(spark):
     from tidepool.sources.tables import jdbc_read
     with pytest.raises(ValueError, match="bounds"):
         jdbc_read(spark, "jdbc:none://x", "t", partition_column="id", lower_bound=0)
+
+
+def test_read_shards_names_with_special_characters(spark, tmp_path):
+    names = ["A.B", "A.B+1", "X(y)"]
+    for i, n in enumerate(names):
+        spark.createDataFrame([(i,)], "v int").write.parquet(str(tmp_path / f"t_{n}" / "data"))
+    df = q.read_shards(spark, str(tmp_path / "t_{T}" / "data"), "{T}", names, source_name="tenant")
+    assert sorted((r.tenant, r.v) for r in df.collect()) == [("A.B", 0), ("A.B+1", 1), ("X(y)", 2)]
