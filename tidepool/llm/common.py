@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 
 # White space of the word contracts: space, tab, LF, VT, FF, CR.
 SPACE = r"\x20\x09-\x0D"
@@ -100,3 +100,21 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             break
     ends = e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(ends)
+
+
+def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """``df`` written once to the shared folder with zstandard (for wide or
+    large intermediates) and read back."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    w = df.write.option("compression", "zstd")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def mixed(x):
+    """splitmix64 finaliser over a numpy uint64 array."""
+    import numpy as np
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, radix_dedup, token_planes
+from . import mixing, ngram_join, radix_dedup, token_planes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,9 @@ def op5_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_planes.write_planes(table(spark, sf_dir, "documents"), default_tokenizer())
     return token_planes.digests(token_planes.read_documents(spark, path))
+
+
+@query("op7_ngram_join")
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.join(docs).select("doc_id", "n_shingles", "component_id")

@@ -40,7 +40,7 @@ CACHE_PIECES = 400_000
 BATCH_BYTES = 4 << 20
 
 # White space other than space, tab, CR, LF: texts with it are encoded whole.
-_ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _KIND = np.zeros(256, np.uint8)  # 0 other, 1 letter, 2 ASCII sign or digit, 3 white space
 _KIND[[*range(65, 91), *range(97, 123)]] = 1
 _KIND[[*range(33, 65), *range(91, 97), *range(123, 127)]] = 2
