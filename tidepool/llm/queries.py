@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, radix_dedup, token_planes
+from . import decontaminate, mixing, ngram_join, radix_dedup, token_planes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +85,16 @@ def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.join(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op2_template_decontamination")
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = decontaminate.with_uid(table(spark, sf_dir, "documents"))
+    return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).drop("_uid")
+
+
+@query("op10_toxicity_fm")
+def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels")) \
+        .select("doc_id", "held_out", "score", "predicted")

@@ -36,7 +36,7 @@ from .common import partitions
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 BATCH_BYTES = 4 << 20
 
 # White space other than space, tab, CR, LF: texts with it are encoded whole.
