@@ -118,3 +118,26 @@ def mixed(x):
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that ``df`` doesn't have (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for w in wanted:
+        while w.lower() in taken:
+            w = "_" + w
+        taken.add(w.lower())
+        out.append(w)
+    return out
+
+
+def col(name: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` written once with a unique row number; its column's name."""
+    uid = free_names(docs, "_uid")[0]
+    return stored(docs.withColumn(uid, F.monotonically_increasing_id()), name), uid

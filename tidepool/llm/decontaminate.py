@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import fits_broadcast
 from ..session import cut_lineage
-from .common import stored
+from .common import col, numbered
 
 WINDOW = 5
 COVERAGE = 0.8
@@ -139,12 +139,15 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = WINDOW, coverage: f
         F.coalesce("reparameterised", F.lit(False)).alias("reparameterised"))
 
 
-def with_uid(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_uid", F.monotonically_increasing_id())
+def report(docs: DataFrame, items: DataFrame, n: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
+    """``contaminated`` for rows of ``docs`` (doc_id, text), without row numbers."""
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_uid"))
+    return contaminated(rows, items, n, coverage).drop("_uid")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    rows = stored(with_uid(docs), "decon-docs")
-    bad = contaminated(rows, items).select("_uid").distinct()
-    return rows.join(bad, "_uid", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, uid = numbered(docs, "decon-docs")
+    bad = (contaminated(rows.select(col(uid).alias("_uid"), "doc_id", "text"), items)
+           .select(F.col("_uid").alias(uid)).distinct())
+    return rows.join(bad, uid, "left_anti").select(*[col(c) for c in docs.columns])

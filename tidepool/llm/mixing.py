@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import SPACE, WORD, running_sum, word_array
+from .common import SPACE, WORD, col, free_names, numbered, running_sum, word_array
 
 SEED = "mix-1"
 
@@ -68,12 +68,11 @@ def mix_plan(docs: DataFrame, weights: list[float], share: float, max_epochs: fl
              seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per row: doc_id, size, source_size, target, taken, ``epochs`` (whole
     takes), ``part`` (words of one more take), and the ``carry`` columns."""
-    c = lambda x: F.col(f"`{x}`")
     rows = cut_lineage(docs.select(
-        c(doc_id).alias("doc_id"), F.coalesce(c(source), F.lit("")).alias("_src"),
-        c(source).isNull().cast("int").alias("_none"), random_key(c(doc_id), seed).alias("_key"),
-        F.size(word_array(c(text))).cast("long").alias("size"), F.xxhash64(c(text)).alias("_tie"),
-        *[c(x).alias(x) for x in carry]), "mix-rows")
+        col(doc_id).alias("doc_id"), F.coalesce(col(source), F.lit("")).alias("_src"),
+        col(source).isNull().cast("int").alias("_none"), random_key(col(doc_id), seed).alias("_key"),
+        F.size(word_array(col(text))).cast("long").alias("size"), F.xxhash64(col(text)).alias("_tie"),
+        *[col(x) for x in carry]), "mix-rows")
     sources = rows.groupBy("_none", "_src").agg(F.sum("size").alias("source_size"))
     plan = cut_lineage(targets(cyclic_weights(sources, weights), share, max_epochs), "mix-targets")
     ranked = running_sum(rows, ["_none", "_src"], ["_key", "doc_id", "_tie"], "size", "_before", "mix")
@@ -91,17 +90,17 @@ def mix(docs: DataFrame, weights: list[float], share: float, max_epochs: float,
     """The mixed rows themselves, with the columns of ``docs``: a row stands
     there once for each whole take and once more, cut after ``part`` words,
     for a partial take (``n_chars``, if there, follows a cut text)."""
-    uid = cut_lineage(docs.withColumn("_uid", F.monotonically_increasing_id()), "mix-docs")
-    plan = mix_plan(uid, weights, share, max_epochs, text, source, doc_id, seed, carry=("_uid",))
-    takes = plan.where("taken > 0").select("_uid", F.explode(F.concat(
+    rows, uid = numbered(docs, "mix-docs")
+    words = free_names(rows, "_words")[0]
+    plan = mix_plan(rows, weights, share, max_epochs, text, source, doc_id, seed, carry=(uid,))
+    takes = plan.where("taken > 0").select(uid, F.explode(F.concat(
         F.array_repeat(F.lit(None).cast("long"), F.col("epochs").cast("int")),
         F.when(F.col("part") > 0, F.array(F.when(F.col("part") < F.col("size"), F.col("part"))))
-        .otherwise(F.array().cast("array<long>")))).alias("_words"))
-    t = F.col(f"`{text}`")
-    pieces = F.regexp_extract_all(t, F.lit(rf"([{SPACE}]*{WORD})"), 1)
-    first = F.array_join(F.slice(pieces, F.lit(1), F.col("_words").cast("int")), "")
-    out = uid.join(takes, "_uid").withColumn(text, F.when(F.col("_words").isNull(), t).otherwise(first))
+        .otherwise(F.array().cast("array<long>")))).alias(words))
+    pieces = F.regexp_extract_all(col(text), F.lit(rf"([{SPACE}]*{WORD})"), 1)
+    first = F.array_join(F.slice(pieces, F.lit(1), F.col(words).cast("int")), "")
+    out = rows.join(takes, uid).withColumn(text, F.when(F.col(words).isNull(), col(text)).otherwise(first))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_words").isNull(), F.col("n_chars"))
-                             .otherwise(F.length(F.col(f"`{text}`"))).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.withColumn("n_chars", F.when(F.col(words).isNull(), F.col("n_chars"))
+                             .otherwise(F.length(col(text))).cast(docs.schema["n_chars"].dataType))
+    return out.select(*[col(c) for c in docs.columns])

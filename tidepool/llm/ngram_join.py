@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
 from ..session import cut_lineage, ship_package
-from .common import ascii_lower, components, mixed, partitions, range_sorted, stored, word_array
+from .common import (ascii_lower, col, components, mixed, numbered, partitions, range_sorted,
+                     stored, word_array)
 
 WORDS = 4
 NUM, DEN = 85, 100            # linked: DEN * intersection >= NUM * union
@@ -73,11 +74,11 @@ def _chain(parts: list[np.ndarray]) -> np.ndarray:
     return mixed(h + _C)
 
 
-def token_sets(col: pa.Array, k: int = WORDS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def token_sets(lists: pa.Array, k: int = WORDS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(word hashes, sorted distinct shingle hashes) of each row of a list column."""
-    offs = col.offsets.to_numpy()
+    offs = lists.offsets.to_numpy()
     base = offs[0]
-    flat = col.values.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
+    flat = lists.values.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
     flat = flat[base:offs[-1]]
     whole = _chain([flat[i:len(flat) - k + 1 + i] for i in range(k)]) if len(flat) >= k else flat[:0]
     for lo, hi in zip(offs[:-1] - base, offs[1:] - base):
@@ -436,22 +437,32 @@ def linked(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
             return sizes, components(links.unionByName(verified(fresh, texts)))
 
 
-def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with ``n_shingles``, ``component_id`` (smallest doc_id reachable)
-    and ``first_of_component`` (true for one row of each component)."""
-    own = [c for c in docs.columns if c not in ("n_shingles", "component_id", "first_of_component")]
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("_uid"), *[F.col(f"`{c}`") for c in own]),
-                  "ngram-docs")
-    texts = rows.select(F.col("_uid").alias("uid"), F.col(f"`{text}`").alias("text"))
+def join_rows(rows: DataFrame, uid: str = "_uid", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """For a written table with a unique ``uid``: uid, doc_id, n_shingles,
+    component_id (smallest doc_id reachable) and first_of_component (true for
+    one row of each component)."""
+    texts = rows.select(col(uid).alias("uid"), col(text).alias("text"))
     sizes, comps = linked(texts)
-    key = F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"), "_uid")
-    ids = rows.select("_uid", key.alias("_key"))
-    member = comps.toDF("_uid", "_comp").join(ids, "_uid")
-    first = cut_lineage(member.groupBy("_comp").agg(F.min("_key").alias("_first")), "ngram-first")
-    of = cut_lineage(comps.toDF("_uid", "_comp").join(first, "_comp")
-                     .select("_uid", "_first"), "ngram-of")
-    return (rows.join(sizes.toDF("_uid", "n_shingles"), "_uid", "left").join(of, "_uid", "left")
-            .withColumn("_first", F.coalesce("_first", key))
-            .select(*[F.col(f"`{c}`") for c in own], F.col("n_shingles").cast("long").alias("n_shingles"),
-                    F.col("_first.id").alias("component_id"),
-                    (F.col("_first._uid") == F.col("_uid")).alias("first_of_component")))
+    ids = rows.select(col(uid).alias("uid"), col(doc_id).alias("doc_id"))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "uid")
+    member = comps.toDF("uid", "comp").join(ids, "uid").withColumn("key", key)
+    first = cut_lineage(member.groupBy("comp").agg(F.min("key").alias("first")), "ngram-first")
+    of = cut_lineage(comps.toDF("uid", "comp").join(first, "comp").select("uid", "first"), "ngram-of")
+    return (ids.join(sizes, "uid", "left").join(of, "uid", "left")
+            .withColumn("first", F.coalesce("first", key))
+            .select("uid", "doc_id", F.col("n").cast("long").alias("n_shingles"),
+                    F.col("first.id").alias("component_id"),
+                    (F.col("first.uid") == F.col("uid")).alias("first_of_component")))
+
+
+def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, first_of_component."""
+    rows, uid = numbered(docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")), "ngram-docs")
+    return join_rows(rows, uid).drop("uid")
+
+
+def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest doc_id."""
+    rows, uid = numbered(docs, "ngram-docs")
+    rest = join_rows(rows, uid, text, doc_id).where("not first_of_component").select(F.col("uid").alias(uid))
+    return rows.join(rest, uid, "left_anti").select(*[col(c) for c in docs.columns])

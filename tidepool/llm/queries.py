@@ -83,14 +83,12 @@ def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_ngram_join")
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return ngram_join.join(docs).select("doc_id", "n_shingles", "component_id")
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @query("op2_template_decontamination")
 def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = decontaminate.with_uid(table(spark, sf_dir, "documents"))
-    return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).drop("_uid")
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 @query("op10_toxicity_fm")

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .common import free_names
 
 HASH_BITS = 40
 MAX_ROWS = 8_000
@@ -148,3 +149,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     scored = score(docs, train(docs, labels))
     return (scored.withColumn("held_out", held_out(F.col("doc_id")))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that the model calls toxic."""
+    out = free_names(docs, "_toxicity")[0]
+    return score(docs, train(docs, labels), out=out).where(F.col(out) < threshold).drop(out)
