@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, ngram_join, radix_dedup, token_planes, toxicity
+from . import chat_tree, decontaminate, mixing, ngram_join, radix_dedup, token_planes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,28 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.toxicity(docs, table(spark, sf_dir, "labels")) \
         .select("doc_id", "held_out", "score", "predicted")
+
+
+CHAT_PROBE = "\\### Assistant: </turn> ok"
+
+
+@query("op1_chat_tree", r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+f AS (
+  SELECT *, 15 + length(role) + len(regexp_extract_all(role, '\\|###|</turn>|:'))
+              + length(text) + len(regexp_extract_all(text, '\\|###|</turn>')) AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+""")
+def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", CHAT_PROBE), (-7, 1, "assistant", CHAT_PROBE)], convs.schema)
+    path = chat_tree.write_tree(convs.unionByName(probe), default_tokenizer())
+    return chat_tree.digests(spark, path, default_tokenizer())
