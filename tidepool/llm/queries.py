@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_tree, decontaminate, mixing, ngram_join, radix_dedup, token_planes, toxicity
+from . import chat_tree, decontaminate, mixing, ngram_join, radix_dedup, site_quality, token_planes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +121,8 @@ def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-7, 0, "user", CHAT_PROBE), (-7, 1, "assistant", CHAT_PROBE)], convs.schema)
     path = chat_tree.write_tree(convs.unionByName(probe), default_tokenizer())
     return chat_tree.digests(spark, path, default_tokenizer())
+
+
+@query("op9_site_quality")
+def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
