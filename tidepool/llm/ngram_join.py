@@ -14,14 +14,12 @@ are indexed alone and frequent ones by combinations of c tokens of a group.
 The number of groups depends on a document's size class; each document is
 indexed for its own class and the next, which is as far as linked sizes go.
 
-Index rows of one signature are range-partitioned, so a signature that very
-many documents have is split. Candidates are verified exactly (intersection of
-the token sets, as 64-bit hashes). No bucket is expanded into all pairs:
-neighbours within a bucket are verified first and joined into components, then
-only pairs of one bucket that lie in different components are left; they are
-probed by further neighbour rounds while those still join much, and the rest is
-verified without exception. So every link between different components is
-found, and links inside one need not be listed.
+A rare token's bucket has fewer than ``FREQUENT`` documents, so its pairs are
+counted: two documents share at most as many tokens as they share indexed ones
+plus what lies beyond their prefixes, and pairs that can't reach the overlap
+are out. Buckets of combinations may be of any size; ``bucket_join`` finds their
+links without expanding them. Candidates are verified exactly (intersection of
+the token sets, as 64-bit hashes).
 
 Defined cases: null, empty or blank texts have no tokens and stay alone; rows
 with equal text are linked (through one of them); rows with equal doc_id are
@@ -42,19 +40,17 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
 from ..session import cut_lineage, ship_package
-from .common import (ascii_lower, col, components, mixed, numbered, partitions, range_sorted,
-                     stored, word_array)
+from .bucket_join import Test, link_components, sorted_runs
+from .common import ascii_lower, col, mixed, numbered, partitions, stored, word_array
 
 WORDS = 4
 NUM, DEN = 85, 100            # linked: DEN * intersection >= NUM * union
 COUNT_BITS = 40               # tokens are counted by this many bits of their hash
 MAX_FREQUENT = 1 << 20        # bound of the broadcast class table; rarer tokens count as rare
-FREQUENT = 32                 # least count of a frequent token (doubled until the table fits)
+FREQUENT = 16                 # least count of a frequent token (doubled until the table fits)
 VERY_FREQUENT = 32            # times that: least count of class 3
 GROUP_SHARE = 0.05            # groups of a frequent class, of a document's size
 TINY = 6                      # sets up to this size have no loss (e = 0)
-NEIGHBOURS = 2
-REST_FACTOR = 20              # probe on while the rest has more pairs than this times its rows
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -186,25 +182,27 @@ def groups_of(level: int) -> int:
     return max(1, int(GROUP_SHARE * (1 / (NUM / DEN - 0.01)) ** (level - 1)))
 
 
-def signatures(tokens: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Signatures of a set: sorted distinct tokens and the class of each."""
+def signatures(tokens: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rare tokens to index alone, and other signatures, of a set: its sorted
+    distinct tokens and the class of each."""
     n = len(tokens)
     if n <= TINY:
-        return _chain([tokens[i:i + 1] for i in range(n)] + [np.array([n], np.uint64)])
+        return tokens[:0], _whole(tokens)
     need = n - least_overlap(n) + 1
     rare = tokens[classes == 1]
-    if len(rare) >= need:
-        out = [rare[:need]]
-    else:
-        out = [rare]
+    others = []
+    if len(rare) < need:
         often = [(int(c), t) for c in (2, 3) for t in tokens[classes == c]]
         own = size_class(n)
         for level in (own, own + 1):
-            out += _combined(often, need - len(rare), level)
+            others += _combined(often, need - len(rare), level)
     if n == TINY + 1:  # a set of TINY tokens can lie within one of TINY + 1
-        out += [_chain([x[i:i + 1] for i in range(TINY)] + [np.array([TINY], np.uint64)])
-                for x in (np.delete(tokens, i) for i in range(n))]
-    return np.unique(np.concatenate(out))
+        others += [_whole(np.delete(tokens, i)) for i in range(n)]
+    return rare[:need], np.unique(np.concatenate(others)) if others else tokens[:0]
+
+
+def _whole(tokens: np.ndarray) -> np.ndarray:
+    return _chain([tokens[i:i + 1] for i in range(len(tokens))] + [np.array([len(tokens)], np.uint64)])
 
 
 def _combined(often: list, left: int, level: int) -> list[np.ndarray]:
@@ -227,14 +225,16 @@ def _combined(often: list, left: int, level: int) -> list[np.ndarray]:
     return out
 
 
-_INDEX = pa.schema([("sig", pa.int64()), ("uid", pa.int64()), ("n", pa.int32()), ("kind", pa.int8())])
-SIGNATURE, COPY, SIZE = 0, 1, 2
+_INDEX = pa.schema([("sig", pa.int64()), ("uid", pa.int64()), ("n", pa.int32()), ("rest", pa.int32()),
+                    ("kind", pa.int8())])
+SINGLE, COMBINED, COPY, SIZE = 0, 1, 2, 3
 _COPIES = 50_000  # texts a task remembers, to index a text that it has seen only once
 
 
 def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarray) -> DataFrame:
-    """kind SIGNATURE: (sig, uid, n); COPY: uid has the same words as document
-    ``sig``, which is indexed in its place; SIZE: the set size n of each uid."""
+    """kind SINGLE or COMBINED: (sig, uid, n, rest), with the set size n and the
+    number of tokens not indexed alone; COPY: uid has the same words as document
+    ``sig``, which is indexed in its place; SIZE: the set size of each uid."""
     shared = words.sparkSession.sparkContext.broadcast((frequent, frequent_class))
     drop = np.uint64(64 - COUNT_BITS)
 
@@ -242,21 +242,19 @@ def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarra
         often, cls = shared.value
         seen: dict[bytes, int] = {}
         for b in batches:
-            sig, uid, size, kind = [], [], [], []
+            out: list[list] = [[], [], [], [], []]
 
-            def add(s, u, n, k):
-                sig.append(s)
-                uid.append(np.full(len(s), u, np.int64))
-                size.append(np.full(len(s), n, np.int32))
-                kind.append(np.full(len(s), k, np.int8))
+            def add(sig, u, n, rest, kind):
+                for x, v in zip(out, (sig, u, n, rest, kind)):
+                    x.append(v if v is sig else np.full(len(sig), v, np.int64))
 
             for u, (w, t) in zip(b.column(0).to_pylist(), token_sets(b.column(1))):
-                add(np.zeros(1, np.int64), u, len(t), SIZE)
+                add(np.zeros(1, np.int64), u, len(t), 0, SIZE)
                 if not len(t):
                     continue
                 key = hashlib.blake2b(w.tobytes(), digest_size=16).digest()
                 if key in seen:
-                    add(np.array([seen[key]], np.int64), u, len(t), COPY)
+                    add(np.array([seen[key]], np.int64), u, len(t), 0, COPY)
                     continue
                 if len(seen) >= _COPIES:
                     seen.clear()
@@ -266,78 +264,49 @@ def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarra
                     short = t >> drop
                     at = np.minimum(np.searchsorted(often, short), len(often) - 1)
                     c = np.where(often[at] == short, cls[at], 1)
-                add(signatures(t, c).view(np.int64), u, len(t), SIGNATURE)
-            if sig:
+                single, combined = signatures(t, c)
+                add(single.view(np.int64), u, len(t), len(t) - len(single), SINGLE)
+                add(combined.view(np.int64), u, len(t), 0, COMBINED)
+            if out[0]:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (sig, uid, size, kind)], schema=_INDEX)
+                    [pa.array(np.concatenate(x).astype(f.type.to_pandas_dtype())) for x, f in zip(out, _INDEX)],
+                    schema=_INDEX)
 
-    return words.mapInArrow(index, "sig long, uid long, n int, kind byte")
+    return words.mapInArrow(index, "sig long, uid long, n int, rest int, kind byte")
 
 
 # ---- candidates -----------------------------------------------------------
 
-def _near_sizes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def near_sizes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return DEN * np.minimum(a, b).astype(np.int64) >= NUM * np.maximum(a, b).astype(np.int64)
 
 
-def _neighbours(rows: Iterator[pa.RecordBatch], reach: int):
-    """Over rows (sig, uid, n) sorted by sig: (rows whose signature occurs
-    again, pairs of neighbours). A run that touches either end of the
-    partition may go on in the next one and is kept."""
-    held = None
-    first = True
-
-    def emit(sig, uid, n, head, tail):
-        if not len(sig):
-            return None
-        new = np.flatnonzero(np.diff(sig, prepend=sig[0] - 1) != 0)
-        run = np.diff(np.append(new, len(sig)))
-        keep = np.repeat(run, run) > 1
-        if head:
-            keep[:run[0]] = True
-        if tail:
-            keep[len(sig) - run[-1]:] = True
-        pairs = []
-        for d in range(1, reach + 1):
-            at = np.flatnonzero((sig[:-d] == sig[d:]) & (uid[:-d] != uid[d:]) & _near_sizes(n[:-d], n[d:])) \
-                if len(sig) > d else np.zeros(0, int)
-            pairs.append(np.stack([np.minimum(uid[at], uid[at + d]), np.maximum(uid[at], uid[at + d])], 1))
-        pairs = np.unique(np.concatenate(pairs), axis=0)
-        keep = np.flatnonzero(keep)
-        k, p = len(keep), len(pairs)
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([sig[keep], pairs[:, 0]])), pa.array(np.concatenate([uid[keep], pairs[:, 1]])),
-            pa.array(np.concatenate([n[keep], np.zeros(p, np.int32)])),
-            pa.array(np.repeat(np.array([0, 1], np.int8), [k, p]))], schema=_INDEX)
-
-    for b in rows:
-        if not b.num_rows:
-            continue
-        cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-        if held is not None:
-            cols = [np.concatenate(x) for x in zip(held, cols)]
-        sig = cols[0]
-        cut = np.searchsorted(sig, sig[-1])  # the last run may go on in the next batch
-        if cut:
-            out = emit(*(c[:cut] for c in cols), first, False)
-            first = False
-            if out is not None and out.num_rows:
-                yield out
-        held = [c[cut:] for c in cols]
-    if held is not None:
-        out = emit(*held, first, True)
-        if out.num_rows:
-            yield out
-
-
-def buckets_and_pairs(index: DataFrame, reach: int = NEIGHBOURS) -> tuple[DataFrame, DataFrame]:
-    rows = index.where(F.col("kind") == SIGNATURE).select("sig", "uid", "n")
-    spark = index.sparkSession
-    ordered = rows.repartitionByRange(partitions(spark), "sig", "uid").sortWithinPartitions("sig", "uid")
-    out = stored(ordered.mapInArrow(lambda it: _neighbours(it, reach), "sig long, uid long, n int, kind byte"),
-                 "ngram-buckets", "kind")
-    pairs = out.where("kind = 1").select(F.col("sig").alias("a"), F.col("uid").alias("b")).distinct()
-    return out.where("kind = 0").select("sig", "uid", "n"), pairs
+def rare_pairs(singles: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share enough rare tokens. A bucket has fewer rows than
+    a frequent token's count, so each index row has a bounded number of pairs."""
+    rows = singles.select("sig", "uid", "n", "rest").repartition(partitions(singles.sparkSession), "sig") \
+        .sortWithinPartitions("sig", "uid")
+
+    def expand(batches):
+        for sig, uid, n, rest in sorted_runs(batches):
+            out = []
+            for d in range(1, len(sig)):
+                at = np.flatnonzero(sig[:-d] == sig[d:])
+                if not len(at):  # no bucket has more than d rows
+                    break
+                at = at[near_sizes(n[at], n[at + d])]
+                x, y = at, at + d
+                both = n[x].astype(np.int64) + n[y]
+                overlap = -(-NUM * both // (NUM + DEN))
+                least = np.maximum(1, overlap - np.maximum(rest[x], rest[y]))
+                out.append((np.minimum(uid[x], uid[y]), np.maximum(uid[x], uid[y]), least.astype(np.int32)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)],
+                                                 names=["a", "b", "least"])
+
+    return (rows.mapInArrow(expand, "a long, b long, least int").groupBy("a", "b")
+            .agg(F.count(F.lit(1)).alias("shared"), F.max("least").alias("least"))
+            .where("shared >= least").select("a", "b"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -356,53 +325,10 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     own = cut_lineage(hashed_words(some).mapInArrow(sets, "uid long, s array<long>"), "ngram-sets")
     one, two = own.toDF("a", "sa"), own.toDF("b", "sb")
     shared = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(one, "a").join(two, "b").withColumn("i", shared)
+    return (pairs.join(one, "a").join(two.hint("merge"), "b").withColumn("i", shared)
             .where(DEN * F.col("i") >= NUM * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b"))
 
 
-def label(df: DataFrame, comps: DataFrame) -> DataFrame:
-    return (df.join(comps.toDF("uid", "comp"), "uid", "left")
-            .withColumn("comp", F.coalesce("comp", "uid")))
-
-
-def rest_of(buckets: DataFrame, comps: DataFrame) -> tuple[DataFrame, int, int]:
-    """Rows (sig, uid, n, comp) of buckets with several components; their
-    number, and that of their pairs across components."""
-    rows = cut_lineage(label(buckets, comps), "ngram-labelled")
-    per = rows.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("k"))
-    sums = (per.groupBy("sig").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("own"),
-                                   F.count(F.lit(1)).alias("c")).where("c > 1"))
-    sums = cut_lineage(sums, "ngram-open")
-    n, pairs = sums.agg(F.coalesce(F.sum("all"), F.lit(0)),
-                        F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2), F.lit(0))).first()
-    return cut_lineage(rows.join(sums.select("sig"), "sig"), "ngram-rest"), int(n), int(pairs)
-
-
-def probe(rest: DataFrame, turn: int) -> DataFrame:
-    """Pairs of neighbours across components in another order of each bucket."""
-    mixed_rows = cut_lineage(rest.withColumn("o", F.xxhash64("uid", F.lit(turn))), "ngram-mixed")
-    ordered = range_sorted(mixed_rows, ["sig", "o", "uid"], "ngram-probe")
-
-    def near(batches):
-        for b in batches:
-            sig, uid, n, comp = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            for d in range(1, 2 * NEIGHBOURS + 1):
-                if len(sig) > d:
-                    at = np.flatnonzero((sig[:-d] == sig[d:]) & (comp[:-d] != comp[d:]) & _near_sizes(n[:-d], n[d:]))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(uid[at], uid[at + d])), pa.array(np.maximum(uid[at], uid[at + d]))],
-                        names=["a", "b"])
-
-    return ordered.select("sig", "uid", "n", "comp").mapInArrow(near, "a long, b long").distinct()
-
-
-def rest_pairs(rest: DataFrame) -> DataFrame:
-    x, y = rest.toDF(*(f"{c}1" for c in rest.columns)), rest.toDF(*(f"{c}2" for c in rest.columns))
-    return (x.join(y, (F.col("sig1") == F.col("sig2")) & (F.col("comp1") < F.col("comp2")) &
-                   (F.least("n1", "n2") * DEN >= F.greatest("n1", "n2") * NUM))
-            .select(F.least("uid1", "uid2").alias("a"), F.greatest("uid1", "uid2").alias("b")).distinct())
-
-
 def linked(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(uid, n) and (node, component) for a written table (uid, text, ...)."""
     ship_package(texts.sparkSession)
@@ -410,31 +336,12 @@ def linked(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     index = stored(index_rows(words, *token_classes(words)), "ngram-index", "kind")
     sizes = index.where(F.col("kind") == SIZE).select("uid", "n")
     copies = index.where(F.col("kind") == COPY).select(F.col("sig").alias("a"), F.col("uid").alias("b"))
-    buckets, pairs = buckets_and_pairs(index)
-    tested = cut_lineage(pairs, "ngram-pairs")
-    links = cut_lineage(verified(tested, texts).unionByName(copies), "ngram-links")
-    comps = components(links)
-    turn = 0
-    while True:
-        rest, rows, left = rest_of(buckets, comps)
-        if not left:
-            return sizes, comps
-        last = left <= REST_FACTOR * rows
-        fresh = cut_lineage((rest_pairs(rest) if last else probe(rest, turn))
-                            .join(tested, ["a", "b"], "left_anti"), "ngram-more")
-        more = cut_lineage(verified(fresh, texts), "ngram-links")
-        found = more.count()
-        if found:
-            links = links.unionByName(more)
-            comps = components(links)
-        if last:
-            return sizes, comps
-        tested = tested.unionByName(fresh)
-        turn += 1
-        if found * REST_FACTOR < rows:  # probing joins little: verify the whole rest
-            rest, _, left = rest_of(buckets, comps)
-            fresh = rest_pairs(rest).join(tested, ["a", "b"], "left_anti")
-            return sizes, components(links.unionByName(verified(fresh, texts)))
+    test = Test(near_sizes, lambda a, b: F.least(a, b) * DEN >= F.greatest(a, b) * NUM,
+                lambda pairs: verified(pairs, texts))
+    pairs = cut_lineage(rare_pairs(index.where(F.col("kind") == SINGLE)), "ngram-pairs")
+    links = cut_lineage(verified(pairs, texts).unionByName(copies), "ngram-links")
+    combined = index.where(F.col("kind") == COMBINED).select("sig", "uid", F.col("n").cast("long").alias("v"))
+    return sizes, link_components(combined, links, pairs, test, "ngram")
 
 
 def join_rows(rows: DataFrame, uid: str = "_uid", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
