@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_tree, decontaminate, mixing, ngram_join, radix_dedup, site_quality, token_planes, toxicity
+from . import (chat_tree, decontaminate, line_dedup, mixing, ngram_join, radix_dedup, site_quality,
+               token_planes, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +127,8 @@ def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_site_quality")
 def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_fuzzy_lines")
+def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
