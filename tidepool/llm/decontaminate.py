@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sizing import fits_broadcast
+from ..operators.sizing import broadcast_if_small
 from ..session import cut_lineage
 from .common import col, numbered
 
@@ -102,13 +102,11 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     # outer: for a plain explode Spark infers a filter on the array's size and
     # pushes its whole expression down, to be worked out once more for each word
     d = windows(docs.select("_uid", "doc_id", "text"), n)
-    if fits_broadcast(own):
-        # the words ride along by reference; only a match cuts its window out
-        d = d.select("_uid", "doc_id", "w", F.posexplode_outer("hs").alias("pos", "h")) \
-            .join(F.broadcast(own), "h").withColumn("dw", F.slice("w", F.col("pos") + 1, F.lit(n)))
-    else:
-        d = d.select("_uid", "doc_id", "w", F.posexplode_outer("hs").alias("pos", "h")) \
-            .select("_uid", "doc_id", "h", F.slice("w", F.col("pos") + 1, F.lit(n)).alias("dw")).join(own, "h")
+    # only its own words go on with a window: the rows that a document's windows
+    # make are held until the document is done
+    d = d.select("_uid", "doc_id", "w", F.posexplode_outer("hs").alias("pos", "h")) \
+        .select("_uid", "doc_id", "h", F.slice("w", F.col("pos") + 1, F.lit(n)).alias("dw"))
+    d = d.join(broadcast_if_small(own), "h")
     pairs = F.filter(F.zip_with("iw", "dw", lambda i, x: F.struct(i.alias("i"), x.alias("d"))),
                      lambda p: is_slot(p["i"]))
     return (d.where(template(F.col("iw")) == template(F.col("dw")))  # beyond the hash
