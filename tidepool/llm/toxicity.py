@@ -32,7 +32,7 @@ from ..session import ship_package
 from .common import free_names
 
 HASH_BITS = 40
-MAX_ROWS = 8_000
+MAX_ROWS = 5_000
 MIN_ROWS = 4
 MIN_CHI2 = 15.0
 MAX_FEATURES = 4_096
