@@ -42,10 +42,10 @@ from ..operators.sizing import broadcast_if_small
 from ..session import cut_lineage, ship_package
 from .bucket_join import Test, link_components, sorted_runs
 from .common import ascii_lower, col, mixed, numbered, partitions, stored, word_array
+from .packed_counts import COUNT_BITS, key_counts
 
 WORDS = 4
 NUM, DEN = 85, 100            # linked: DEN * intersection >= NUM * union
-COUNT_BITS = 40               # tokens are counted by this many bits of their hash
 MAX_FREQUENT = 1 << 20        # bound of the broadcast class table; rarer tokens count as rare
 FREQUENT = 16                 # least count of a frequent token (doubled until the table fits)
 VERY_FREQUENT = 32            # times that: least count of class 3
@@ -93,75 +93,11 @@ def least_overlap(n: int) -> int:
 
 # ---- counts ---------------------------------------------------------------
 
-def _pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys and their counts, small: zstandard over byte planes of the
-    gaps, and the counts above 1."""
-    import zstandard
-    gaps = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
-    more = np.flatnonzero(counts > 1)
-    head = np.array([len(keys), len(more)], "<u8").tobytes()
-    body = gaps.T.tobytes() + more.astype("<u4").tobytes() + counts[more].astype("<u8").tobytes()
-    return head + zstandard.ZstdCompressor(level=1).compress(body)
-
-
-def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    import zstandard
-    n, m = np.frombuffer(blob[:16], "<u8").astype(int)
-    raw = zstandard.ZstdDecompressor().decompress(blob[16:])
-    gaps = np.frombuffer(raw, np.uint8, 8 * n).reshape(8, n).T
-    keys = np.cumsum(np.ascontiguousarray(gaps).view("<u8").reshape(-1), dtype=np.uint64)
-    counts = np.ones(n, np.int64)
-    counts[np.frombuffer(raw, "<u4", m, 8 * n)] = np.frombuffer(raw, "<u8", m, 8 * n + 4 * m)
-    return keys, counts
-
-
-def token_counts(words: DataFrame, buckets: int, least: int) -> DataFrame:
-    """(token, n) of the tokens (the top COUNT_BITS of their hash) that at least
-    ``least`` documents have. Each task counts its own documents and sends one
-    sorted, packed run of keys to each bucket: a token of very many documents
-    costs one entry a task."""
-    drop = np.uint64(64 - COUNT_BITS)
-    bits = max(1, (buckets - 1).bit_length())
-    flush_at = 4_000_000
-
-    def count(batches):
-        held, size = [], 0
-
-        def runs():
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            bucket = keys >> np.uint64(COUNT_BITS - bits)
-            ends = np.searchsorted(bucket, np.arange((1 << bits) + 1, dtype=np.uint64))
-            some = np.flatnonzero(ends[1:] > ends[:-1])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(some.astype(np.int32)),
-                 pa.array([_pack(keys[ends[b]:ends[b + 1]], n[ends[b]:ends[b + 1]]) for b in some], pa.binary())],
-                names=["bucket", "run"])
-
-        for b in batches:
-            for _, t in token_sets(b.column(1)):
-                held.append(t >> drop)
-                size += len(t)
-                if size >= flush_at:
-                    yield runs()
-                    held, size = [], 0
-        if size:
-            yield runs()
-
-    def merge(t: pa.Table) -> pa.Table:
-        runs = [_unpack(x) for x in t.column("run").to_pylist()]
-        keys, at = np.unique(np.concatenate([k for k, _ in runs]), return_inverse=True)
-        n = np.bincount(at, weights=np.concatenate([c for _, c in runs])).astype(np.int64)
-        often = n >= least
-        return pa.table({"token": keys[often].astype(np.int64), "n": n[often]})
-
-    packed = words.mapInArrow(count, "bucket int, run binary")
-    return packed.groupBy("bucket").applyInArrow(merge, "token long, n long")
-
-
 def token_classes(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Sorted frequent tokens and their class (2 or 3), at most MAX_FREQUENT."""
     spark = words.sparkSession
-    counts = cut_lineage(token_counts(words, max(16, 4 * partitions(spark)), FREQUENT), "ngram-counts")
+    counts = cut_lineage(key_counts(words, lambda b: (t for _, t in token_sets(b.column(1))),
+                                    max(16, 4 * partitions(spark)), FREQUENT), "ngram-counts")
     by_size = {r[0]: r[1] for r in counts.groupBy(F.floor(F.log2("n")).alias("p"))
                .agg(F.count(F.lit(1))).collect()}  # one row for each power of two
     least = FREQUENT

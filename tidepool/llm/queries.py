@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (chat_tree, decontaminate, line_dedup, mixing, ngram_join, radix_dedup, site_quality,
-               token_planes, toxicity)
+               suffix_dedup, token_planes, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -132,3 +133,9 @@ def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_fuzzy_lines")
 def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.cut_repeats(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
