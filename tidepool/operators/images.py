@@ -94,36 +94,38 @@ def crop_image(pixels: DataFrame, sizes: DataFrame, image_col: str = "image_id",
     """White canvas of the new size with the box content placed at
     ``(margin_x, margin_y)`` (inclusive box edges). An image with no box is
     passed through. Output pixel table ``(image_id, x, y, argb)``."""
+    # an image's pixels, row after row, in one array beside its sizes: the canvas
+    # points look their source up there, without a join
+    whole = (pixels.groupBy(image_col).agg(F.array_sort(F.collect_list(F.struct("y", "x", "argb"))).alias("_px")))
+    img = sizes.select(image_col, "top_x", "top_y", "bottom_x", "bottom_y", "margin_x", "margin_y", "new_width",
+                       "new_height", "width", "height").join(whole, image_col)
+    img = img.withColumn("_px", F.when(F.size("_px") == F.col("width") * F.col("height"), F.col("_px.argb"))
+                         .otherwise(F.raise_error(F.lit("an image needs one row for each pixel"))))
     # canvas points: rows then columns (nested generators, arrays no longer
     # than one side of the image)
-    grid = sizes.select(
-        image_col, "top_x", "top_y", "bottom_x", "bottom_y", "margin_x", "margin_y", "new_width",
-        F.explode(F.sequence(F.lit(0), F.col("new_height") - 1)).alias("y"))
-    grid = grid.select(
-        image_col, "top_x", "top_y", "bottom_x", "bottom_y", "margin_x", "margin_y", "y",
-        F.explode(F.sequence(F.lit(0), F.col("new_width") - 1)).alias("x"))
+    grid = img.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("new_height") - 1)))
+    grid = grid.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("new_width") - 1)))
     sx = F.coalesce(F.col("x") - F.col("margin_x") + F.col("top_x"), F.col("x"))
     sy = F.coalesce(F.col("y") - F.col("margin_y") + F.col("top_y"), F.col("y"))
     inside = (F.col("top_x").isNull()
               | ((sx >= F.col("top_x")) & (sx <= F.col("bottom_x"))
                  & (sy >= F.col("top_y")) & (sy <= F.col("bottom_y"))))
-    g = grid.select(image_col, "x", "y", F.when(inside, sx).alias("_sx"), F.when(inside, sy).alias("_sy"))
-    src = pixels.select(image_col, F.col("x").alias("_sx"), F.col("y").alias("_sy"),
-                        F.col("argb").alias("_argb"))
-    j = g.join(src, [image_col, "_sx", "_sy"], "left")
-    return j.select(image_col, "x", "y", F.coalesce("_argb", F.lit(base_argb)).alias("argb"))
+    argb = F.when(inside, F.element_at("_px", (sy * F.col("width") + sx + 1).cast("int")))
+    return grid.select(image_col, "x", "y", F.coalesce(argb, F.lit(base_argb)).alias("argb"))
 
 
 def photo_routing(files: DataFrame, name_col: str = "name") -> DataFrame:
     """folder = first 3 chars, new name = first 11 chars + ``.jpg``; the
     first file by name keeps each new name, later ones are dropped.
-    ``groupBy(new_name).min(name)`` then a join (no window over a hot name)."""
+    A new name's first file is the one that equals its ``min(name)``: the join is
+    on both names, so files of one new name are spread over many keys."""
     f = files.select(F.col(name_col).alias("name"),
                      F.substring(name_col, 1, 3).alias("folder"),
                      F.concat(F.substring(name_col, 1, 11), F.lit(".jpg")).alias("new_name"))
     first = f.groupBy("new_name").agg(F.min("name").alias("_first"))
-    return (f.join(first, "new_name")
-            .select("name", "folder", "new_name", (F.col("name") == F.col("_first")).alias("kept")))
+    first = first.select("new_name", F.col("_first").alias("name"), F.lit(True).alias("_kept"))
+    return (f.join(first, ["new_name", "name"], "left")
+            .select("name", "folder", "new_name", F.coalesce("_kept", F.lit(False)).alias("kept")))
 
 
 # ------------------------------------------------------------ numpy path

@@ -20,9 +20,11 @@ from .registry import register
 COLS, ROWS = 40, 30
 TILE = 8
 PI = math.pi
-COS45, SIN45 = math.cos(PI / 4), math.sin(PI / 4)
-COS60, SIN60 = math.cos(PI / 3), math.sin(PI / 3)
 TWO_PI = 2 * PI
+# Angles (radians) and sizes of the example pictures; at none of them does a grid
+# point fall on a line's edge or a pixel's border.
+TILT, LEAN = 0.7, 1.1
+CT, ST, CL, SL = math.cos(TILT), math.sin(TILT), math.cos(LEAN), math.sin(LEAN)
 
 
 def _images(spark, sf_dir):
@@ -34,13 +36,13 @@ def _points(spark, sf_dir, frames=None):
     return R.grid_points(_images(spark, sf_dir), COLS, ROWS, frames)
 
 
-def _tile(spark, sf_dir):
-    """8x8 grey tile of every embedding: argb = grey(clamp(toInt((v + 0.5) * 255)))."""
-    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
-    p = e.select(F.col("vec_id").alias("image_id"), F.posexplode("embedding").alias("pos", "v"))
-    i = R.clamp_intensity(R.to_int_trunc((F.col("v").cast("double") + F.lit(0.5)) * F.lit(255.0)))
-    return p.select("image_id", (F.col("pos") % TILE).cast("int").alias("x"),
-                    (F.col("pos") / TILE).cast("int").alias("y"), R.grey_argb(i).alias("argb"))
+def _tiles(spark, sf_dir):
+    """Every embedding as an 8x8 grey tile in an array, with its grid points."""
+    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"])
+    pixel = lambda v: R.grey_argb(R.clamp_intensity(R.to_int_trunc(
+        (v.cast("double") + F.lit(0.5)) * F.lit(255.0))))
+    images = e.select(F.col("vec_id").alias("image_id"), "label", F.transform("embedding", pixel).alias("tile"))
+    return R.grid_points(images, COLS, ROWS)
 
 
 def _label():
@@ -107,196 +109,190 @@ FROM (SELECT *, {tx} AS tx, {ty} AS ty {_PTS}) q
 LEFT JOIN {_TILE_SQL} t ON t.image_id = q.image_id AND t.x = q.tx AND t.y = q.ty"""
 
 
-# ------------------------------------------------------------------ fields
+# ---------------------------------------------------------------- pictures
 
 @register("raster_red_image", f"SELECT image_id, col, \"row\", -65536 AS value {_PTS}")
 def raster_red_image(spark, sf_dir):
-    return _out(R.evaluate(_points(spark, sf_dir), R.const(R.RED_ARGB)))
+    return _out(R.evaluate(_points(spark, sf_dir), R.constant(R.RED_ARGB)))
 
 
 @register("raster_grid", f"""
-SELECT image_id, col, "row", {_bool_color(_grid(f'({_C} - CAST(image_id % 20 AS DOUBLE))',
-                                                f'({_R} - CAST(label AS DOUBLE))', 20, 5))} AS value {_PTS}
+SELECT image_id, col, "row", {_bool_color(_grid(f'({_C} - CAST(image_id % 17 AS DOUBLE))',
+                                                f'({_R} - CAST(label AS DOUBLE))', 9, 2))} AS value {_PTS}
 """)
 def raster_grid(spark, sf_dir):
-    f = R.bool_to_color(R.translate((F.col("image_id") % 20).cast("double"), _label())(R.grid(20, 5)))
-    return _out(R.evaluate(_points(spark, sf_dir), f))
+    p = R.grid(9, 2).seen(R.move((F.col("image_id") % 17).cast("double"), _label()))
+    return _out(R.evaluate(_points(spark, sf_dir), R.black_white(p)))
 
 
-def _sr_sql(x, y, factor, ca, sa):
-    xr = f"(({x}) * {_f(ca)} - ({y}) * {_f(sa)})"
-    yr = f"(({x}) * {_f(sa)} + ({y}) * {_f(ca)})"
-    return f"({xr} / {_f(factor)})", f"({yr} / {_f(factor)})"
+def _turned_sql(x, y, c, s, factor=1.0):
+    """(x, y) turned, then over ``factor``."""
+    return f"((({x}) * {_f(c)} - ({y}) * {_f(s)}) / {_f(factor)})", f"((({x}) * {_f(s)} + ({y}) * {_f(c)}) / {_f(factor)})"
 
 
-_SRG_X, _SRG_Y = _sr_sql(f"({_C} - CAST(label AS DOUBLE))", f"({_R} - 0.0)", 2, COS45, SIN45)
+_SRG_X, _SRG_Y = _turned_sql(f"({_C} - CAST(label AS DOUBLE) - 0.37)", f"({_R} - 0.61)", CT, ST, 1.6)
 
 
 @register("raster_scaled_rotated_grid", f"""
-SELECT image_id, col, "row", {_bool_color(_grid(_SRG_X, _SRG_Y, 20, 5))} AS value {_PTS}
+SELECT image_id, col, "row", {_bool_color(_grid(_SRG_X, _SRG_Y, 9, 2))} AS value {_PTS}
 """)
 def raster_scaled_rotated_grid(spark, sf_dir):
-    f = R.translate(_label(), 0.0)(R.scale_rotate(2, PI / 4)(R.grid(20, 5)))
-    return _out(R.evaluate(_points(spark, sf_dir), R.bool_to_color(f)))
+    p = R.grid(9, 2).seen(R.move(_label() + 0.37, 0.61), R.turn(TILT), R.zoom(1.6))
+    return _out(R.evaluate(_points(spark, sf_dir), R.black_white(p)))
 
 
-def _wave_image_sql(x, y, p1="0.0", p2="0.0"):
-    w1 = _wave(f"(({x}) - 300.0)", f"(({y}) - 200.0)", p1, 0.3, 0.2, 50)
-    w2 = _wave(f"(({x}) - 50.0)", f"(({y}) - 100.0)", p2, 0.2, 0.1, 70)
-    return f"({w1} + {w2})"
+def _two_waves_sql(x, y, p1="0.0", p2="0.0"):
+    return (f"({_wave(f'(({x}) - 31.0)', f'(({y}) - 12.0)', p1, 0.4, 0.25, 23)}"
+            f" + {_wave(f'(({x}) - 4.0)', f'(({y}) - 27.0)', p2, 0.15, 0.1, 37)})")
 
 
-def _wave_image_field(p1=0.0, p2=0.0):
-    w1 = R.wave(p1, 0.3, 0.2, 50, 300, 200)
-    w2 = R.wave(p2, 0.2, 0.1, 70, 50, 100)
-    return R.combine_image(w1, w2, lambda a, b: a + b)
+def _two_waves(p1=0.0, p2=0.0):
+    a = R.wave(p1, 0.4, 0.25, 23).seen(R.move(31, 12))
+    b = R.wave(p2, 0.15, 0.1, 37).seen(R.move(4, 27))
+    return R.combined(lambda u, v: u + v, a, b)
 
 
-_WI = _wave_image_sql(f"({_C} - CAST(label AS DOUBLE) * 10.0)", f"({_R} - CAST(image_id % 30 AS DOUBLE))")
+_WI = _two_waves_sql(f"({_C} - CAST(label AS DOUBLE) * 3.0)", f"({_R} - CAST(image_id % 13 AS DOUBLE))")
 
 
 @register("raster_wave_image", f"""
 SELECT image_id, col, "row", round({_WI}, 6) + 0.0 AS value, {_grey(_WI)} AS argb {_PTS}
 """)
 def raster_wave_image(spark, sf_dir):
-    f = R.translate(_label() * 10.0, (F.col("image_id") % 30).cast("double"))(_wave_image_field())
-    pts = R.evaluate(_points(spark, sf_dir), f, value_col="_v")
-    return pts.select("image_id", "col", "row", _r6(F.col("_v")),
-                      R.double_to_color(lambda c, r: F.col("_v"))(None, None).alias("argb"))
+    p = _two_waves().seen(R.move(_label() * 3.0, (F.col("image_id") % 13).cast("double")))
+    pts = R.evaluate(_points(spark, sf_dir), p, value_col="_v")
+    shade = R.grey(R.constant(F.col("_v")))
+    return R.evaluate(pts, shade, value_col="argb").select("image_id", "col", "row", _r6(F.col("_v")), "argb")
 
 
-_WA = _wave_image_sql(_C, _R, "CAST(label AS DOUBLE) * 6.0", "CAST(label AS DOUBLE) * 2.0")
+_WA = _two_waves_sql(_C, _R, "CAST(label AS DOUBLE) * 1.5", "CAST(label AS DOUBLE) * 0.5")
 
 
 @register("raster_wave_animation", f"""
 SELECT image_id, col, "row", round({_WA}, 6) + 0.0 AS value {_PTS}
 """)
 def raster_wave_animation(spark, sf_dir):
-    f = _wave_image_field(_label() * 6.0, _label() * 2.0)
-    return R.evaluate(_points(spark, sf_dir), f, value_col="_v").select(
+    p = _two_waves(_label() * 1.5, _label() * 0.5)
+    return R.evaluate(_points(spark, sf_dir), p, value_col="_v").select(
         "image_id", "col", "row", _r6(F.col("_v")))
 
 
 @register("raster_frames", f"""
 SELECT image_id, t, col, "row",
-       round({_wave_image_sql(_C, _R, 'CAST(t AS DOUBLE) * 6.0', 'CAST(t AS DOUBLE) * 2.0')}, 6) + 0.0 AS value
+       round({_two_waves_sql(_C, _R, 'CAST(t AS DOUBLE) * 2.5', 'CAST(t AS DOUBLE) * 0.75')}, 6) + 0.0 AS value
 FROM (SELECT vec_id AS image_id, CAST(i % {COLS} AS INTEGER) AS col,
              CAST((i // {COLS}) % {ROWS} AS INTEGER) AS "row", CAST(i // {COLS * ROWS} AS INTEGER) AS t
         FROM embeddings, range(0, {COLS * ROWS * 3}) g(i)) p
 """)
 def raster_frames(spark, sf_dir):
     t = F.col("t").cast("double")
-    f = _wave_image_field(t * 6.0, t * 2.0)
     pts = R.grid_points(_images(spark, sf_dir), COLS, ROWS, frames=3)
-    return R.evaluate(pts, f, value_col="_v").select("image_id", "t", "col", "row", _r6(F.col("_v")))
+    return R.evaluate(pts, _two_waves(t * 2.5, t * 0.75), value_col="_v").select(
+        "image_id", "t", "col", "row", _r6(F.col("_v")))
 
 
-def _about_sql(x, y, cx, cy, inner):
-    """about_point: inner applied to (x - cx, y - cy), then + (cx, cy) (as ``- -c``)."""
-    qx, qy = f"(({x}) - {_f(cx)})", f"(({y}) - {_f(cy)})"
-    ix, iy = inner(qx, qy)
-    return f"(({ix}) - {_f(-cx)})", f"(({iy}) - {_f(-cy)})"
+def _around_sql(x, y, cx, cy, inner):
+    """``inner`` on the coordinates relative to (cx, cy)."""
+    ix, iy = inner(f"(({x}) - {_f(cx)})", f"(({y}) - {_f(cy)})")
+    return f"(({ix}) + {_f(cx)})", f"(({iy}) + {_f(cy)})"
 
 
-def _wave_scale_sql(x, y, phase, vert, amp, period, cx, cy):
+def _wave_zoom_sql(x, y, phase, lift, height, period, cx, cy):
     def inner(qx, qy):
-        s = _wave(qx, qy, phase, vert, amp, period)
+        s = _wave(qx, qy, phase, lift, height, period)
         return f"(({qx}) / {s})", f"(({qy}) / {s})"
-    return _about_sql(x, y, cx, cy, inner)
+    return _around_sql(x, y, cx, cy, inner)
 
 
-_GW_X, _GW_Y = _wave_scale_sql(_C, _R, "CAST(label AS DOUBLE) * 2.0", 1, 0.3, 100, 200, 150)
+_GW_X, _GW_Y = _wave_zoom_sql(_C, _R, "CAST(label AS DOUBLE) * 0.7", 1.25, 0.4, 61, 17.3, 11.9)
 
 
 @register("raster_grid_wave", f"""
-SELECT image_id, col, "row", {_bool_color(_grid(_GW_X, _GW_Y, 20, 2))} AS value {_PTS}
+SELECT image_id, col, "row", {_bool_color(_grid(_GW_X, _GW_Y, 9, 2))} AS value {_PTS}
 """)
 def raster_grid_wave(spark, sf_dir):
-    f = R.wave_scale(_label() * 2.0, 1, 0.3, 100, 200, 150)(R.grid(20, 2))
-    return _out(R.evaluate(_points(spark, sf_dir), R.bool_to_color(f)))
+    bend = R.Warp(R.wave(_label() * 0.7, 1.25, 0.4, 61), "zoom")
+    return _out(R.evaluate(_points(spark, sf_dir), R.black_white(R.grid(9, 2).seen(bend, about=(17.3, 11.9)))))
 
 
-_RA_X, _RA_Y = _about_sql(f"({_C} - CAST(label AS DOUBLE))", f"({_R} - 0.0)", 20, 15,
-                          lambda x, y: (f"(({x}) * {_f(COS60)} - ({y}) * {_f(SIN60)})",
-                                        f"(({x}) * {_f(SIN60)} + ({y}) * {_f(COS60)})"))
+_RA_X, _RA_Y = _around_sql(f"({_C} - CAST(label AS DOUBLE))", f"({_R} - 0.0)", 18.7, 13.2,
+                           lambda x, y: _turned_sql(x, y, CL, SL))
 
 
 @register("raster_rotate_about", f"""
-SELECT image_id, col, "row", {_bool_color(_grid(_RA_X, _RA_Y, 10, 3))} AS value {_PTS}
+SELECT image_id, col, "row", {_bool_color(_grid(_RA_X, _RA_Y, 7, 2))} AS value {_PTS}
 """)
 def raster_rotate_about(spark, sf_dir):
-    f = R.translate(_label(), 0.0)(R.rotate(PI / 3, 20, 15)(R.grid(10, 3)))
-    return _out(R.evaluate(_points(spark, sf_dir), R.bool_to_color(f)))
+    p = R.grid(7, 2).seen(R.turn(LEAN), about=(18.7, 13.2)).seen(R.move(_label(), 0.0))
+    return _out(R.evaluate(_points(spark, sf_dir), R.black_white(p)))
 
 
-_SA_X, _SA_Y = _about_sql(f"({_C} - CAST(label AS DOUBLE))", f"({_R} - 0.0)", 20, 15,
-                          lambda x, y: (f"(({x}) / 1.5)", f"(({y}) / 1.5)"))
+_SA_X, _SA_Y = _around_sql(f"({_C} - CAST(label AS DOUBLE))", f"({_R} - 0.0)", 18.7, 13.2,
+                           lambda x, y: (f"(({x}) / 1.37)", f"(({y}) / 1.37)"))
 
 
 @register("raster_scale_about", f"""
-SELECT image_id, col, "row", {_bool_color(_grid(_SA_X, _SA_Y, 10, 3))} AS value {_PTS}
+SELECT image_id, col, "row", {_bool_color(_grid(_SA_X, _SA_Y, 7, 2))} AS value {_PTS}
 """)
 def raster_scale_about(spark, sf_dir):
-    f = R.translate(_label(), 0.0)(R.scale(1.5, 20, 15)(R.grid(10, 3)))
-    return _out(R.evaluate(_points(spark, sf_dir), R.bool_to_color(f)))
+    p = R.grid(7, 2).seen(R.zoom(1.37), about=(18.7, 13.2)).seen(R.move(_label(), 0.0))
+    return _out(R.evaluate(_points(spark, sf_dir), R.black_white(p)))
 
 
 @register("raster_combine_many", f"""
 SELECT image_id, col, "row", round(
-    {_wave(f'({_C} - 10.0)', f'({_R} - 5.0)', 'CAST(label AS DOUBLE)', 0.3, 0.2, 50)}
-  + {_wave(f'({_C} - 30.0)', f'({_R} - 20.0)', '0.0', 0.2, 0.1, 70)}
-  + {_wave(f'({_C} - 0.0)', f'({_R} - 0.0)', '0.0', 0.1, 0.3, 20)}, 6) + 0.0 AS value {_PTS}
+    {_wave(f'({_C} - 9.0)', f'({_R} - 6.0)', 'CAST(label AS DOUBLE)', 0.4, 0.25, 23)}
+  + {_wave(f'({_C} - 26.0)', f'({_R} - 19.0)', '0.0', 0.15, 0.1, 37)}
+  + {_wave(f'({_C} - 0.0)', f'({_R} - 0.0)', '0.0', 0.05, 0.35, 19)}, 6) + 0.0 AS value {_PTS}
 """)
 def raster_combine_many(spark, sf_dir):
-    """I11 on stored rasters: three evaluated rasters unioned, then per point
-    a left fold in list order (``((w1 + w2) + w3)``), deterministic like the
-    fold of a list of images."""
-    pts = _points(spark, sf_dir)
-    waves = [R.wave(_label(), 0.3, 0.2, 50, 10, 5), R.wave(0.0, 0.2, 0.1, 70, 30, 20),
-             R.wave(0.0, 0.1, 0.3, 20, 0, 0)]
-    stored = [R.evaluate(pts, w).select("image_id", "col", "row", F.lit(i).alias("_w"), "value")
-              for i, w in enumerate(waves)]
-    u = stored[0].unionByName(stored[1]).unionByName(stored[2])
-    folded = R.fold_stored(u, ["image_id", "col", "row"], "_w", "value", lambda a, b: a + b)
-    return folded.select("image_id", "col", "row", _r6(F.col("value")))
+    """Three pictures folded in list order, in one projection."""
+    waves = [R.wave(_label(), 0.4, 0.25, 23).seen(R.move(9, 6)), R.wave(0.0, 0.15, 0.1, 37).seen(R.move(26, 19)),
+             R.wave(0.0, 0.05, 0.35, 19)]
+    p = R.folded(waves, lambda a, b: a + b)
+    return R.evaluate(_points(spark, sf_dir), p, value_col="_v").select("image_id", "col", "row", _r6(F.col("_v")))
 
 
 # ------------------------------------------------------------------ bitmaps
 
-def _bitmap_eval(spark, sf_dir, field):
-    return R.evaluate(_points(spark, sf_dir), field, tile=_tile(spark, sf_dir),
-                      tile_keys=["image_id"]).select("image_id", "col", "row", "value")
+def _bitmap(spark, sf_dir, *steps, about=None):
+    """The image's own tile, looked up in its array: no join, no shuffle."""
+    p = R.tile(F.col("tile"), TILE, TILE)
+    for s in steps:
+        p = p.seen(*s) if isinstance(s, tuple) else p.seen(s, about=about if isinstance(s, R.Warp) else None)
+    return _out(R.evaluate(_tiles(spark, sf_dir), p))
 
 
 @register("raster_bitmap", _lookup_sql(_C, _R))
 def raster_bitmap(spark, sf_dir):
-    return _bitmap_eval(spark, sf_dir, R.tiled(TILE, TILE))
+    return _bitmap(spark, sf_dir)
 
 
-_SRB_X, _SRB_Y = _sr_sql(_C, _R, 0.25, COS45, SIN45)
+_OFF_C, _OFF_R = f"({_C} - 0.37)", f"({_R} - 0.61)"
+_SRB_X, _SRB_Y = _turned_sql(_OFF_C, _OFF_R, CT, ST, 0.3)
 
 
 @register("raster_scaled_rotated_bitmap", _lookup_sql(_SRB_X, _SRB_Y))
 def raster_scaled_rotated_bitmap(spark, sf_dir):
-    return _bitmap_eval(spark, sf_dir, R.scale_rotate(0.25, PI / 4)(R.tiled(TILE, TILE)))
+    return _bitmap(spark, sf_dir, (R.move(0.37, 0.61), R.turn(TILT), R.zoom(0.3)))
 
 
-_BW_X, _BW_Y = _wave_scale_sql(_C, _R, "CAST(label AS DOUBLE) * 2.0", 2, 0.8, 100, 200, 150)
-_BW_X2, _BW_Y2 = _sr_sql(_BW_X, _BW_Y, 0.25, COS45, SIN45)
+_BW_X, _BW_Y = _wave_zoom_sql(_C, _R, "CAST(label AS DOUBLE) * 0.7", 1.75, 0.6, 61, 17.3, 11.9)
+_BW_X2, _BW_Y2 = _turned_sql(f"({_BW_X} - 0.37)", f"({_BW_Y} - 0.61)", CT, ST, 0.3)
 
 
 @register("raster_bitmap_wave", _lookup_sql(_BW_X2, _BW_Y2))
 def raster_bitmap_wave(spark, sf_dir):
-    srb = R.scale_rotate(0.25, PI / 4)(R.tiled(TILE, TILE))
-    return _bitmap_eval(spark, sf_dir, R.wave_scale(_label() * 2.0, 2, 0.8, 100, 200, 150)(srb))
+    return _bitmap(spark, sf_dir, (R.move(0.37, 0.61), R.turn(TILT), R.zoom(0.3)),
+                   R.Warp(R.wave(_label() * 0.7, 1.75, 0.6, 61), "zoom"), about=(17.3, 11.9))
 
 
-_TW_SHIFT = _wave(_C, "0.0", "CAST(label AS DOUBLE) * 10.0", 0, 10, 100)
+_TW_SHIFT = _wave(_C, "0.0", "CAST(label AS DOUBLE) * 2.0", 0.1, 7.3, 43)
 
 
 @register("raster_translate_wave", _lookup_sql(f"({_C} - 0.0)", f"({_R} - {_TW_SHIFT})"))
 def raster_translate_wave(spark, sf_dir):
-    return _bitmap_eval(spark, sf_dir, R.wave_translate(_label() * 10.0, 0, 10, 100)(R.tiled(TILE, TILE)))
+    return _bitmap(spark, sf_dir, R.Warp(R.wave(_label() * 2.0, 0.1, 7.3, 43), "drop"))
 
 
 # ------------------------------------------------------------- I2-I6 images
