@@ -285,13 +285,29 @@ def test_keyed_state_fill_on_insert_only():
     assert ex and img == {"k": 1, "ip": "1.2.3.4"} and last == 4
 
 
-def test_duplicate_table_keys_raise(spark):
-    t = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
-    with pytest.raises(ValueError, match="duplicate keys"):
-        chg.apply_changes(t, _changes(spark, [(1, 1, "U", "x")]), ["k"], ctx=CTX)
+@pytest.mark.parametrize("checkpoint", [True, False])
+@pytest.mark.parametrize("table,rows,message", [
+    ([(1, "a"), (1, "b")], [(5, "U", 1, "x")], "duplicate keys"),
+    ([(1, "a")], [(None, "U", 1, "x")], "usable seq"),
+    ([(1, "a")], [(1, "U", 1, "x"), (1, "U", 1, "y"), (2, "U", 1, "z")], "same seq")])
+def test_undefined_orders_raise(spark, checkpoint, table, rows, message):
+    t = spark.createDataFrame(table, "k int, v string")
+    ch = spark.createDataFrame(rows, "seq long, op string, k int, v string")
+    with pytest.raises(Exception, match=message):
+        chg.apply_changes(t, ch, ["k"], ctx=CTX, checkpoint=checkpoint).base.collect()
+
+
+def test_seqs_spread_wide(spark):
+    """Row-rank chunks: one hot key with seqs over 10^15, in many partitions."""
+    t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    ch = spark.range(400).selectExpr("id * 2500000000007 as seq", "'U' as op", "cast(1 as int) as k",
+                                     "concat('v', id) as v")
+    r = chg.apply_changes(t, ch, ["k"], ctx=CTX)
+    assert sorted(tuple(x) for x in r.base.collect()) == [(1, "v399"), (2, "b")]
+    assert sorted(x.v for x in r.history.collect()) == sorted(["a"] + [f"v{i}" for i in range(399)])
 
 
-@pytest.mark.parametrize("chunk", [1 << 20, 2])
+@pytest.mark.parametrize("chunk", [1, 1 << 20, None])
 def test_worked_example_without_materialization(spark, chunk):
     r = chg.apply_changes(_target(spark), _changes(spark), ["k"], ctx=CTX, chunk_width=chunk,
                           checkpoint=False)

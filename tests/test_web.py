@@ -112,6 +112,69 @@ def test_resolve_redirects(spark):
     assert out["http://a/4"][2] == "loop"
     assert out["http://a/5"][2] == "error" and out["http://a/6"][2] == "error"
     assert out["http://a/7"][2] == "too_many_hops"
+    free = {r.url: (r.final_url, r.hops, r.outcome) for r in web.resolve_redirects(log).collect()}
+    assert free["http://a/7"] == ("http://a/1", 4, "ok")
+    assert {u: v for u, v in free.items() if u != "http://a/7" and u != "http://a/8"} == \
+        {u: v for u, v in out.items() if u != "http://a/7" and u != "http://a/8"}
+
+
+def test_redirects_against_a_walk(spark):
+    """Random logs, with retries, body links, loops and tails, against a plain walk."""
+    import random
+    rng = random.Random(11)
+    rows, n = [], 60
+    for i in range(n):
+        kind = rng.random()
+        to = f"http://h/{rng.randrange(n + 5)}"
+        if kind < 0.75:
+            rows.append((f"http://h/{i}", 302, to, None, 1))
+        elif kind < 0.8:
+            rows.append((f"http://h/{i}", 301, None, f"<p><A class=q HREF='{to}'>x</a>", 1))
+        else:
+            rows.append((f"http://h/{i}", rng.choice([200, 404]), None, None, 1))
+        if rng.random() < 0.2:
+            rows.append((f"http://h/{i}", 503, None, None, 0))
+    rows += [(f"http://c/{i}", 302, f"/{i + 1}", None, 1) for i in range(40)] + [("http://c/40", 200, None, None, 1)]
+    log = spark.createDataFrame(rows, "url string, status int, location string, body string, attempt int")
+    last = {}
+    for u, s, to, body, at in sorted(rows, key=lambda r: r[4]):
+        to = to or (body.split("'")[1] if body else None)
+        if to and to.startswith("/"):
+            to = "http://c" + to
+        last[u] = (s, to if s in (301, 302) else None)
+    want = {}
+    for u in last:
+        path = [u]
+        while True:
+            status, to = last.get(path[-1], (None, None))
+            if to is None:
+                want[u] = (path[-1], status, len(path) - 1, "ok" if status == 200 else "error")
+                break
+            if to in path:
+                want[u] = (to, status, len(path), "loop")
+                break
+            path.append(to)
+    got = {r.url: (r.final_url, r.final_status, r.hops, r.outcome)
+           for r in web.resolve_redirects(log, attempt="attempt").collect()}
+    assert got == want
+    limited = {r.url: r for r in web.resolve_redirects(log, max_hops=5, attempt="attempt").collect()}
+    for u, (end, status, hops, outcome) in want.items():
+        if hops <= 5:
+            assert (limited[u].final_url, limited[u].final_status, limited[u].hops, limited[u].outcome) == want[u]
+        else:
+            assert limited[u].outcome == "too_many_hops" and limited[u].hops == 5
+
+
+def test_positions_need_an_order(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None)], "g string, t long")
+    with pytest.raises(Exception, match="no position"):
+        web.positional_index(df, ["g"], "t").collect()
+
+
+def test_paths_of_any_scheme(spark):
+    m = spark.createDataFrame([("/d/a", 1), ("/d/b", 1), ("/d/c", 1)], "path string, expected long")
+    lst = spark.createDataFrame([("hdfs://host:8020/d/a", 1), ("file:/d/b", 1)], "path string, length long")
+    assert [r.path for r in web.fetch_worklist(m, lst).collect()] == ["/d/c"]
 
 
 def test_fetch_worklist(spark):

@@ -15,9 +15,11 @@ def _c(col) -> Column:
 
 
 def split_trim(col, sep: str = ",") -> Column:
-    """split on a separator and trim every item."""
+    """split on a separator and trim every item: all characters up to
+    U+0020 go at both ends, as a JVM ``String.trim`` does."""
     import re
-    return F.transform(F.split(_c(col), re.escape(sep)), lambda x: F.trim(x))
+    return F.transform(F.split(_c(col), re.escape(sep)),
+                       lambda x: F.regexp_replace(x, r"^[\x00-\x20]+|[\x00-\x20]+$", ""))
 
 
 def split_drop_trailing(col, sep: str = "|") -> Column:

@@ -16,11 +16,11 @@ Scale notes
   a hash table) and never shuffled. Above them Spark shuffles both sides
   by key (a table bucketed by key avoids that shuffle).
 * Ordered per-key semantics (several changes to one key in one batch) use a
-  two-level scan over ops and seqs only: windows over ``(key, seq chunk)``
-  then a carry over the chunk summaries per key (skipped when no key spans
-  two chunks). A key holding a third of all changes is thus split into
-  chunks of at most ``chunk_width`` seq values instead of one window
-  partition in one task. Old row images come from an equi-join on
+  two-level scan over ops and seqs only: windows over ``(key, chunk)`` then a
+  carry over the chunk summaries per key (skipped when no key spans two
+  chunks). Chunks are row ranks: the changes are range-partitioned by (key,
+  seq), so a key holding a third of all changes is split into chunks of equal
+  numbers of rows, however its seqs are spread. Old row images come from an equi-join on
   ``(key, seq)``, which spreads a hot key too.
 * Final per-key state is a ``groupBy`` with ``max_by`` (map-side partial
   aggregation), so hot keys collapse before the shuffle.
@@ -276,6 +276,11 @@ def _scan_last_before(df: DataFrame, keys: list[str], seq: str, chunk: str,
     """
     part = [*[_q(k) for k in keys], _q(chunk)]
     w = Window.partitionBy(*part).orderBy(_q(seq))
+    # equal seqs of a key lie in one chunk: no order is defined for them
+    again = F.lag(_q(seq)).over(w) == _q(seq)
+    df = df.withColumn("_op", F.when(again & (_q(seq) == _TARGET_SEQ), F.raise_error(F.lit(
+        "the table has duplicate keys among the changed keys"))).when(again, F.raise_error(F.lit(
+            "several changes of a key have the same seq"))).otherwise(F.col("_op")))
     w_in = w.rowsBetween(Window.unboundedPreceding, -1)
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     if not multi_chunk:
@@ -303,7 +308,7 @@ def _scan_last_before(df: DataFrame, keys: list[str], seq: str, chunk: str,
 
 
 def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op: str,
-                   seq: str, ctx: AuditContext, fill_column: str | None, chunk_width: int,
+                   seq: str, ctx: AuditContext, fill_column: str | None, chunk_width: int | None,
                    max_broadcast_rows: int, materialize: bool,
                    _keys_out: list | None = None) -> DataFrame:
     """One row per change (and the table's own row of each changed key, op
@@ -319,30 +324,38 @@ def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op
     ch = ch.withColumn("_op", F.when(bad_op, F.raise_error(F.concat(
         F.lit("unknown change op: "), F.coalesce(F.col("_op"), F.lit("NULL")))))
         .otherwise(F.col("_op")))
-    ch = ch.withColumn("_chunk", F.floor(F.col("_seq") / F.lit(chunk_width)).cast("long"))
-    # one row per changed key with its first and last seq chunk; one job
-    # gives its size (broadcast decision) and whether any key spans chunks
-    span = ch.groupBy(*keys).agg(F.min("_chunk").alias("_c0"), F.max("_chunk").alias("_c1"))
+    no_seq = F.col("_seq").isNull() | (F.col("_seq") == _TARGET_SEQ)
+    ch = ch.withColumn("_seq", F.when(no_seq, F.raise_error(F.lit("a change without a usable seq")))
+                       .otherwise(F.col("_seq")))
+    # the changed keys; one job gives their size (broadcast decision)
+    span = ch.select(*keys).distinct()
     if materialize:
-        # narrow (keys + 2 longs) and used three times: size check, the
-        # table's own rows, and the final anti-join
+        # narrow and used three times: size check, the table's own rows, and
+        # the final anti-join
         span = cut_lineage(span, "changes-keys")
-    stats = span.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(span)).alias("b"),
-                     F.max((F.col("_c0") != F.col("_c1")).cast("int")).alias("multi")).first()
-    multi_chunk = bool(stats["multi"])
+    stats = span.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(span)).alias("b")).first()
     small = stats["n"] <= max_broadcast_rows and (stats["b"] or 0) <= DEFAULT_BROADCAST_BYTES
     span_b = F.broadcast(span) if small else span
     if _keys_out is not None:
         _keys_out.append(span_b.select(*keys))
-    # the table's own row goes first in its key's first chunk
-    own = target.join(span_b.select(*keys, "_c0"), on=keys, how="inner")
+    # the table's own row goes first in its key
+    own = target.join(span_b.select(*keys), on=keys, how="inner")
     own = own.select(F.lit(_TARGET_SEQ).cast("long").alias("_seq"),
-                     F.lit(_OP_TARGET).alias("_op"), *[_q(c) for c in cols],
-                     F.col("_c0").alias("_chunk"))
-    allc = own.unionByName(ch)
-    if materialize and multi_chunk:
-        # read twice (chunk windows and carry): compute it once
-        allc = cut_lineage(allc, "changes-input")
+                     F.lit(_OP_TARGET).alias("_op"), *[_q(c) for c in cols])
+    # read several times (range bounds, chunk windows, carry): compute it once
+    allc = cut_lineage(own.unionByName(ch), "changes-input")
+    multi_chunk = True
+    if chunk_width is None:
+        n = int(allc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        by = [*[_q(k) for k in keys], F.col("_seq")]
+        allc = cut_lineage(allc.repartitionByRange(n, *by).withColumn("_chunk", F.spark_partition_id().cast("long")),
+                           "changes-ranked")
+        spread = allc.groupBy(*keys).agg(F.min("_chunk").alias("a"), F.max("_chunk").alias("b")).where("a <> b")
+        multi_chunk = not spread.isEmpty()
+    else:
+        own_seq = F.col("_seq") == _TARGET_SEQ
+        allc = allc.withColumn("_chunk", F.when(own_seq, F.lit(_TARGET_SEQ)).otherwise(
+            F.floor(F.col("_seq") / F.lit(chunk_width)).cast("long")))
 
     # which earlier rows matter depends on ops only: the last anchor (I/M/D or
     # the table row) decides existence; the last non-delete gives the image
@@ -371,12 +384,6 @@ def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op
                      F.struct(*after_cols).alias("_after"))
     if materialize:
         st = cut_lineage(st, "changes-state")
-        # the table's key must be unique for the changed keys (cheap: the
-        # table rows of changed keys only, read from the written states)
-        dup = (st.where(F.col("_op") == _OP_TARGET).groupBy(*keys).count()
-               .where(F.col("count") > 1).limit(1).count())
-        if dup:
-            raise ValueError("the table has duplicate keys among the changed keys")
     return st
 
 
@@ -392,7 +399,7 @@ def _with_before(rows: DataFrame, states: DataFrame, keys: list[str]) -> DataFra
 
 def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op",
                      seq: str = "seq", ctx: AuditContext = AuditContext(),
-                     fill_column: str | None = None, chunk_width: int = 1 << 20,
+                     fill_column: str | None = None, chunk_width: int | None = None,
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                      materialize: bool = True) -> DataFrame:
     """Per change (non-NULL key): state before it and the image after it.
@@ -416,7 +423,7 @@ def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op",
                   seq: str = "seq", ctx: AuditContext = AuditContext(),
-                  fill_column: str | None = None, chunk_width: int = 1 << 20,
+                  fill_column: str | None = None, chunk_width: int | None = None,
                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                   checkpoint: bool = True) -> ChangeResult:
     """One batch of I/U/D/M change rows -> (new base table, history rows).
@@ -427,7 +434,9 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op"
     effective U/D (and M on an existing row) writes the row image just
     before it to history with type U or D. Inserted rows get
     ``fill_column`` filled from ``ctx.log_ip`` when NULL. Changes with a
-    NULL key never match: I/M insert them, U/D do nothing.
+    NULL key never match: I/M insert them, U/D do nothing. A change without
+    a seq, two changes of a key with one seq, and a changed key that the table
+    has twice fail the job, with or without ``checkpoint``.
 
     The per-change states are written once to the shared checkpoint folder
     (``checkpoint=True``) and read by both outputs: the final state is a

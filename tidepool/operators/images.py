@@ -29,12 +29,17 @@ MARGIN_CODES = ("E", "R")
 MAX_COLOR_DISTANCE = 510.0
 
 
-def read_images(spark, path: str, recursive: bool = True) -> DataFrame:
+def read_images(spark, path: str, recursive: bool = True, invalid: str = "raise") -> DataFrame:
     """Decode every image file under ``path`` (breadth of the tree is
     Spark's file listing). Columns: ``origin, height, width, nChannels,
-    mode, data`` (BGR(A), row major)."""
-    return (spark.read.format("image").option("recursiveFileLookup", str(recursive).lower())
-            .option("dropInvalid", "true").load(path).select("image.*"))
+    mode, data`` (BGR(A), row major). A file that can't be decoded fails the
+    job; with ``invalid="report"`` it is a row with height and width -1."""
+    rows = (spark.read.format("image").option("recursiveFileLookup", str(recursive).lower())
+            .option("dropInvalid", "false").load(path).select("image.*"))
+    if invalid == "report":
+        return rows
+    return rows.withColumn("height", F.when(F.col("height") < 0, F.raise_error(F.concat(
+        F.lit("not an image: "), F.col("origin")))).otherwise(F.col("height")))
 
 
 def channels(argb: Column) -> tuple[Column, Column, Column, Column]:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import strip_scheme
 from .sizing import broadcast_if_small
 
 # Fixed values that must equal the reference's behaviour:
@@ -316,6 +317,5 @@ def missing_file_report(keys: DataFrame, key_col: str, listing: DataFrame, root:
     """Distinct keys whose expected file is not in ``listing``."""
     expected = (keys.select(F.col(key_col).alias("key")).distinct()
                 .withColumn("expected_path", expected_image_path(F.col("key"), root, ext)))
-    present = listing.select(F.regexp_replace(F.col(path_col), r"^file:(//)?", "")
-                             .alias("expected_path"))
+    present = listing.select(strip_scheme(F.col(path_col)).alias("expected_path"))
     return expected.join(present, "expected_path", "left_anti").select("key", "expected_path")

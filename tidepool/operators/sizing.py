@@ -1,7 +1,6 @@
 """Size-checked broadcast.
 
-A side is broadcast only after a bounded job proves it small in rows *and*
-bytes; beyond either bound the plain frame is returned and Spark shuffles
+A side is broadcast only after a job proves it small in rows *and* bytes; beyond either bound the plain frame is returned and Spark shuffles
 (sort-merge join, with AQE's skew-join splitting hot partitions).
 """
 
@@ -47,18 +46,11 @@ def row_bytes(df: DataFrame) -> Column:
                   [_bytes_expr(F.col(f"`{f.name}`"), f.dataType) for f in fields]).cast("long")
 
 
-def row_count_at_most(df: DataFrame, bound: int) -> int | None:
-    """Exact row count when it is <= bound, else None. Stops scanning early
-    (``limit(bound + 1)``)."""
-    n = df.limit(bound + 1).count()
-    return n if n <= bound else None
-
-
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """One bounded job: at most ``max_rows`` rows and ``max_bytes`` of payload."""
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                   F.sum(row_bytes(df)).alias("b")).first()
+    """Whether ``df`` is within both bounds. One aggregation: each task counts its
+    own rows and bytes, and only those two numbers leave it."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
     return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 

@@ -20,6 +20,7 @@ from ..functions import html as H
 from ..functions.text import contains_ci
 from ..functions.urls import pager_label, resolve_url
 from ..session import cut_lineage, ensure_parallelism, ship_package
+from ..sources.tables import strip_scheme
 
 # Fixed values of the reference's extractors (selectors and filters).
 RULE_LINKS = H.Rule(scope=(("#vContent",),), items="a")                       # W1
@@ -251,59 +252,123 @@ def crawl_expand(roots: DataFrame, pages: DataFrame, hop1: H.Rule, hop2: H.Rule,
 
 # --------------------------------------------------------------------- W15
 
-def resolve_redirects(log: DataFrame, max_hops: int = 5, start: DataFrame | None = None,
-                      materialize: bool = True) -> DataFrame:
-    """Follow redirects through a response log ``(url, status, location)``.
-
-    From each start URL (default: every logged URL): status 200 -> done;
-    300-399 -> follow ``location`` (resolved against the URL that answered);
-    anything else, a missing location or an unlogged URL -> ``error``. A URL
-    already on the path -> ``loop``; still redirecting after ``max_hops``
-    -> ``too_many_hops``. Output: ``url, final_url, final_status, hops, outcome``.
-
-    Each log row's target is resolved once (an edge table); then one join of
-    the still-moving frontier with the edges per hop. The frontier is written
-    to the checkpoint folder each hop, so no hop recomputes earlier ones.
+def _first_link(body: Column) -> Column:
+    """href of the first ``<a>`` of an HTML body; NULL without one."""
+    href = F.regexp_extract(body, r"""(?is)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)""", 1)
+    return F.when(href != "", href)
+
+
+def _follow(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (u, next, stop) -> (u, end, hops) of the nodes whose chain of
+    ``next`` ends at a stopping node. Pointer doubling: each round every open
+    node jumps to where its target has got to, so a chain of n hops takes
+    log2(n) rounds; chains that end nowhere stop the loop by making no progress."""
+    state = nodes.select("u", F.when(F.col("stop"), F.col("u")).otherwise(F.col("next")).alias("at"),
+                         F.when(F.col("stop"), F.lit(0)).otherwise(F.lit(1)).cast("long").alias("hops"), "stop")
+    left = None
+    while True:
+        target = state.select(F.col("u").alias("at"), F.col("at").alias("at2"), F.col("hops").alias("hops2"),
+                              F.col("stop").alias("stop2"))
+        # a popular target meets many rows: a merge join of written tables, split by the skew join
+        state = cut_lineage(
+            state.join(target.hint("merge"), "at")
+            .select("u", F.when(F.col("stop"), F.col("at")).otherwise(F.col("at2")).alias("at"),
+                    F.when(F.col("stop"), F.col("hops")).otherwise(F.col("hops") + F.col("hops2")).alias("hops"),
+                    (F.col("stop") | F.col("stop2")).alias("stop")), "redirect-jumps")
+        was, left = left, state.where("not stop").count()
+        if left == 0 or left == was:
+            return state.where("stop").select("u", F.col("at").alias("end"), "hops")
+
+
+def _cycles(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (u, next), all of which lead into a loop -> (u, size) of the
+    nodes on loops, with the loop's size. Jumps of doubled length end on loops
+    once the set of their ends no longer shrinks; the smallest name along a
+    loop, found the same way, labels it."""
+    jump = nodes.select("u", F.col("next").alias("at"))
+    seen = None
+    while True:
+        ends = jump.select("at").distinct()
+        was, seen = seen, ends.count()
+        if was == seen:
+            break
+        jump = cut_lineage(jump.join(jump.toDF("at", "at2").hint("merge"), "at").select("u", F.col("at2").alias("at")),
+                           "redirect-loops")
+    on = cut_lineage(nodes.join(ends.toDF("u").hint("merge"), "u"), "redirect-loop")
+    label = on.select("u", F.col("next").alias("at"), F.col("u").alias("low"))
+    total = None
+    while True:
+        n = label.select("low").distinct().count()
+        if total == n:
+            break
+        total = n
+        label = cut_lineage(label.join(label.toDF("at", "at2", "low2").hint("merge"), "at")
+                            .select("u", F.col("at2").alias("at"), F.least("low", "low2").alias("low")), "redirect-labels")
+    sizes = label.groupBy("low").agg(F.count(F.lit(1)).alias("size"))
+    return label.join(sizes, "low").select("u", "size")
+
+
+def resolve_redirects(log: DataFrame, max_hops: int | None = None, start: DataFrame | None = None,
+                      attempt: str | None = None) -> DataFrame:
+    """Follow redirects through a response log ``(url, status, location)``,
+    with ``body`` if the log has it.
+
+    From each start URL (default: every logged URL): status 200 -> ``ok``;
+    300-399 -> follow ``location`` or, without one, the first link of ``body``
+    (resolved against the URL that answered); anything else, a redirect to
+    nowhere or an unlogged URL -> ``error``; a URL already on the path ->
+    ``loop``. Chains are followed to their end; with ``max_hops`` one still
+    redirecting after so many hops is ``too_many_hops`` at the URL it got to.
+    A URL logged more than once counts as its last ``attempt`` (a column), or
+    without one as its best answer: 200, then a redirect, then anything else.
+    Output: ``url, final_url, final_status, hops, outcome``.
     """
-    def outcome(status: Column, nxt: Column) -> Column:
-        return (F.when(status.isNull(), F.lit("error"))
-                .when(status == 200, F.lit("ok"))
-                .when((status >= 300) & (status < 400) & nxt.isNotNull(), F.lit("follow"))
-                .otherwise(F.lit("error")))
-
-    redirect = (F.col("status") >= 300) & (F.col("status") < 400) & F.col("location").isNotNull()
-    edges = log.select(F.col("url").alias("_u"), F.col("status").alias("_s"),
-                       F.when(redirect, resolve_url(F.col("location"), F.col("url"))).alias("_n"))
-    s = (start if start is not None else log).select("url").distinct()
-    cur = (s.join(edges, s.url == edges._u, "left")
-           .select("url", F.col("url").alias("cur"), F.col("_s").alias("status"),
-                   F.col("_n").alias("next"), F.lit(0).alias("hops"),
-                   F.array(F.col("url")).alias("seen")))
-    cur = cur.withColumn("outcome", outcome(F.col("status"), F.col("next")))
-    cols = ["url", "cur", "status", "hops", "outcome"]
-    done = []
-    for _ in range(max_hops):
-        if materialize:
-            cur = cut_lineage(cur, "redirect-frontier")
-            if cur.where(F.col("outcome") == "follow").limit(1).count() == 0:
-                break  # every chain has ended: no more hops to join
-        done.append(cur.where(F.col("outcome") != "follow").select(*cols))
-        moving = cur.where(F.col("outcome") == "follow")
-        looped = moving.where(F.array_contains("seen", F.col("next")))
-        done.append(looped.select("url", F.col("next").alias("cur"), "status",
-                                  (F.col("hops") + 1).alias("hops"), F.lit("loop").alias("outcome")))
-        go = moving.where(~F.array_contains("seen", F.col("next")))
-        cur = (go.join(edges, go.next == edges._u, "left")
-               .select("url", F.col("next").alias("cur"), F.col("_s").alias("status"),
-                       F.col("_n").alias("next"), (F.col("hops") + 1).alias("hops"),
-                       F.concat("seen", F.array(F.col("next"))).alias("seen")))
-        cur = cur.withColumn("outcome", outcome(F.col("status"), F.col("next")))
-    done.append(cur.select("url", "cur", "status", "hops",
-                           F.when(F.col("outcome") == "follow", F.lit("too_many_hops"))
-                           .otherwise(F.col("outcome")).alias("outcome")))
-    out = reduce(lambda a, b: a.unionByName(b), done)
-    return out.select("url", F.col("cur").alias("final_url"),
-                      F.col("status").alias("final_status"), "hops", "outcome")
+    where = F.col("location")
+    if "body" in log.columns:
+        where = F.coalesce(where, _first_link(F.col("body")))
+    redirect = F.col("status").between(300, 399) & where.isNotNull()
+    answer = F.struct("status", F.when(redirect, resolve_url(where, F.col("url"))).alias("next"))
+    rank = F.struct(F.when(F.col("status") == 200, 0).when(redirect, 1).otherwise(2), "status", where)
+    best = F.max_by(answer, F.col(attempt)) if attempt else F.min_by(answer, rank)
+    # one written row for each URL, read by every round
+    edges = cut_lineage(log.groupBy("url").agg(best.alias("a")).select("url", "a.status", "a.next"), "redirect-edges")
+    starts = edges.select("url") if start is None else start.select("url").distinct()
+    names = starts.unionByName(edges.where(F.col("next").isNotNull()).select(F.col("next").alias("url"))).distinct()
+    nodes = cut_lineage(
+        names.join(edges, "url", "left").select(F.col("url").alias("u"), "next", "status",
+                                                F.col("next").isNull().alias("stop")), "redirect-nodes")
+    status = nodes.select(F.col("u").alias("end"), "status", "stop")
+    if max_hops is not None:
+        at = starts.select("url", F.col("url").alias("u"), F.array("url").alias("path"), F.lit(False).alias("loop"))
+        for _ in range(max_hops):
+            at = cut_lineage(at.join(nodes.select("u", "next").hint("merge"), "u").select(
+                "url", F.when(F.col("loop") | F.col("next").isNull(), F.col("u")).otherwise(F.col("next")).alias("u"),
+                F.when(F.col("loop") | F.col("next").isNull(), F.col("path"))
+                .otherwise(F.concat("path", F.array("next"))).alias("path"),
+                (F.col("loop") | F.coalesce(F.array_contains("path", F.col("next")), F.lit(False))).alias("loop")),
+                "redirect-steps")
+        last = F.when(F.col("loop"), F.element_at("path", -2)).otherwise(F.col("u"))
+        return (at.withColumn("end", last).join(status.hint("merge"), "end").select(
+            "url", F.col("u").alias("final_url"), F.col("status").alias("final_status"),
+            (F.size("path") - 1).alias("hops"),
+            F.when(F.col("loop"), "loop").when(~F.col("stop"), "too_many_hops")
+            .when(F.col("status") == 200, "ok").otherwise("error").alias("outcome")))
+
+    ended = _follow(nodes)
+    out = ended.join(status.hint("merge"), "end").select(
+        "u", "end", "status", "hops", F.when(F.col("status") == 200, "ok").otherwise("error").alias("outcome"))
+    lost = cut_lineage(nodes.join(ended.select("u"), "u", "left_anti"), "redirect-lost")
+    if not lost.isEmpty():
+        loops = cut_lineage(_cycles(lost.select("u", "next")), "redirect-sizes")
+        entry = _follow(lost.join(loops.hint("merge"), "u", "left")
+                        .select("u", "next", F.col("size").isNotNull().alias("stop")))
+        # the loop is closed by the redirect that leads back to its entry
+        back = loops.join(lost, "u").select(F.col("next").alias("end"), "status", "size")
+        out = out.unionByName(entry.join(back.hint("merge"), "end").select(
+            "u", "end", "status", (F.col("hops") + F.col("size")).alias("hops"), F.lit("loop").alias("outcome")))
+    return (out.join(starts.toDF("u"), "u", "left_semi")
+            .select(F.col("u").alias("url"), F.col("end").alias("final_url"), F.col("status").alias("final_status"),
+                    F.col("hops").cast("int").alias("hops"), "outcome"))
 
 
 # --------------------------------------------------------------------- W16
@@ -311,9 +376,9 @@ def resolve_redirects(log: DataFrame, max_hops: int = 5, start: DataFrame | None
 def fetch_worklist(manifest: DataFrame, listing: DataFrame, path_col: str = "path",
                    expected_col: str = "expected", length_col: str = "length") -> DataFrame:
     """Work still to do: the file is missing, or shorter than expected.
-    ``listing`` may be ``sources.tables.list_files`` output: a ``file:``
-    scheme on its paths is dropped before matching."""
-    lst = listing.select(F.regexp_replace(F.col(path_col), r"^file:(//)?", "").alias("_p"),
+    ``listing`` may be ``sources.tables.list_files`` output: scheme and
+    authority of its paths are dropped before matching."""
+    lst = listing.select(strip_scheme(F.col(path_col)).alias("_p"),
                          F.col(length_col).alias("_len"))
     j = manifest.join(lst, manifest[path_col] == lst._p, "left")
     return (j.where(F.col("_len").isNull() | (F.col("_len") < F.col(expected_col)))
@@ -368,10 +433,13 @@ def positional_index(df: DataFrame, group_cols: Sequence[str], order_col: str,
     The chunk sizes come from the same Window operator (read on each
     chunk's last row), so the rows are shuffled once; only one row per
     chunk is shuffled again to sum the earlier chunks. A hot group is split
-    by chunk. ``order_col`` must be integral and unique in its group.
+    by chunk. ``order_col`` must be integral and unique in its group; a
+    NULL in it fails the job.
     """
     g = list(group_cols)
-    d = df.withColumn("_ck", F.floor(F.col(order_col) / F.lit(chunk_width)).cast("long"))
+    ordered = F.when(F.col(order_col).isNull(), F.raise_error(F.lit(f"{order_col} is NULL: no position"))) \
+        .otherwise(F.col(order_col))
+    d = df.withColumn("_ck", F.floor(ordered / F.lit(chunk_width)).cast("long"))
     w = Window.partitionBy(*g, "_ck").orderBy(order_col)
     d = (d.withColumn("_local", F.row_number().over(w))
          .withColumn("_n", F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding,

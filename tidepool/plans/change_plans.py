@@ -58,42 +58,26 @@ def change_feed(orders):
 
 
 _FEED_SQL = """
-ch AS (
-  SELECT o_orderkey * 8 AS seq, 'U' AS op, o_orderkey, o_custkey, 'X' AS o_orderstatus,
-         o_totalprice + 1.0 AS o_totalprice, o_orderdate, o_orderpriority
-    FROM orders WHERE o_orderkey % 6 = 0
-  UNION ALL SELECT o_orderkey * 8, 'D', o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-         o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 6 = 1
-  UNION ALL SELECT o_orderkey * 8, 'M', o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2,
-         o_orderdate, NULL FROM orders WHERE o_orderkey % 6 = 2
-  UNION ALL SELECT o_orderkey * 8, 'D', o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-         o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 6 = 3
-  UNION ALL SELECT o_orderkey * 8 + 1, 'I', o_orderkey, o_custkey, 'N', o_totalprice,
-         o_orderdate, NULL FROM orders WHERE o_orderkey % 6 = 3
-  UNION ALL SELECT o_orderkey * 8 + 2, 'U', o_orderkey, o_custkey, 'Y', o_totalprice,
-         o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 6 = 3
-  UNION ALL SELECT o_orderkey * 8, 'I', -(o_orderkey + 1), o_custkey, o_orderstatus, o_totalprice,
-         o_orderdate, NULL FROM orders WHERE o_orderkey % 6 = 4
-  UNION ALL SELECT o_orderkey * 8 + 1, 'M', -(o_orderkey + 1), o_custkey, o_orderstatus,
-         o_totalprice, o_orderdate, '2-HIGH' FROM orders WHERE o_orderkey % 6 = 4
-  UNION ALL SELECT o_orderkey * 8 + 2, 'U', o_orderkey, o_custkey, 'Z', o_totalprice,
-         o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 6 = 4
-  UNION ALL SELECT o_orderkey * 8, 'U', -(o_orderkey + 1), o_custkey, 'Q', o_totalprice,
-         o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 6 = 5
-  UNION ALL SELECT o_orderkey * 8 + 1, 'M', o_orderkey, o_custkey, 'M', o_totalprice,
-         o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 6 = 5
-  UNION ALL SELECT o_orderkey * 8 + 2, 'D', o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-         o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 6 = 5
-  UNION ALL SELECT o_orderkey * 8 + 3, 'U', o_orderkey, o_custkey, 'W', o_totalprice,
-         o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 6 = 5
-  UNION ALL SELECT o_orderkey * 8 + 4, 'M', o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-         o_orderdate, NULL FROM orders WHERE o_orderkey % 6 = 5
-  UNION ALL SELECT o_orderkey * 8 + 5, 'M', NULL, o_custkey, o_orderstatus, o_totalprice,
-         o_orderdate, NULL FROM orders WHERE o_orderkey % 500 = 7
+ch AS MATERIALIZED (
+  SELECT o_orderkey * 8 + c.d AS seq, c.op, CASE c.k WHEN 'same' THEN o_orderkey WHEN 'new' THEN -(o_orderkey + 1) END AS o_orderkey,
+         o_custkey, coalesce(c.status, o_orderstatus) AS o_orderstatus,
+         o_totalprice * c.mul + c.plus AS o_totalprice, o_orderdate,
+         CASE c.prio WHEN 'keep' THEN o_orderpriority ELSE c.prio END AS o_orderpriority
+    FROM orders JOIN (VALUES
+      (0, 0, 'U', 'same', 'X', 1.0::DOUBLE, 1.0::DOUBLE, 'keep'), (1, 0, 'D', 'same', NULL, 1.0, 0.0, 'keep'),
+      (2, 0, 'M', 'same', NULL, 2.0, 0.0, NULL), (3, 0, 'D', 'same', NULL, 1.0, 0.0, 'keep'),
+      (3, 1, 'I', 'same', 'N', 1.0, 0.0, NULL), (3, 2, 'U', 'same', 'Y', 1.0, 0.0, 'keep'),
+      (4, 0, 'I', 'new', NULL, 1.0, 0.0, NULL), (4, 1, 'M', 'new', NULL, 1.0, 0.0, '2-HIGH'),
+      (4, 2, 'U', 'same', 'Z', 1.0, 0.0, 'keep'), (5, 0, 'U', 'new', 'Q', 1.0, 0.0, 'keep'),
+      (5, 1, 'M', 'same', 'M', 1.0, 0.0, 'keep'), (5, 2, 'D', 'same', NULL, 1.0, 0.0, 'keep'),
+      (5, 3, 'U', 'same', 'W', 1.0, 0.0, 'keep'), (5, 4, 'M', 'same', NULL, 1.0, 0.0, NULL)
+    ) c(r, d, op, k, status, mul, plus, prio) ON o_orderkey % 6 = c.r
+  UNION ALL SELECT o_orderkey * 8 + 5, 'M', NULL, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULL
+    FROM orders WHERE o_orderkey % 500 = 7
 ),
-nn AS (SELECT * FROM ch WHERE o_orderkey IS NOT NULL),
+nn AS MATERIALIZED (SELECT * FROM ch WHERE o_orderkey IS NOT NULL),
 own AS (SELECT CAST(-9223372036854775808 AS BIGINT) AS seq, 'T' AS op, o.*
-          FROM orders o WHERE o.o_orderkey IN (SELECT o_orderkey FROM nn)),
+          FROM orders o SEMI JOIN nn ON o.o_orderkey = nn.o_orderkey),
 allc AS (SELECT * FROM own UNION ALL SELECT * FROM nn),
 s1 AS (SELECT *, last_value(CASE WHEN op IN ('I', 'M', 'D', 'T') THEN op END IGNORE NULLS)
                    OVER (PARTITION BY o_orderkey ORDER BY seq
@@ -112,7 +96,7 @@ fin AS (SELECT * FROM s3 QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDE
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, a_prio AS o_orderpriority
   FROM fin WHERE exists_after
 UNION ALL
-SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM nn)
+SELECT o.* FROM orders o ANTI JOIN nn ON o.o_orderkey = nn.o_orderkey
 UNION ALL
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        coalesce(o_orderpriority, '10.0.0.1') FROM ch WHERE o_orderkey IS NULL AND op IN ('I', 'M')
@@ -327,26 +311,23 @@ def param_batch_delete_counts(spark, sf_dir):
 
 # --------------------------------------------------------- hot key (skew)
 
-HOT_CHUNK_WIDTH = 4096
-
-
 def hot_key_feed(orders):
     """Every order yields one change; every third one goes to key 0, so one
-    key holds a third of all changes (ops cycle U, M, D), spread over many
-    seq chunks of ``HOT_CHUNK_WIDTH``."""
+    key holds a third of all changes (ops cycle U, M, D). Its seqs are spread
+    over 10^15."""
     k = F.col("o_orderkey")
     hot = k % 3 == 0
     op = F.when(hot, F.element_at(F.array(F.lit("U"), F.lit("M"), F.lit("D")),
                                   (F.floor(k / 3) % 3 + 1).cast("int"))).otherwise(F.lit("U"))
     return orders.select(
-        k.alias("seq"), op.alias("op"), F.when(hot, F.lit(0).cast("long")).otherwise(k).alias("o_orderkey"),
+        (k * 10_000_000_019).alias("seq"), op.alias("op"), F.when(hot, F.lit(0).cast("long")).otherwise(k).alias("o_orderkey"),
         "o_custkey", F.concat(F.lit("h"), (k % 7).cast("string")).alias("o_orderstatus"),
         "o_totalprice", "o_orderdate", "o_orderpriority")
 
 
 _HOT_CH = """
 ch AS (
-  SELECT o_orderkey AS seq,
+  SELECT o_orderkey * 10000000019 AS seq,
          CASE WHEN o_orderkey % 3 = 0 THEN ['U', 'M', 'D'][CAST(floor(o_orderkey / 3) % 3 AS INTEGER) + 1]
               ELSE 'U' END AS op,
          CASE WHEN o_orderkey % 3 = 0 THEN CAST(0 AS BIGINT) ELSE o_orderkey END AS o_orderkey,
@@ -362,12 +343,12 @@ fin AS (SELECT * FROM s3 QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDE
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, a_prio AS o_orderpriority
   FROM fin WHERE exists_after
 UNION ALL
-SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM nn)
+SELECT o.* FROM orders o ANTI JOIN nn ON o.o_orderkey = nn.o_orderkey
 """)
 def apply_changes_hot_key_base(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders")
     return chg.apply_changes(orders, hot_key_feed(orders), KEY, ctx=CTX,
-                             fill_column="o_orderpriority", chunk_width=HOT_CHUNK_WIDTH).base
+                             fill_column="o_orderpriority").base
 
 
 @register("apply_changes_hot_key_history", "WITH " + _HOT_FEED_SQL + """,
@@ -385,4 +366,4 @@ SELECT CAST(TIMESTAMP '2026-01-01 00:00:00' AS TIMESTAMP) AS log_date, '10.0.0.1
 def apply_changes_hot_key_history(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders")
     return chg.apply_changes(orders, hot_key_feed(orders), KEY, ctx=CTX,
-                             fill_column="o_orderpriority", chunk_width=HOT_CHUNK_WIDTH).history
+                             fill_column="o_orderpriority").history

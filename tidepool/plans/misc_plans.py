@@ -161,7 +161,7 @@ def audit_stream_keyed_history(spark, sf_dir):
 
 @register("split_trim", """
 SELECT doc_id, CAST(len(items) AS INTEGER) AS n_items, items[1] AS first_item, items[len(items)] AS last_item
-FROM (SELECT doc_id, list_transform(string_split(text, ','), lambda x: trim(x)) AS items FROM documents)
+FROM (SELECT doc_id, list_transform(string_split(text, ','), lambda x: regexp_replace(x, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')) AS items FROM documents)
 """)
 def split_trim(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])

@@ -67,9 +67,15 @@ def param_in_list(spark, sf_dir):
     return q.param_in_list(orders, "o_orderstatus", "F|P||").select("o_orderkey", "o_orderstatus")
 
 
-@register("bounded_read", "SELECT * FROM customer")
+@register("bounded_read", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders, round(sum(o_totalprice), 2) AS total
+FROM orders GROUP BY 1
+""")
 def bounded_read(spark, sf_dir):
-    return q.bounded_read(read_table(spark, sf_dir, "customer"))
+    """A result whose size doesn't grow with the table, read within the limit."""
+    orders = read_table(spark, sf_dir, "orders", ["o_orderdate", "o_totalprice"])
+    return q.bounded_read(orders.groupBy(F.year("o_orderdate").alias("year")).agg(
+        F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total")), limit=1000)
 
 
 _STRINGIFY_SQL = """

@@ -279,33 +279,36 @@ def site_rules(spark, sf_dir):
 
 
 def _response_log(spark, sf_dir):
-    p = _pages(spark, sf_dir, "page_id", "url")
+    """Each page's answer: chains of up to 28 redirects, a loop of one page, one
+    of two with pages that lead into it, a redirect that only its body tells, one
+    to nowhere, and a page that failed before it was fetched again."""
+    p = _pages(spark, sf_dir, "page_id", "url").groupBy("url").agg(F.min("page_id").alias("page_id"))
     nxt = p.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
-    j = p.join(nxt, "page_id", "left")
-    pid = F.col("page_id")
-    status = (F.when(pid % 50 == 35, F.lit(302))
-              .when(pid % 50 == 25, F.lit(302))
-              .when(pid % 5 == 0, F.lit(302))
-              .when((pid % 5 == 4) & (pid % 3 == 0), F.lit(301))
-              .when(pid % 7 == 3, F.lit(404))
-              .otherwise(F.lit(200)))
-    loc = (F.when(pid % 50 == 35, F.lit(None).cast("string"))
-           .when(pid % 50 == 25, F.col("url"))
-           .when(pid % 5 == 0, F.col("next_url"))
-           .when((pid % 5 == 4) & (pid % 3 == 0), F.col("next_url")))
-    return j.select("url", status.alias("status"), loc.alias("location"))
+    prev = p.select((F.col("page_id") + 1).alias("page_id"), F.col("url").alias("prev_url"))
+    j = p.join(nxt, "page_id", "left").join(prev, "page_id", "left")
+    k = F.col("page_id") % 60
+    status = (F.when((k < 28) | k.isin(42, 43, 44, 45, 50, 51), F.lit(302)).when(k == 40, F.lit(301))
+              .when(k % 7 == 3, F.lit(404)).otherwise(F.lit(200)))
+    loc = (F.when((k < 28) | k.isin(42, 43, 44), F.col("next_url")).when(k == 45, F.col("prev_url"))
+           .when(k == 40, F.col("url")))
+    body = F.when(k == 50, F.concat(F.lit('<p>Moved <a class="x" href="'), F.col("next_url"), F.lit('">here</a>.')))
+    log = j.select("url", (F.col("page_id") * 2 + 1).alias("attempt"), status.alias("status"),
+                   loc.alias("location"), body.alias("body"))
+    failed = log.where((F.col("attempt") - 1) / 2 % 60 == 55).select(
+        "url", (F.col("attempt") - 1).alias("attempt"), F.lit(503).alias("status"), "location", "body")
+    return log.unionByName(failed)
 
 
 @register("resolve_redirects", """
 WITH RECURSIVE
-nx AS (SELECT a.page_id, a.url, b.url AS next_url FROM pages a LEFT JOIN pages b ON b.page_id = a.page_id + 1),
+pg AS (SELECT url, min(page_id) AS page_id FROM pages GROUP BY url),
+nx AS (SELECT a.page_id, a.page_id % 60 AS k, a.url, b.url AS next_url, c.url AS prev_url FROM pg a
+         LEFT JOIN pg b ON b.page_id = a.page_id + 1 LEFT JOIN pg c ON c.page_id = a.page_id - 1),
 lg AS (SELECT url,
-         CASE WHEN page_id % 50 = 35 THEN 302 WHEN page_id % 50 = 25 THEN 302
-              WHEN page_id % 5 = 0 THEN 302 WHEN page_id % 5 = 4 AND page_id % 3 = 0 THEN 301
-              WHEN page_id % 7 = 3 THEN 404 ELSE 200 END AS status,
-         CASE WHEN page_id % 50 = 35 THEN NULL WHEN page_id % 50 = 25 THEN url
-              WHEN page_id % 5 = 0 THEN next_url WHEN page_id % 5 = 4 AND page_id % 3 = 0 THEN next_url
-              END AS location FROM nx),
+         CASE WHEN k < 28 OR k IN (42, 43, 44, 45, 50, 51) THEN 302 WHEN k = 40 THEN 301
+              WHEN k % 7 = 3 THEN 404 ELSE 200 END AS status,
+         CASE WHEN k < 28 OR k IN (42, 43, 44, 50) THEN next_url WHEN k = 45 THEN prev_url
+              WHEN k = 40 THEN url END AS location FROM nx),
 walk(url, cur, status, loc, hops, seen, outcome) AS (
   SELECT l.url, l.url, l.status, l.location, 0, [l.url],
          CASE WHEN l.status = 200 THEN 'ok'
@@ -319,8 +322,7 @@ walk(url, cur, status, loc, hops, seen, outcome) AS (
          CASE WHEN list_contains(w.seen, w.loc) THEN 'loop'
               WHEN l.status IS NULL THEN 'error'
               WHEN l.status = 200 THEN 'ok'
-              WHEN l.status BETWEEN 300 AND 399 AND l.location IS NOT NULL THEN
-                   CASE WHEN w.hops + 1 >= 5 THEN 'too_many_hops' ELSE 'follow' END
+              WHEN l.status BETWEEN 300 AND 399 AND l.location IS NOT NULL THEN 'follow'
               ELSE 'error' END
     FROM walk w LEFT JOIN lg l ON l.url = w.loc
    WHERE w.outcome = 'follow'
@@ -328,7 +330,7 @@ walk(url, cur, status, loc, hops, seen, outcome) AS (
 SELECT url, cur AS final_url, status AS final_status, hops, outcome FROM walk WHERE outcome <> 'follow'
 """)
 def resolve_redirects(spark, sf_dir):
-    return web.resolve_redirects(_response_log(spark, sf_dir), max_hops=5)
+    return web.resolve_redirects(_response_log(spark, sf_dir), attempt="attempt")
 
 
 @register("fetch_worklist", """

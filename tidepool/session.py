@@ -10,6 +10,7 @@ master is ``local[...]`` (tests and local bench runs).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import threading
 import uuid
@@ -58,7 +59,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set; a cluster job needs a shared checkpoint folder")
     local = tempfile.mkdtemp(prefix="tidepool-ckpt-")
@@ -154,4 +155,10 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     generation). A large input already has enough partitions and is left
     alone, so this never shuffles a big table."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    plan = df._jdf.queryExecution()
+    # counting partitions only plans a scan; after an exchange it would run the
+    # stages below, so such a frame (its partitions are what AQE makes of it) is spread
+    if re.search(r"Join|Aggregate|Sort|Window|Repartition|Distinct|Intersect|Except",
+                 plan.optimizedPlan().toString()):
+        return df.repartition(target)
+    return df.repartition(target) if plan.toRdd().getNumPartitions() < target else df

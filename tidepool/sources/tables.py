@@ -28,11 +28,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> None:
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def jdbc_read(spark: SparkSession, url: str, table: str, *,
               partition_column: str | None = None, lower_bound: int | None = None,
               upper_bound: int | None = None, num_partitions: int | None = None,
@@ -71,9 +66,10 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None,
                     F.col("modificationTime").alias("modification_time")))
 
 
-def strip_file_scheme(path_col) -> "F.Column":
-    """``file:/a/b`` or ``file:///a/b`` -> ``/a/b`` (listing paths carry a scheme)."""
-    return F.regexp_replace(path_col, r"^file:(//)?", "")
+def strip_scheme(path_col) -> "F.Column":
+    """The path without scheme and authority: ``file:/a/b``, ``file:///a/b`` and
+    ``hdfs://host:1/a/b`` all give ``/a/b``."""
+    return F.regexp_replace(path_col, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "")
 
 
 def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int,
