@@ -198,10 +198,11 @@ def test_random_feed_with_hot_key_matches_brute_force(spark, seed):
     assert sorted((x.type, x.k, x.v) for x in r.history.collect()) == want_hist
 
 
-def test_keyed_state_stream_matches_brute_force(spark, tmp_path):
-    """B10 keyed form across micro-batches (state carried in the state store)."""
+@pytest.mark.parametrize("compact_every", [1, 2, 16])
+def test_audit_log_matches_brute_force(spark, tmp_path, compact_every):
+    """B10 append-only form across micro-batches, with compactions and a replay."""
     import random
-    from tidepool.streaming.keyed_state import current_table, history_rows, keyed_audit_stream
+    from tidepool.streaming.audit_log import AuditLogJob
     rnd = random.Random(5)
     changes, present = [], set()
     for seq in range(120):
@@ -211,21 +212,34 @@ def test_keyed_state_stream_matches_brute_force(spark, tmp_path):
         changes.append((seq, k, op, f"v{seq}"))
     want_base, want_hist = _brute_force([], changes)
     schema = "seq long, op string, k long, v string"
-    feed = tmp_path / "feed"
+    feed, table_schema = tmp_path / "feed", spark.createDataFrame([], "k long, v string").schema
+    job = AuditLogJob(root=str(tmp_path / "log"), keys=["k"], schema=table_schema, ctx=CTX, compact_every=compact_every)
     for b in range(3):
         part = [(s, o, k, v) for s, k, o, v in changes if b * 40 <= s < (b + 1) * 40]
-        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(feed / f"{b:03d}"))
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(str(feed)))
-    table_schema = spark.createDataFrame([], "k long, v string").schema
-    q = (keyed_audit_stream(stream, ["k"], table_schema).writeStream.format("parquet")
-         .option("path", str(tmp_path / "log")).option("checkpointLocation", str(tmp_path / "ck"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    log = spark.read.parquet(str(tmp_path / "log"))
-    assert sorted(tuple(r) for r in current_table(log, ["k"], table_schema).collect()) == want_base
-    got = sorted((r.type, r.k, r.v) for r in history_rows(log, table_schema, CTX).collect())
-    assert got == want_hist
+        spark.createDataFrame(part, schema).write.parquet(str(feed / f"{b:03d}"))
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(feed))
+        job.start(stream, str(tmp_path / "ck")).awaitTermination()
+    job.apply_batch(spark.createDataFrame(part, schema), 2)  # replayed after a failure
+    assert sorted(tuple(r) for r in job.table(spark).collect()) == want_base
+    assert sorted((r.type, r.k, r.v) for r in job.history(spark).collect()) == want_hist
+
+
+def test_audit_log_values_and_late_seqs(spark, tmp_path):
+    """Large longs beside NULLs, NaN, arrays, NULL keys, and a seq that comes late."""
+    from tidepool.streaming.audit_log import AuditLogJob
+    schema = "k long, big long, d double, a array<int>"
+    initial = spark.createDataFrame([(1, 9007199254740993, float("nan"), [1]), (2, None, None, None)], schema)
+    job = AuditLogJob(root=str(tmp_path / "log"), keys=["k"], schema=initial.schema, initial=initial, ctx=CTX)
+
+    def batch(rows):
+        return spark.createDataFrame(rows, "seq long, op string, " + schema)
+
+    job.apply_batch(batch([(10, "M", 1, 9007199254740995, 1.0, [2, 3]), (11, "I", None, 5, 2.0, None)]), 0)
+    job.apply_batch(batch([(5, "U", 1, 7, None, []), (6, "D", 2, None, None, None), (7, "U", None, 1, 1.0, None)]), 1)
+    assert sorted((tuple(r) for r in job.table(spark).collect()), key=str) == [(1, 7, None, []), (None, 5, 2.0, None)]
+    hist = sorted(((r.type, r.k, r.big, str(r.d), r.a) for r in job.history(spark).collect()), key=str)
+    assert hist == [("D", 2, None, "None", None), ("U", 1, 9007199254740993, "nan", [1]),
+                    ("U", 1, 9007199254740995, "1.0", [2, 3])]
 
 
 def test_large_batch_on_bucketed_table_does_not_shuffle_table(spark, sf_dir):
@@ -274,17 +288,6 @@ def test_properties_on_orders_feed(spark, sf_dir):
     assert r.history.count() == updates + deletes
 
 
-def test_keyed_state_fill_on_insert_only():
-    import pandas as pd
-    from tidepool.streaming.keyed_state import _apply_key_changes
-    rows = pd.DataFrame([{"op": "M", "seq": 1, "k": 1, "ip": None}, {"op": "U", "seq": 2, "k": 1, "ip": None},
-                         {"op": "D", "seq": 3, "k": 1, "ip": None}, {"op": "I", "seq": 4, "k": 1, "ip": None}])
-    rows = rows.astype(object).where(rows.notna(), None)
-    hist, ex, img, last = _apply_key_changes(rows, False, None, ["k", "ip"], "op", "seq", ("ip", "1.2.3.4"))
-    assert [(t, i["ip"]) for t, i, _ in hist] == [("U", "1.2.3.4"), ("D", None)]
-    assert ex and img == {"k": 1, "ip": "1.2.3.4"} and last == 4
-
-
 @pytest.mark.parametrize("checkpoint", [True, False])
 @pytest.mark.parametrize("table,rows,message", [
     ([(1, "a"), (1, "b")], [(5, "U", 1, "x")], "duplicate keys"),

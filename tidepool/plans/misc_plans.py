@@ -12,7 +12,7 @@ from ..operators import scoring as SC
 from ..operators.changes import AuditContext
 from ..session import scratch_path
 from ..sources.tables import read_table
-from ..streaming.audit_stream import AuditStreamJob
+from ..streaming.audit_log import AuditLogJob
 from .registry import register
 
 # ------------------------------------------------------------------ G1-G3
@@ -72,42 +72,35 @@ _STREAM_CTX = AuditContext(log_ts="2026-01-02 00:00:00", log_ip="10.0.0.2", host
 _STREAM_BATCHES = 4
 
 
-def _stage_feed(spark, sf_dir):
-    """Stage ``events`` as an ordered change feed of 4 files (op M, key
-    user_id, seq event_id); return the stream (one file per trigger)."""
+def _run_audit_stream(spark, sf_dir, keyed: bool = False):
+    """``events`` as a change feed (op M, key user_id, seq event_id) that
+    arrives in 4 parts, each a micro-batch of the same query. ``keyed``: with a
+    compaction after every second batch."""
     events = read_table(spark, sf_dir, "events")
     run = scratch_path(spark, f"audit-stream-{uuid.uuid4().hex}")
-    feed_root = f"{run}/feed"
     bounds = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
-    lo, hi = int(bounds["lo"]), int(bounds["hi"])
+    lo, hi = int(bounds["lo"] or 0), int(bounds["hi"] or 0)
     step = (hi - lo) // _STREAM_BATCHES + 1
     feed = events.select(F.col("event_id").alias("seq"), F.lit("M").alias("op"), *events.columns)
+    job = AuditLogJob(root=f"{run}/log", keys=["user_id"], schema=events.schema, ctx=_STREAM_CTX,
+                      compact_every=2 if keyed else 16)
     for b in range(_STREAM_BATCHES):
         part = feed.where((F.col("seq") >= lo + b * step) & (F.col("seq") < lo + (b + 1) * step))
-        part.coalesce(1).write.mode("overwrite").parquet(f"{feed_root}/{b:05d}")
-    stream = (spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(feed_root))
-    return events, stream, run
-
-
-def _run_audit_stream(spark, sf_dir) -> tuple[AuditStreamJob, object]:
-    """B10 with the versioned table sink (foreachBatch)."""
-    events, stream, run = _stage_feed(spark, sf_dir)
-    job = AuditStreamJob(table_root=f"{run}/table", history_root=f"{run}/history",
-                         keys=["user_id"], schema=events.schema, ctx=_STREAM_CTX)
-    q = job.start(stream, checkpoint_location=f"{run}/checkpoint")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return job, run
+        part.write.mode("overwrite").parquet(f"{run}/feed/{b:05d}")
+        stream = (spark.readStream.schema(feed.schema).option("recursiveFileLookup", "true")
+                  .parquet(f"{run}/feed"))
+        q = job.start(stream, checkpoint_location=f"{run}/checkpoint")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return job
 
 
 @register("audit_stream", """
 SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
 """)
 def audit_stream(spark, sf_dir):
-    job, _ = _run_audit_stream(spark, sf_dir)
-    return job.table(spark)
+    return _run_audit_stream(spark, sf_dir).table(spark)
 
 
 @register("audit_stream_history", """
@@ -117,32 +110,15 @@ FROM (SELECT *, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS
 WHERE p.next_id IS NOT NULL
 """)
 def audit_stream_history(spark, sf_dir):
-    job, _ = _run_audit_stream(spark, sf_dir)
-    return job.history(spark).select("log_date", "log_ip", "host", "type",
+    return _run_audit_stream(spark, sf_dir).history(spark).select("log_date", "log_ip", "host", "type",
                                      *read_table(spark, sf_dir, "events").columns)
 
 
-def _run_keyed_stream(spark, sf_dir):
-    """B10 keyed form: per-key state store, append-only output log."""
-    from ..streaming.keyed_state import keyed_audit_stream
-    events, stream, run = _stage_feed(spark, sf_dir)
-    log = keyed_audit_stream(stream, ["user_id"], events.schema)
-    q = (log.writeStream.format("parquet").option("path", f"{run}/log")
-         .option("checkpointLocation", f"{run}/log-checkpoint").outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return events, spark.read.parquet(f"{run}/log")
-
-
 @register("audit_stream_keyed", """
 SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
 """)
 def audit_stream_keyed(spark, sf_dir):
-    from ..streaming.keyed_state import current_table
-    events, log = _run_keyed_stream(spark, sf_dir)
-    return current_table(log, ["user_id"], events.schema)
+    return _run_audit_stream(spark, sf_dir, keyed=True).table(spark)
 
 
 @register("audit_stream_keyed_history", """
@@ -152,9 +128,8 @@ FROM (SELECT *, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS
 WHERE p.next_id IS NOT NULL
 """)
 def audit_stream_keyed_history(spark, sf_dir):
-    from ..streaming.keyed_state import history_rows
-    events, log = _run_keyed_stream(spark, sf_dir)
-    return history_rows(log, events.schema, _STREAM_CTX)
+    return _run_audit_stream(spark, sf_dir, keyed=True).history(spark).select(
+        "log_date", "log_ip", "host", "type", *read_table(spark, sf_dir, "events").columns)
 
 
 # ------------------------------------------------------------------ F4-F13

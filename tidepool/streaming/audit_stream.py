@@ -1,4 +1,5 @@
-"""Keyed changes with audit history as a Structured Streaming job.
+"""B10, versioned form: keyed changes with audit history as a stream, for small
+tables that readers want as one folder. ``audit_log`` has the form that scales.
 
 Each micro-batch of change rows is applied with ``apply_changes`` to the
 newest complete table version; the result is written as version folder
@@ -33,21 +34,27 @@ def _fs(spark: SparkSession, root: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
-def complete_versions(spark: SparkSession, table_root: str) -> list[int]:
-    """Version numbers under ``table_root`` that have a ``_SUCCESS`` marker."""
-    fs, root = _fs(spark, table_root)
-    if not fs.exists(root):
+def complete_folders(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    """Numbers N of the folders ``<prefix>N`` under ``root`` that have a
+    ``_SUCCESS`` marker, ascending."""
+    fs, path = _fs(spark, root)
+    if not fs.exists(path):
         return []
     out = []
     jvm = spark.sparkContext._jvm
-    for st in fs.listStatus(root):
+    for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX):
+        if st.isDirectory() and name.startswith(prefix):
             if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(VERSION_PREFIX):]))
+                out.append(int(name[len(prefix):]))
     return sorted(out)
 
 
+def complete_versions(spark: SparkSession, table_root: str) -> list[int]:
+    """Version numbers under ``table_root`` that have a ``_SUCCESS`` marker."""
+    return complete_folders(spark, table_root, VERSION_PREFIX)
+
+
 def version_path(table_root: str, version: int) -> str:
     return f"{table_root.rstrip('/')}/{VERSION_PREFIX}{version}"
 
