@@ -28,15 +28,26 @@ class RowLimitExceeded(RuntimeError):
 # --------------------------------------------------------------------- A1-A2
 
 def param_query(spark: SparkSession, sql: str, args: dict | None = None,
-                defaults: dict | None = None, **frames: DataFrame) -> DataFrame:
+                defaults: dict | None = None, lists: Sequence[str] = (), **frames: DataFrame) -> DataFrame:
     """A1: SQL with named ``:name`` markers, bound by Spark's own parser.
 
     Markers inside literals and comments are left alone by the parser. A
     marker with no value raises ``UNBOUND_SQL_PARAMETER`` unless ``defaults``
-    supplies one. ``frames`` are referenced in the SQL as ``{name}``.
+    supplies one. ``frames`` are referenced in the SQL as ``{name}``. A marker
+    named in ``lists`` stands for several values separated by ``|``: each
+    ``IN (:name)`` gets a marker for each of them (none: it matches nothing),
+    and anywhere else ``:name`` is an array.
     """
     bound = dict(defaults or {})
     bound.update(args or {})
+    for name in lists:
+        values = split_param(bound.pop(name))
+        each = {f"{name}_{i}": v for i, v in enumerate(values)}
+        marks = ", ".join(f":{k}" for k in each) or "NULL"
+        sql = re.sub(rf"(?i)\bin\s*\(\s*:{re.escape(name)}\s*\)", f"IN ({marks})", sql)
+        bound.update(each)
+        bound[name] = F.array(*[F.lit(v) for v in values]).cast("array<string>") if not values else \
+            F.array(*[F.lit(v) for v in values])
     return spark.sql(sql, args=bound, **frames)
 
 

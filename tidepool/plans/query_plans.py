@@ -59,6 +59,20 @@ def param_query(spark, sf_dir):
         args={"prio": "1-URGENT", "min_price": 1000.0}, orders=orders)
 
 
+@register("param_query_lists", """
+SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
+WHERE o_orderstatus IN ('F', 'P') AND o_orderpriority NOT IN ('1-URGENT') AND o_orderstatus <> 'O'
+""")
+def param_query_lists(spark, sf_dir):
+    """Parameters with several ``|``-separated values inside SQL text."""
+    return q.param_query(
+        spark,
+        "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM {orders} WHERE o_orderstatus IN (:status) "
+        "AND o_orderpriority NOT IN ( :prio ) AND NOT array_contains(:drop, o_orderstatus)",
+        args={"status": "F|P||", "prio": "1-URGENT", "drop": "O|"}, lists=("status", "prio", "drop"),
+        orders=read_table(spark, sf_dir, "orders"))
+
+
 @register("param_in_list", """
 SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'P')
 """)
