@@ -7,8 +7,8 @@ range-sorted (a large one lies in many partitions); neighbours in a bucket are
 verified first and joined into components, which takes as many pairs as there
 are rows. Only pairs of one bucket that lie in different components are left
 then. They are probed by neighbours in other orders while that still joins
-much, and the rest is verified without exception: every link between different
-components is found, and links inside one need not be listed.
+much, and the rest is tested and verified without exception: every link between
+different components is found, and links inside one need not be listed.
 """
 
 from __future__ import annotations
@@ -25,16 +25,19 @@ from ..session import cut_lineage
 from .common import components, partitions, stored
 
 NEIGHBOURS = 2
-REST_FACTOR = 20  # probe on while the rest has more pairs than this times its rows
+REST_FACTOR = 2   # probe on while the rest has more pairs than this times its rows,
+PROBE_SHARE = 100  # and while a probe joins one in so many of the rest's uids
 
 
 @dataclass(frozen=True)
 class Test:
-    """The cheap test on two rows' v, for numpy arrays and for columns, and the
-    verification of pairs (a, b)."""
+    """The cheap test on two rows' v, for numpy arrays and for columns; the
+    verification of pairs (a, b); and more that the test on columns can use: x
+    by uid, joined to the rows of the rest only."""
     arrays: Callable[[np.ndarray, np.ndarray], np.ndarray]
-    columns: Callable[[Column, Column], Column]
+    columns: Callable[[Column, Column, Column, Column], Column]
     verify: Callable[[DataFrame], DataFrame]
+    more: DataFrame | None = None
 
 
 def pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -93,25 +96,31 @@ def neighbour_pairs(rows: DataFrame, test: Test, turn: int, reach: int = NEIGHBO
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def open_buckets(rows: DataFrame, comps: DataFrame) -> tuple[DataFrame, int, int]:
-    """Rows (sig, uid, v, comp) of the buckets with several components; their
-    number, and that of the pairs across components."""
+def open_buckets(rows: DataFrame, comps: DataFrame) -> tuple[DataFrame, int, int, int]:
+    """Rows (sig, uid, v, comp) of the buckets with several components; the
+    number of them, of their uids, and of the pairs across components."""
     labelled = cut_lineage(rows.join(comps.toDF("uid", "comp").hint("merge"), "uid", "left")
                            .withColumn("comp", F.coalesce("comp", "uid")), "bucket-labelled")
     per = labelled.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("k"))
     sums = cut_lineage(per.groupBy("sig").agg(
         F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("own"), F.count(F.lit(1)).alias("c"))
         .where("c > 1"), "bucket-open")
-    n, pairs = sums.agg(F.coalesce(F.sum("all"), F.lit(0)),
-                        F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2), F.lit(0))).first()
-    left = cut_lineage(labelled.join(sums.select("sig").hint("merge"), "sig"), "bucket-rest")
-    return left.select("sig", "uid", "v", "comp"), int(n), int(pairs)
+    pairs = sums.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2), F.lit(0))).first()[0]
+    left = cut_lineage(labelled.join(sums.select("sig").hint("merge"), "sig").select("sig", "uid", "v", "comp"),
+                       "bucket-rest")
+    n, uids = left.agg(F.count(F.lit(1)), F.approx_count_distinct("uid")).first()
+    return left, n, uids, int(pairs)
 
 
 def pairs_across(rows: DataFrame, test: Test) -> DataFrame:
     """All pairs of a bucket that lie in different components and pass the test."""
-    x, y = rows.toDF("sig", "a", "va", "ca"), rows.toDF("sig", "b", "vb", "cb")
-    return (x.join(y.hint("merge"), "sig").where((F.col("ca") < F.col("cb")) & test.columns(F.col("va"), F.col("vb")))
+    if test.more is not None:
+        rows = rows.join(test.more.toDF("uid", "x").hint("merge"), "uid", "left").select("sig", "uid", "v", "comp", "x")
+    else:
+        rows = rows.withColumn("x", F.lit(0))
+    x, y = rows.toDF("sig", "a", "va", "ca", "xa"), rows.toDF("sig2", "b", "vb", "cb", "xb")
+    fits = test.columns(F.col("va"), F.col("vb"), F.col("xa"), F.col("xb"))
+    return (x.join(y.hint("merge"), (F.col("sig") == F.col("sig2")) & (F.col("ca") < F.col("cb")) & fits)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -123,7 +132,7 @@ def link_components(rows: DataFrame, links: DataFrame, tested: DataFrame, test:
         return comps
     turn, probing = 0, True
     while True:
-        left, n, pairs = open_buckets(rows, comps)
+        left, n, uids, pairs = open_buckets(rows, comps)
         if not pairs:
             return comps
         last = not probing or pairs <= REST_FACTOR * n
@@ -132,10 +141,10 @@ def link_components(rows: DataFrame, links: DataFrame, tested: DataFrame, test:
         more = cut_lineage(test.verify(fresh), f"{name}-links")
         joined = more.count()
         if joined:
-            links = links.unionByName(more)
-            comps = components(links, name)
+            # components found so far are stars, so only what the new links join moves
+            comps = components(comps.toDF("a", "b").unionByName(more), name)
         if last:
             return comps
         tested = tested.unionByName(fresh)
-        probing = joined * REST_FACTOR >= n  # otherwise probing joins little: the whole rest comes next
+        probing = joined * PROBE_SHARE >= uids  # otherwise probing joins little: the whole rest comes next
         turn += 1

@@ -31,11 +31,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
@@ -49,7 +50,7 @@ NUM, DEN = 85, 100            # linked: DEN * intersection >= NUM * union
 MAX_FREQUENT = 1 << 20        # bound of the broadcast class table; rarer tokens count as rare
 FREQUENT = 16                 # least count of a frequent token (doubled until the table fits)
 VERY_FREQUENT = 32            # times that: least count of class 3
-GROUP_SHARE = 0.05            # groups of a frequent class, of a document's size
+GROUP_SHARE = 0.1             # groups of a frequent class, of a document's size
 TINY = 6                      # sets up to this size have no loss (e = 0)
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -162,15 +163,17 @@ def _combined(often: list, left: int, level: int) -> list[np.ndarray]:
 
 
 _INDEX = pa.schema([("sig", pa.int64()), ("uid", pa.int64()), ("n", pa.int32()), ("rest", pa.int32()),
-                    ("kind", pa.int8())])
-SINGLE, COMBINED, COPY, SIZE = 0, 1, 2, 3
+                    ("kind", pa.int8()), ("bits", pa.list_(pa.int64()))])
+SINGLE, COMBINED, COPY, SIZE, BITS = 0, 1, 2, 3, 4
+BIT_WORDS = 8  # 64-bit words of the bitmap of a set's tokens
 _COPIES = 50_000  # texts a task remembers, to index a text that it has seen only once
 
 
 def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarray) -> DataFrame:
     """kind SINGLE or COMBINED: (sig, uid, n, rest), with the set size n and the
     number of tokens not indexed alone; COPY: uid has the same words as document
-    ``sig``, which is indexed in its place; SIZE: the set size of each uid."""
+    ``sig``, which is indexed in its place; SIZE: the set size of each uid;
+    BITS: a bitmap of the tokens of each uid that has COMBINED rows."""
     shared = words.sparkSession.sparkContext.broadcast((frequent, frequent_class))
     drop = np.uint64(64 - COUNT_BITS)
 
@@ -179,6 +182,7 @@ def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarra
         seen: dict[bytes, int] = {}
         for b in batches:
             out: list[list] = [[], [], [], [], []]
+            bitmaps: list[tuple[int, list]] = []
 
             def add(sig, u, n, rest, kind):
                 for x, v in zip(out, (sig, u, n, rest, kind)):
@@ -203,12 +207,35 @@ def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarra
                 single, combined = signatures(t, c)
                 add(single.view(np.int64), u, len(t), len(t) - len(single), SINGLE)
                 add(combined.view(np.int64), u, len(t), 0, COMBINED)
+                if len(combined):
+                    bitmaps.append((u, bitmap(t)))
             if out[0]:
+                cols = [pa.array(np.concatenate(x).astype(f.type.to_pandas_dtype())) for x, f in zip(out, _INDEX)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.nulls(len(cols[0]), _INDEX[5].type)], schema=_INDEX)
+            if bitmaps:
+                n = len(bitmaps)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x).astype(f.type.to_pandas_dtype())) for x, f in zip(out, _INDEX)],
-                    schema=_INDEX)
+                    [pa.array([0] * n, pa.int64()), pa.array([u for u, _ in bitmaps], pa.int64()),
+                     pa.array([0] * n, pa.int32()), pa.array([0] * n, pa.int32()), pa.array([BITS] * n, pa.int8()),
+                     pa.array([b for _, b in bitmaps], _INDEX[5].type)], schema=_INDEX)
 
-    return words.mapInArrow(index, "sig long, uid long, n int, rest int, kind byte")
+    return words.mapInArrow(index, "sig long, uid long, n int, rest int, kind byte, bits array<bigint>")
+
+
+def bitmap(tokens: np.ndarray) -> list[int]:
+    bits = np.zeros(64 * BIT_WORDS, np.uint8)
+    bits[(tokens % np.uint64(64 * BIT_WORDS)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64).tolist()
+
+
+def may_link(na: Column, nb: Column, xa: Column, xb: Column) -> Column:
+    """Whether two sets can be linked by their sizes and bitmaps: a bit of one
+    that the other lacks is a token that it lacks, too."""
+    def lost(x, y):
+        return reduce(lambda a, b: a + b, [F.bit_count(x[i].bitwiseAND(F.bitwise_not(y[i]))) for i in range(BIT_WORDS)])
+    shared = F.least(na - lost(xa, xb), nb - lost(xb, xa))
+    sizes = F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM
+    return sizes & F.coalesce(shared * (NUM + DEN) >= (na + nb) * NUM, F.lit(True))
 
 
 # ---- candidates -----------------------------------------------------------
@@ -272,8 +299,8 @@ def linked(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     index = stored(index_rows(words, *token_classes(words)), "ngram-index", "kind")
     sizes = index.where(F.col("kind") == SIZE).select("uid", "n")
     copies = index.where(F.col("kind") == COPY).select(F.col("sig").alias("a"), F.col("uid").alias("b"))
-    test = Test(near_sizes, lambda a, b: F.least(a, b) * DEN >= F.greatest(a, b) * NUM,
-                lambda pairs: verified(pairs, texts))
+    bits = index.where(F.col("kind") == BITS).select("uid", "bits")
+    test = Test(near_sizes, may_link, lambda pairs: verified(pairs, texts), bits)
     pairs = cut_lineage(rare_pairs(index.where(F.col("kind") == SINGLE)), "ngram-pairs")
     links = cut_lineage(verified(pairs, texts).unionByName(copies), "ngram-links")
     combined = index.where(F.col("kind") == COMBINED).select("sig", "uid", F.col("n").cast("long").alias("v"))
