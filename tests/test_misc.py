@@ -48,7 +48,7 @@ def test_stream_equals_batch(spark, sf_dir):
     from tidepool.operators.changes import apply_changes
     from tidepool.plans import misc_plans as mp
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    job, _ = mp._run_audit_stream(spark, sf_dir)
+    job = mp._run_audit_stream(spark, sf_dir)
     streamed = sorted(tuple(r) for r in job.table(spark).collect())
     feed = events.select(F.col("event_id").alias("seq"), F.lit("M").alias("op"), *events.columns)
     batch = apply_changes(spark.createDataFrame([], events.schema), feed, ["user_id"])
