@@ -55,3 +55,12 @@ def test_against_text_search(spark, sf_dir):
     have = {(d.doc_id, b.item_id) for d in docs.collect() for b in bench.collect() if plain(b.text) in plain(d.text)}
     got = {(r.doc_id, r.item_id) for r in dc.report(docs, bench).collect()}
     assert have and have == got
+
+
+def test_names_that_start_sentences(spark):
+    tom = "Tom has 5 apples. Anna has 3 apples. How many apples do Tom and Anna have?"
+    ben = tom.replace("Tom", "Ben").replace("Anna", "Lisa").replace("5", "8").replace("3", "4")
+    got = found(spark, [ben, f'He asked: "{ben}"', ben.replace(". ", ".\n"), tom.replace("Tom", "Apples", 1),
+                        "Ben has eight pears. Lisa has none. How many pears do Ben and Lisa have?"], [(7, tom)])
+    assert {0, 1, 2} <= {d for d, _ in got} and (4, 7) not in got
+    assert got[0, 7].reparameterised and got[0, 7].coverage >= 0.8

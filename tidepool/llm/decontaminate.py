@@ -12,8 +12,10 @@ that say otherwise don't count. An item is in a document when at least
 Typing, on the words of a text: a run of digits (with . or , inside) is a
 number; a unit of the list below right after a number is a unit; a word with a
 capital first letter and small letters after it, that follows a word or one of
-, ; : and a space, is a name. A window with fewer than ``LITERALS`` literal
-words says too little as a template and must match with its slots' own values.
+, ; : and a space, is a name. Anywhere else (where a sentence may start) such a
+word may be a name or not, and its windows match under either typing. Words of
+the list ``COMMON`` are never names. A window with fewer than ``LITERALS``
+literal words says too little as a template and must match word by word.
 
 Defined cases: null and empty texts have no windows and match nothing; a text
 of fewer than ``WINDOW`` words is one window; repeated documents or items match
@@ -34,28 +36,52 @@ WINDOW = 5
 COVERAGE = 0.8
 LITERALS = 3
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
+OPEN = "\u0004"    # a name or a literal word
+SIGNS = NUMBER + NAME + UNIT + OPEN
 # Unit words.
 UNITS = ("mm cm dm m km mg g kg t ml cl l s sec second seconds min minute minutes h hour hours day days "
          "week weeks month months year years inch inches foot feet yard yards mile miles mph kmh pound "
          "pounds ounce ounces gallon gallons dollar dollars euro euros cent cents percent degree degrees "
          "watt watts volt volts hz khz mhz ghz kb mb gb tb").split()
 
+# Words that start sentences and are no names.
+COMMON = ("A An The This That These Those How What When Where Which Who Whom Whose Why If In On At Of For From To And "
+          "But Or Nor So As Is Are Was Were Do Does Did Has Have Had Each Every Some All Any Both After Before Then "
+          "There Here He She It They We You His Her Their Its Our Your My By With Without While During Since Because "
+          "Although However Also Not No").split()
+
 
 def typed_words(text: Column) -> Column:
     """The words of a text in lower case; a slot's word starts with its type's
     sign. Runs over whole texts, not word by word."""
-    t = F.translate(F.coalesce(text, F.lit("")), NUMBER + NAME + UNIT, "   ")
-    t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;:] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", NAME + "$1")
+    t = F.translate(F.coalesce(text, F.lit("")), SIGNS, "    ")
+    word = rf"(?!(?:{'|'.join(COMMON)})(?![\p{{L}}\p{{N}}]))(\p{{Lu}}\p{{Ll}}+)(?![\p{{L}}\p{{N}}])"
+    t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;:] )" + word, NAME + "$1")
+    t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{N}}{NAME}])" + word, OPEN + "$1")
     t = F.regexp_replace(t, r"(?<=[0-9])[.,](?=[0-9])", "")
     t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])([0-9]+)", NUMBER + "$1")
     t = F.lower(t)
     t = F.regexp_replace(t, rf"({NUMBER}[0-9]+ ?)({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}$2")
-    t = F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{NUMBER}{NAME}{UNIT}]+", " ")
+    t = F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{SIGNS}]+", " ")
     return F.filter(F.split(t, " "), lambda w: w != "")
 
 
 def is_slot(w: Column) -> Column:
-    return w < F.lit("\u0004")
+    return w < F.lit(OPEN)
+
+
+def is_open(w: Column) -> Column:
+    return w.between(F.lit(OPEN), F.lit("\u0005"))
+
+
+def bare(words: Column) -> Column:
+    return F.transform(words, lambda w: F.translate(w, SIGNS, ""))
+
+
+def retyped(words: Column, mask: Column) -> Column:
+    """``words`` with the open ones settled: names where ``mask`` has their bit."""
+    return F.transform(words, lambda w, j: F.when(~is_open(w), w).otherwise(
+        F.concat(F.when(F.getbit(mask, j) == 1, F.lit(NAME)).otherwise(F.lit("")), F.substring(w, 2, 1 << 20))))
 
 
 def template(words: Column) -> Column:
@@ -63,53 +89,84 @@ def template(words: Column) -> Column:
 
 
 def template_hashes(words: Column) -> Column:
-    """A hash for each word; a slot has its type's number (1, 2, 3)."""
-    return F.transform(words, lambda w: F.when(is_slot(w), F.ascii(w).cast("bigint")).otherwise(F.xxhash64(w)))
+    """A hash for each word; a slot has its type's number (1, 2, 3), an open
+    word that of the literal word."""
+    return F.transform(words, lambda w: F.when(is_slot(w), F.ascii(w).cast("bigint"))
+                       .when(is_open(w), F.xxhash64(F.substring(w, 2, 1 << 20))).otherwise(F.xxhash64(w)))
 
 
-def window_hashes(words: Column, hashes: Column, n: int = WINDOW) -> Column:
-    """A hash for each window of ``n`` words: of its template, or of the words
-    themselves where the template has too few literal words."""
-    at = F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0)))
+def window_hash(words: Column, own: Column) -> Column:
+    """A hash of a window's template ``own``, or of its words where the
+    template has too few literal ones."""
+    literal = F.size(F.filter(own, lambda h: ~h.between(1, 3)))
+    return F.when(literal >= F.least(F.lit(LITERALS), F.size(own)), F.xxhash64(own)) \
+        .otherwise(F.xxhash64(bare(words), F.lit("own")))
 
-    def plain(i):
-        return F.xxhash64(F.slice(hashes, i + 1, F.lit(n)))
-
-    def checked(i):
-        own = F.slice(hashes, i + 1, F.lit(n))
-        literal = F.size(F.filter(own, lambda h: ~h.between(1, 3)))
-        return F.when(literal >= F.least(F.lit(LITERALS), F.size(own)), F.xxhash64(own)) \
-            .otherwise(F.xxhash64(F.slice(words, i + 1, F.lit(n)), F.lit("own")))
 
+def window_hashes(words: Column, hashes: Column, n: int = WINDOW) -> Column:
+    """A hash for each window of ``n`` words, its open words taken as literal."""
+    at = F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0)))
     return (F.when(F.size(words) == 0, F.array().cast("array<bigint>"))
-            .when(F.exists(hashes, lambda h: h.between(1, 3)), F.transform(at, checked))
-            .otherwise(F.transform(at, plain)))
-
-
-def windows(df: DataFrame, n: int = WINDOW) -> DataFrame:
-    """``df`` with w (typed words) and hs (window hashes) of its text."""
-    return (df.withColumn("w", typed_words(F.col("text"))).withColumn("th", template_hashes(F.col("w")))
-            .withColumn("hs", window_hashes(F.col("w"), F.col("th"), n)).drop("th"))
+            .when(F.exists(hashes, lambda h: h.between(1, 3)), F.transform(
+                at, lambda i: window_hash(F.slice(words, i + 1, F.lit(n)), F.slice(hashes, i + 1, F.lit(n)))))
+            .otherwise(F.transform(at, lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(n))))))
+
+
+def open_hashes(words: Column, hashes: Column, n: int = WINDOW) -> Column:
+    """(at, mask, h) of each window with open words, for each other typing of
+    them: ``mask`` has the bits of those that are names."""
+    last = F.greatest(F.size(words) - n, F.lit(0))
+    places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0))), lambda p: is_open(F.get(words, p)))
+    starts = F.array_distinct(F.flatten(F.transform(
+        places, lambda p: F.sequence(F.least(F.greatest(p - (n - 1), F.lit(0)), last), F.least(p, last)))))
+
+    def typings(i):
+        w, own = F.slice(words, i + 1, F.lit(n)), F.slice(hashes, i + 1, F.lit(n))
+        # all subsets of the window's open words but the empty one
+        masks = F.aggregate(
+            F.filter(places, lambda p: p.between(i, i + (n - 1))), F.array(F.lit(0)),
+            lambda m, p: F.concat(m, F.transform(m, lambda x: x + F.pow(F.lit(2), p - i).cast("int"))))
+        return F.transform(F.filter(masks, lambda m: m > 0), lambda m: F.struct(
+            i.alias("at"), m.alias("mask"),
+            window_hash(w, F.transform(own, lambda h, j: F.when(F.getbit(m, j) == 1, F.lit(2).cast("bigint"))
+                                       .otherwise(h))).alias("h")))
+
+    return F.flatten(F.transform(starts, typings))
+
+
+def windows(df: DataFrame, keep: list[str], n: int = WINDOW) -> DataFrame:
+    """Columns ``keep`` with at, h and ws (typed words) of each window of the
+    texts, once for each typing of its open words."""
+    # outer: for a plain explode Spark infers a filter on the array's size and
+    # pushes its whole expression down, to be worked out once more for each word
+    typed = (df.withColumn("w", typed_words(F.col("text"))).withColumn("th", template_hashes(F.col("w")))
+             .withColumn("hs", window_hashes(F.col("w"), F.col("th"), n))
+             .withColumn("more", open_hashes(F.col("w"), F.col("th"), n)).drop("th"))
+    rows = typed.withColumn("n_windows", F.size("hs")).select(
+        *keep, "w", "n_windows", "more", F.posexplode_outer(F.concat("hs", F.col("more.h"))).alias("k", "h"))
+    first = F.col("k") < F.col("n_windows")
+    other = F.get(F.col("more"), F.col("k") - F.col("n_windows"))
+    # only its own words go on with a window: the rows that a document's windows
+    # make are held until the document is done
+    return (rows.withColumn("at", F.when(first, F.col("k")).otherwise(other["at"]))
+            .withColumn("mask", F.when(first, F.lit(0)).otherwise(other["mask"]))
+            .select(*keep, "n_windows", "at", "h", "mask", F.slice("w", F.col("at") + 1, F.lit(n)).alias("ws")))
 
 
 def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     """Window matches: _uid, doc_id, item, item_id, at (of the item), slots
     (pairs of the item's and the document's values). ``docs`` has _uid."""
     own = cut_lineage(
-        windows(items.select("item_id", "text").withColumn("item", F.monotonically_increasing_id()), n)
-        .select("item", "item_id", F.size("hs").alias("n_windows"), "w", F.posexplode_outer("hs").alias("at", "h"))
-        .withColumn("iw", F.slice("w", F.col("at") + 1, F.lit(n))).drop("w"), "decon-items")
-    # outer: for a plain explode Spark infers a filter on the array's size and
-    # pushes its whole expression down, to be worked out once more for each word
-    d = windows(docs.select("_uid", "doc_id", "text"), n)
-    # only its own words go on with a window: the rows that a document's windows
-    # make are held until the document is done
-    d = d.select("_uid", "doc_id", "w", F.posexplode_outer("hs").alias("pos", "h")) \
-        .select("_uid", "doc_id", "h", F.slice("w", F.col("pos") + 1, F.lit(n)).alias("dw"))
-    d = d.join(broadcast_if_small(own), "h")
+        windows(items.select("item_id", "text").withColumn("item", F.monotonically_increasing_id()), ["item", "item_id"], n)
+        .withColumn("iw", retyped(F.col("ws"), F.col("mask"))).drop("ws", "mask"), "decon-items")
+    d = (windows(docs.select("_uid", "doc_id", "text"), ["_uid", "doc_id"], n).drop("n_windows", "at")
+         .join(broadcast_if_small(own), "h").withColumn("dw", retyped(F.col("ws"), F.col("mask"))))
     pairs = F.filter(F.zip_with("iw", "dw", lambda i, x: F.struct(i.alias("i"), x.alias("d"))),
                      lambda p: is_slot(p["i"]))
-    return (d.where(template(F.col("iw")) == template(F.col("dw")))  # beyond the hash
+    pairs = F.transform(pairs, lambda p: F.struct(F.translate(p["i"], SIGNS, "").alias("i"),
+                                                  F.translate(p["d"], SIGNS, "").alias("d")))
+    same = (template(F.col("iw")) == template(F.col("dw"))) | (bare(F.col("iw")) == bare(F.col("dw")))
+    return (d.where(same)  # beyond the hash
             .select("_uid", "doc_id", "item", "item_id", "n_windows", "at", pairs.alias("slots")).distinct())
 
 
