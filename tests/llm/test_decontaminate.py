@@ -64,3 +64,19 @@ def test_names_that_start_sentences(spark):
                         "Ben has eight pears. Lisa has none. How many pears do Ben and Lisa have?"], [(7, tom)])
     assert {0, 1, 2} <= {d for d, _ in got} and (4, 7) not in got
     assert got[0, 7].reparameterised and got[0, 7].coverage >= 0.8
+
+
+def test_each_copy_has_its_own_values(spark):
+    q = "the baker sold 12 small loaves 30 large loaves 5 dark loaves 48 rolls to people who came in late that day from far away towns"
+
+    def filled(*v):
+        out = q
+        for a, b in zip(("12", "30", " 5 ", "48"), v):
+            out = out.replace(a, b)
+        return out
+
+    one, two = filled("71", "92", " 73 ", "94"), filled("91", "72", " 93 ", "74")
+    got = found(spark, [one, f"{one} {two}", f"{two} and {one}. {filled('61', '62', ' 63 ', '64')}",
+                        one.replace("to people", "at last to people")], [(3, q)])
+    assert {d for d, _ in got} == {0, 1, 2, 3}
+    assert {got[d, 3].n_matched for d in (0, 1, 2)} == {got[0, 3].n_matched} and got[3, 3].n_matched < got[0, 3].n_matched

@@ -5,9 +5,11 @@ text are its literal words. Windows of ``WINDOW`` words of the benchmark's and
 the documents' templates meet in a hash join, so a question with other numbers
 or names still meets its original. A pair (document, item) then must fill the
 item's slots consistently: each slot value of the item ("12", "Anna") stands
-for one value in the document, the one that most windows give it, and windows
-that say otherwise don't count. An item is in a document when at least
-``COVERAGE`` of its windows do. DataFrame functions only.
+for one value, the one that most windows give it, and windows that say
+otherwise don't count. That is judged for each place of the document by itself
+(windows whose places there and in the item are about equally far apart), so
+that each copy has its own values, and for the whole document. An item is in a
+document when at least ``COVERAGE`` of its windows are, in one of these. DataFrame functions only.
 
 Typing, on the words of a text: a run of digits (with . or , inside) is a
 number; a unit of the list below right after a number is a unit; a word with a
@@ -154,12 +156,12 @@ def windows(df: DataFrame, keep: list[str], n: int = WINDOW) -> DataFrame:
 
 
 def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
-    """Window matches: _uid, doc_id, item, item_id, at (of the item), slots
-    (pairs of the item's and the document's values). ``docs`` has _uid."""
+    """Window matches: _uid, doc_id, item, item_id, at (of the item), shift
+    (the document's place less the item's), slots (pairs of the item's and the document's values). ``docs`` has _uid."""
     own = cut_lineage(
         windows(items.select("item_id", "text").withColumn("item", F.monotonically_increasing_id()), ["item", "item_id"], n)
         .withColumn("iw", retyped(F.col("ws"), F.col("mask"))).drop("ws", "mask"), "decon-items")
-    d = (windows(docs.select("_uid", "doc_id", "text"), ["_uid", "doc_id"], n).drop("n_windows", "at")
+    d = (windows(docs.select("_uid", "doc_id", "text"), ["_uid", "doc_id"], n).drop("n_windows").withColumnRenamed("at", "pos")
          .join(broadcast_if_small(own), "h").withColumn("dw", retyped(F.col("ws"), F.col("mask"))))
     pairs = F.filter(F.zip_with("iw", "dw", lambda i, x: F.struct(i.alias("i"), x.alias("d"))),
                      lambda p: is_slot(p["i"]))
@@ -167,15 +169,23 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
                                                   F.translate(p["d"], SIGNS, "").alias("d")))
     same = (template(F.col("iw")) == template(F.col("dw"))) | (bare(F.col("iw")) == bare(F.col("dw")))
     return (d.where(same)  # beyond the hash
-            .select("_uid", "doc_id", "item", "item_id", "n_windows", "at", pairs.alias("slots")).distinct())
+            .select("_uid", "doc_id", "item", "item_id", "n_windows", "at", (F.col("pos") - F.col("at")).alias("shift"),
+                    pairs.alias("slots")).distinct())
 
 
 def contaminated(docs: DataFrame, items: DataFrame, n: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """A row for each (document, item) with the item in the document: _uid,
     doc_id, item_id, n_windows (of the item), n_matched, coverage, n_slots
     (distinct slot values), reparameterised (some slot has another value)."""
-    found = cut_lineage(matches(docs, items, n), "decon-matches")
-    pair = ["_uid", "item"]
+    # a place: shifts within half an item, in two rows of such places that overlap
+    # by half, so that a copy with a few words more or less lies in one; 0: all
+    span = F.greatest(F.lit(4), F.expr("n_windows div 2"))
+    half = F.greatest(F.lit(2), F.expr("n_windows div 4"))
+    places = F.array(*[F.struct(F.lit(k).alias("kind"), v.cast("bigint").alias("part")) for k, v in enumerate((
+        F.lit(0), F.floor(F.col("shift") / span), F.floor((F.col("shift") + half) / span)))])
+    found = cut_lineage(matches(docs, items, n).withColumn("place", F.explode(places)).drop("shift").distinct(),
+                        "decon-matches")
+    pair = ["_uid", "item", "place"]
     votes = (found.select(*pair, F.explode("slots").alias("s")).groupBy(*pair, "s.i", "s.d")
              .agg(F.count(F.lit(1)).alias("k")))
     # the value most windows give; of equally many the item's own, then the smallest
@@ -188,6 +198,10 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = WINDOW, coverage: f
             .groupBy(*pair, "doc_id", "item_id", "n_windows", "n_slots", "reparameterised")
             .agg(F.count_distinct("at").alias("n_matched"))
             .withColumn("coverage", F.col("n_matched") / F.col("n_windows")))
+    # the place with most of the item, one with its own values first
+    best = F.min_by(F.struct("doc_id", "item_id", "n_windows", "n_matched", "coverage", "n_slots", "reparameterised"),
+                    F.struct(-F.col("n_matched"), F.coalesce("reparameterised", F.lit(False)), "place"))
+    hits = hits.groupBy("_uid", "item").agg(best.alias("best")).select("_uid", "best.*")
     return hits.where(F.col("coverage") >= coverage).select(
         "_uid", "doc_id", "item_id", "n_windows", "n_matched", "coverage",
         F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
