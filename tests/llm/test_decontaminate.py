@@ -80,3 +80,12 @@ def test_each_copy_has_its_own_values(spark):
                         one.replace("to people", "at last to people")], [(3, q)])
     assert {d for d, _ in got} == {0, 1, 2, 3}
     assert {got[d, 3].n_matched for d in (0, 1, 2)} == {got[0, 3].n_matched} and got[3, 3].n_matched < got[0, 3].n_matched
+
+
+def test_short_items(spark):
+    bench = [(1, "purple monkey dishwasher"), (2, "Velvet hammers break blue glass rather often"), (3, "Open sesame"),
+             (4, "seven 7 dwarfs")]
+    docs = ["he said purple monkey dishwasher and left the room", "it is said, Velvet hammers break blue glass rather often",
+            "they cried: open sesame! and it was open", "purple monkey", "seven 8 dwarfs were there in the wood",
+            "the seven 7 dwarfs were there in the wood", "Open sesame"]
+    assert set(found(spark, docs, bench)) == {(0, 1), (1, 2), (2, 3), (5, 4), (6, 3)}

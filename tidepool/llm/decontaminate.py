@@ -20,13 +20,17 @@ the list ``COMMON`` are never names. A window with fewer than ``LITERALS``
 literal words says too little as a template and must match word by word.
 
 Defined cases: null and empty texts have no windows and match nothing; a text
-of fewer than ``WINDOW`` words is one window; repeated documents or items match
+of fewer than ``WINDOW`` words is one window; an item of 2 to 4 words is looked
+for in windows of its own length, and one of a single word matches a text that
+is nothing else; repeated documents or items match
 each for itself; equal windows of an item count once for each place; empty
 tables give an empty result; extra columns are left alone.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -161,7 +165,11 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     own = cut_lineage(
         windows(items.select("item_id", "text").withColumn("item", F.monotonically_increasing_id()), ["item", "item_id"], n)
         .withColumn("iw", retyped(F.col("ws"), F.col("mask"))).drop("ws", "mask"), "decon-items")
-    d = (windows(docs.select("_uid", "doc_id", "text"), ["_uid", "doc_id"], n).drop("n_windows").withColumnRenamed("at", "pos")
+    texts = docs.select("_uid", "doc_id", "text")
+    # a few lengths at most; a text of fewer words than n has its one window already
+    short = [r[0] for r in own.where(F.size("iw").between(2, n - 1)).select(F.size("iw")).distinct().collect()]
+    d = reduce(DataFrame.unionByName, [windows(texts, ["_uid", "doc_id"], k) for k in (n, *short)])
+    d = (d.drop("n_windows").withColumnRenamed("at", "pos")
          .join(broadcast_if_small(own), "h").withColumn("dw", retyped(F.col("ws"), F.col("mask"))))
     pairs = F.filter(F.zip_with("iw", "dw", lambda i, x: F.struct(i.alias("i"), x.alias("d"))),
                      lambda p: is_slot(p["i"]))
