@@ -16,14 +16,18 @@ from tidepool.llm.queries import MIX_EPOCHS, MIX_SHARE, MIX_WEIGHTS, default_tok
 from tidepool.session import scratch_path
 
 
+NEAR = ngram_join.Rule(words=5, num=80)  # op7_ngram_join has a rule of its own
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine doesn't call toxic."""
     return toxicity.reject_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the n-gram Jaccard join."""
-    return ngram_join.dedup(docs)
+    """One document of each component of the n-gram Jaccard join: 0.8 of the
+    five-word shingles."""
+    return ngram_join.dedup(docs, rule=NEAR)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from helpers import words
+from helpers import make_docs, words
 
 from tidepool.llm import toxicity
 
@@ -70,3 +70,16 @@ def test_stages_keep_odd_columns(spark, odd_docs, no_docs, sf_dir):
             assert out.columns == docs.columns, name
             assert out.schema.simpleString() == docs.schema.simpleString(), name
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+
+
+def test_near_copies_by_five_words(spark):
+    """Other words at both ends: 0.806 on five-word shingles, 0.81 on four-word ones."""
+    w = [f"w{i}" for i in range(60)]
+    base, ends = " ".join(w), " ".join(["x", "y", *w[2:-4], "a", "b", "c", "d"])
+    far = " ".join(w[:20] + ["u"] + w[21:40] + ["v"] + w[41:])
+    docs = make_docs(spark, [(1, base, "a"), (2, ends, "a"), (3, far, "a")])
+    five = lambda t: {tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)}
+    a, b, c = map(five, (base, ends, far))
+    assert len(a & b) / len(a | b) >= 0.8 > len(a & c) / len(a | c)
+    out = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3]

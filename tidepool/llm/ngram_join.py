@@ -4,7 +4,7 @@ A document's tokens are its distinct ``k``-word shingles. Tokens are put in
 classes by their count over the whole corpus: rare, frequent, very frequent.
 In the global order rare tokens come first, so a prefix holds frequent tokens
 only where a document has too few rare ones. A document with n tokens has at
-most e = n - ceil(0.85 n) tokens that a linked document lacks; its prefix is
+most e = n - ceil(0.85 n) tokens (for the threshold 0.85) that a linked document lacks; its prefix is
 extended until it has more than e of "what must be taken away": a rare token
 counts 1, and the tokens of a frequent class are dealt into groups, where a
 group of m tokens of class c counts m - (c - 1). Then of two linked documents
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
@@ -45,13 +46,30 @@ from .bucket_join import Test, link_components, sorted_runs
 from .common import ascii_lower, col, mixed, numbered, partitions, stored, word_array
 from .packed_counts import COUNT_BITS, key_counts
 
-WORDS = 4
-NUM, DEN = 85, 100            # linked: DEN * intersection >= NUM * union
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle; linked: den * intersection >= num * union."""
+    words: int
+    num: int
+    den: int = 100
+
+    @property
+    def tiny(self) -> int:
+        """Sets up to this size have no loss (e = 0)."""
+        return (self.den - 1) // (self.den - self.num)
+
+    @property
+    def base(self) -> float:
+        return self.num / self.den - 0.01  # a little wider than linked sizes need
+
+
+RULE = Rule(4, 85)            # of the query op7_ngram_join
 MAX_FREQUENT = 1 << 20        # bound of the broadcast class table; rarer tokens count as rare
 FREQUENT = 16                 # least count of a frequent token (doubled until the table fits)
 VERY_FREQUENT = 32            # times that: least count of class 3
 GROUP_SHARE = 0.1             # groups of a frequent class, of a document's size
-TINY = 6                      # sets up to this size have no loss (e = 0)
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -71,7 +89,7 @@ def _chain(parts: list[np.ndarray]) -> np.ndarray:
     return mixed(h + _C)
 
 
-def token_sets(lists: pa.Array, k: int = WORDS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def token_sets(lists: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(word hashes, sorted distinct shingle hashes) of each row of a list column."""
     offs = lists.offsets.to_numpy()
     base = offs[0]
@@ -88,16 +106,16 @@ def token_sets(lists: pa.Array, k: int = WORDS) -> Iterator[tuple[np.ndarray, np
             yield w, w
 
 
-def least_overlap(n: int) -> int:
-    return -(-NUM * n // DEN)
+def least_overlap(n: int, rule: Rule) -> int:
+    return -(-rule.num * n // rule.den)
 
 
 # ---- counts ---------------------------------------------------------------
 
-def token_classes(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def token_classes(words: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Sorted frequent tokens and their class (2 or 3), at most MAX_FREQUENT."""
     spark = words.sparkSession
-    counts = cut_lineage(key_counts(words, lambda b: (t for _, t in token_sets(b.column(1))),
+    counts = cut_lineage(key_counts(words, lambda b: (t for _, t in token_sets(b.column(1), rule.words)),
                                     max(16, 4 * partitions(spark)), FREQUENT), "ngram-counts")
     by_size = {r[0]: r[1] for r in counts.groupBy(F.floor(F.log2("n")).alias("p"))
                .agg(F.count(F.lit(1))).collect()}  # one row for each power of two
@@ -111,29 +129,29 @@ def token_classes(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 # ---- signatures -----------------------------------------------------------
 
-def size_class(n: int) -> int:
-    return int(np.log(n) / -np.log(NUM / DEN - 0.01))  # a little wider than linked sizes need
+def size_class(n: int, rule: Rule) -> int:
+    return int(np.log(n) / -np.log(rule.base))
 
 
-def groups_of(level: int) -> int:
-    return max(1, int(GROUP_SHARE * (1 / (NUM / DEN - 0.01)) ** (level - 1)))
+def groups_of(level: int, rule: Rule) -> int:
+    return max(1, int(GROUP_SHARE * (1 / rule.base) ** (level - 1)))
 
 
-def signatures(tokens: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(tokens: np.ndarray, classes: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Rare tokens to index alone, and other signatures, of a set: its sorted
     distinct tokens and the class of each."""
     n = len(tokens)
-    if n <= TINY:
+    if n <= rule.tiny:
         return tokens[:0], _whole(tokens)
-    need = n - least_overlap(n) + 1
+    need = n - least_overlap(n, rule) + 1
     rare = tokens[classes == 1]
     others = []
     if len(rare) < need:
         often = [(int(c), t) for c in (2, 3) for t in tokens[classes == c]]
-        own = size_class(n)
+        own = size_class(n, rule)
         for level in (own, own + 1):
-            others += _combined(often, need - len(rare), level)
-    if n == TINY + 1:  # a set of TINY tokens can lie within one of TINY + 1
+            others += _combined(often, need - len(rare), level, rule)
+    if n == rule.tiny + 1:  # a tiny set can lie within one of a token more
         others += [_whole(np.delete(tokens, i)) for i in range(n)]
     return rare[:need], np.unique(np.concatenate(others)) if others else tokens[:0]
 
@@ -142,9 +160,9 @@ def _whole(tokens: np.ndarray) -> np.ndarray:
     return _chain([tokens[i:i + 1] for i in range(len(tokens))] + [np.array([len(tokens)], np.uint64)])
 
 
-def _combined(often: list, left: int, level: int) -> list[np.ndarray]:
+def _combined(often: list, left: int, level: int, rule: Rule) -> list[np.ndarray]:
     """Combinations of 2 (class 2) or 3 (class 3) tokens of a group."""
-    g = np.uint64(groups_of(level))
+    g = np.uint64(groups_of(level, rule))
     groups: dict[tuple[int, int], list] = {}
     for c, t in often:
         own = groups.setdefault((c, int(t % g)), [])
@@ -169,7 +187,8 @@ BIT_WORDS = 8  # 64-bit words of the bitmap of a set's tokens
 _COPIES = 50_000  # texts a task remembers, to index a text that it has seen only once
 
 
-def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarray) -> DataFrame:
+def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarray,
+               rule: Rule) -> DataFrame:
     """kind SINGLE or COMBINED: (sig, uid, n, rest), with the set size n and the
     number of tokens not indexed alone; COPY: uid has the same words as document
     ``sig``, which is indexed in its place; SIZE: the set size of each uid;
@@ -188,7 +207,7 @@ def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarra
                 for x, v in zip(out, (sig, u, n, rest, kind)):
                     x.append(v if v is sig else np.full(len(sig), v, np.int64))
 
-            for u, (w, t) in zip(b.column(0).to_pylist(), token_sets(b.column(1))):
+            for u, (w, t) in zip(b.column(0).to_pylist(), token_sets(b.column(1), rule.words)):
                 add(np.zeros(1, np.int64), u, len(t), 0, SIZE)
                 if not len(t):
                     continue
@@ -204,7 +223,7 @@ def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarra
                     short = t >> drop
                     at = np.minimum(np.searchsorted(often, short), len(often) - 1)
                     c = np.where(often[at] == short, cls[at], 1)
-                single, combined = signatures(t, c)
+                single, combined = signatures(t, c, rule)
                 add(single.view(np.int64), u, len(t), len(t) - len(single), SINGLE)
                 add(combined.view(np.int64), u, len(t), 0, COMBINED)
                 if len(combined):
@@ -228,23 +247,23 @@ def bitmap(tokens: np.ndarray) -> list[int]:
     return np.packbits(bits, bitorder="little").view(np.int64).tolist()
 
 
-def may_link(na: Column, nb: Column, xa: Column, xb: Column) -> Column:
+def may_link(na: Column, nb: Column, xa: Column, xb: Column, rule: Rule) -> Column:
     """Whether two sets can be linked by their sizes and bitmaps: a bit of one
     that the other lacks is a token that it lacks, too."""
     def lost(x, y):
         return reduce(lambda a, b: a + b, [F.bit_count(x[i].bitwiseAND(F.bitwise_not(y[i]))) for i in range(BIT_WORDS)])
     shared = F.least(na - lost(xa, xb), nb - lost(xb, xa))
-    sizes = F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM
-    return sizes & F.coalesce(shared * (NUM + DEN) >= (na + nb) * NUM, F.lit(True))
+    sizes = F.least(na, nb) * rule.den >= F.greatest(na, nb) * rule.num
+    return sizes & F.coalesce(shared * (rule.num + rule.den) >= (na + nb) * rule.num, F.lit(True))
 
 
 # ---- candidates -----------------------------------------------------------
 
-def near_sizes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return DEN * np.minimum(a, b).astype(np.int64) >= NUM * np.maximum(a, b).astype(np.int64)
+def near_sizes(a: np.ndarray, b: np.ndarray, rule: Rule) -> np.ndarray:
+    return rule.den * np.minimum(a, b).astype(np.int64) >= rule.num * np.maximum(a, b).astype(np.int64)
 
 
-def rare_pairs(singles: DataFrame) -> DataFrame:
+def rare_pairs(singles: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) that share enough rare tokens. A bucket has fewer rows than
     a frequent token's count, so each index row has a bounded number of pairs."""
     rows = singles.select("sig", "uid", "n", "rest").repartition(partitions(singles.sparkSession), "sig") \
@@ -257,10 +276,10 @@ def rare_pairs(singles: DataFrame) -> DataFrame:
                 at = np.flatnonzero(sig[:-d] == sig[d:])
                 if not len(at):  # no bucket has more than d rows
                     break
-                at = at[near_sizes(n[at], n[at + d])]
+                at = at[near_sizes(n[at], n[at + d], rule)]
                 x, y = at, at + d
                 both = n[x].astype(np.int64) + n[y]
-                overlap = -(-NUM * both // (NUM + DEN))
+                overlap = -(-rule.num * both // (rule.num + rule.den))
                 least = np.maximum(1, overlap - np.maximum(rest[x], rest[y]))
                 out.append((np.minimum(uid[x], uid[y]), np.maximum(uid[x], uid[y]), least.astype(np.int32)))
             if out:
@@ -272,11 +291,11 @@ def rare_pairs(singles: DataFrame) -> DataFrame:
             .where("shared >= least").select("a", "b"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """The links among ``pairs`` (a, b); both sides' token sets are compared."""
     def sets(batches):
         for b in batches:
-            t = [t.view(np.int64) for _, t in token_sets(b.column(1))]
+            t = [t.view(np.int64) for _, t in token_sets(b.column(1), rule.words)]
             if t:
                 offs = np.cumsum([0, *map(len, t)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -289,30 +308,31 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     one, two = own.toDF("a", "sa"), own.toDF("b", "sb")
     shared = F.size(F.array_intersect("sa", "sb"))
     return (pairs.join(one, "a").join(two.hint("merge"), "b").withColumn("i", shared)
-            .where(DEN * F.col("i") >= NUM * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b"))
+            .where(rule.den * F.col("i") >= rule.num * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b"))
 
 
-def linked(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def linked(texts: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataFrame]:
     """(uid, n) and (node, component) for a written table (uid, text, ...)."""
     ship_package(texts.sparkSession)
     words = hashed_words(texts)
-    index = stored(index_rows(words, *token_classes(words)), "ngram-index", "kind")
+    index = stored(index_rows(words, *token_classes(words, rule), rule), "ngram-index", "kind")
     sizes = index.where(F.col("kind") == SIZE).select("uid", "n")
     copies = index.where(F.col("kind") == COPY).select(F.col("sig").alias("a"), F.col("uid").alias("b"))
     bits = index.where(F.col("kind") == BITS).select("uid", "bits")
-    test = Test(near_sizes, may_link, lambda pairs: verified(pairs, texts), bits)
-    pairs = cut_lineage(rare_pairs(index.where(F.col("kind") == SINGLE)), "ngram-pairs")
-    links = cut_lineage(verified(pairs, texts).unionByName(copies), "ngram-links")
+    test = Test(lambda a, b: near_sizes(a, b, rule), lambda na, nb, xa, xb: may_link(na, nb, xa, xb, rule),
+                lambda pairs: verified(pairs, texts, rule), bits)
+    pairs = cut_lineage(rare_pairs(index.where(F.col("kind") == SINGLE), rule), "ngram-pairs")
+    links = cut_lineage(verified(pairs, texts, rule).unionByName(copies), "ngram-links")
     combined = index.where(F.col("kind") == COMBINED).select("sig", "uid", F.col("n").cast("long").alias("v"))
     return sizes, link_components(combined, links, pairs, test, "ngram")
 
 
-def join_rows(rows: DataFrame, uid: str = "_uid", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def join_rows(rows: DataFrame, uid: str = "_uid", text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE) -> DataFrame:
     """For a written table with a unique ``uid``: uid, doc_id, n_shingles,
     component_id (smallest doc_id reachable) and first_of_component (true for
     one row of each component)."""
     texts = rows.select(col(uid).alias("uid"), col(text).alias("text"))
-    sizes, comps = linked(texts)
+    sizes, comps = linked(texts, rule)
     ids = rows.select(col(uid).alias("uid"), col(doc_id).alias("doc_id"))
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "uid")
     member = comps.toDF("uid", "comp").join(ids, "uid").withColumn("key", key)
@@ -325,14 +345,14 @@ def join_rows(rows: DataFrame, uid: str = "_uid", text: str = "text", doc_id: st
                     (F.col("first.uid") == F.col("uid")).alias("first_of_component")))
 
 
-def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, first_of_component."""
     rows, uid = numbered(docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")), "ngram-docs")
-    return join_rows(rows, uid).drop("uid")
+    return join_rows(rows, uid, rule=rule).drop("uid")
 
 
-def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest doc_id."""
     rows, uid = numbered(docs, "ngram-docs")
-    rest = join_rows(rows, uid, text, doc_id).where("not first_of_component").select(F.col("uid").alias(uid))
+    rest = join_rows(rows, uid, text, doc_id, rule).where("not first_of_component").select(F.col("uid").alias(uid))
     return rows.join(rest, uid, "left_anti").select(*[col(c) for c in docs.columns])
