@@ -38,9 +38,9 @@ def test_encoder_forgets(monkeypatch):
     monkeypatch.setattr(packing, "KNOWN_WORDS", 50)
     enc, rng = packing.WordEncoder(WORDS), random.Random(4)
     for _ in range(40):
-        text = " ".join("".join(rng.choices("abcdeé.,'", k=rng.randint(1, 6))) for _ in range(30))
+        text = " ".join("".join(rng.choices("abcdeéΩ.,'", k=rng.randint(1, 6))) for _ in range(30))
         assert enc.encode(text) == struct.pack(f"<{len(ids_of(text)) - 1}I", *ids_of(text)[:-1])
-        assert len(enc.words) < 120
+        assert len(enc.words) + len(enc.words.older) + len(enc.cores) + len(enc.cores.older) < 320
 
 
 def test_other_tokenizer_encodes_whole_texts():
@@ -48,7 +48,8 @@ def test_other_tokenizer_encodes_whole_texts():
     enc, tok = packing.WordEncoder(path), Tokenizer.from_file(path)
     assert not enc.by_word
     text = "Two  spaces and 'signs'\n"
-    assert list(struct.unpack(f"<{len(enc.encode(text)) // 4}I", enc.encode(text))) == tok.encode(text, add_special_tokens=False).ids
+    got = enc.encode(text)
+    assert list(struct.unpack(f"<{len(got) // 4}I", got)) == tok.encode(text, add_special_tokens=False).ids
 
 
 def check(spark, path, rows, length):

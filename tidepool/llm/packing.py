@@ -27,10 +27,11 @@ strings in a text are read as the tokenizers library reads them by default.
 from __future__ import annotations
 
 import math
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,29 +47,56 @@ LENGTH = 4096
 END_ID = 1
 SHARD_IDS = 8_000_000
 OPEN_IDS = 24_000_000
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 300_000
 WORD_BYTES = 64
 ROWS_OUT = 128
 _SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII signs other than the apostrophe
+# Letters that neither composition nor case changes in number: ASCII, Latin-1, Extended-A without dotted I.
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+# Byte-level vocabularies write a byte as its Latin-1 letter; those without a
+# printable one take the code points from 256 on, in order.
+_BYTE_LETTERS = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
+class _Words(dict):
+    """Ids of words, found when a word is first met. A full table is put aside
+    and words still in use are taken over from it."""
+
+    def __init__(self, learn, older: dict | None = None):
+        self.learn, self.older = learn, {} if older is None else older
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.learn(word)
+        if len(word) <= WORD_BYTES:  # long strings hardly come again
+            self[word] = ids
+        return ids
+
+    def renewed(self) -> _Words:
+        if len(self) < KNOWN_WORDS:
+            return self
+        self.older = {}
+        return _Words(self.learn, self)
+
+
 class WordEncoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit integers, by a
-    ``tokenizers`` file that drops white space and lowers case. Such a file
-    gives a text the ids of its words one after another, so ids are kept for
-    words (a bounded table) and signs around a word are looked up on their own.
-    A file of another kind encodes whole texts."""
+    ``tokenizers`` file that drops white space, lowers case and maps bytes to
+    letters. Such a file gives a text the ids of its words one after another, and
+    cuts words before and after signs, so the library is asked once for each
+    word. A file of another kind encodes whole texts."""
 
     def __init__(self, path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model.tokenize
         self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.by_word = self._drops_white_space()
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {b"": b""}
+        self.words, self.cores = _Words(self._word), _Words(self._core)
 
     @staticmethod
     def get(path: str) -> WordEncoder:
@@ -77,77 +105,44 @@ class WordEncoder:
         return _ENCODERS[path]
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _core(self, low: bytes) -> bytes:
+        """Ids of a lower-case word of Latin letters, or of ASCII signs."""
+        letters = low.decode() if low.isascii() else low.decode("latin-1").translate(_BYTE_LETTERS)
+        return array("I", [t.id for t in self.model(letters)]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters only
+            return self.cores[word.lower()]
+        left = word.lstrip(_SIGNS)
+        core = left.rstrip(_SIGNS)
+        text = core.decode()
+        if not _LATIN.fullmatch(text):
+            return self._whole(word.decode())
+        ids = self.cores[text.lower().encode()]
+        if len(core) == len(word):
+            return ids
+        before, after = word[:len(word) - len(left)], left[len(core):]
+        return (self.cores[before] if before else b"") + ids + (self.cores[after] if after else b"")
 
     def _drops_white_space(self) -> bool:
+        """Whether texts can be taken apart as ``_word`` does it, by trial."""
+        signs = _SIGNS.decode()
         probes = ["One two", " one  Two\n", "don't\tstop...now (here) 12", "a é. ß !?x"]
-        lower = all(self._whole(p) == self._whole(p.lower()) for p in probes)
-        def signs(w):
-            return [w[:len(w) - len(w.lstrip(_SIGNS.decode()))], w.strip(_SIGNS.decode()), w[len(w.rstrip(_SIGNS.decode())):]]
-        parts = all(self._whole(p) == b"".join(self._whole(x) for w in p.split() for x in signs(w) if x) for p in probes)
-        plain = all([t.id for t in self.tok.model.tokenize(w)] == self.tok.encode(w, add_special_tokens=False).ids
-                    for w in ("word", "packing", "...", "q", "?!"))
-        return lower and parts and plain
+        apart = [x for p in probes for w in p.split()
+                 for x in (w[:len(w) - len(w.lstrip(signs))], w.strip(signs), w[len(w.rstrip(signs)):]) if x]
+        letters = [chr(c) for c in range(65, 384) if _LATIN.fullmatch(chr(c))]
+        return (b"".join(map(self._whole, probes)) == b"".join(map(self._whole, apart))
+                and all(self._core(w.lower().encode()) == self._whole(w)
+                        for w in ["word", "Packing", "...", "?!", *letters, "".join(letters)]))
 
     def encode(self, text: str) -> bytes:
-        if not self.by_word:
-            return self._whole(text)
         raw = text.encode()
-        if any(s in raw for s in self.special):
+        if not self.by_word or any(s in raw for s in self.special):
             return self._whole(text)
-        words = raw.split()
-        new = set(words).difference(self.words)
-        if not new:
-            return b"".join(map(self.words.__getitem__, words))
-        if len(self.words) > KNOWN_WORDS:
-            self._forget(set(words))
-            new = set(words).difference(self.words)
-        self._learn(new)
-        out = b"".join(map(self.words.__getitem__, words))
-        for w in new:
-            if len(w) > WORD_BYTES:  # long strings hardly come again
-                del self.words[w]
-        return out
-
-    def _forget(self, needed: set) -> None:
-        for table in (self.words, self.parts):
-            for w in list(islice(table, len(table) // 2)):
-                if w not in needed and w:
-                    del table[w]
-
-    def _learn(self, new: set) -> None:
-        parts, model, split, late = self.parts, self.tok.model.tokenize, {}, []
-
-        def plain(p):
-            parts[p] = np.array([t.id for t in model(p.decode())], "<u4").tobytes()
-
-        for w in new:
-            core = w if w.isalpha() else w.strip(_SIGNS)
-            if core.isalpha():  # bytes: ASCII letters only
-                core = core.lower()
-                if core not in parts:
-                    plain(core)
-            else:
-                if not core or core.isascii() or not core.decode().isalpha():
-                    core = w
-                if core not in parts:
-                    parts[core] = b""
-                    late.append(core)
-            k = len(w) - len(w.lstrip(_SIGNS)) if len(core) != len(w) else 0
-            around = w[:k], w[k + len(core):]
-            for p in around:
-                if p not in parts:
-                    plain(p)
-            split[w] = around[0], core, around[1]
-        if late:
-            e = self.tok.encode([p.decode() for p in late], is_pretokenized=True, add_special_tokens=False)
-            stops = np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(late)), side="right")
-            parts.update(zip(late, (a.tobytes() for a in np.split(np.array(e.ids, "<u4"), stops[:-1]))))
-        for w, (a, core, z) in split.items():
-            self.words[w] = parts[a] + parts[core] + parts[z]
-        for w in late:
-            if len(w) > WORD_BYTES:
-                del parts[w]
+        self.words, self.cores = self.words.renewed(), self.cores.renewed()
+        return b"".join(map(self.words.__getitem__, raw.split()))
 
 
 class Packer:
