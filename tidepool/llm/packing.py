@@ -16,7 +16,8 @@ open one has room. A task's open sequences are bounded by ``OPEN_IDS`` ids: beyo
 are handed to the next round early.
 
 ``pack`` writes a folder of Parquet through Spark's committer: sequence_id,
-token_ids (at most ``length``), and pieces (doc_id, piece, start, offset, length).
+token_ids (at most ``length``, as little-endian unsigned 32-bit integers), and
+pieces (doc_id, piece, start, offset, length). ``read_sequences`` gives the ids as arrays.
 
 Defined cases: a null or empty text is its end id; repeated rows and equal or null
 doc_ids are packed each; a text of any length is cut, never shortened; an
@@ -32,6 +33,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +49,7 @@ LENGTH = 4096
 END_ID = 1
 SHARD_IDS = 8_000_000
 OPEN_IDS = 24_000_000
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 500_000
 WORD_BYTES = 64
 ROWS_OUT = 128
 _SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII signs other than the apostrophe
@@ -96,7 +98,7 @@ class WordEncoder:
         self.model = self.tok.model.tokenize
         self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.by_word = self._drops_white_space()
-        self.words, self.cores = _Words(self._word), _Words(self._core)
+        self.words = _Words(self._word)
 
     @staticmethod
     def get(path: str) -> WordEncoder:
@@ -107,24 +109,23 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _core(self, low: bytes) -> bytes:
+    def _latin(self, low: bytes) -> bytes:
         """Ids of a lower-case word of Latin letters, or of ASCII signs."""
         letters = low.decode() if low.isascii() else low.decode("latin-1").translate(_BYTE_LETTERS)
         return array("I", [t.id for t in self.model(letters)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
         if word.isalpha():  # ASCII letters only
-            return self.cores[word.lower()]
+            return self._latin(word.lower())
         left = word.lstrip(_SIGNS)
         core = left.rstrip(_SIGNS)
-        text = core.decode()
-        if not _LATIN.fullmatch(text):
+        if len(core) == len(word) or not core:
+            text = word.decode()
+            return self._latin(text.lower().encode()) if core and _LATIN.fullmatch(text) else self._whole(text)
+        if not core.isalpha() and not _LATIN.fullmatch(core.decode()):
             return self._whole(word.decode())
-        ids = self.cores[text.lower().encode()]
-        if len(core) == len(word):
-            return ids
-        before, after = word[:len(word) - len(left)], left[len(core):]
-        return (self.cores[before] if before else b"") + ids + (self.cores[after] if after else b"")
+        known, before, after = self.words, word[:len(word) - len(left)], left[len(core):]
+        return (known[before] if before else b"") + known[core] + (known[after] if after else b"")
 
     def _drops_white_space(self) -> bool:
         """Whether texts can be taken apart as ``_word`` does it, by trial."""
@@ -134,14 +135,14 @@ class WordEncoder:
                  for x in (w[:len(w) - len(w.lstrip(signs))], w.strip(signs), w[len(w.rstrip(signs)):]) if x]
         letters = [chr(c) for c in range(65, 384) if _LATIN.fullmatch(chr(c))]
         return (b"".join(map(self._whole, probes)) == b"".join(map(self._whole, apart))
-                and all(self._core(w.lower().encode()) == self._whole(w)
+                and all(self._latin(w.lower().encode()) == self._whole(w)
                         for w in ["word", "Packing", "...", "?!", *letters, "".join(letters)]))
 
     def encode(self, text: str) -> bytes:
         raw = text.encode()
         if not self.by_word or any(s in raw for s in self.special):
             return self._whole(text)
-        self.words, self.cores = self.words.renewed(), self.cores.renewed()
+        self.words = self.words.renewed()
         return b"".join(map(self.words.__getitem__, raw.split()))
 
 
@@ -150,7 +151,7 @@ class Packer:
 
     def __init__(self, length: int, may_open: bool = True):
         self.length, self.may_open = length, may_open
-        self.count = np.zeros(length + 1, np.int64)  # N(g); places 0 and ``length`` stay 0
+        self.count = np.zeros(length + 1, np.int32)  # N(g); places 0 and ``length`` stay 0
         self.open: dict[int, list[list]] = {}        # gap -> sequences, each a list of pieces
         self.ids = 0
 
@@ -158,7 +159,7 @@ class Packer:
         n, length = self.count, self.length
         here = n[size:length]                  # sequences whose gap is size, size + 1, ...
         after = n[:length - size]              # and those that have the gap left then
-        cost = np.where(here > 0, 2 * (after - here) + 2, np.iinfo(np.int64).max)
+        cost = np.where(here > 0, 2 * (after - here) + 2, np.iinfo(np.int32).max)
         if len(cost):
             cost[0] -= here[0] > 0             # a full sequence is no longer counted
         best = int(cost.argmin()) if len(cost) else -1
@@ -191,7 +192,7 @@ def _row_schema(doc_id: T.DataType) -> T.StructType:
                           T.StructField("start", T.LongType()), T.StructField("offset", T.LongType()),
                           T.StructField("length", T.LongType())])
     return T.StructType([T.StructField("sequence_id", T.LongType()), T.StructField("full", T.BooleanType()),
-                         T.StructField("token_ids", T.ArrayType(T.IntegerType())),
+                         T.StructField("token_ids", T.BinaryType()),
                          T.StructField("pieces", T.ArrayType(piece))])
 
 
@@ -218,15 +219,13 @@ class _Writer:
         per = np.array([len(s) for s in seqs])
         bounds = np.concatenate([[0], np.cumsum(per)])
         ends = np.concatenate([[0], np.cumsum(size)])
-        first = ends[bounds[:-1]]
-        offset = ends[:-1] - np.repeat(first, per)
+        offset = ends[:-1] - np.repeat(ends[bounds[:-1]], per)
         struct = self.schema.field("pieces").type.value_type
         fields = [[p[0] for p in flat], [p[1] for p in flat], [p[2] for p in flat], offset, size]
         pieces = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(fields, struct)], fields=list(struct))
-        ids = pa.array(np.frombuffer(b"".join([p[3] for p in flat]), "<i4"), pa.int32())
         yield pa.RecordBatch.from_arrays([
             pa.array(numbers, pa.int64()), pa.array(full, pa.bool_()),
-            pa.ListArray.from_arrays(pa.array(ends[bounds], pa.int32()), ids).cast(self.schema.field("token_ids").type),
+            pa.array([b"".join([p[3] for p in s]) for s in seqs], pa.binary()),
             pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces).cast(self.schema.field("pieces").type)],
             schema=self.schema)
 
@@ -258,7 +257,7 @@ def _next_round(round_no: int, length: int, last: bool, schema: pa.Schema):
         items, out, bins = [], _Writer(schema, round_no), Packer(length, may_open=not last)
         for b in batches:
             for ids, pieces in zip(b.column("token_ids"), b.column("pieces").to_pylist()):
-                raw = ids.values.to_numpy().astype("<u4", copy=False).tobytes()
+                raw = ids.as_py()
                 items += [(p["doc_id"], p["piece"], p["start"], raw[4 * p["offset"]:4 * (p["offset"] + p["length"])])
                           for p in pieces]
         items.sort(key=lambda p: -len(p[3]))
@@ -286,7 +285,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, length: int = LE
     while True:
         state.write.option("compression", "zstd").partitionBy("full").parquet(f"{out}/round={k}")
         still_open = spark.read.schema(rows).parquet(f"{out}/round={k}").where("NOT full")
-        left = still_open.agg(F.coalesce(F.sum(F.size("token_ids")), F.lit(0))).first()[0]
+        left = still_open.agg(F.coalesce(F.sum(F.octet_length("token_ids") / 4), F.lit(0.0))).first()[0]
         if left == 0:
             break
         k += 1
@@ -301,15 +300,32 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, length: int = LE
     return out
 
 
-def read_sequences(spark: SparkSession, path: str) -> DataFrame:
-    """The packed sequences: sequence_id, token_ids, pieces."""
+def _stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path).drop("round", "full")
 
 
+def read_sequences(spark: SparkSession, path: str) -> DataFrame:
+    """The packed sequences: sequence_id, token_ids (an array), pieces."""
+    ship_package(spark)
+    rows = _stored(spark, path).select("sequence_id", "token_ids", "pieces")
+    schema = T.StructType([T.StructField("token_ids", T.ArrayType(T.LongType())) if f.name == "token_ids" else f
+                           for f in rows.schema])
+    arrow = to_arrow_schema(schema)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = b.column("token_ids").to_pylist()
+            at = pa.array(np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]), pa.int32())
+            ids = pa.array(np.frombuffer(b"".join(raw), "<u4").astype(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("sequence_id"), pa.ListArray.from_arrays(at, ids).cast(
+                arrow.field("token_ids").type), b.column("pieces")], schema=arrow)
+    return rows.mapInArrow(read, schema)
+
+
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """Per piece, from the written sequences: doc_id, piece, start, length,
     ids_crc32, sequence_id, offset."""
-    sequences = read_sequences(spark, path)
+    sequences = _stored(spark, path)
     piece = sequences.schema["pieces"].dataType.elementType
     rows = T.StructType([*piece.fields, T.StructField("ids_crc32", T.LongType()), T.StructField("sequence_id", T.LongType())])
     arrow = to_arrow_schema(rows)
@@ -317,14 +333,10 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lists = b.column("pieces")
-            parts = lists.flatten()
-            per = np.diff(lists.offsets.to_numpy())
-            ids = b.column("token_ids")
-            raw = memoryview(ids.flatten().to_numpy(zero_copy_only=False).astype("<u4", copy=False).tobytes())
-            first = ids.offsets.to_numpy().astype(np.int64) - ids.offsets[0].as_py()
-            at = np.repeat(first[:-1], per) + parts.field("offset").to_numpy()
-            size = parts.field("length").to_numpy()
-            crc = [zlib.crc32(raw[4 * a:4 * (a + n)]) for a, n in zip(at.tolist(), size.tolist())]
+            parts, per = lists.flatten(), np.diff(lists.offsets.to_numpy())
+            place = iter(zip((4 * parts.field("offset").to_numpy()).tolist(), (4 * parts.field("length").to_numpy()).tolist()))
+            crc = [zlib.crc32(raw[at:at + n]) for ids, k in zip(b.column("token_ids"), per.tolist())
+                   for raw in [memoryview(ids.as_buffer())] for at, n in islice(place, k)]
             seq = np.repeat(b.column("sequence_id").to_numpy(), per)
             yield pa.RecordBatch.from_arrays([*[parts.field(f.name) for f in piece.fields],
                                               pa.array(crc, pa.int64()), pa.array(seq, pa.int64())], schema=arrow)
