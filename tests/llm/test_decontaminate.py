@@ -89,3 +89,60 @@ def test_short_items(spark):
             "they cried: open sesame! and it was open", "purple monkey", "seven 8 dwarfs were there in the wood",
             "the seven 7 dwarfs were there in the wood", "Open sesame"]
     assert set(found(spark, docs, bench)) == {(0, 1), (1, 2), (2, 3), (5, 4), (6, 3)}
+
+
+def _settled(words):
+    """Each way to settle the open words of a window, as (template, words)."""
+    out = [[]]
+    for w in words:
+        kinds = [[w]] if not w.startswith(dc.OPEN) else [[w[1:]], [dc.NAME + w[1:]]]
+        out = [o + k for o in out for k in kinds]
+    return [(tuple(w[0] if w[0] < dc.OPEN else w for w in o),
+             tuple(w.translate({ord(s): None for s in dc.SIGNS}) for w in o)) for o in out]
+
+
+def _meet(a, b):
+    """Whether two windows match: a template with enough literal words, or the words."""
+    for t, bare in _settled(a):
+        for u, other in _settled(b):
+            enough = sum(w[0] > dc.OPEN for w in t) >= min(dc.LITERALS, len(t))
+            if enough and t == u or not enough and bare == other and sum(
+                    w[0] > dc.OPEN for w in u) < min(dc.LITERALS, len(u)):
+                return True
+    return False
+
+
+def test_window_matches_equal_all_typings_tried(spark):
+    import random
+    rng = random.Random(6)
+    vocab = ["Tom", "Anna", "has", "12", "apples", "km", "Has", "ran", "7", "and", "How"]
+
+    def text(n):
+        return "".join(rng.choice(vocab) + rng.choice([" ", " ", ". ", "! "]) for _ in range(n))
+
+    items = [(k, text(9)) for k in range(12)]
+    docs = [(k, text(40) + items[k % 12][1]) for k in range(15)]
+    idf = spark.createDataFrame(items, "item_id long, text string")
+    ddf = spark.createDataFrame([(k, k, t) for k, t in docs], "_uid long, doc_id long, text string")
+    typed = {n: {r[0]: r[1] for r in f.select(f.columns[0], dc.typed_words(f["text"])).collect()}
+             for n, f in (("i", idf), ("d", ddf))}
+    want = set()
+    for d, dw in typed["d"].items():
+        for i, iw in typed["i"].items():
+            for x in range(len(dw) - 4):
+                for y in range(len(iw) - 4):
+                    if _meet(iw[y:y + 5], dw[x:x + 5]):
+                        want.add((d, i, y, x - y))
+    got = {(r["doc_id"], r["item_id"], r["at"], r["shift"]) for r in dc.matches(ddf, idf).collect()}
+    assert got == want and len(want) > 50
+
+
+def test_long_text_and_list_of_names(spark):
+    import time
+    long = " ".join(("Word" if i % 10 == 0 else f"w{i % 977}") + ("." if i % 10 == 9 else "") for i in range(60_000))
+    names = " ! ".join("N" + "abcdefghij"[i % 10] * 2 for i in range(300))
+    df = spark.createDataFrame([(1, names), (2, long)], "doc_id long, text string")
+    t = time.time()
+    rows = {r[0]: r[1] for r in dc.windows(df, ["doc_id"]).groupBy("doc_id").count().collect()}
+    assert rows[1] <= 17 * 296 and rows[2] <= 1.6 * 60_000
+    assert time.time() - t < 60  # a quadratic expression takes minutes

@@ -120,7 +120,10 @@ def window_hashes(words: Column, hashes: Column, n: int = WINDOW) -> Column:
 
 def open_hashes(words: Column, hashes: Column, n: int = WINDOW) -> Column:
     """(at, mask, h) of each window with open words, for each other typing of
-    them: ``mask`` has the bits of those that are names."""
+    them: ``mask`` has the bits of those that are names. Typings with too few
+    literal words all hash the bare words, so of these the one with every open
+    word a name stands for all. A window looks at its own words only: the work grows with
+    the text, and a window has at most 17 rows (of 5 open words up to 2 names, or all)."""
     last = F.greatest(F.size(words) - n, F.lit(0))
     places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0))), lambda p: is_open(F.get(words, p)))
     starts = F.array_distinct(F.flatten(F.transform(
@@ -128,11 +131,14 @@ def open_hashes(words: Column, hashes: Column, n: int = WINDOW) -> Column:
 
     def typings(i):
         w, own = F.slice(words, i + 1, F.lit(n)), F.slice(hashes, i + 1, F.lit(n))
-        # all subsets of the window's open words but the empty one
+        # all subsets of the window's open words but the empty one; the last has them all
         masks = F.aggregate(
-            F.filter(places, lambda p: p.between(i, i + (n - 1))), F.array(F.lit(0)),
-            lambda m, p: F.concat(m, F.transform(m, lambda x: x + F.pow(F.lit(2), p - i).cast("int"))))
-        return F.transform(F.filter(masks, lambda m: m > 0), lambda m: F.struct(
+            F.filter(F.array(*[F.lit(j) for j in range(n)]), lambda j: is_open(F.get(w, j))), F.array(F.lit(0)),
+            lambda m, j: F.concat(m, F.transform(m, lambda x: x + F.pow(F.lit(2), j).cast("int"))))
+        literal = F.size(F.filter(own, lambda h: ~h.between(1, 3)))
+        enough = F.least(F.lit(LITERALS), F.size(own))
+        kept = F.filter(masks, lambda m, k: (m > 0) & ((k == F.size(masks) - 1) | (literal - F.bit_count(m) >= enough)))
+        return F.transform(kept, lambda m: F.struct(
             i.alias("at"), m.alias("mask"),
             window_hash(w, F.transform(own, lambda h, j: F.when(F.getbit(m, j) == 1, F.lit(2).cast("bigint"))
                                        .otherwise(h))).alias("h")))
