@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from tidepool.plans import ORACLES, QUERIES
 
 STREAMING = {"audit_stream", "audit_stream_history", "audit_stream_keyed", "audit_stream_keyed_history"}
 PYTHON_OK_PREFIXES = ("extract_", "site_rules", "crawl_expand")
@@ -11,7 +11,7 @@ PYTHON_OK_PREFIXES = ("extract_", "site_rules", "crawl_expand")
 @pytest.fixture(scope="module")
 def plans(spark, sf_dir):
     out = {}
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         if name in STREAMING:
             continue
         out[name] = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
@@ -32,4 +32,4 @@ def test_python_only_in_page_extraction(plans):
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)

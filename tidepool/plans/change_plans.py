@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import changes as chg
+from ..operators.param_batch import Where, param_batch
 from ..sources.tables import read_table
 from .registry import register
 
@@ -309,6 +310,90 @@ def param_batch_delete_counts(spark, sf_dir):
     return counts
 
 
+# ------------------------------------------------- A6, any WHERE in the sets
+
+def _suppliers_sets(spark, sf_dir):
+    """A set for each supplier: a price range whose length goes from a point to
+    most prices, two statuses, a new status and a lowest date."""
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_acctbal"])
+    k = F.col("s_suppkey")
+    low = F.lit(1000.0) + (k * 37 % 100) * 4000
+    return s.select(
+        k.cast("long").alias("seq"), low.alias("low"),
+        (low + F.element_at(F.array(*[F.lit(v) for v in (0.0, 900.0, 25_000.0, 300_000.0)]), (k % 4 + 1).cast("int"))).alias("high"),
+        F.array(F.element_at(F.array(*[F.lit(v) for v in "OFP"]), (k % 3 + 1).cast("int")),
+                F.concat(F.lit("S"), (k % 5).cast("string"))).alias("statuses"),
+        F.concat(F.lit("S"), ((k + 2) % 5).cast("string")).alias("status"),
+        F.make_date(F.lit(1992) + (k % 6).cast("int"), F.lit(3), F.lit(1)).cast("timestamp_ntz").alias("since"))
+
+
+_SETS_SQL = """
+sets AS (
+  SELECT CAST(s_suppkey AS BIGINT) AS seq, low, low + [0.0, 900.0, 25000.0, 300000.0][s_suppkey % 4 + 1] AS high,
+         [['O', 'F', 'P'][s_suppkey % 3 + 1], 'S' || s_suppkey % 5] AS statuses, 'S' || (s_suppkey + 2) % 5 AS status,
+         CAST(make_date(1992 + s_suppkey % 6, 3, 1) AS TIMESTAMP) AS since
+    FROM (SELECT *, 1000.0::DOUBLE + (s_suppkey * 37 % 100) * 4000 AS low FROM supplier)),
+numbered AS (SELECT *, row_number() OVER (ORDER BY seq) AS n FROM sets)
+"""
+# every order's status after each set in turn, with the set that last hit it
+_RUN_SQL = "WITH RECURSIVE" + _SETS_SQL + """,
+run(o_orderkey, price, status, n, hit) AS (
+  SELECT o_orderkey, o_totalprice, o_orderstatus, 0::BIGINT, FALSE FROM orders
+  UNION ALL
+  SELECT r.o_orderkey, r.price,
+         CASE WHEN r.price BETWEEN s.low AND s.high AND list_contains(s.statuses, r.status) THEN s.status ELSE r.status END,
+         s.n, r.price BETWEEN s.low AND s.high AND coalesce(list_contains(s.statuses, r.status), FALSE)
+    FROM run r JOIN numbered s ON s.n = r.n + 1)
+"""
+_STATUS_WHERE = Where(within={"o_totalprice": ("low", "high")}, among={"o_orderstatus": "statuses"})
+
+
+def _status_batch(spark, sf_dir):
+    return param_batch(read_table(spark, sf_dir, "orders"), _suppliers_sets(spark, sf_dir), _STATUS_WHERE,
+                       set_columns={"o_orderstatus": "status"})
+
+
+@register("param_where_update", _RUN_SQL + """
+SELECT o.o_orderkey, o.o_custkey, r.status AS o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority
+  FROM run r JOIN orders o USING (o_orderkey) WHERE r.n = (SELECT count(*) FROM sets)
+""")
+def param_where_update(spark, sf_dir):
+    return _status_batch(spark, sf_dir)[0]
+
+
+@register("param_where_update_counts", _RUN_SQL + """
+SELECT s.seq, count(*) FILTER (r.hit) AS affected FROM numbered s LEFT JOIN run r USING (n) GROUP BY s.seq
+""")
+def param_where_update_counts(spark, sf_dir):
+    return _status_batch(spark, sf_dir)[1]
+
+
+_DELETE_SQL = "WITH" + _SETS_SQL + """,
+hits AS (SELECT o.o_orderkey, min(s.seq) AS seq FROM orders o JOIN sets s
+           ON o.o_totalprice BETWEEN s.low AND s.high AND o.o_orderdate >= s.since GROUP BY o.o_orderkey)
+"""
+
+
+def _delete_batch(spark, sf_dir):
+    where = Where(within={"o_totalprice": ("low", "high")}, also=lambda p: F.col("o_orderdate") >= p("since"),
+                  also_columns=["o_orderdate"])
+    return param_batch(read_table(spark, sf_dir, "orders"), _suppliers_sets(spark, sf_dir), where, delete=True)
+
+
+@register("param_where_delete", _DELETE_SQL + """
+SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM hits)
+""")
+def param_where_delete(spark, sf_dir):
+    return _delete_batch(spark, sf_dir)[0]
+
+
+@register("param_where_delete_counts", _DELETE_SQL + """
+SELECT s.seq, count(h.o_orderkey) AS affected FROM sets s LEFT JOIN hits h USING (seq) GROUP BY s.seq
+""")
+def param_where_delete_counts(spark, sf_dir):
+    return _delete_batch(spark, sf_dir)[1]
+
+
 # --------------------------------------------------------- hot key (skew)
 
 def hot_key_feed(orders):
