@@ -135,6 +135,12 @@ def test_redirects_against_a_walk(spark):
         if rng.random() < 0.2:
             rows.append((f"http://h/{i}", 503, None, None, 0))
     rows += [(f"http://c/{i}", 302, f"/{i + 1}", None, 1) for i in range(40)] + [("http://c/40", 200, None, None, 1)]
+    # large loops: names in an order, two small ones far apart, and shuffled, with tails
+    for ring, order in (("r", list(range(64))), ("s", [0, *range(99, 50, -1), 1, *range(50, 1, -1)]),
+                        ("t", rng.sample(range(97), 97))):
+        names = [f"http://{ring}/{k:03}" for k in order]
+        rows += [(a, 302, b, None, 1) for a, b in zip(names, names[1:] + names[:1])]
+        rows += [(f"http://{ring}/x{k}", 302, f"http://{ring}/x{k - 1}" if k else names[5], None, 1) for k in range(7)]
     log = spark.createDataFrame(rows, "url string, status int, location string, body string, attempt int")
     last = {}
     for u, s, to, body, at in sorted(rows, key=lambda r: r[4]):

@@ -258,54 +258,65 @@ def _first_link(body: Column) -> Column:
     return F.when(href != "", href)
 
 
-def _follow(nodes: DataFrame) -> DataFrame:
-    """``nodes`` (u, next, stop) -> (u, end, hops) of the nodes whose chain of
-    ``next`` ends at a stopping node. Pointer doubling: each round every open
-    node jumps to where its target has got to, so a chain of n hops takes
-    log2(n) rounds; chains that end nowhere stop the loop by making no progress."""
-    state = nodes.select("u", F.when(F.col("stop"), F.col("u")).otherwise(F.col("next")).alias("at"),
-                         F.when(F.col("stop"), F.lit(0)).otherwise(F.lit(1)).cast("long").alias("hops"), "stop")
-    left = None
-    while True:
-        target = state.select(F.col("u").alias("at"), F.col("at").alias("at2"), F.col("hops").alias("hops2"),
-                              F.col("stop").alias("stop2"))
-        # a popular target meets many rows: a merge join of written tables, split by the skew join
-        state = cut_lineage(
-            state.join(target.hint("merge"), "at")
-            .select("u", F.when(F.col("stop"), F.col("at")).otherwise(F.col("at2")).alias("at"),
-                    F.when(F.col("stop"), F.col("hops")).otherwise(F.col("hops") + F.col("hops2")).alias("hops"),
-                    (F.col("stop") | F.col("stop2")).alias("stop")), "redirect-jumps")
-        was, left = left, state.where("not stop").count()
-        if left == 0 or left == was:
-            return state.where("stop").select("u", F.col("at").alias("end"), "hops")
-
-
-def _cycles(nodes: DataFrame) -> DataFrame:
-    """``nodes`` (u, next), all of which lead into a loop -> (u, size) of the
-    nodes on loops, with the loop's size. Jumps of doubled length end on loops
-    once the set of their ends no longer shrinks; the smallest name along a
-    loop, found the same way, labels it."""
-    jump = nodes.select("u", F.col("next").alias("at"))
-    seen = None
+def _doubled(rows: DataFrame, known: DataFrame, name: str) -> DataFrame:
+    """``rows`` (u, at, hops, low) one doubling further: each jumps to where its
+    target has got to. ``known`` has (at, at2, hops2, low2, done2); ``same``
+    tells whether both halves of the way have one smallest name."""
+    return cut_lineage(rows.join(known, "at").select(
+        "u", F.col("at2").alias("at"), (F.col("hops") + F.col("hops2")).alias("hops"),
+        F.least("low", "low2").alias("low"), F.col("done2").alias("done"), (F.col("low") == F.col("low2")).alias("same")), name)
+
+
+def _known(rows: DataFrame, done: bool) -> DataFrame:
+    return rows.select(F.col("u").alias("at"), F.col("at").alias("at2"), F.col("hops").alias("hops2"),
+                       F.col("low").alias("low2"), F.lit(done).alias("done2"))
+
+
+def _chase(nodes: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """``nodes`` (u, next, stop): where each one's chain ends, as (u, at, hops,
+    low), and the same of those that lead into loops, as far as they have got.
+    ``at`` is reached after ``hops`` steps, ``low`` is the smallest name on the
+    way. A round is one join, and nodes that have ended take no part in later ones. In a
+    round without an end no chain is longer than those that ended: the rest loops."""
+    first = nodes.select("u", F.when(F.col("stop"), F.col("u")).otherwise(F.col("next")).alias("at"),
+                         F.when(F.col("stop"), F.lit(0)).otherwise(F.lit(1)).cast("long").alias("hops"),
+                         F.col("u").alias("low"), "stop")
+    cols = ["u", "at", "hops", "low"]
+    ended, live = first.where("stop").select(*cols), first.where("NOT stop").select(*cols)
+    n = live.count()
+    while n:
+        step = _doubled(live, _known(ended, True).unionByName(_known(live, False)), "redirect-jumps")
+        ended, live = ended.unionByName(step.where("done").select(*cols)), step.where("NOT done").select(*cols)
+        was, n = n, live.count()
+        if n == was:
+            break
+    return ended, live, n
+
+
+def _loops(live: DataFrame, n: int) -> DataFrame:
+    """Nodes that all lead into loops, as ``_chase`` leaves them -> (u, size) of
+    the nodes on loops. Jumps end on loops alone once the set of their ends no longer
+    shrinks. Then the nodes of the loops go on by themselves until every one has the
+    smallest name of its loop: two halves of a way with one smallest name overlap."""
+    cols = ["u", "at", "hops", "low"]
+    ends = live.select(F.col("at").alias("u")).distinct()
+    now = ends.count()
     while True:
-        ends = jump.select("at").distinct()
-        was, seen = seen, ends.count()
-        if was == seen:
+        if now == n:  # every node is some jump's end
+            break
+        live = _doubled(live, _known(live, False), "redirect-loops").select(*cols)
+        ends = live.select(F.col("at").alias("u")).distinct()
+        was, now = now, ends.count()
+        if was == now:
+            live = live.join(ends, "u", "left_semi")
             break
-        jump = cut_lineage(jump.join(jump.toDF("at", "at2").hint("merge"), "at").select("u", F.col("at2").alias("at")),
-                           "redirect-loops")
-    on = cut_lineage(nodes.join(ends.toDF("u").hint("merge"), "u"), "redirect-loop")
-    label = on.select("u", F.col("next").alias("at"), F.col("u").alias("low"))
-    total = None
     while True:
-        n = label.select("low").distinct().count()
-        if total == n:
+        step = _doubled(live, _known(live, False), "redirect-labels")
+        live = step.select(*cols)
+        if step.where("NOT same").isEmpty():
             break
-        total = n
-        label = cut_lineage(label.join(label.toDF("at", "at2", "low2").hint("merge"), "at")
-                            .select("u", F.col("at2").alias("at"), F.least("low", "low2").alias("low")), "redirect-labels")
-    sizes = label.groupBy("low").agg(F.count(F.lit(1)).alias("size"))
-    return label.join(sizes, "low").select("u", "size")
+    sizes = live.groupBy("low").agg(F.count(F.lit(1)).alias("size"))
+    return cut_lineage(live.join(sizes, "low").select("u", "size"), "redirect-sizes")
 
 
 def resolve_redirects(log: DataFrame, max_hops: int | None = None, start: DataFrame | None = None,
@@ -354,17 +365,16 @@ def resolve_redirects(log: DataFrame, max_hops: int | None = None, start: DataFr
             F.when(F.col("loop"), "loop").when(~F.col("stop"), "too_many_hops")
             .when(F.col("status") == 200, "ok").otherwise("error").alias("outcome")))
 
-    ended = _follow(nodes)
-    out = ended.join(status.hint("merge"), "end").select(
+    ended, live, n_live = _chase(nodes)
+    out = ended.withColumnRenamed("at", "end").join(status, "end").select(
         "u", "end", "status", "hops", F.when(F.col("status") == 200, "ok").otherwise("error").alias("outcome"))
-    lost = cut_lineage(nodes.join(ended.select("u"), "u", "left_anti"), "redirect-lost")
-    if not lost.isEmpty():
-        loops = cut_lineage(_cycles(lost.select("u", "next")), "redirect-sizes")
-        entry = _follow(lost.join(loops.hint("merge"), "u", "left")
-                        .select("u", "next", F.col("size").isNotNull().alias("stop")))
+    if n_live:
+        loops = _loops(live, n_live)
+        lost = nodes.join(live.select("u"), "u", "left_semi")
+        entry, _, _ = _chase(lost.join(loops, "u", "left").select("u", "next", F.col("size").isNotNull().alias("stop")))
         # the loop is closed by the redirect that leads back to its entry
         back = loops.join(lost, "u").select(F.col("next").alias("end"), "status", "size")
-        out = out.unionByName(entry.join(back.hint("merge"), "end").select(
+        out = out.unionByName(entry.withColumnRenamed("at", "end").join(back, "end").select(
             "u", "end", "status", (F.col("hops") + F.col("size")).alias("hops"), F.lit("loop").alias("outcome")))
     return (out.join(starts.toDF("u"), "u", "left_semi")
             .select(F.col("u").alias("url"), F.col("end").alias("final_url"), F.col("status").alias("final_status"),
