@@ -317,3 +317,22 @@ def test_worked_example_without_materialization(spark, chunk):
     assert sorted(tuple(x) for x in r.base.collect()) == [(1, "a3"), (3, "c2")]
     assert sorted((x.type, x.k, x.v) for x in r.history.collect()) == [
         ("D", 1, "a1"), ("D", 2, "b"), ("U", 1, "a"), ("U", 1, "a2"), ("U", 3, "c")]
+
+
+def test_keys_with_many_changes_equal_the_rest(spark):
+    """Chunked and single-window keys of one batch give what one window gives."""
+    import random
+    rng = random.Random(12)
+    target = spark.createDataFrame([(k, f"t{k}") for k in range(0, 40, 2)], "k long, v string")
+    live, rows, seq = set(range(0, 40, 2)), [], 0
+    for _ in range(600):
+        k = 0 if rng.random() < 0.4 else rng.randrange(40)
+        op = rng.choice("UDM" if k in live else "IMU")
+        seq += rng.randint(1, 10**6)
+        rows.append((seq, op, k, f"v{seq}"))
+        live = live | {k} if op in "IM" else live - {k} if op == "D" else live
+    changes = spark.createDataFrame(rows, "seq long, op string, k long, v string")
+    got = [chg.apply_changes(target, changes, ["k"], ctx=CTX, hot_changes=n) for n in (1, 25, 10_000)]
+    bases, histories = [[sorted(map(tuple, f.collect())) for f in fs] for fs in zip(*[(r.base, r.history) for r in got])]
+    assert bases[0] == bases[1] == bases[2] and {r[0] for r in bases[0]} == live
+    assert histories[0] == histories[1] == histories[2] and len(histories[0]) > 100

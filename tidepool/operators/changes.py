@@ -17,13 +17,14 @@ Scale notes
   by key (a table bucketed by key avoids that shuffle).
 * Ordered per-key semantics (several changes to one key in one batch) use a
   two-level scan over ops and seqs only: windows over ``(key, chunk)`` then a
-  carry over the chunk summaries per key (skipped when no key spans two
-  chunks). Chunks are row ranks: the changes are range-partitioned by (key,
-  seq), so a key holding a third of all changes is split into chunks of equal
-  numbers of rows, however its seqs are spread. Old row images come from an equi-join on
-  ``(key, seq)``, which spreads a hot key too.
-* Final per-key state is a ``groupBy`` with ``max_by`` (map-side partial
-  aggregation), so hot keys collapse before the shuffle.
+  carry over the chunk summaries per key. Only keys with more than
+  ``HOT_CHANGES`` changes go that way; others take one window. Chunks are row
+  ranks: the changes are range-partitioned by (key, seq), so a key holding a
+  third of all changes is split into chunks of equal numbers of rows, however
+  its seqs are spread. Row images are written once and come from an equi-join
+  on ``(key, seq)``, which spreads a hot key too.
+* Final per-key state is a ``groupBy`` with ``max`` over narrow rows (map-side
+  partial aggregation), so hot keys collapse before the shuffle.
 """
 
 from __future__ import annotations
@@ -56,6 +57,8 @@ UNSET_CONTEXT = "@"
 # Seq given to the table's own row when it is put in front of its changes.
 _TARGET_SEQ = -(2 ** 63)
 _OP_TARGET = "T"
+# A key with more changes than this in a batch is sequenced in chunks.
+HOT_CHANGES = 10_000
 
 
 @dataclass(frozen=True)
@@ -308,13 +311,12 @@ def _scan_last_before(df: DataFrame, keys: list[str], seq: str, chunk: str,
 
 
 def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op: str,
-                   seq: str, ctx: AuditContext, fill_column: str | None, chunk_width: int | None,
-                   max_broadcast_rows: int, materialize: bool,
-                   _keys_out: list | None = None) -> DataFrame:
-    """One row per change (and the table's own row of each changed key, op
-    ``T``, smallest seq): ``_exists_before``, ``_prev_nd`` (seq of the last
-    earlier non-delete change), ``_exists_after`` and ``_after`` (image
-    after the change)."""
+                   seq: str, chunk_width: int | None, max_broadcast_rows: int, materialize: bool,
+                   hot_changes: int, _keys_out: list | None = None) -> tuple[DataFrame, DataFrame]:
+    """One narrow row per change (and the table's own row of each changed key,
+    op ``T``, smallest seq): ``_exists_before``, ``_prev_nd`` (seq of the last
+    earlier non-delete change), ``_exists_after``, ``_inserts``; and the images:
+    key, seq, op and all columns of the same rows, written once."""
     cols = target.columns
     _check_schema(target, changes, extra=[op, seq])
     ch = (changes.where(~_any_null(keys))
@@ -328,12 +330,12 @@ def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op
     ch = ch.withColumn("_seq", F.when(no_seq, F.raise_error(F.lit("a change without a usable seq")))
                        .otherwise(F.col("_seq")))
     # the changed keys; one job gives their size (broadcast decision)
-    span = ch.select(*keys).distinct()
+    span = ch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     if materialize:
         # narrow and used three times: size check, the table's own rows, and
         # the final anti-join
         span = cut_lineage(span, "changes-keys")
-    stats = span.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(span)).alias("b")).first()
+    stats = span.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(span)).alias("b"), F.max("_n").alias("most")).first()
     small = stats["n"] <= max_broadcast_rows and (stats["b"] or 0) <= DEFAULT_BROADCAST_BYTES
     span_b = F.broadcast(span) if small else span
     if _keys_out is not None:
@@ -342,66 +344,75 @@ def _change_states(target: DataFrame, changes: DataFrame, keys: list[str], *, op
     own = target.join(span_b.select(*keys), on=keys, how="inner")
     own = own.select(F.lit(_TARGET_SEQ).cast("long").alias("_seq"),
                      F.lit(_OP_TARGET).alias("_op"), *[_q(c) for c in cols])
-    # read several times (range bounds, chunk windows, carry): compute it once
-    allc = cut_lineage(own.unionByName(ch), "changes-input")
-    multi_chunk = True
-    if chunk_width is None:
-        n = int(allc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        by = [*[_q(k) for k in keys], F.col("_seq")]
-        allc = cut_lineage(allc.repartitionByRange(n, *by).withColumn("_chunk", F.spark_partition_id().cast("long")),
-                           "changes-ranked")
-        spread = allc.groupBy(*keys).agg(F.min("_chunk").alias("a"), F.max("_chunk").alias("b")).where("a <> b")
-        multi_chunk = not spread.isEmpty()
-    else:
+    # the only copy of the images; sequencing reads keys, seqs and ops of it
+    images = cut_lineage(own.unionByName(ch), "changes-input")
+    narrow = images.select(*keys, "_seq", "_op")
+    if chunk_width is not None:
         own_seq = F.col("_seq") == _TARGET_SEQ
-        allc = allc.withColumn("_chunk", F.when(own_seq, F.lit(_TARGET_SEQ)).otherwise(
+        chunked = narrow.withColumn("_chunk", F.when(own_seq, F.lit(_TARGET_SEQ)).otherwise(
             F.floor(F.col("_seq") / F.lit(chunk_width)).cast("long")))
+        steps = _sequenced(chunked, keys, True)
+    elif (stats["most"] or 0) <= hot_changes:
+        steps = _sequenced(narrow.withColumn("_chunk", F.lit(0).cast("long")), keys, False)
+    else:
+        # keys with very many changes are cut into chunks of equal numbers of rows
+        hot = span.where(F.col("_n") > hot_changes).select(*keys, F.lit(True).alias("_hot"))
+        small_hot = _small_or_none(hot, max_broadcast_rows)
+        marked = cut_lineage(narrow.join(small_hot if small_hot is not None else hot, on=keys, how="left"), "changes-marked")
+        n = int(narrow.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        many = marked.where("_hot").drop("_hot")
+        ranked = cut_lineage(many.repartitionByRange(n, *[_q(k) for k in keys], F.col("_seq"))
+                             .withColumn("_chunk", F.spark_partition_id().cast("long")), "changes-ranked")
+        few = marked.where("_hot IS NULL").drop("_hot").withColumn("_chunk", F.lit(0).cast("long"))
+        steps = _sequenced(ranked, keys, True).unionByName(_sequenced(few, keys, False))
+    inserts = (F.col("_op") == OP_INSERT) | ((F.col("_op") == OP_MERGE) & ~F.col("_exists_before"))
+    st = steps.select(*keys, "_seq", "_op", "_chunk", "_exists_before", "_prev_nd",
+                      F.when(F.col("_op") == OP_DELETE, F.lit(False))
+                      .when(F.col("_op") == OP_UPDATE, F.col("_exists_before"))
+                      .otherwise(F.lit(True)).alias("_exists_after"), inserts.alias("_inserts"))
+    if materialize:
+        st = cut_lineage(st, "changes-state")
+    return st, images
+
 
-    # which earlier rows matter depends on ops only: the last anchor (I/M/D or
-    # the table row) decides existence; the last non-delete gives the image
+def _sequenced(rows: DataFrame, keys: list[str], multi_chunk: bool) -> DataFrame:
+    """keys, _seq, _op, _chunk with ``_exists_before`` and ``_prev_nd``. Which
+    earlier rows matter depends on ops only: the last anchor (I/M/D or the table
+    row) decides existence; the last non-delete gives the image."""
     anchor = F.col("_op").isin(OP_INSERT, OP_MERGE, OP_DELETE, _OP_TARGET)
-    allc = _scan_last_before(allc, keys, "_seq", "_chunk", [
+    out = _scan_last_before(rows, keys, "_seq", "_chunk", [
         ("_prev_anchor", F.col("_op"), anchor),
         ("_prev_nd", F.col("_seq"), F.col("_op") != OP_DELETE)], multi_chunk=multi_chunk)
-    exists_before = F.coalesce(F.col("_prev_anchor").isin(OP_INSERT, OP_MERGE, _OP_TARGET),
-                               F.lit(False))
-    allc = allc.withColumn("_exists_before", exists_before)
-    allc = allc.withColumn("_op", F.when(
+    out = out.withColumn("_exists_before", F.coalesce(
+        F.col("_prev_anchor").isin(OP_INSERT, OP_MERGE, _OP_TARGET), F.lit(False)))
+    return out.withColumn("_op", F.when(
         (F.col("_op") == OP_INSERT) & F.col("_exists_before"),
-        F.raise_error(F.lit("insert of a key that already exists"))).otherwise(F.col("_op")))
-    inserts_row = (F.col("_op") == OP_INSERT) | ((F.col("_op") == OP_MERGE) & ~F.col("_exists_before"))
-    after_cols = []
-    for c in cols:
-        v = _q(c)
-        if fill_column is not None and c == fill_column:
-            v = F.when(inserts_row, F.coalesce(v, ctx.ip_col().cast(target.schema[c].dataType))
-                       ).otherwise(v)
-        after_cols.append(v.alias(c))
-    st = allc.select(*keys, "_seq", "_op", "_chunk", "_exists_before", "_prev_nd",
-                     F.when(F.col("_op") == OP_DELETE, F.lit(False))
-                     .when(F.col("_op") == OP_UPDATE, F.col("_exists_before"))
-                     .otherwise(F.lit(True)).alias("_exists_after"),
-                     F.struct(*after_cols).alias("_after"))
-    if materialize:
-        st = cut_lineage(st, "changes-state")
-    return st
+        F.raise_error(F.lit("insert of a key that already exists"))).otherwise(F.col("_op"))).drop("_prev_anchor")
 
 
-def _with_before(rows: DataFrame, states: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach ``_before``: the image after the change at ``_prev_nd`` (an
-    equi-join on ``(key, seq)``; seqs differ, so a hot key still spreads
-    over partitions)."""
-    img = (states.where(F.col("_op") != OP_DELETE)
-           .select(*keys, F.col("_seq").alias("_prev_nd"), F.col("_after").alias("_img")))
-    j = rows.join(img, on=[*keys, "_prev_nd"], how="left")
-    return j.withColumn("_before", F.when(F.col("_exists_before"), F.col("_img"))).drop("_img")
+def _with_image(rows: DataFrame, at: str, out: str, states: DataFrame, images: DataFrame, target: DataFrame,
+                keys: list[str], ctx: AuditContext, fill_column: str | None) -> DataFrame:
+    """Attach ``out``: the image after the change with seq ``at`` (an equi-join
+    on ``(key, seq)``; seqs differ, so a hot key still spreads over partitions)."""
+    cols = target.columns
+    if fill_column is not None:
+        flags = states.where("_inserts").select(*keys, F.col("_seq").alias(at), F.col("_inserts").alias("_fill"))
+        rows = rows.join(flags, on=[*keys, at], how="left")
+    img = images.select(*keys, F.col("_seq").alias(at), F.struct(*[_q(c) for c in cols]).alias(out))
+    j = rows.join(img, on=[*keys, at], how="left")
+    if fill_column is None:
+        return j
+    value = ctx.ip_col().cast(target.schema[fill_column].dataType)
+    filled = F.struct(*[(F.when(F.col("_fill"), F.coalesce(F.col(out)[c], value)).otherwise(F.col(out)[c])
+                         if c == fill_column else F.col(out)[c]).alias(c) for c in cols])
+    return j.withColumn(out, F.when(F.col(out).isNotNull(), filled)).drop("_fill")
 
 
 def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op",
                      seq: str = "seq", ctx: AuditContext = AuditContext(),
                      fill_column: str | None = None, chunk_width: int | None = None,
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                     materialize: bool = True) -> DataFrame:
+                     materialize: bool = True, hot_changes: int = HOT_CHANGES) -> DataFrame:
     """Per change (non-NULL key): state before it and the image after it.
 
     Columns: keys, ``_seq``, ``_op``, ``_exists_before``, ``_before``
@@ -414,18 +425,20 @@ def annotate_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "
     folder.
     """
     keys = _keys(keys)
-    st = _change_states(target, changes, keys, op=op, seq=seq, ctx=ctx, fill_column=fill_column,
-                        chunk_width=chunk_width, max_broadcast_rows=max_broadcast_rows,
-                        materialize=materialize)
-    return _with_before(st, st, keys).select(*keys, "_seq", "_op", "_chunk", "_exists_before",
-                                             "_before", "_exists_after", "_after")
+    st, images = _change_states(target, changes, keys, op=op, seq=seq, chunk_width=chunk_width,
+                                max_broadcast_rows=max_broadcast_rows, materialize=materialize, hot_changes=hot_changes)
+    out = _with_image(st.withColumn("_at", F.when(F.col("_exists_before"), F.col("_prev_nd"))), "_at", "_before",
+                      st, images, target, keys, ctx, fill_column)
+    # after a change: its own image, or for a delete none of use; kept as the change's row gives it
+    out = _with_image(out.withColumnRenamed("_at", "_was"), "_seq", "_after", st, images, target, keys, ctx, fill_column)
+    return out.select(*keys, "_seq", "_op", "_chunk", "_exists_before", "_before", "_exists_after", "_after")
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op",
                   seq: str = "seq", ctx: AuditContext = AuditContext(),
                   fill_column: str | None = None, chunk_width: int | None = None,
                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                  checkpoint: bool = True) -> ChangeResult:
+                  checkpoint: bool = True, hot_changes: int = HOT_CHANGES) -> ChangeResult:
     """One batch of I/U/D/M change rows -> (new base table, history rows).
 
     Per key in ``seq`` order, as if the statements ran one after another:
@@ -438,31 +451,32 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys, *, op: str = "op"
     a seq, two changes of a key with one seq, and a changed key that the table
     has twice fail the job, with or without ``checkpoint``.
 
-    The per-change states are written once to the shared checkpoint folder
-    (``checkpoint=True``) and read by both outputs: the final state is a
-    ``groupBy`` over them, the history an equi-join of them with the images
-    of the earlier changes.
+    Images are written once; sequencing works on keys, seqs and ops alone, and
+    its states (written with ``checkpoint=True``) are read by both outputs. Each
+    output fetches the images that it needs by an equi-join on (key, seq): the
+    history that of the change before, the base the last one of each key.
     """
     keys = _keys(keys)
     cols = target.columns
     changed_keys: list = []
-    st = _change_states(target, changes, keys, op=op, seq=seq, ctx=ctx, fill_column=fill_column,
-                        chunk_width=chunk_width, max_broadcast_rows=max_broadcast_rows,
-                        materialize=checkpoint, _keys_out=changed_keys)
+    st, images = _change_states(target, changes, keys, op=op, seq=seq, chunk_width=chunk_width,
+                                max_broadcast_rows=max_broadcast_rows, materialize=checkpoint,
+                                hot_changes=hot_changes, _keys_out=changed_keys)
 
-    hist_rows = st.where(F.col("_op").isin(OP_UPDATE, OP_DELETE, OP_MERGE)
-                         & F.col("_exists_before"))
-    history = _with_before(hist_rows, st, keys).select(
+    hist_rows = st.where(F.col("_op").isin(OP_UPDATE, OP_DELETE, OP_MERGE) & F.col("_exists_before")) \
+        .select(*keys, "_op", F.col("_prev_nd").alias("_at"))
+    history = _with_image(hist_rows, "_at", "_before", st, images, target, keys, ctx, fill_column).select(
         ctx.ts_col().alias("log_date"), ctx.ip_col().alias("log_ip"),
         ctx.host_col().alias("host"),
         F.when(F.col("_op") == OP_DELETE, F.lit(HISTORY_DELETE))
         .otherwise(F.lit(HISTORY_UPDATE)).alias("type"),
         *[F.col("_before").getField(c).alias(c) for c in cols])
 
-    final = (st.groupBy(*keys)
-             .agg(F.max_by(F.struct("_exists_after", "_after"), F.col("_seq")).alias("_f"))
-             .where(F.col("_f._exists_after"))
-             .select(*[F.col("_f._after").getField(c).alias(c) for c in cols]))
+    # the last change that leaves a row gives it: one image a key is fetched
+    last = (st.groupBy(*keys).agg(F.max("_seq").alias("_at"), F.max_by("_exists_after", "_seq").alias("_lives"))
+            .where("_lives").drop("_lives"))
+    final = _with_image(last, "_at", "_after", st, images, target, keys, ctx, fill_column) \
+        .select(*[F.col("_after").getField(c).alias(c) for c in cols])
 
     untouched = (target.join(changed_keys[0], on=keys, how="left_anti")
                  .select(*[_q(c) for c in cols]))
