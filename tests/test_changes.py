@@ -224,6 +224,33 @@ def test_audit_log_matches_brute_force(spark, tmp_path, compact_every):
     assert sorted((r.type, r.k, r.v) for r in job.history(spark).collect()) == want_hist
 
 
+def test_audit_log_batch_opens_its_buckets_only(spark, tmp_path):
+    """What a batch of one key reads: one bucket's level and the images above it,
+    whatever other batches wrote and however large the table is in other buckets."""
+    from tidepool.streaming.audit_log import AuditLogJob
+    initial = spark.range(3000).selectExpr("id as k", "concat('v', id) as v")
+    job = AuditLogJob(root=str(tmp_path / "log"), keys=["k"], schema=initial.schema, initial=initial, ctx=CTX,
+                      compact_every=3, buckets=8)
+
+    def batch(keys, b):
+        job.apply_batch(spark.createDataFrame([(10 * b, "U", k, f"b{b}") for k in keys], "seq long, op string, k long, v string"), b)
+
+    own = spark.createDataFrame([(7,)], "k long").select(job._bucket()).first()[0]
+    for b, keys in enumerate([[7], [1, 2, 3], [7, 8, 9], [4], [7], [11, 12], [13]]):
+        batch(keys, b)
+        level, *above = job._paths(spark, None, {own})[own]
+        assert "/compact/" in level and len(above) <= job.compact_every
+        read = job._images(spark, None, {own})
+        assert all(f"_bucket={own}/" in f for f in read.inputFiles())
+        assert read.count() < 3000 / 8 * 1.5
+    # a bucket without changes keeps its first level
+    levels = {k: p[0] for k, p in job._paths(spark, None, None).items()}
+    assert "b=5" in levels[own] and len(levels) == 8
+    rows = {r.k: r.v for r in job.table(spark).collect()}
+    assert len(rows) == 3000 and rows[7] == "b4" and rows[13] == "b6" and rows[9] == "b2" and rows[100] == "v100"
+    assert job.history(spark).count() == 12
+
+
 def test_audit_log_values_and_late_seqs(spark, tmp_path):
     """Large longs beside NULLs, NaN, arrays, NULL keys, and a seq that comes late."""
     from tidepool.streaming.audit_log import AuditLogJob
