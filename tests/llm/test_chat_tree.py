@@ -20,6 +20,7 @@ ROWS = [
     (5, 0, None, None), (5, 1, "assistant", ""), (5, 2, "assistant", "x\\"), (5, 3, "assistant", "\\### Assistant: </turn> ok"),
     (None, 0, "user", "no id"), (None, None, "assistant", "no turn"),
     (6, 0, "us:er\\", "é “q” 日本"), (6, 0, "us:er\\", "é “q” 日本"), (6, 1, "assistant", "word " * 4000),
+    (7, 0, "assistant", "x\ny"), (8, 0, "assistant\nx", "y"),  # not the same turn
 ]
 
 
@@ -27,7 +28,7 @@ def expected(rows):
     by = defaultdict(list)
     for c, t, r, x in rows:
         r, x = r or "", x or ""
-        digest = hashlib.sha256(f"{r}\n{x}".encode()).digest()
+        digest = hashlib.sha256(f"{len(r)}:{r}{x}".encode()).digest()
         by[c].append(((t is not None, t or 0), digest, r, x))
     out = {}
     for c, turns in by.items():
@@ -61,7 +62,7 @@ def test_round_trip_and_tree(spark, tokenizer):
         at += len(s.token_ids)
     emitted = [i for s in tree for i in s.token_ids]
     from tidepool.llm.token_planes import PieceEncoder
-    enc = PieceEncoder.get(tokenizer)
+    enc = PieceEncoder.get(tokenizer, plain=True)
     for c in (1, 2, 4):
         turns = [(r, x) for cc, _, r, x in ROWS if cc == c]
         want = [int(i) for t in turns for p in ct.turn_parts(*t) for i in enc.encode([p])[0]]

@@ -6,10 +6,11 @@ import pytest
 from tidepool.llm import token_planes as tp
 
 
-def reference_ids(tokenizer, texts):
+def reference_ids(tokenizer, texts, plain=False):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer)
-    t.encode_special_tokens = True
+    if plain:
+        t.encode_special_tokens = True
     return [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
@@ -19,8 +20,25 @@ TEXTS = ["", "   ", " a", "a  b\n\n c'the don't 's x²3 “q”   z aж! <|endof
 
 def test_pieces_equal_whole_texts(tokenizer, spark, sf_dir):
     texts = TEXTS + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(60).collect()]
-    got = tp.PieceEncoder(tokenizer).encode(texts)
-    assert [list(map(int, g)) for g in got] == reference_ids(tokenizer, texts)
+    for plain in (False, True):
+        got = tp.PieceEncoder(tokenizer, plain).encode(texts)
+        assert [list(map(int, g)) for g in got] == reference_ids(tokenizer, texts, plain)
+
+
+def test_special_strings_as_the_library_reads_them(tokenizer):
+    text = "a <|endoftext|> b"
+    got = [tp.PieceEncoder(tokenizer, plain).encode([text])[0].tolist() for plain in (False, True)]
+    assert got == [reference_ids(tokenizer, [text])[0], reference_ids(tokenizer, [text], True)[0]]
+    assert 50256 in got[0] and len(got[0]) == 4 and len(got[1]) == 9
+
+
+def test_renewed_table_of_pieces(tokenizer, monkeypatch):
+    import random
+    monkeypatch.setattr(tp, "CACHE_PIECES", 40)
+    enc, rng = tp.PieceEncoder(tokenizer), random.Random(3)
+    for _ in range(30):
+        texts = ["".join(rng.choices("abcdE é.,' \n1", k=80)) for _ in range(2)]
+        assert [g.tolist() for g in enc.encode(texts)] == reference_ids(tokenizer, texts)
 
 
 @pytest.mark.parametrize("bits", [False, True])

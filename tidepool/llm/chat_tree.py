@@ -82,8 +82,8 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 def paths_of(conversations: DataFrame) -> DataFrame:
     """conv_id, turns (role, text) in order, path (a digest for each prefix)."""
     empty = F.lit("")
-    row = F.struct("turn", F.unhex(F.sha2(F.concat_ws("\n", F.coalesce("role", empty), F.coalesce("text", empty)), 256))
-                   .alias("digest"), F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
+    row = F.struct("turn", F.unhex(F.sha2(F.concat(
+        F.length(F.coalesce("role", empty)), F.lit(":"), F.coalesce("role", empty), F.coalesce("text", empty)), 256)).alias("digest"), F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
     convs = (conversations.select("conv_id", row.alias("r")).groupBy("conv_id")
              .agg(F.sort_array(F.collect_list("r")).alias("r"))
              .select("conv_id", F.col("r.digest").alias("digests"),
@@ -108,7 +108,7 @@ _SEGMENT_ARROW = pa.schema([
 
 def _encode_segments(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = PieceEncoder.get(tokenizer)
+        enc = PieceEncoder.get(tokenizer, plain=True)
         for b in batches:
             rows = b.to_pylist()
             for lo in range(0, len(rows), BATCH_TURNS):
@@ -209,7 +209,7 @@ def digests(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
     """Per conversation, from the written tables: conv_id, n_turns,
     turns_sha256, loss_chars, loss_sha256, formatted_chars."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = PieceEncoder.get(tokenizer).tok
+        tok = PieceEncoder.get(tokenizer, plain=True).tok
 
         def text(ids):
             return tok.decode(ids, skip_special_tokens=False)

@@ -17,7 +17,8 @@ so a lost executor or a retried task leaves no half-written shard:
 * ``shards``: shard, n_ids, n_docs, start (ids of all shards before it).
 
 Defined cases: a null text counts as empty, so the document is its end id; a
-null doc_id comes first; rows with equal doc_id follow each other by text; an
+null doc_id comes first; strings of special tokens in a text are those tokens, as
+the library reads them; rows with equal doc_id follow each other by text; an
 empty table gives empty tables.
 """
 
@@ -46,7 +47,7 @@ _KIND[[*range(65, 91), *range(97, 123)]] = 1
 _KIND[[*range(33, 65), *range(91, 97), *range(123, 127)]] = 2
 _KIND[[32, 9, 10, 13]] = 3
 
-_TOKENIZERS: dict[str, PieceEncoder] = {}
+_TOKENIZERS: dict[tuple[str, bool], PieceEncoder] = {}
 
 
 class PieceEncoder:
@@ -56,22 +57,34 @@ class PieceEncoder:
     Texts are cut where the pre-tokenizer always cuts: before white space, and
     between an ASCII letter and an ASCII sign or digit. The ids of a text are
     those of its pieces one after another, so each distinct piece of a batch is
-    encoded once and a bounded table keeps ids of pieces across batches.
+    encoded once. A bounded table keeps ids of pieces in use across batches, renewed
+    from the one before it. Strings of special tokens in a text are read as the library does
+    by default, as those tokens; with ``plain`` they are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tok.encode_special_tokens = plain
+        self.special = [] if plain else [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.known: dict[bytes, np.ndarray] = {}
+        self.older: dict[bytes, np.ndarray] = {}
+        # letters with or without a space before them are one token string of the model
+        self.model = self.tok.model.tokenize
+        self.letters = all(self._of_letters(p.encode()).tolist() == self.tok.encode(p, add_special_tokens=False).ids
+                           for p in ("a", " a", "Word", " quemente", " thninghwtion", "Abc"))
+
+    def _of_letters(self, piece: bytes) -> np.ndarray:
+        text = piece.decode()
+        return np.array([t.id for t in self.model("\u0120" + text[1:] if text[0] == " " else text)], np.uint32)
 
     @staticmethod
-    def get(path: str) -> PieceEncoder:
-        if path not in _TOKENIZERS:
-            _TOKENIZERS[path] = PieceEncoder(path)
-        return _TOKENIZERS[path]
+    def get(path: str, plain: bool = False) -> PieceEncoder:
+        if (path, plain) not in _TOKENIZERS:
+            _TOKENIZERS[path, plain] = PieceEncoder(path, plain)
+        return _TOKENIZERS[path, plain]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
@@ -79,7 +92,7 @@ class PieceEncoder:
         for i, t in enumerate(texts):
             if not t:
                 out[i] = np.zeros(0, np.uint32)
-            elif _ODD.search(t):
+            elif _ODD.search(t) or any(x in t for x in self.special):
                 out[i] = np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32)
             else:
                 plain.append(i)
@@ -116,17 +129,22 @@ class PieceEncoder:
         return iter(np.split(all_ids, stop[:-1]))
 
     def _ids(self, pieces: list[bytes]) -> list[np.ndarray]:
-        known = self.known
-        new = [p for p in pieces if p not in known]
-        if new:
-            if len(known) + len(new) > CACHE_PIECES:
-                known.clear()
-                new = pieces
-            for k in range(0, len(new), 20_000):
-                part = new[k:k + 20_000]
-                e = self.tok.encode([p.decode() for p in part], is_pretokenized=True, add_special_tokens=False)
-                stops = np.searchsorted(np.array(e.word_ids), np.arange(len(part)), side="right")
-                known.update(zip(part, np.split(np.array(e.ids, np.uint32), stops[:-1])))
+        if len(self.known) > CACHE_PIECES:
+            self.known, self.older = {}, self.known
+        known, older, rest = self.known, self.older, []
+        for p in pieces:
+            if p not in known:
+                if p in older:
+                    known[p] = older[p]
+                elif self.letters and (p.isalpha() or p[:1] == b" " and p[1:].isalpha()):  # bytes: ASCII letters
+                    known[p] = self._of_letters(p)
+                else:
+                    rest.append(p)
+        for k in range(0, len(rest), 20_000):
+            part = rest[k:k + 20_000]
+            e = self.tok.encode([p.decode() for p in part], is_pretokenized=True, add_special_tokens=False)
+            stops = np.searchsorted(np.array(e.word_ids), np.arange(len(part)), side="right")
+            known.update(zip(part, np.split(np.array(e.ids, np.uint32), stops[:-1])))
         return [known[p] for p in pieces]
 
 
