@@ -109,12 +109,19 @@ def window_hash(words: Column, own: Column) -> Column:
         .otherwise(F.xxhash64(bare(words), F.lit("own")))
 
 
+def _cut(at: Column, words: Column, hashes: Column, n: int) -> Column:
+    """at, w, own (words and hashes) of the windows at ``at``: cut once, where
+    an expression in a lambda is worked out anew at each mention."""
+    return F.transform(at, lambda i: F.struct(i.alias("at"), F.slice(words, i + 1, F.lit(n)).alias("w"),
+                                              F.slice(hashes, i + 1, F.lit(n)).alias("own")))
+
+
 def window_hashes(words: Column, hashes: Column, n: int = WINDOW) -> Column:
     """A hash for each window of ``n`` words, its open words taken as literal."""
     at = F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0)))
     return (F.when(F.size(words) == 0, F.array().cast("array<bigint>"))
             .when(F.exists(hashes, lambda h: h.between(1, 3)), F.transform(
-                at, lambda i: window_hash(F.slice(words, i + 1, F.lit(n)), F.slice(hashes, i + 1, F.lit(n)))))
+                _cut(at, words, hashes, n), lambda s: window_hash(s["w"], s["own"])))
             .otherwise(F.transform(at, lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(n))))))
 
 
@@ -129,21 +136,25 @@ def open_hashes(words: Column, hashes: Column, n: int = WINDOW) -> Column:
     starts = F.array_distinct(F.flatten(F.transform(
         places, lambda p: F.sequence(F.least(F.greatest(p - (n - 1), F.lit(0)), last), F.least(p, last)))))
 
-    def typings(i):
-        w, own = F.slice(words, i + 1, F.lit(n)), F.slice(hashes, i + 1, F.lit(n))
+    def typings(s):
         # all subsets of the window's open words but the empty one; the last has them all
         masks = F.aggregate(
-            F.filter(F.array(*[F.lit(j) for j in range(n)]), lambda j: is_open(F.get(w, j))), F.array(F.lit(0)),
+            F.filter(F.array(*[F.lit(j) for j in range(n)]), lambda j: is_open(F.get(s["w"], j))), F.array(F.lit(0)),
             lambda m, j: F.concat(m, F.transform(m, lambda x: x + F.pow(F.lit(2), j).cast("int"))))
-        literal = F.size(F.filter(own, lambda h: ~h.between(1, 3)))
-        enough = F.least(F.lit(LITERALS), F.size(own))
-        kept = F.filter(masks, lambda m, k: (m > 0) & ((k == F.size(masks) - 1) | (literal - F.bit_count(m) >= enough)))
-        return F.transform(kept, lambda m: F.struct(
-            i.alias("at"), m.alias("mask"),
-            window_hash(w, F.transform(own, lambda h, j: F.when(F.getbit(m, j) == 1, F.lit(2).cast("bigint"))
-                                       .otherwise(h))).alias("h")))
-
-    return F.flatten(F.transform(starts, typings))
+        literal = F.size(F.filter(s["own"], lambda h: ~h.between(1, 3)))
+        return F.struct(s["at"].alias("at"), s["w"].alias("w"), s["own"].alias("own"), masks.alias("masks"),
+                        literal.alias("literal"))
+
+    def rows(s):
+        enough = F.least(F.lit(LITERALS), F.size(s["own"]))
+        kept = F.filter(s["masks"], lambda m, k: (m > 0) & (
+            (k == F.size(s["masks"]) - 1) | (s["literal"] - F.bit_count(m) >= enough)))
+        settled = F.transform(kept, lambda m: F.struct(m.alias("mask"), F.transform(
+            s["own"], lambda h, j: F.when(F.getbit(m, j) == 1, F.lit(2).cast("bigint")).otherwise(h)).alias("own")))
+        return F.transform(settled, lambda t: F.struct(
+            s["at"].alias("at"), t["mask"].alias("mask"), window_hash(s["w"], t["own"]).alias("h")))
+
+    return F.flatten(F.transform(F.transform(_cut(starts, words, hashes, n), typings), rows))
 
 
 def windows(df: DataFrame, keep: list[str], n: int = WINDOW) -> DataFrame:
