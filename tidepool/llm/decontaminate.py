@@ -59,17 +59,17 @@ COMMON = ("A An The This That These Those How What When Where Which Who Whom Who
 
 def typed_words(text: Column) -> Column:
     """The words of a text in lower case; a slot's word starts with its type's
-    sign. Runs over whole texts, not word by word."""
-    t = F.translate(F.coalesce(text, F.lit("")), SIGNS, "    ")
-    word = rf"(?!(?:{'|'.join(COMMON)})(?![\p{{L}}\p{{N}}]))(\p{{Lu}}\p{{Ll}}+)(?![\p{{L}}\p{{N}}])"
-    t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;:] )" + word, NAME + "$1")
-    t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{N}}{NAME}])" + word, OPEN + "$1")
-    t = F.regexp_replace(t, r"(?<=[0-9])[.,](?=[0-9])", "")
-    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])([0-9]+)", NUMBER + "$1")
+    sign. Runs over whole texts, not word by word; each pattern starts with the
+    characters it is about, so that it looks around at these alone."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{SIGNS}]", " ")
+    t = F.regexp_replace(t, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?!(?:{'|'.join(COMMON)})(?![\p{{L}}\p{{N}}]))"
+                            r"(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", OPEN + "$1")
+    t = F.regexp_replace(t, rf"{OPEN}(?<=[\p{{L}}\p{{N}},;:] {OPEN})", NAME)
+    t = F.regexp_replace(t, r"[.,](?<=[0-9][.,])(?=[0-9])", "")
+    t = F.regexp_replace(t, r"(?=[0-9])(?<![\p{L}\p{N}])([0-9]+)", NUMBER + "$1")
     t = F.lower(t)
     t = F.regexp_replace(t, rf"({NUMBER}[0-9]+ ?)({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}$2")
-    t = F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{SIGNS}]+", " ")
-    return F.filter(F.split(t, " "), lambda w: w != "")
+    return F.filter(F.split(t, rf"[^a-z0-9{SIGNS}\p{{L}}\p{{N}}]+"), lambda w: w != "")
 
 
 def is_slot(w: Column) -> Column:
@@ -94,86 +94,49 @@ def template(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(is_slot(w), F.substring(w, 1, 1)).otherwise(w))
 
 
-def template_hashes(words: Column) -> Column:
-    """A hash for each word; a slot has its type's number (1, 2, 3), an open
-    word that of the literal word."""
-    return F.transform(words, lambda w: F.when(is_slot(w), F.ascii(w).cast("bigint"))
-                       .when(is_open(w), F.xxhash64(F.substring(w, 2, 1 << 20))).otherwise(F.xxhash64(w)))
-
-
-def window_hash(words: Column, own: Column) -> Column:
-    """A hash of a window's template ``own``, or of its words where the
-    template has too few literal ones."""
-    literal = F.size(F.filter(own, lambda h: ~h.between(1, 3)))
-    return F.when(literal >= F.least(F.lit(LITERALS), F.size(own)), F.xxhash64(own)) \
-        .otherwise(F.xxhash64(bare(words), F.lit("own")))
-
-
-def _cut(at: Column, words: Column, hashes: Column, n: int) -> Column:
-    """at, w, own (words and hashes) of the windows at ``at``: cut once, where
-    an expression in a lambda is worked out anew at each mention."""
-    return F.transform(at, lambda i: F.struct(i.alias("at"), F.slice(words, i + 1, F.lit(n)).alias("w"),
-                                              F.slice(hashes, i + 1, F.lit(n)).alias("own")))
-
-
-def window_hashes(words: Column, hashes: Column, n: int = WINDOW) -> Column:
-    """A hash for each window of ``n`` words, its open words taken as literal."""
-    at = F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0)))
-    return (F.when(F.size(words) == 0, F.array().cast("array<bigint>"))
-            .when(F.exists(hashes, lambda h: h.between(1, 3)), F.transform(
-                _cut(at, words, hashes, n), lambda s: window_hash(s["w"], s["own"])))
-            .otherwise(F.transform(at, lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(n))))))
-
-
-def open_hashes(words: Column, hashes: Column, n: int = WINDOW) -> Column:
-    """(at, mask, h) of each window with open words, for each other typing of
-    them: ``mask`` has the bits of those that are names. Typings with too few
-    literal words all hash the bare words, so of these the one with every open
-    word a name stands for all. A window looks at its own words only: the work grows with
-    the text, and a window has at most 17 rows (of 5 open words up to 2 names, or all)."""
-    last = F.greatest(F.size(words) - n, F.lit(0))
-    places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0))), lambda p: is_open(F.get(words, p)))
-    starts = F.array_distinct(F.flatten(F.transform(
-        places, lambda p: F.sequence(F.least(F.greatest(p - (n - 1), F.lit(0)), last), F.least(p, last)))))
-
-    def typings(s):
-        # all subsets of the window's open words but the empty one; the last has them all
-        masks = F.aggregate(
-            F.filter(F.array(*[F.lit(j) for j in range(n)]), lambda j: is_open(F.get(s["w"], j))), F.array(F.lit(0)),
-            lambda m, j: F.concat(m, F.transform(m, lambda x: x + F.pow(F.lit(2), j).cast("int"))))
-        literal = F.size(F.filter(s["own"], lambda h: ~h.between(1, 3)))
-        return F.struct(s["at"].alias("at"), s["w"].alias("w"), s["own"].alias("own"), masks.alias("masks"),
-                        literal.alias("literal"))
-
-    def rows(s):
-        enough = F.least(F.lit(LITERALS), F.size(s["own"]))
-        kept = F.filter(s["masks"], lambda m, k: (m > 0) & (
-            (k == F.size(s["masks"]) - 1) | (s["literal"] - F.bit_count(m) >= enough)))
-        settled = F.transform(kept, lambda m: F.struct(m.alias("mask"), F.transform(
-            s["own"], lambda h, j: F.when(F.getbit(m, j) == 1, F.lit(2).cast("bigint")).otherwise(h)).alias("own")))
-        return F.transform(settled, lambda t: F.struct(
-            s["at"].alias("at"), t["mask"].alias("mask"), window_hash(s["w"], t["own"]).alias("h")))
-
-    return F.flatten(F.transform(F.transform(_cut(starts, words, hashes, n), typings), rows))
+def word_codes(words: Column) -> Column:
+    """A number for each word: a hash of the bare word, with the type in the
+    last three bits (0 literal, 1 number, 2 name, 3 unit, 4 open)."""
+    return F.transform(words, lambda w: F.when(
+        w < F.lit("\u0005"), F.xxhash64(F.substring(w, 2, 1 << 20)).bitwiseAND(F.lit(-8)).bitwiseOR(F.ascii(w).cast("bigint")))
+        .otherwise(F.xxhash64(w).bitwiseAND(F.lit(-8))))
 
 
 def windows(df: DataFrame, keep: list[str], n: int = WINDOW) -> DataFrame:
-    """Columns ``keep`` with at, h and ws (typed words) of each window of the
-    texts, once for each typing of its open words."""
+    """Columns ``keep`` with n_windows, at, mask, h and ws (typed words) of each
+    window of the texts, once for each typing of its open words: ``mask`` has
+    the bits of those that are names. Typings with too few literal words all
+    hash the bare words, so of these the one with every open word a name stands
+    for all: a window has at most 17 rows (of 5 open words up to 2 names, or
+    all), and looks at its own words only.
+
+    A word's number is worked out once; windows are rows from then on, hashed
+    in generated code, and a broadcast join right behind keeps the few that meet."""
     # outer: for a plain explode Spark infers a filter on the array's size and
-    # pushes its whole expression down, to be worked out once more for each word
-    typed = (df.withColumn("w", typed_words(F.col("text"))).withColumn("th", template_hashes(F.col("w")))
-             .withColumn("hs", window_hashes(F.col("w"), F.col("th"), n))
-             .withColumn("more", open_hashes(F.col("w"), F.col("th"), n)).drop("th"))
-    rows = typed.withColumn("n_windows", F.size("hs")).select(
-        *keep, "w", "n_windows", "more", F.posexplode_outer(F.concat("hs", F.col("more.h"))).alias("k", "h"))
-    first = F.col("k") < F.col("n_windows")
-    other = F.get(F.col("more"), F.col("k") - F.col("n_windows"))
-    # only its own words go on with a window: the rows that a document's windows
-    # make are held until the document is done
-    return (rows.withColumn("at", F.when(first, F.col("k")).otherwise(other["at"]))
-            .withColumn("mask", F.when(first, F.lit(0)).otherwise(other["mask"]))
-            .select(*keep, "n_windows", "at", "h", "mask", F.slice("w", F.col("at") + 1, F.lit(n)).alias("ws")))
+    # pushes its whole expression down, to be worked out once more
+    words = (df.withColumn("w", typed_words(F.col("text"))).withColumn("codes", word_codes(F.col("w")))
+             .withColumn("n_windows", F.when(F.size("w") > 0, F.greatest(F.size("w") - n + 1, F.lit(1))).otherwise(0)))
+    rows = words.select(*keep, "w", "codes", "n_windows", F.posexplode_outer("codes").alias("at", "_c")) \
+        .where(F.col("at") < F.col("n_windows"))
+    code = [F.get("codes", F.col("at") + j) for j in range(n)]
+    kind = [c.bitwiseAND(F.lit(7)) for c in code]
+    rows = rows.select(
+        *keep, "w", "n_windows", "at",
+        *[c.bitwiseAND(F.lit(-8)).alias(f"_b{j}") for j, c in enumerate(code)],
+        *[F.when(k.between(1, 3), k).alias(f"_s{j}") for j, k in enumerate(kind)],
+        sum(F.when(k == 4, F.lit(1 << j)).otherwise(0) for j, k in enumerate(kind)).alias("_open"),
+        sum(F.when(k.isin(0, 4), F.lit(1)).otherwise(0) for k in kind).alias("_literal"),
+        F.least(F.lit(min(LITERALS, n)), F.size("w")).alias("_enough"))
+    subsets = F.array(*[F.array(*[F.lit(m) for m in range(1 << n) if m & o == m]) for o in range(1 << n)])
+    rows = rows.select("*", F.explode_outer(F.get(subsets, F.col("_open"))).alias("mask"))
+    literal = F.col("_literal") - F.bit_count("mask")
+    own = [F.when(F.getbit("mask", F.lit(j)) == 1, F.lit(2).cast("bigint")).otherwise(F.coalesce(f"_s{j}", f"_b{j}"))
+           for j in range(n)]
+    h = F.when(literal >= F.col("_enough"), F.xxhash64(*own)) \
+        .otherwise(F.xxhash64(*[F.col(f"_b{j}") for j in range(n)], F.lit("own")))
+    # only its own words go on with a window
+    return (rows.where((F.col("mask") == 0) | (F.col("mask") == F.col("_open")) | (literal >= F.col("_enough")))
+            .select(*keep, "n_windows", "at", "mask", h.alias("h"), F.slice("w", F.col("at") + 1, F.lit(n)).alias("ws")))
 
 
 def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
