@@ -149,8 +149,10 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     # a few lengths at most; a text of fewer words than n has its one window already
     short = [r[0] for r in own.where(F.size("iw").between(2, n - 1)).select(F.size("iw")).distinct().collect()]
     d = reduce(DataFrame.unionByName, [windows(texts, ["_uid", "doc_id"], k) for k in (n, *short)])
-    d = (d.drop("n_windows").withColumnRenamed("at", "pos")
-         .join(broadcast_if_small(own), "h").withColumn("dw", retyped(F.col("ws"), F.col("mask"))))
+    # written before the words are compared: that expression would be drawn into
+    # the join and take it, and every window before it, out of generated code
+    d = cut_lineage(d.drop("n_windows").withColumnRenamed("at", "pos").join(broadcast_if_small(own), "h").drop("h"),
+                    "decon-meets").withColumn("dw", retyped(F.col("ws"), F.col("mask")))
     pairs = F.filter(F.zip_with("iw", "dw", lambda i, x: F.struct(i.alias("i"), x.alias("d"))),
                      lambda p: is_slot(p["i"]))
     pairs = F.transform(pairs, lambda p: F.struct(F.translate(p["i"], SIGNS, "").alias("i"),
