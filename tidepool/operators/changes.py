@@ -31,10 +31,10 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,6 +76,13 @@ class AuditContext:
             return F.localtimestamp()
         return F.lit(str(self.log_ts)).cast(T.TimestampNTZType())
 
+    def pinned(self, spark: SparkSession) -> AuditContext:
+        """This context with the time of now, read once: every row of a job or
+        micro-batch that takes several Spark actions gets the same time."""
+        if self.log_ts is not None:
+            return self
+        return replace(self, log_ts=spark.sql("SELECT CAST(localtimestamp() AS STRING) AS t").first()["t"])
+
     def ip_col(self) -> Column:
         return F.lit(self.log_ip if self.log_ip is not None else UNSET_CONTEXT)
 
@@ -146,6 +153,16 @@ def history_schema(base: DataFrame) -> DataFrame:
     return base.limit(0).select(*audit, *[_q(c) for c in base.columns])
 
 
+def append_history(rows: DataFrame, path: str, schema: T.StructType) -> None:
+    """Append audit rows to a written history table. ``rows`` must have the
+    columns of ``schema`` (``history_schema``) in any order, with its types."""
+    have = {f.name: f.dataType for f in rows.schema.fields}
+    want = {f.name: f.dataType for f in schema.fields}
+    if have != want:
+        raise ValueError(f"not rows of this history table: {sorted(set(have.items()) ^ set(want.items()), key=str)}")
+    rows.select(*[_q(f.name) for f in schema.fields]).write.mode("append").parquet(path)
+
+
 def insert_default(rows: DataFrame, column: str, value: str | Column) -> DataFrame:
     """Inserted rows with a NULL ``column`` get the session value."""
     v = value if isinstance(value, Column) else F.lit(value)

@@ -215,6 +215,21 @@ def union_sequence_paths(spark: SparkSession, template: str, placeholder: str, s
     return df.withColumn(source_name, F.col(source_name).cast("int")) if with_source else df
 
 
+# ------------------------------------------------------------------------ P8
+
+def param_rows(spark: SparkSession, schema: T.StructType | str, rows: Sequence[dict]) -> DataFrame:
+    """Bound values as rows of a frame, a source like any other (the caller's
+    list bounds its size). A column left out is NULL; a name that ``schema``
+    hasn't raises; no rows give an empty frame of ``schema``."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    names = schema.fieldNames()
+    unknown = {k for r in rows for k in r} - set(names)
+    if unknown:
+        raise ValueError(f"no such columns: {sorted(unknown)}")
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
+
+
 # ------------------------------------------------------------------------ C3
 
 def tenant_list(tenants: DataFrame, name_col: str, exclude_suffix: str | None = None,
