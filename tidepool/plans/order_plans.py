@@ -77,8 +77,8 @@ def ordered_fold_pieces(spark, sf_dir):
 @register("ordered_fold_bytes_pieces", _FOLD_SQL + f""",
 c AS (SELECT conv_id, unnest(range(1, length(content) + 1)) AS i, content FROM f WHERE content <> ''),
 s AS (SELECT conv_id, i, substr(content, i, 1) AS ch FROM c),
-o AS (SELECT conv_id, i, ch, sum(strlen(ch)) OVER (PARTITION BY conv_id ORDER BY i) - strlen(ch) AS at FROM s)
-SELECT conv_id, CAST(at // {FOLD_PIECE} AS BIGINT) AS piece, string_agg(ch, '' ORDER BY i) AS content
+o AS (SELECT conv_id, i, ch, sum(strlen(ch)) OVER (PARTITION BY conv_id ORDER BY i) - strlen(ch) AS pos FROM s)
+SELECT conv_id, CAST(pos // {FOLD_PIECE} AS BIGINT) AS piece, string_agg(ch, '' ORDER BY i) AS content
 FROM o GROUP BY ALL
 UNION ALL SELECT conv_id, 0, '' FROM f WHERE content = ''
 """)
