@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from ..functions import raster as R
 from ..operators import images as IM
+from ..session import scratch_folder
 from ..sources.tables import read_table
 from .registry import register
 
 COLS, ROWS = 40, 30
 TILE = 8
+CUT = 3     # side of the blocks that the photos are cut into
+SHEET = 16  # photos on a side of a contact sheet
 PI = math.pi
 TWO_PI = 2 * PI
 # Angles (radians) and sizes of the example pictures; at none of them does a grid
@@ -378,7 +381,7 @@ def crop_size(spark, sf_dir):
                                         "new_width", "new_height")
 
 
-@register("crop_image", _SIZES_SQL + f""",
+_CROP_SQL = _SIZES_SQL + f""",
 s AS (SELECT *, coalesce(mx, 0) AS margin_x, coalesce(my, 0) AS margin_y,
              coalesce(bottom_x - top_x + 1 + 2 * mx, width) AS new_width,
              coalesce(bottom_y - top_y + 1 + 2 * my, height) AS new_height FROM m),
@@ -390,11 +393,72 @@ SELECT h.image_id, h.x, h.y, coalesce(p.argb, -1) AS argb
 FROM h LEFT JOIN {_PIX_SQL} p
   ON p.image_id = h.image_id AND p.x = h.sx AND p.y = h.sy
  AND (h.top_x IS NULL OR (h.sx BETWEEN h.top_x AND h.bottom_x AND h.sy BETWEEN h.top_y AND h.bottom_y))
-""")
+"""
+
+
+@register("crop_image", _CROP_SQL)
 def crop_image(spark, sf_dir):
     return IM.crop_image(_pixels(spark, sf_dir), _sizes(spark, sf_dir))
 
 
+@register("content_bbox_tiles", _BBOX_SQL)
+def content_bbox_tiles(spark, sf_dir):
+    return IM.tile_bbox(IM.pixel_tiles(_pixels(spark, sf_dir), side=CUT), side=CUT)
+
+
+@register("crop_image_tiles", _CROP_SQL)
+def crop_image_tiles(spark, sf_dir):
+    tiles = IM.pixel_tiles(_pixels(spark, sf_dir), side=CUT)
+    bbox = IM.tile_bbox(tiles, side=CUT).withColumn("name", _names())
+    sizes = IM.crop_size(bbox, IM.margin_ratio(F.col("name")))
+    return IM.tile_pixels(IM.crop_tiles(tiles, sizes, side=CUT), side=CUT)
+
+
+# image files: contact sheets of SHEET x SHEET photos, as PNG in the shared folder
+_SHEETS_SQL = f"""
+WITH px AS (SELECT image_id // {SHEET * SHEET} AS sheet, image_id % {SHEET * SHEET} AS slot, x, y, argb FROM {_PIX_SQL} p),
+put AS (SELECT sheet, CAST((slot % {SHEET}) * {TILE} + x AS INTEGER) AS x,
+              CAST((slot // {SHEET}) * {TILE} + y AS INTEGER) AS y, argb FROM px),
+g AS (SELECT sheet, CAST(i % {SHEET * TILE} AS INTEGER) AS x, CAST(i // {SHEET * TILE} AS INTEGER) AS y
+        FROM (SELECT DISTINCT sheet FROM px) s, range(0, {(SHEET * TILE) ** 2}) r(i))
+"""
+
+
+@register("image_scan", _SHEETS_SQL + f"""
+SELECT 'sheet-' || g.sheet || '.png' AS name, {SHEET * TILE} AS width, {SHEET * TILE} AS height, g.x, g.y,
+       coalesce(put.argb, -1) AS argb
+FROM g LEFT JOIN put ON put.sheet = g.sheet AND put.x = g.x AND put.y = g.y
+UNION ALL
+SELECT DISTINCT 'broken-' || sheet || '.png', -1, -1, CAST(NULL AS INTEGER), CAST(NULL AS INTEGER),
+       CAST(NULL AS INTEGER) FROM px
+""")
+def image_scan(spark, sf_dir):
+    """Writes every photo into contact sheets (PNG) with a broken file beside each,
+    then scans the folder: pixels of what can be decoded, a row for what can't."""
+    n, edge = SHEET * SHEET, SHEET * TILE
+    slot = F.col("image_id") % n
+    row, col = F.floor(slot / SHEET) * TILE + F.col("y"), slot % SHEET * TILE + F.col("x")
+    sheets = (_pixels(spark, sf_dir)
+              .select(F.floor(F.col("image_id") / n).alias("sheet"),
+                      F.struct((row * edge + col).cast("int").alias("pos"), "argb").alias("p"))
+              .groupBy("sheet").agg(F.collect_list("p").alias("p")))
+    png = IM.encode_png(sheets.select(
+        F.concat(F.lit("sheet-"), "sheet", F.lit(".png")).alias("name"), F.lit(edge).alias("width"),
+        F.lit(edge).alias("height"), F.col("p.pos").alias("pos"), F.col("p.argb").alias("argb")))
+    broken = sheets.select(F.concat(F.lit("broken-"), "sheet", F.lit(".png")).alias("name"),
+                           F.lit("no picture").cast("binary").alias("content"))
+    folder = scratch_folder(spark, "image-scan")
+    IM.write_files(png.unionByName(broken), folder)
+    found = IM.read_images(spark, folder, invalid="report")
+    name = F.regexp_extract("origin", "([^/]+)$", 1).alias("name")
+    good, bad = found.where("height >= 0"), found.where("height < 0")
+    size = good.select("origin", "width", "height")
+    px = IM.image_rows_to_pixels(good).join(size, "origin")
+    none = F.lit(None).cast("int")
+    return (px.select(name, "width", "height", "x", "y", "argb")
+            .unionByName(bad.select(name, "width", "height", none.alias("x"), none.alias("y"), none.alias("argb"))))
+
+
 @register("photo_routing", """
 WITH f AS (SELECT upper(replace(p_name, ' ', '_')) || '_' || p_partkey AS name FROM part),
 g AS (SELECT name, substr(name, 1, 3) AS folder, substr(name, 1, 11) || '.jpg' AS new_name FROM f)

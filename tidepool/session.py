@@ -81,11 +81,18 @@ def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
     and read it back: the plan runs once (a reliable ``checkpoint()`` of an
     unpersisted frame computes it twice), later stages read columnar files,
     and a lost executor does not force recomputation from the sources."""
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_folder(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder, deleted with the others of an
+    enclosing ``intermediates`` block."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     for t in _trackers():
         t.append(path)
-    return df.sparkSession.read.parquet(path)
+    return path
 
 
 def delete_paths(spark: SparkSession, paths: list[str]) -> None:
