@@ -5,7 +5,8 @@ import pytest
 from tidepool.plans import ORACLES, QUERIES
 
 STREAMING = {"audit_stream", "audit_stream_history", "audit_stream_keyed", "audit_stream_keyed_history"}
-PYTHON_OK_PREFIXES = ("extract_", "site_rules", "crawl_expand")
+# markup is walked, and the bytes of image files are made pixels, in Arrow batches
+PYTHON_OK_PREFIXES = ("extract_", "site_rules", "crawl_expand", "image_scan")
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +26,7 @@ def test_no_cartesian_or_row_udf(plans):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
-def test_python_only_in_page_extraction(plans):
+def test_python_only_in_pages_and_image_files(plans):
     for name, p in plans.items():
         if "MapInPandas" in p or "PythonMapInArrow" in p:
             assert name.startswith(PYTHON_OK_PREFIXES), name
