@@ -14,7 +14,7 @@ terms are reduced to the model's features by a JVM set intersection and a
 vectorised UDF sums the factors.
 
 Defined cases: a null or empty text has no terms and scores sigmoid(b); with no
-labelled rows every score is 0; null labels are left out; equal rows get equal
+labelled rows every score is sigmoid(-30), some 1e-13; null labels are left out; equal rows get equal
 scores; an empty table gives an empty result; extra columns are left alone.
 """
 
