@@ -120,3 +120,36 @@ def test_empty_sides_and_bad_seqs(spark):
         pb.param_batch(target, sets.union(sets), where, delete=True)
     with pytest.raises(ValueError):
         pb.param_batch(target, sets, pb.Where(within={"status": ("lo", "hi")}), delete=True)
+
+
+def test_work_does_not_grow_with_rows_times_sets(spark, monkeypatch):
+    """Rows that no set tells apart meet the sets once; a delete's sets come in pieces."""
+    rng = random.Random(7)
+    rows = [(i, rng.random() * 100, None, rng.choice(["O", "F", None]), i % 3) for i in range(3000)]
+    sets = [(k, float(k * 7 % 10 * 10), float(k * 7 % 10 * 10 + k % 3 * 15), ["O", f"S{k % 5}"], None, f"S{(k + 2) % 5}", None)
+            for k in range(300)]
+    target, params = spark.createDataFrame(rows, ROWS), spark.createDataFrame(sets, SETS)
+    where = pb.Where(among={"status": "sts"}, within={"price": ("lo", "hi")})
+    met, rounds, hits = [], [], pb._Matcher.hits
+
+    def counted(self, some, *conditions, **more):
+        rounds.append(some.count())
+        out = hits(self, some, *conditions, **more)
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(pb._Matcher, "hits", counted)
+    new, counts = pb.param_batch(target, params, where, set_columns={"status": "new"})
+    want = one_by_one(rows, sets, lambda r, s: member(r[3], s[3]) and between(r[1], s[1], s[2]),
+                      lambda r, s: r.__setitem__(3, s[5]))
+    assert sorted(map(tuple, new.collect()), key=repr) == want[0]
+    assert {r["seq"]: r["affected"] for r in counts.collect()} == want[1]
+    assert len(rounds) == 1 and rounds[0] < 200  # one pass over the classes, however often a row is updated
+
+    met.clear(), rounds.clear()
+    where = pb.Where(within={"price": ("lo", "hi")}, also=lambda p: F.col("x") < F.size(p("sts")), also_columns=["x"])
+    new, counts = pb.param_batch(target, params, where, delete=True)
+    want = one_by_one(rows, sets, lambda r, s: between(r[1], s[1], s[2]) and r[4] < len(s[3]))
+    assert sorted(map(tuple, new.collect()), key=repr) == want[0]
+    assert {r["seq"]: r["affected"] for r in counts.collect()} == want[1]
+    assert len(rounds) > 1 and rounds[-1] < rounds[0] < 300 and sum(met) < 64 * 300
