@@ -319,7 +319,7 @@ def linked(texts: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataFrame]:
     sizes = index.where(F.col("kind") == SIZE).select("uid", "n")
     copies = index.where(F.col("kind") == COPY).select(F.col("sig").alias("a"), F.col("uid").alias("b"))
     bits = index.where(F.col("kind") == BITS).select("uid", "bits")
-    test = Test(lambda a, b: near_sizes(a, b, rule), lambda na, nb, xa, xb: may_link(na, nb, xa, xb, rule),
+    test = Test(lambda a, b, _: near_sizes(a, b, rule), lambda na, nb, xa, xb, _: may_link(na, nb, xa, xb, rule),
                 lambda pairs: verified(pairs, texts, rule), bits)
     pairs = cut_lineage(rare_pairs(index.where(F.col("kind") == SINGLE), rule), "ngram-pairs")
     links = cut_lineage(verified(pairs, texts, rule).unionByName(copies), "ngram-links")
