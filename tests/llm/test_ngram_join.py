@@ -89,3 +89,35 @@ def test_dedup_keeps_columns(spark, odd_docs, no_docs):
     assert out.columns == odd_docs.columns
     assert out.count() == nj.join(odd_docs).where("first_of_component").count()
     assert nj.dedup(no_docs).count() == 0
+
+
+def test_probes_go_by_uids(spark, monkeypatch):
+    """Rows that share many signatures take part in a probe with a few of them."""
+    from tidepool.llm import bucket_join as bj
+    rows = spark.createDataFrame([(s, u, 50, u) for s in range(60) for u in range(40)],
+                                 "sig long, uid long, v long, comp long")
+    test = bj.Test(lambda a, b, _: a == b, None, None)
+    probed, write = [], bj.cut_lineage
+
+    def counted(df, name):
+        out = write(df, name)
+        probed.append(out.count())
+        return out
+
+    monkeypatch.setattr(bj, "cut_lineage", counted)
+    pairs = bj.neighbour_pairs(rows, test, 0, 1).collect()
+    assert len(probed) == 1 and probed[0] <= 40 * bj.PROBES
+    assert len(pairs) == 39  # similar rows pick the same signatures, so all are chained
+
+
+def test_turns_leave_no_folders(spark):
+    """Of a join, the sizes and components stay, not its index and turns."""
+    import os
+
+    from tidepool.session import checkpoint_dir
+    base = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    w = [f"w{i}" for i in range(60)]
+    nj.join(make_docs(spark, [(i, " ".join(w[:59 - i % 3]), "a") for i in range(30)])).count()
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - before}
+    assert "ngram-comps" in left and not left & {"ngram-index", "bucket-labelled", "bucket-order", "bucket-rest", "ngram-pairs", "ngram-sets"}

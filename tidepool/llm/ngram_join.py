@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
-from ..session import cut_lineage, ship_package
+from ..session import cut_lineage, intermediates, release_shuffles, ship_package
 from .bucket_join import Test, link_components, sorted_runs
 from .common import ascii_lower, col, mixed, numbered, partitions, stored, word_array
 from .packed_counts import COUNT_BITS, key_counts
@@ -313,18 +313,26 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 
 def linked(texts: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataFrame]:
     """(uid, n) and (node, component) for a written table (uid, text, ...)."""
-    ship_package(texts.sparkSession)
+    spark = texts.sparkSession
+    ship_package(spark)
     words = hashed_words(texts)
-    index = stored(index_rows(words, *token_classes(words, rule), rule), "ngram-index", "kind")
-    sizes = index.where(F.col("kind") == SIZE).select("uid", "n")
-    copies = index.where(F.col("kind") == COPY).select(F.col("sig").alias("a"), F.col("uid").alias("b"))
-    bits = index.where(F.col("kind") == BITS).select("uid", "bits")
-    test = Test(lambda a, b, _: near_sizes(a, b, rule), lambda na, nb, xa, xb, _: may_link(na, nb, xa, xb, rule),
-                lambda pairs: verified(pairs, texts, rule), bits)
-    pairs = cut_lineage(rare_pairs(index.where(F.col("kind") == SINGLE), rule), "ngram-pairs")
-    links = cut_lineage(verified(pairs, texts, rule).unionByName(copies), "ngram-links")
-    combined = index.where(F.col("kind") == COMBINED).select("sig", "uid", F.col("n").cast("long").alias("v"))
-    return sizes, link_components(combined, links, pairs, test, "ngram")
+    with intermediates(spark):  # the index goes once the components are there
+        classes = token_classes(words, rule)
+        release_shuffles(spark)
+        index = stored(index_rows(words, *classes, rule), "ngram-index", "kind")
+        sizes = stored(index.where(F.col("kind") == SIZE).select("uid", "n"), "ngram-sizes", keep=True)
+        copies = index.where(F.col("kind") == COPY).select(F.col("sig").alias("a"), F.col("uid").alias("b"))
+        bits = index.where(F.col("kind") == BITS).select("uid", "bits")
+        test = Test(lambda a, b, _: near_sizes(a, b, rule), lambda na, nb, xa, xb, _: may_link(na, nb, xa, xb, rule),
+                    lambda pairs: verified(pairs, texts, rule), bits)
+        pairs = cut_lineage(rare_pairs(index.where(F.col("kind") == SINGLE), rule), "ngram-pairs")
+        release_shuffles(spark)
+        with intermediates(spark):
+            links = stored(verified(pairs, texts, rule).unionByName(copies), "ngram-links", keep=True)
+        release_shuffles(spark)
+        combined = index.where(F.col("kind") == COMBINED).select("sig", "uid", F.col("n").cast("long").alias("v"))
+        comps = stored(link_components(combined, links, pairs, test, "ngram"), "ngram-comps", keep=True)
+    return sizes, comps
 
 
 def join_rows(rows: DataFrame, uid: str = "_uid", text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE) -> DataFrame:
