@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.llm import decontaminate, mixing, ngram_join, token_planes, toxicity
 from tidepool.llm.queries import MIX_EPOCHS, MIX_SHARE, MIX_WEIGHTS, default_tokenizer
-from tidepool.session import scratch_path
+from tidepool.session import intermediates, release_shuffles, scratch_path
 
 
 NEAR = ngram_join.Rule(words=5, num=80)  # op7_ngram_join has a rule of its own
@@ -61,9 +61,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            path = scratch_path(spark, f"pipeline-{name}-{uuid.uuid4().hex}")
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+        if k == len(STAGES) - 1:
+            return stage(spark, docs, sf_dir)
+        path = scratch_path(spark, f"pipeline-{name}-{uuid.uuid4().hex}")
+        with intermediates(spark):  # what a stage wrote on its way goes once its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        release_shuffles(spark)
+        docs = spark.read.parquet(path)

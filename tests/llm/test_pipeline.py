@@ -83,3 +83,24 @@ def test_near_copies_by_five_words(spark):
     assert len(a & b) / len(a | b) >= 0.8 > len(a & c) / len(a | c)
     out = corpus_pipeline.drop_near_copies(spark, docs, "")
     assert sorted(r.doc_id for r in out.collect()) == [1, 3]
+
+
+def test_a_stage_leaves_its_result_only(spark, sf_dir, monkeypatch):
+    import os
+
+    import corpus_pipeline
+
+    from tidepool.llm.common import numbered
+    from tidepool.session import checkpoint_dir
+
+    def stage(spark, docs, sf_dir):
+        rows, uid = numbered(docs.select("doc_id"), "stage-own")
+        return rows.select("doc_id")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage), ("two", stage), ("three", stage)])
+    base = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    out = corpus_pipeline.run(spark, sf_dir)
+    assert out.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    left = sorted(n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - before)
+    assert left == ["pipeline-one", "pipeline-two", "stage-own"]  # the last stage is read by the caller
