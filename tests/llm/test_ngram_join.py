@@ -121,3 +121,20 @@ def test_turns_leave_no_folders(spark):
     nj.join(make_docs(spark, [(i, " ".join(w[:59 - i % 3]), "a") for i in range(30)])).count()
     left = {n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - before}
     assert "ngram-comps" in left and not left & {"ngram-index", "bucket-labelled", "bucket-order", "bucket-rest", "ngram-pairs", "ngram-sets"}
+
+
+def test_own_words_rule_pairs_out(spark, monkeypatch):
+    """Near copies of one text with too many words of their own are no candidates:
+    they share buckets, but not enough tokens that others can have."""
+    monkeypatch.setattr(nj, "FREQUENT", 4)
+    asked, verify = [], nj.verified
+    monkeypatch.setattr(nj, "verified", lambda pairs, *a: asked.append(pairs.count()) or verify(pairs, *a))
+    base = [f"w{i}" for i in range(203)]
+    rows = []
+    for d in range(30):
+        w = list(base)
+        for k in range(5):  # 20 of 200 shingles are its own
+            w[7 + 40 * k + d % 25] = f"own{d}x{k}"
+        rows.append((d, " ".join(w), "a"))
+    check(spark, rows)
+    assert sum(asked) == 0

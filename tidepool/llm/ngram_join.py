@@ -18,8 +18,12 @@ A rare token's bucket has fewer than ``FREQUENT`` documents, so its pairs are
 counted: two documents share at most as many tokens as they share indexed ones
 plus what lies beyond their prefixes, and pairs that can't reach the overlap
 are out. Buckets of combinations may be of any size; ``bucket_join`` finds their
-links without expanding them. Candidates are verified exactly (intersection of
-the token sets, as 64-bit hashes).
+links without expanding them. A document in such a bucket has all its rare
+tokens indexed, so every link over one of them is known before: there two
+documents can only share frequent tokens, and pairs with too few of them (by
+their number, and by a bitmap of them) are out. Near copies of one text that have too
+many words of their own go that way without being compared. Candidates are
+verified exactly (intersection of the token sets, as 64-bit hashes).
 
 Defined cases: null, empty or blank texts have no tokens and stay alone; rows
 with equal text are linked (through one of them); rows with equal doc_id are
@@ -183,16 +187,17 @@ def _combined(often: list, left: int, level: int, rule: Rule) -> list[np.ndarray
 _INDEX = pa.schema([("sig", pa.int64()), ("uid", pa.int64()), ("n", pa.int32()), ("rest", pa.int32()),
                     ("kind", pa.int8()), ("bits", pa.list_(pa.int64()))])
 SINGLE, COMBINED, COPY, SIZE, BITS = 0, 1, 2, 3, 4
-BIT_WORDS = 8  # 64-bit words of the bitmap of a set's tokens
+BIT_WORDS = 16  # 64-bit words of the bitmap of a set's frequent tokens
 _COPIES = 50_000  # texts a task remembers, to index a text that it has seen only once
 
 
 def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarray,
                rule: Rule) -> DataFrame:
     """kind SINGLE or COMBINED: (sig, uid, n, rest), with the set size n and the
-    number of tokens not indexed alone; COPY: uid has the same words as document
+    number of tokens not indexed alone (COMBINED: that two sets can share there,
+    which is all of a tiny set); COPY: uid has the same words as document
     ``sig``, which is indexed in its place; SIZE: the set size of each uid;
-    BITS: a bitmap of the tokens of each uid that has COMBINED rows."""
+    BITS: a bitmap of the ``rest`` of each uid that has COMBINED rows."""
     shared = words.sparkSession.sparkContext.broadcast((frequent, frequent_class))
     drop = np.uint64(64 - COUNT_BITS)
 
@@ -225,9 +230,10 @@ def index_rows(words: DataFrame, frequent: np.ndarray, frequent_class: np.ndarra
                     c = np.where(often[at] == short, cls[at], 1)
                 single, combined = signatures(t, c, rule)
                 add(single.view(np.int64), u, len(t), len(t) - len(single), SINGLE)
-                add(combined.view(np.int64), u, len(t), 0, COMBINED)
+                shared_there = t if len(t) <= rule.tiny + 1 else t[c != 1]
+                add(combined.view(np.int64), u, len(t), len(shared_there), COMBINED)
                 if len(combined):
-                    bitmaps.append((u, bitmap(t)))
+                    bitmaps.append((u, bitmap(shared_there)))
             if out[0]:
                 cols = [pa.array(np.concatenate(x).astype(f.type.to_pandas_dtype())) for x, f in zip(out, _INDEX)]
                 yield pa.RecordBatch.from_arrays([*cols, pa.nulls(len(cols[0]), _INDEX[5].type)], schema=_INDEX)
@@ -247,14 +253,41 @@ def bitmap(tokens: np.ndarray) -> list[int]:
     return np.packbits(bits, bitorder="little").view(np.int64).tolist()
 
 
-def may_link(na: Column, nb: Column, xa: Column, xb: Column, rule: Rule) -> Column:
-    """Whether two sets can be linked by their sizes and bitmaps: a bit of one
-    that the other lacks is a token that it lacks, too."""
+def measures(n: Column, rest: Column) -> Column:
+    """The set size and ``rest`` of a COMBINED row as one long, ordered by size."""
+    return F.shiftleft(n.cast("long"), 32) + rest
+
+
+def may_share(a: np.ndarray, b: np.ndarray, rule: Rule) -> np.ndarray:
+    """Whether two sets, by their ``measures``, can be linked over a combination."""
+    na, nb, low = a >> 32, b >> 32, (1 << 32) - 1
+    return near_sizes(na, nb, rule) & (np.minimum(a & low, b & low) * (rule.num + rule.den) >= (na + nb) * rule.num)
+
+
+def may_link(va: Column, vb: Column, xa: Column, xb: Column, rule: Rule) -> Column:
+    """The same for columns, and by the bitmaps: a bit of one that the other
+    lacks is a token that it lacks, too."""
     def lost(x, y):
         return reduce(lambda a, b: a + b, [F.bit_count(x[i].bitwiseAND(F.bitwise_not(y[i]))) for i in range(BIT_WORDS)])
-    shared = F.least(na - lost(xa, xb), nb - lost(xb, xa))
+
+    def enough(shared):
+        return shared * (rule.num + rule.den) >= (na + nb) * rule.num
+
+    na, nb = F.shiftright(va, 32), F.shiftright(vb, 32)
+    fa, fb = (v.bitwiseAND((1 << 32) - 1) for v in (va, vb))
     sizes = F.least(na, nb) * rule.den >= F.greatest(na, nb) * rule.num
-    return sizes & F.coalesce(shared * (rule.num + rule.den) >= (na + nb) * rule.num, F.lit(True))
+    return (sizes & enough(F.least(fa, fb))
+            & F.coalesce(enough(F.least(fa - lost(xa, xb), fb - lost(xb, xa))), F.lit(True)))
+
+
+def combined_rows(index: DataFrame, rule: Rule) -> DataFrame:
+    """(sig, uid, v) of the COMBINED rows that can be linked with another one of
+    their bucket, for all that its smallest set tells; v: ``measures``."""
+    rows = index.where(F.col("kind") == COMBINED)
+    least = rows.groupBy("sig").agg(F.min("n").alias("low"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+    return (rows.join(least.hint("merge"), "sig")
+            .where(F.col("rest").cast("long") * (rule.num + rule.den) >= (F.col("n") + F.col("low")).cast("long") * rule.num)
+            .select("sig", "uid", measures(F.col("n"), F.col("rest")).alias("v")))
 
 
 # ---- candidates -----------------------------------------------------------
@@ -323,14 +356,17 @@ def linked(texts: DataFrame, rule: Rule = RULE) -> tuple[DataFrame, DataFrame]:
         sizes = stored(index.where(F.col("kind") == SIZE).select("uid", "n"), "ngram-sizes", keep=True)
         copies = index.where(F.col("kind") == COPY).select(F.col("sig").alias("a"), F.col("uid").alias("b"))
         bits = index.where(F.col("kind") == BITS).select("uid", "bits")
-        test = Test(lambda a, b, _: near_sizes(a, b, rule), lambda na, nb, xa, xb, _: may_link(na, nb, xa, xb, rule),
-                    lambda pairs: verified(pairs, texts, rule), bits)
+        # first of a bucket: the set with the fewest tokens that no other one can have
+        test = Test(lambda a, b, _: may_share(a, b, rule), lambda va, vb, xa, xb, _: may_link(va, vb, xa, xb, rule),
+                    lambda pairs: verified(pairs, texts, rule), bits,
+                    lambda v: F.shiftright(v, 32) * rule.num - v.bitwiseAND((1 << 32) - 1) * (rule.num + rule.den))
         pairs = cut_lineage(rare_pairs(index.where(F.col("kind") == SINGLE), rule), "ngram-pairs")
         release_shuffles(spark)
         with intermediates(spark):
             links = stored(verified(pairs, texts, rule).unionByName(copies), "ngram-links", keep=True)
         release_shuffles(spark)
-        combined = index.where(F.col("kind") == COMBINED).select("sig", "uid", F.col("n").cast("long").alias("v"))
+        combined = stored(combined_rows(index, rule), "ngram-combined")
+        release_shuffles(spark)
         comps = stored(link_components(combined, links, pairs, test, "ngram"), "ngram-comps", keep=True)
     return sizes, comps
 
